@@ -71,10 +71,13 @@ def _is_iso(text: str) -> bool:
 def literal(value: object, dtype: T.DataType) -> Column:
     """Literal to compare with a column of type ``dtype``.
 
-    Dates and times go through text, so that no machine time zone can shift them.
+    Dates and times go through text, so that no machine time zone can shift them; so do
+    integers beyond 64 bits, which only a decimal can hold.
     """
     if is_temporal(dtype):
         return F.lit(str(value)).cast(dtype)
+    if isinstance(value, int) and abs(value) >= 2**63:
+        return F.lit(str(value)).cast(WIDE_INTEGER)
     return F.lit(value)
 
 

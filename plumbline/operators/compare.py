@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
-from plumbline.operators.verdict import rows, verdict
+from plumbline.operators.verdict import judged, rows
 from plumbline.rules import Rule
 
 
@@ -35,7 +35,7 @@ def compare_row_counts(left: DataFrame, right: DataFrame, check_id: str = "compa
     rule = Rule(kind="compare_row_counts", check_id=check_id)
     return rows(
         counts,
-        [verdict(rule, n == m, element_count=n, unexpected_count=F.abs(n - m), observed_num=m)],
+        [judged(rule, n == m, element_count=n, unexpected_count=F.abs(n - m), observed_num=m)],
     )
 
 
@@ -53,7 +53,7 @@ def compare_keys(
     out = []
     for side, size, lone in (("right", "in_left", "only_left"), ("left", "in_right", "only_right")):
         rule = Rule(kind="compare_keys", columns=tuple(on), check_id=f"{check_id}.missing_from_{side}")
-        out.append(verdict(rule, F.col(lone) == 0, element_count=F.col(size), unexpected_count=F.col(lone)))
+        out.append(judged(rule, F.col(lone) == 0, element_count=F.col(size), unexpected_count=F.col(lone)))
     return rows(keys, out)
 
 
@@ -70,15 +70,20 @@ def compare_aggregates(
         return values.select(F.inline(F.array(*pairs))).withColumn("side", F.lit(side))
 
     both = tall(left, measures, "l").unionByName(tall(right, right_measures or measures, "r"))
-    pairs = both.groupBy("measure").agg(
-        F.max(F.when(F.col("side") == "l", F.col("value"))).alias("a"),
-        F.max(F.when(F.col("side") == "r", F.col("value"))).alias("b"),
+    # one row again: what the two sides hold, measure by measure
+    pairs = both.agg(
+        *[
+            F.max(F.when((F.col("measure") == n) & (F.col("side") == side), F.col("value"))).alias(f"{side}{i}")
+            for i, n in enumerate(names)
+            for side in "lr"
+        ]
     )
-    gap = F.abs(F.col("a") - F.col("b"))
-    rule = Rule(kind="compare_aggregates", check_id=check_id)
-    row = verdict(rule, gap <= F.lit(tolerance), observed_num=gap)
-    row = row.withField("check_id", F.concat(F.lit(f"{check_id}."), F.col("measure")))
-    return pairs.select(row.alias("v")).select("v.*")
+    out = []
+    for i, name in enumerate(names):
+        gap = F.abs(F.col(f"l{i}") - F.col(f"r{i}"))
+        rule = Rule(kind="compare_aggregates", check_id=f"{check_id}.{name}")
+        out.append(judged(rule, gap <= F.lit(tolerance), observed_num=gap))
+    return rows(pairs, out)
 
 
 def row_differences(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,5 +114,5 @@ def compare_rows(
     out = []
     for side, size, lone in (("right", "in_left", "only_left"), ("left", "in_right", "only_right")):
         rule = Rule(kind="compare_rows", columns=tuple(columns), check_id=f"{check_id}.missing_from_{side}")
-        out.append(verdict(rule, F.col(lone) == 0, element_count=F.col(size), unexpected_count=F.col(lone)))
+        out.append(judged(rule, F.col(lone) == 0, element_count=F.col(size), unexpected_count=F.col(lone)))
     return rows(totals, out)

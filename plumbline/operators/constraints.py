@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.verdict import rows, verdict
+from plumbline.operators.verdict import judged, rows
 from plumbline.rules import ConstraintRule
 
 
@@ -15,7 +15,7 @@ def constraint_verdict(df: DataFrame, rule: ConstraintRule) -> DataFrame:
     """A verdict row instead of an exception: one violated constraint must not lose the report."""
     found = _run(df, rule.query).agg(F.count(F.lit(1)).alias("found"))
     n = F.col("found")
-    return rows(found, [verdict(rule, n == 0, unexpected_count=n, observed_num=n)])
+    return rows(found, [judged(rule, n == 0, unexpected_count=n, observed_num=n)])
 
 
 def _run(df: DataFrame, query: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.functions import columns as C
-from plumbline.operators.verdict import counted, rows, verdict
+from plumbline.operators.verdict import counted, judged, rows
 from plumbline.rules import LITERAL_SET_LIMIT, FrequencyRule
 
 
@@ -142,37 +142,37 @@ _SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_
                "rows_not_in_set"}
 
 
-def _judge(rule: FrequencyRule, mark: str | None) -> Column:
+def _judge(rule: FrequencyRule, mark: str | None) -> dict:
     elements, missing, total = F.col("elements"), F.col("missing"), F.col("total")
     distinct, size = F.col("distinct"), F.lit(len(rule.members))
     base = {"element_count": elements, "missing_count": missing}
     hits = F.col(f"{mark}_hits") if mark else None
     if rule.judge == "distinct_in_set":
-        return verdict(rule, hits == distinct, observed_num=distinct, **base)
+        return judged(rule, hits == distinct, observed_num=distinct, **base)
     if rule.judge == "distinct_contains":
-        return verdict(rule, hits == size, observed_num=distinct, **base)
+        return judged(rule, hits == size, observed_num=distinct, **base)
     if rule.judge == "distinct_equals":
-        return verdict(rule, (hits == distinct) & (hits == size), observed_num=distinct, **base)
+        return judged(rule, (hits == distinct) & (hits == size), observed_num=distinct, **base)
     if rule.judge == "most_common":
         modes, good = F.col("modes"), F.col(f"{mark}_modes")
         success = good > 0 if rule.ties_okay else (modes == 1) & (good == 1)
-        return verdict(rule, success, observed_text=F.col("mode"), **base)
+        return judged(rule, success, observed_text=F.col("mode"), **base)
     if rule.judge == "unique_proportion":
         share = F.try_divide(distinct.cast("double"), total)
-        return verdict(rule, C.in_range(share, T.DoubleType(), rule.low, rule.high), observed_num=share, **base)
+        return judged(rule, C.in_range(share, T.DoubleType(), rule.low, rule.high), observed_num=share, **base)
     if rule.judge == "unique_count":
-        return verdict(rule, C.in_range(distinct, T.LongType(), rule.low, rule.high), observed_num=distinct, **base)
+        return judged(rule, C.in_range(distinct, T.LongType(), rule.low, rule.high), observed_num=distinct, **base)
     if rule.judge == "unique":
-        return counted(rule, elements, missing, F.col("repeated"), rule.mostly)
+        return counted(rule, rule.mostly, elements, missing, F.col("repeated"))
     if rule.judge == "rows_in_set":
-        return counted(rule, elements, missing, total - F.col(f"{mark}_rows"), rule.mostly)
+        return counted(rule, rule.mostly, elements, missing, total - F.col(f"{mark}_rows"))
     if rule.judge == "rows_not_in_set":
-        return counted(rule, elements, missing, F.col(f"{mark}_rows"), rule.mostly)
+        return counted(rule, rule.mostly, elements, missing, F.col(f"{mark}_rows"))
     if rule.judge == "kl":
         # sum p ln(p/q) with p = n/total; undefined as soon as one value had no expected weight
         divergence = F.when(
             (F.col(f"{mark}_unseen") == 0) & (total > 0),
             F.try_divide(F.col(f"{mark}_s"), total.cast("double")) - F.ln(total.cast("double")),
         )
-        return verdict(rule, divergence < F.lit(float(rule.high)), observed_num=divergence, **base)
+        return judged(rule, divergence < F.lit(float(rule.high)), observed_num=divergence, **base)
     raise ValueError(f"unknown judge {rule.judge!r}")

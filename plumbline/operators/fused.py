@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
-from plumbline.operators.verdict import counted, rows, verdict
+from plumbline.operators.verdict import counted, judged, rows
 from plumbline.rules import AggregateRule, QuantileRule, Rule, RowRule
 
 # percentile_approx keeps a rank error of at most 1/accuracy of the rows
@@ -68,22 +68,22 @@ def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:
     return total - aggs.add(("present", name), lambda: F.count(C.column(name)))
 
 
-def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> Column:
+def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
     kept, failed = evaluated_and_failed(rule, schema)
     bad = aggs.add(("failed", i), lambda: F.count_if(failed))
     if rule.subject_is_null:
-        return counted(rule, total, F.lit(0), bad, rule.mostly, missing_count=_nulls(rule.columns[0], aggs, total))
+        return counted(rule, rule.mostly, total, F.lit(0), bad, missing=_nulls(rule.columns[0], aggs, total))
     if rule.ignore_row_if == "never":
-        return counted(rule, total, F.lit(0), bad, rule.mostly)
+        return counted(rule, rule.mostly, total, F.lit(0), bad)
     if len(rule.columns) == 1:
-        return counted(rule, total, _nulls(rule.columns[0], aggs, total), bad, rule.mostly)
+        return counted(rule, rule.mostly, total, _nulls(rule.columns[0], aggs, total), bad)
     seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: F.count_if(kept))
-    return counted(rule, total, total - seen, bad, rule.mostly)
+    return counted(rule, rule.mostly, total, total - seen, bad)
 
 
-def _aggregate_verdict(rule: AggregateRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> Column:
+def _aggregate_verdict(rule: AggregateRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
     if rule.measure is None:
-        return verdict(rule, C.in_range(total, T.LongType(), rule.low, rule.high), element_count=total,
+        return judged(rule, C.in_range(total, T.LongType(), rule.low, rule.high), element_count=total,
                        observed_num=total)
     name, dtype = rule.columns[0], schema[rule.columns[0]].dataType
     measured = rule.measure(C.column(name), dtype)
@@ -95,12 +95,12 @@ def _aggregate_verdict(rule: AggregateRule, i: int, schema: T.StructType, aggs:
         seen_type = T.DoubleType() if not isinstance(dtype, T.DecimalType) else dtype
     success = C.in_range(seen, seen_type, rule.low, rule.high)
     shown = {"observed_num": seen} if not own_type or C.is_numeric(dtype) else {"observed_text": seen}
-    return verdict(rule, success, element_count=total, missing_count=_nulls(name, aggs, total), **shown)
+    return judged(rule, success, element_count=total, missing_count=_nulls(name, aggs, total), **shown)
 
 
 def _quantile_verdict(
     rule: QuantileRule, schema: T.StructType, aggs: _Aggregates, total: Column, probabilities: list[float]
-) -> Column:
+) -> dict:
     name = rule.columns[0]
     found = aggs.add(
         ("quantiles", name),
@@ -110,8 +110,8 @@ def _quantile_verdict(
     success = F.lit(True)
     for value, (low, high) in zip(values, rule.ranges):
         success = success & value.isNotNull() & C.in_range(value, T.DoubleType(), low, high)
-    return verdict(
+    return judged(
         rule, success, element_count=total, missing_count=_nulls(name, aggs, total),
-        observed_num=values[0] if len(values) == 1 else F.lit(None),
+        **({"observed_num": values[0]} if len(values) == 1 else {}),
         observed_text=F.concat_ws(",", *[v.cast("string") for v in values]),
     )

@@ -97,7 +97,8 @@ def _ordered(i: int) -> Column:
 
 
 def _grid(v: Column) -> Column:
-    return F.percentile_approx(v, [g / GRID for g in range(GRID + 1)], ACCURACY)
+    steps = F.expr("array(" + ", ".join(f"{g / GRID}D" for g in range(GRID + 1)) + ")")
+    return F.percentile_approx(v, steps, ACCURACY)
 
 
 def _first_pass(pruned: DataFrame, n: int):
@@ -195,7 +196,7 @@ def _rank(pruned: DataFrame, searches: _Searches) -> dict[int, dict[int, float]]
         # odd regions are brackets, even ones the gaps between them
         region = F.lit(0)
         value = F.lit(None).cast("double")
-        for s, (low, high) in enumerate(spans):
+        for s, (low, high) in enumerate(spans):  # in ascending order
             region = F.when(v > high, 2 * s + 2).when(v >= low, 2 * s + 1).otherwise(region)
             value = F.when((v >= low) & (v <= high), v).otherwise(value)
         counts = (

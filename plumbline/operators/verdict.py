@@ -24,39 +24,81 @@ FIELDS = {
 }
 SCHEMA = ", ".join(f"{name} {dtype}" for name, dtype in FIELDS.items())
 
+# What a check hands over; success and percentage of counting checks follow from it in ``rows``.
+_EVIDENCE = {
+    "check_id": "string",
+    "kind": "string",
+    "columns": "string",
+    "passed": "boolean",  # judged by the check itself
+    "mostly": "double",  # or by the share of good rows among the evaluated ones
+    "element_count": "bigint",
+    "missing_count": "bigint",
+    "ignored": "bigint",  # rows the check did not evaluate
+    "unexpected_count": "bigint",
+    "observed_num": "double",
+    "observed_text": "string",
+}
+
 
-def verdict(rule: Rule, success: Column, **evidence: Column) -> Column:
-    """Struct for one check. ``success`` is never null: no evidence is not a pass."""
-    values = {
+def judged(rule: Rule, passed: Column, **evidence: Column) -> dict[str, Column]:
+    """Outcome of a check that decides by itself; null means no evidence, which is not a pass."""
+    return _outcome(rule, passed=passed, **evidence)
+
+
+def counted(
+    rule: Rule, mostly: float, elements: Column, ignored: Column, unexpected: Column, missing: Column | None = None
+) -> dict[str, Column]:
+    """Outcome of a check that counts unexpected rows among the evaluated ones."""
+    return _outcome(
+        rule, mostly=F.lit(mostly), element_count=elements, ignored=ignored, unexpected_count=unexpected,
+        missing_count=ignored if missing is None else missing,
+    )
+
+
+def _outcome(rule: Rule, **evidence: Column) -> dict[str, Column]:
+    return {
         "check_id": F.lit(rule.check_id),
         "kind": F.lit(rule.kind),
         "columns": F.lit(",".join(rule.columns)),
-        "success": F.coalesce(success, F.lit(False)),
         **evidence,
     }
-    return F.struct(
-        *[values.get(name, F.lit(None)).cast(dtype).alias(name) for name, dtype in FIELDS.items()]
-    )
 
 
-def counted(rule: Rule, elements: Column, missing: Column, unexpected: Column, mostly: float, **more: Column) -> Column:
-    """Verdict of a check that counts unexpected rows among the evaluated ones."""
-    evaluated = elements - missing
-    success = (evaluated == 0) | (F.try_divide((evaluated - unexpected).cast("double"), evaluated) >= F.lit(mostly))
-    percent = F.when(evaluated == 0, F.lit(0.0)).otherwise(
-        F.try_divide(F.lit(100.0) * unexpected, evaluated.cast("double"))
-    )
-    return verdict(
-        rule, success, element_count=elements, missing_count=more.pop("missing_count", missing),
-        unexpected_count=unexpected, unexpected_percent=percent, **more,
+def rows(frame: DataFrame, outcomes: Iterable[dict[str, Column]]) -> DataFrame:
+    """One-row frame of aggregates -> one verdict row per outcome."""
+    # only what differs between checks is spelt out per check; the arithmetic is written once, below
+    nothing = {dtype: F.lit(None).cast(dtype) for dtype in set(_EVIDENCE.values())}
+    casts = {"observed_num", "observed_text", "ignored", "element_count", "missing_count", "unexpected_count"}
+    structs = [
+        F.struct(
+            *[
+                nothing[dtype] if name not in outcome
+                else outcome[name].cast(dtype) if name in casts
+                else outcome[name]
+                for name, dtype in _EVIDENCE.items()
+            ]
+        )
+        for outcome in outcomes
+    ]
+    evidence = frame.select(F.inline(F.array(*structs))).toDF(*_EVIDENCE)
+    evaluated = "(element_count - ignored)"
+    return evidence.selectExpr(
+        "check_id",
+        "kind",
+        "columns",
+        "coalesce(if(mostly IS NULL, passed, "
+        f"{evaluated} = 0 OR (element_count - ignored - unexpected_count) / double({evaluated}) >= mostly), false)"
+        " AS success",
+        "element_count",
+        "missing_count",
+        "unexpected_count",
+        f"if(mostly IS NULL, NULL, if({evaluated} = 0, 0D, 100D * unexpected_count / double({evaluated})))"
+        " AS unexpected_percent",
+        "observed_num",
+        "observed_text",
     )
 
 
-def rows(frame: DataFrame, verdicts: Iterable[Column]) -> DataFrame:
-    """One-row frame of aggregates -> one row per verdict."""
-    return frame.select(F.inline(F.array(*verdicts)))
-
-
 def local_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """Verdicts already known on the driver (a handful of rows, one per rule)."""
     return spark.createDataFrame([tuple(r.get(name) for name in FIELDS) for r in records], SCHEMA)
