@@ -6,7 +6,7 @@ Each task reads its split once, keeps one buffer row, and one row per task is sh
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,10 @@ def evaluated_and_failed(rule: RowRule, schema: T.StructType) -> tuple[Column, C
     return kept, kept & ~F.coalesce(holds, F.lit(False))
 
 
+# evidence of one check, or how to make it once the aggregates' types are known
+Outcome = dict[str, Column] | Callable[[T.StructType], dict[str, Column]]
+
+
 class _Aggregates:
     """Collects aggregate columns, each once, under short names."""
 
@@ -60,8 +64,9 @@ def fused_verdicts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         elif isinstance(rule, QuantileRule):
             out.append(_quantile_verdict(rule, schema, aggs, total, wanted[rule.columns[0]]))
         else:
-            out.append(_aggregate_verdict(rule, i, schema, aggs, total))
-    return rows(df.agg(*aggs.columns()), out)
+            out.append(_aggregate_verdict(rule, schema, aggs, total))
+    seen = df.agg(*aggs.columns())
+    return rows(seen, [outcome(seen.schema) if callable(outcome) else outcome for outcome in out])
 
 
 def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:
@@ -81,21 +86,21 @@ def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates,
     return counted(rule, rule.mostly, total, total - seen, bad)
 
 
-def _aggregate_verdict(rule: AggregateRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
+def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggregates, total: Column) -> Outcome:
     if rule.measure is None:
-        return judged(rule, C.in_range(total, T.LongType(), rule.low, rule.high), element_count=total,
-                       observed_num=total)
+        passed = C.in_range(total, T.LongType(), rule.low, rule.high)
+        return judged(rule, passed, element_count=total, observed_num=total)
     name, dtype = rule.columns[0], schema[rule.columns[0]].dataType
-    measured = rule.measure(C.column(name), dtype)
-    seen = aggs.add((rule.kind, name), lambda: measured)
-    # max and min keep the column's type; every other aggregate is a number
-    own_type = "_max_" in rule.kind or "_min_" in rule.kind
-    seen_type = dtype if own_type else T.DoubleType() if C.is_float(dtype) else T.LongType()
-    if rule.kind in ("expect_column_mean_to_be_between", "expect_column_stdev_to_be_between"):
-        seen_type = T.DoubleType() if not isinstance(dtype, T.DecimalType) else dtype
-    success = C.in_range(seen, seen_type, rule.low, rule.high)
-    shown = {"observed_num": seen} if not own_type or C.is_numeric(dtype) else {"observed_text": seen}
-    return judged(rule, success, element_count=total, missing_count=_nulls(name, aggs, total), **shown)
+    seen = aggs.add((rule.kind, name), lambda: rule.measure(C.column(name), dtype))
+    nulls = _nulls(name, aggs, total)
+
+    def finish(types: T.StructType) -> dict:
+        seen_type = types[aggs.order[rule.kind, name]].dataType
+        shown = "observed_num" if C.is_numeric(seen_type) else "observed_text"
+        passed = C.in_range(seen, seen_type, rule.low, rule.high)
+        return judged(rule, passed, element_count=total, missing_count=nulls, **{shown: seen})
+
+    return finish
 
 
 def _quantile_verdict(

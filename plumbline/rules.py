@@ -86,7 +86,6 @@ class FrequencyRule(Rule):
     high: float | None = None
     mostly: float = 1.0
     ties_okay: bool = False
-    approx: bool = False
     ignore_row_if: str = "all_values_are_missing"
 
     def misfit(self, dtypes: Sequence[T.DataType]) -> str | None:
@@ -371,8 +370,10 @@ def expect_select_column_values_to_be_unique_within_record(
 
 
 def _aggregate(kind: str, column: str, low: object, high: object, check_id: str | None, measure, numeric=True):
+    """``numeric=False``: the aggregate keeps the column's type, so the bounds must fit that type."""
+    bounds = _bounds(low, high)
     return AggregateRule(
-        kind=kind, columns=_columns(column), check_id=check_id, literals=_bounds(low, high), numeric=numeric,
+        kind=kind, columns=_columns(column), check_id=check_id, literals=() if numeric else bounds, numeric=numeric,
         measure=measure, low=low, high=high,
     )
 
@@ -504,10 +505,12 @@ def expect_column_unique_value_count_to_be_between(
 ) -> Rule:
     """Number of distinct values. ``approx`` trades exactness for a sketch inside the fused pass."""
     kind = "expect_column_unique_value_count_to_be_between"
-    if approx:
-        return _aggregate(kind, column, min_value, max_value, check_id,
-                          lambda c, t: F.approx_count_distinct(c), numeric=False)
     _bounds(min_value, max_value)
+    if approx:
+        return AggregateRule(
+            kind=kind, columns=_columns(column), check_id=check_id, low=min_value, high=max_value,
+            measure=lambda c, t: F.approx_count_distinct(c),
+        )
     return FrequencyRule(
         kind=kind, judge="unique_count", columns=_columns(column), check_id=check_id, low=min_value, high=max_value
     )

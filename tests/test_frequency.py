@@ -1,0 +1,155 @@
+"""Distinct values, frequencies, uniqueness, keys and divergence."""
+
+import math
+
+import pytest
+
+import plumbline as pl
+from tests.helpers import counts, one, run
+
+WORDS = "c string"
+
+
+def words(spark, values):
+    return spark.createDataFrame([(v,) for v in values], WORDS)
+
+
+IN, HAS, SAME = (
+    pl.expect_column_distinct_values_to_be_in_set,
+    pl.expect_column_distinct_values_to_contain_set,
+    pl.expect_column_distinct_values_to_equal_set,
+)
+
+
+@pytest.mark.parametrize(
+    "values, wanted, subset, superset, equal",
+    [
+        (["a", "b", "a"], ["a", "b"], True, True, True),
+        (["a", "b", None], ["a", "b", "c"], True, False, False),
+        (["a", "b", "c"], ["a", "b"], False, True, False),
+        (["a", "x"], ["a", "b"], False, False, False),
+        ([], ["a"], True, False, False),
+        ([None, None], ["a"], True, False, False),
+        ([], [], True, True, True),
+        (["a"], [], False, True, False),
+    ],
+)
+def test_distinct_sets(spark, values, wanted, subset, superset, equal):
+    rows = run(words(spark, values), IN("c", wanted), HAS("c", wanted), SAME("c", wanted))
+    assert [r.success for r in rows] == [subset, superset, equal]
+    assert rows[0].observed_num == len(set(values) - {None})
+
+
+def test_large_distinct_set(spark):
+    df = spark.range(3000).selectExpr("id % 1500 AS c")
+    rows = run(
+        df, IN("c", range(1500)), HAS("c", range(1500)), SAME("c", range(1500)), SAME("c", range(1501)),
+        IN("c", range(1, 1600)),
+    )
+    assert [r.success for r in rows] == [True, True, True, False, False]
+
+
+def test_uniqueness_counts_every_copy(spark):
+    df = words(spark, ["a", "a", "b", None, None])
+    row = one(df, pl.expect_column_values_to_be_unique("c"))
+    assert not row.success and counts(row) == (5, 2, 2)
+    assert one(df, pl.expect_column_values_to_be_unique("c", mostly=0.3)).success
+    assert one(words(spark, ["a", "b", None, None]), pl.expect_column_values_to_be_unique("c")).success
+    for values in ([], [None, None]):
+        assert one(words(spark, values), pl.expect_column_values_to_be_unique("c")).success
+
+
+def test_zero_and_nan_are_single_values(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (math.nan,), (math.nan,)], "c double")
+    row = one(df, pl.expect_column_unique_value_count_to_be_between("c", 2, 2))
+    assert row.success and row.observed_num == 2
+
+
+def test_unique_share_and_number(spark):
+    df = words(spark, ["a", "a", "b", "c", None])
+    share, low, number, high = run(
+        df,
+        pl.expect_column_proportion_of_unique_values_to_be_between("c", 0.75, 0.75),
+        pl.expect_column_proportion_of_unique_values_to_be_between("c", 0.8, 1),
+        pl.expect_column_unique_value_count_to_be_between("c", 3, 3),
+        pl.expect_column_unique_value_count_to_be_between("c", 4, None),
+    )
+    assert share.success and not low.success and number.success and not high.success
+    assert share.observed_num == 0.75
+    assert not one(words(spark, []), pl.expect_column_proportion_of_unique_values_to_be_between("c", 0, 1)).success
+    approx = one(df, pl.expect_column_unique_value_count_to_be_between("c", 3, 3, approx=True))
+    assert approx.success
+
+
+def test_compound_key_groups_nulls(spark):
+    key = pl.expect_compound_columns_to_be_unique
+    df = spark.createDataFrame([(1, None), (1, None), (1, 2), (None, None), (None, None)], "a int, b int")
+    assert counts(one(df, key(["a", "b"]))) == (5, 2, 2)
+    assert counts(one(df, key(["a", "b"], ignore_row_if="any_value_is_missing"))) == (5, 4, 0)
+    assert counts(one(df, key(["a", "b"], ignore_row_if="never"))) == (5, 0, 4)
+    assert one(spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "a int, b int"), key(["a", "b"])).success
+    assert one(spark.createDataFrame([], "a int, b int"), key(["a", "b"])).success
+
+
+def test_most_common_value(spark):
+    mode = pl.expect_column_most_common_value_to_be_in_set
+    clear = words(spark, ["a", "b", "b", None, None, None])
+    good, bad = run(clear, mode("c", ["b"]), mode("c", ["a"]))
+    assert good.success and not bad.success and good.observed_text == "b"
+    tie = words(spark, ["b", "a", "b", "a", "c"])
+    rows = run(
+        tie, mode("c", ["a", "b"]), mode("c", ["a"], ties_okay=True), mode("c", ["c"], ties_okay=True),
+    )
+    assert [r.success for r in rows] == [False, True, False] and rows[0].observed_text == "a"
+    for values in ([], [None]):
+        assert not one(words(spark, values), mode("c", ["a"], ties_okay=True)).success
+
+
+def test_divergence(spark):
+    kl = pl.expect_column_kl_divergence_to_be_less_than
+    observed = ["A"] * 2 + ["B"] * 3 + ["C"] * 5
+    weights = {"values": ["A", "B", "C"], "weights": [0.3, 0.3, 0.4]}
+    want = 0.2 * math.log(0.2 / 0.3) + 0.3 * math.log(1) + 0.5 * math.log(0.5 / 0.4)
+    row = one(words(spark, observed), kl("c", weights, threshold=0.5))
+    assert row.success and row.observed_num == pytest.approx(want)
+    # the threshold itself is not enough, an expected value may be absent, nulls do not count
+    assert not one(words(spark, observed), kl("c", weights, threshold=row.observed_num)).success
+    absent = one(words(spark, ["A", "A", None]), kl("c", weights, threshold=2))
+    assert absent.success and absent.observed_num == pytest.approx(math.log(1 / 0.3))
+    for values in (["A", "B", "D"], [], [None]):
+        row = one(words(spark, values), kl("c", weights, threshold=100))
+        assert not row.success and row.observed_num is None
+    zero = one(words(spark, ["A", "B"]), kl("c", {"values": ["A", "B"], "weights": [1.0, 0.0]}, threshold=100))
+    assert not zero.success and zero.observed_num is None
+
+
+def test_numeric_weights_and_dates(spark):
+    kl = pl.expect_column_kl_divergence_to_be_less_than
+    ints = spark.createDataFrame([(1,), (2,)], "c int")
+    assert one(ints, kl("c", {"values": [1, 2], "weights": [0.5, 0.5]}, 0.1)).observed_num == pytest.approx(0)
+    dates = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01'), (DATE'2024-01-02') AS t(c)")
+    assert one(dates, kl("c", {"values": ["2024-01-01", "2024-01-02"], "weights": [0.5, 0.5]}, 0.1)).success
+    assert one(dates, SAME("c", ["2024-01-01", "2024-01-02"])).success
+    decimals = spark.sql("SELECT CAST(x AS DECIMAL(5,1)) AS c FROM VALUES (1.5), (2.5) AS t(x)")
+    assert one(decimals, kl("c", {"values": [1.5, 2.5], "weights": [0.5, 0.5]}, 0.1)).success
+
+
+def test_algebra(spark):
+    """equal = in and contains; unique = proportion of one; large and small partitionings agree."""
+    frames = [
+        spark.range(200).selectExpr(f"CAST((id * {k}) % {m} AS STRING) AS c") for k, m in [(1, 200), (3, 50), (7, 4)]
+    ]
+    wanted = [str(i) for i in range(50)]
+    rules = [IN("c", wanted, check_id="in"), HAS("c", wanted, check_id="has"), SAME("c", wanted, check_id="same"),
+             pl.expect_column_values_to_be_unique("c", check_id="unique"),
+             pl.expect_column_proportion_of_unique_values_to_be_between("c", 1, 1, check_id="all"),
+             pl.expect_column_most_common_value_to_be_in_set("c", wanted, check_id="mode")]
+    for df in frames:
+        seen = {r.check_id: r for r in run(df, *rules)}
+        assert seen["same"].success == (seen["in"].success and seen["has"].success)
+        assert seen["unique"].success == seen["all"].success
+        for n in (1, 7):
+            assert {r.check_id: r for r in run(df.repartition(n), *rules)} == seen
+        for rule in rules:
+            alone = one(df, rule)
+            assert alone == seen[rule.check_id]
