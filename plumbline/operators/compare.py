@@ -45,10 +45,10 @@ def compare_keys(
 ) -> DataFrame:
     """Two verdicts: every key of each table also occurs in the other. Counts are of distinct keys."""
     keys = _tagged(left, right, on, right_on).agg(
-        F.count_if(F.col("l") > 0).alias("in_left"),
-        F.count_if(F.col("r") > 0).alias("in_right"),
-        F.count_if(F.col("r") == 0).alias("only_left"),
-        F.count_if(F.col("l") == 0).alias("only_right"),
+        C.count_where(F.col("l") > 0).alias("in_left"),
+        C.count_where(F.col("r") > 0).alias("in_right"),
+        C.count_where(F.col("r") == 0).alias("only_left"),
+        C.count_where(F.col("l") == 0).alias("only_right"),
     )
     out = []
     for side, size, lone in (("right", "in_left", "only_left"), ("left", "in_right", "only_right")):

@@ -90,7 +90,7 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
     n, lost = F.col("n"), C.missing(keys, policy)
     kept = ~lost
     # values with the same count are alike from here on: one row per count
-    by_count = [F.count_if(kept).alias("k"), F.count_if(lost).alias("lost")]
+    by_count = [C.count_where(kept).alias("k"), C.count_where(lost).alias("lost")]
     # a minimum of text cannot live in a hash aggregate's buffer, so ask for it only if it is shown
     with_mode = any(rule.judge == "most_common" for rule in rules)
     if with_mode:
@@ -98,11 +98,11 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
     for rule in rules:
         mark = marks.get(rule.check_id)
         if mark:
-            by_count.append(F.count_if(kept & F.col(mark).isNotNull()).alias(f"{mark}_h"))
+            by_count.append(C.count_where(kept & F.col(mark).isNotNull()).alias(f"{mark}_h"))
         if rule.judge == "kl":
             q = F.col(mark)
             by_count += [
-                F.count_if(kept & (q.isNull() | (q <= 0))).alias(f"{mark}_unseen"),
+                C.count_where(kept & (q.isNull() | (q <= 0))).alias(f"{mark}_unseen"),
                 F.sum(F.when(kept & (q > 0), n * F.ln(F.try_divide(n.cast("double"), q)))).alias(f"{mark}_s"),
             ]
     counts = freq.groupBy("n").agg(*by_count)

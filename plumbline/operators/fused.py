@@ -1,12 +1,17 @@
 """Row predicates, plain aggregates and approximate quantiles: one scan, one aggregate.
 
-However many such rules a suite holds, they become columns of a single global aggregate.
-Each task reads its split once, keeps one buffer row, and one row per task is shuffled.
+The rules become columns of a single global aggregate. Each task reads its split once, keeps
+one buffer row, and one row per task is shuffled.
+
+Spark stops compiling an operator of more than 100 fields (``spark.sql.codegen.maxFields``),
+which costs more than a second pass. So a very long list of rules is sorted by column and cut
+into aggregates below that width; each reads its own columns, so little is read twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +23,18 @@ from plumbline.rules import AggregateRule, QuantileRule, Rule, RowRule
 
 # percentile_approx keeps a rank error of at most 1/accuracy of the rows
 APPROX_ACCURACY = 10_000
+# safely below spark.sql.codegen.maxFields
+BUFFER_FIELDS = 90
 
 
 def evaluated_and_failed(rule: RowRule, schema: T.StructType) -> tuple[Column, Column]:
-    """Which rows a row rule looks at, and which of those break it."""
+    """Which rows a row rule looks at, and which of those break it (true there; false or null elsewhere)."""
     cols = [C.column(name) for name in rule.columns]
     kept = ~C.missing(cols, rule.ignore_row_if)
     holds = rule.holds(cols, [schema[name].dataType for name in rule.columns])
+    if len(cols) == 1 and not rule.subject_is_null:
+        # one column: the predicate is null exactly where the row is not evaluated
+        return kept, ~holds
     return kept, kept & ~F.coalesce(holds, F.lit(False))
 
 
@@ -50,6 +60,29 @@ class _Aggregates:
 
 
 def fused_verdicts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    parts = [_one_aggregate(df, pack) for pack in packs(rules)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def packs(rules: Sequence[Rule], limit: int = BUFFER_FIELDS) -> list[list[Rule]]:
+    """All rules together if one aggregate can hold them; else by column, as many as fit."""
+    if _width(rules) <= limit:
+        return [list(rules)]
+    out: list[list[Rule]] = [[]]
+    for rule in sorted(rules, key=lambda r: r.columns):
+        if out[-1] and _width([*out[-1], rule]) > limit:
+            out.append([])
+        out[-1].append(rule)
+    return out
+
+
+def _width(rules: Sequence[Rule]) -> int:
+    """Buffer fields: the row count, one count per column set, and each rule's own."""
+    own = sum(3 if isinstance(r, AggregateRule) and r.measure else 1 for r in rules)
+    return 1 + len({r.columns for r in rules}) + own
+
+
+def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     schema, aggs = df.schema, _Aggregates()
     total = aggs.add("rows", lambda: F.count(F.lit(1)))
     # one percentile_approx per column, with the probabilities of all its rules
@@ -75,14 +108,14 @@ def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:
 
 def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
     kept, failed = evaluated_and_failed(rule, schema)
-    bad = aggs.add(("failed", i), lambda: F.count_if(failed))
+    bad = aggs.add(("failed", i), lambda: C.count_where(failed))
     if rule.subject_is_null:
         return counted(rule, rule.mostly, total, F.lit(0), bad, missing=_nulls(rule.columns[0], aggs, total))
     if rule.ignore_row_if == "never":
         return counted(rule, rule.mostly, total, F.lit(0), bad)
     if len(rule.columns) == 1:
         return counted(rule, rule.mostly, total, _nulls(rule.columns[0], aggs, total), bad)
-    seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: F.count_if(kept))
+    seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept))
     return counted(rule, rule.mostly, total, total - seen, bad)
 
 

@@ -106,7 +106,7 @@ def _first_pass(pruned: DataFrame, n: int):
     for i in range(n):
         aggs += [
             F.count(f"v{i}").alias(f"n{i}"),
-            F.count_if(F.isnan(f"v{i}")).alias(f"nan{i}"),
+            C.count_where(F.isnan(f"v{i}")).alias(f"nan{i}"),
             _grid(_ordered(i)).alias(f"g{i}"),
         ]
     return pruned.agg(*aggs).first()
@@ -164,9 +164,9 @@ def _narrow(pruned: DataFrame, searches: _Searches, slack: int) -> _Searches:
         for j, b in enumerate(brackets):
             between = (v > b.low) & (v < b.high)
             aggs += [
-                F.count_if(v < b.low).alias(f"below{i}_{j}"),
-                F.count_if(v == b.low).alias(f"low{i}_{j}"),
-                F.count_if(between).alias(f"open{i}_{j}"),
+                C.count_where(v < b.low).alias(f"below{i}_{j}"),
+                C.count_where(v == b.low).alias(f"low{i}_{j}"),
+                C.count_where(between).alias(f"open{i}_{j}"),
                 _grid(F.when(between, v)).alias(f"g{i}_{j}"),
             ]
     seen = pruned.agg(*aggs).first()

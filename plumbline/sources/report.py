@@ -10,7 +10,7 @@ from plumbline.functions import columns as C
 
 def statistics(verdicts: DataFrame) -> DataFrame:
     """One row: how many checks were evaluated, how many passed, and the percentage."""
-    n, good = F.count(F.lit(1)), F.count_if(F.col("success"))
+    n, good = F.count(F.lit(1)), C.count_where(F.col("success"))
     return verdicts.agg(
         n.alias("evaluated_expectations"),
         good.alias("successful_expectations"),
@@ -41,7 +41,7 @@ def report(verdicts: DataFrame) -> DataFrame:
     n, good = F.col("evaluated"), F.col("successful")
     return verdicts.agg(
         F.count(F.lit(1)).alias("evaluated"),
-        F.count_if(F.col("success")).alias("successful"),
+        C.count_where(F.col("success")).alias("successful"),
         F.sort_array(F.collect_list(result)).alias("results"),
     ).select(
         (n == good).alias("success"),

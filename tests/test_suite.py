@@ -302,6 +302,19 @@ def test_fused_rules_share_one_scan_and_one_exchange(lines):
     assert "ReadSchema: struct<l_quantity:double,l_tax:double,l_returnflag:string>" in plan
 
 
+def test_very_long_suites_stay_compiled_and_read_no_column_twice(lines):
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rules = [pl.expect_column_values_to_be_between(columns[i % 4], 0, 10 * i + 10) for i in range(160)]
+    verdicts = pl.Suite(rules).verdicts(lines)
+    plan = plan_of(verdicts)
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 2
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double>" not in plan
+    found = {r.check_id: r for r in verdicts.collect()}
+    assert len(found) == 160
+    alone = one(lines, rules[0])
+    assert found[alone.check_id] == alone and alone.unexpected_count > 0
+
+
 def test_checks_of_a_column_share_its_frequency_table(lines):
     suite = pl.Suite(
         [
