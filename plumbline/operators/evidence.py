@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
+from plumbline.functions.local import local_frame
 from plumbline.operators.frequency import frequency_table, key_names, with_members
 from plumbline.operators.fused import evaluated_and_failed
 from plumbline.rules import FrequencyRule, RowRule, Rule
@@ -25,7 +26,7 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int = TOP) -> Data
     parts = [_row_offenders(df, row_rules)] if row_rules else []
     parts += [p for r in rules if isinstance(r, FrequencyRule) for p in _frequency_offenders(df, r)]
     if not parts:
-        return df.sparkSession.createDataFrame([], "check_id string, value string, n bigint")
+        return local_frame(df.sparkSession, {"check_id": "string", "value": "string", "n": "bigint"}, [])
     offenders = parts[0]
     for part in parts[1:]:
         offenders = offenders.unionByName(part)

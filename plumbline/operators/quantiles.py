@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
+from plumbline.functions.local import local_frame
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import QuantileRule
 
@@ -267,6 +268,5 @@ def _inside(value: float | None, low: float | None, high: float | None) -> bool:
 def quantile_table(df: DataFrame, name: str, probabilities: Sequence[float]) -> DataFrame:
     """(quantile, value) rows: the exact quantiles of one column."""
     answer = exact_quantiles(df, {name: probabilities})[name]
-    return df.sparkSession.createDataFrame(
-        [(float(p), answer.values[p]) for p in probabilities], "quantile double, value double"
-    )
+    rows = [(float(p), answer.values[p]) for p in probabilities]
+    return local_frame(df.sparkSession, {"quantile": "double", "value": "double"}, rows)

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
+from plumbline.functions.local import local_frame
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import SchemaRule
 
-_COLUMNS = "table_name string, position bigint, column_name string, column_type string"
+_COLUMNS = {"table_name": "string", "position": "bigint", "column_name": "string", "column_type": "string"}
 
 
 def schema_verdicts(df: DataFrame, rules: Sequence[SchemaRule]) -> DataFrame:
@@ -28,13 +29,14 @@ def schema_verdicts(df: DataFrame, rules: Sequence[SchemaRule]) -> DataFrame:
 def observed_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, position, column_name, column_type) of any number of tables."""
     some = next(iter(tables.values()))
-    return some.sparkSession.createDataFrame(
+    return local_frame(
+        some.sparkSession,
+        _COLUMNS,
         [
             (table, i, field.name, C.type_name(field.dataType))
             for table, df in tables.items()
             for i, field in enumerate(df.schema.fields, start=1)
         ],
-        _COLUMNS,
     )
 
 
@@ -44,9 +46,10 @@ def schema_drift(tables: Mapping[str, DataFrame], contract: Mapping[str, Sequenc
     ``drift`` is ``missing``, ``extra``, ``retyped`` or ``moved``.
     """
     spark = next(iter(tables.values())).sparkSession
-    expected = spark.createDataFrame(
-        [(t, i, name, dtype) for t, cols in contract.items() for i, (name, dtype) in enumerate(cols, start=1)],
+    expected = local_frame(
+        spark,
         _COLUMNS,
+        [(t, i, name, dtype) for t, cols in contract.items() for i, (name, dtype) in enumerate(cols, start=1)],
     )
     seen = observed_columns(tables).select(
         "table_name", "column_name", F.col("position").alias("observed_position"),

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.local import local_frame
 from plumbline.rules import Rule
 
 # field -> type; every operator emits exactly these, so verdicts of any origin can be unioned
@@ -22,7 +23,6 @@ FIELDS = {
     "observed_num": "double",
     "observed_text": "string",
 }
-SCHEMA = ", ".join(f"{name} {dtype}" for name, dtype in FIELDS.items())
 
 # What a check hands over; success and percentage of counting checks follow from it in ``rows``.
 _EVIDENCE = {
@@ -101,4 +101,4 @@ def rows(frame: DataFrame, outcomes: Iterable[dict[str, Column]]) -> DataFrame:
 
 def local_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """Verdicts already known on the driver (a handful of rows, one per rule)."""
-    return spark.createDataFrame([tuple(r.get(name) for name in FIELDS) for r in records], SCHEMA)
+    return local_frame(spark, FIELDS, [[r.get(name) for name in FIELDS] for r in records])

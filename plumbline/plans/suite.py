@@ -21,6 +21,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.local import local_frame
 from plumbline.operators.constraints import constraint_verdict
 from plumbline.operators.evidence import TOP, failing_values
 from plumbline.operators.frequency import frequency_verdicts
@@ -46,13 +47,14 @@ class Suite:
     def skipped(self, df: DataFrame) -> DataFrame:
         """(check_id, kind, missing_columns) of the rules left out because a column is absent."""
         run = {r.check_id for r in self.applicable(df)}
-        return df.sparkSession.createDataFrame(
+        return local_frame(
+            df.sparkSession,
+            {"check_id": "string", "kind": "string", "missing_columns": "string"},
             [
                 (r.check_id, r.kind, ",".join(c for c in r.columns if c not in df.columns))
                 for r in self.rules
                 if r.check_id not in run
             ],
-            "check_id string, kind string, missing_columns string",
         )
 
     def verdicts(self, df: DataFrame, stage: bool = False) -> DataFrame:
