@@ -1,4 +1,4 @@
-"""Row predicates, plain aggregates and approximate quantiles: one scan, one aggregate.
+"""Row predicates and plain aggregates: one scan, one aggregate.
 
 The rules become columns of a single global aggregate. Each task reads its split once, keeps
 one buffer row, and one row per task is shuffled.
@@ -19,10 +19,8 @@ from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 from plumbline.operators.verdict import counted, judged, rows
-from plumbline.rules import AggregateRule, QuantileRule, Rule, RowRule
+from plumbline.rules import AggregateRule, Rule, RowRule
 
-# percentile_approx keeps a rank error of at most 1/accuracy of the rows
-APPROX_ACCURACY = 10_000
 # safely below spark.sql.codegen.maxFields
 BUFFER_FIELDS = 90
 
@@ -85,17 +83,10 @@ def _width(rules: Sequence[Rule]) -> int:
 def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     schema, aggs = df.schema, _Aggregates()
     total = aggs.add("rows", lambda: F.count(F.lit(1)))
-    # one percentile_approx per column, with the probabilities of all its rules
-    wanted: dict[str, list[float]] = {}
-    for rule in rules:
-        if isinstance(rule, QuantileRule):
-            wanted[rule.columns[0]] = sorted({*wanted.get(rule.columns[0], []), *rule.probabilities})
     out = []
     for i, rule in enumerate(rules):
         if isinstance(rule, RowRule):
             out.append(_row_verdict(rule, i, schema, aggs, total))
-        elif isinstance(rule, QuantileRule):
-            out.append(_quantile_verdict(rule, schema, aggs, total, wanted[rule.columns[0]]))
         else:
             out.append(_aggregate_verdict(rule, schema, aggs, total))
     seen = df.agg(*aggs.columns())
@@ -134,22 +125,3 @@ def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggrega
         return judged(rule, passed, element_count=total, missing_count=nulls, **{shown: seen})
 
     return finish
-
-
-def _quantile_verdict(
-    rule: QuantileRule, schema: T.StructType, aggs: _Aggregates, total: Column, probabilities: list[float]
-) -> dict:
-    name = rule.columns[0]
-    found = aggs.add(
-        ("quantiles", name),
-        lambda: F.percentile_approx(C.column(name).cast("double"), probabilities, APPROX_ACCURACY),
-    )
-    values = [F.get(found, probabilities.index(p)) for p in rule.probabilities]
-    success = F.lit(True)
-    for value, (low, high) in zip(values, rule.ranges):
-        success = success & value.isNotNull() & C.in_range(value, T.DoubleType(), low, high)
-    return judged(
-        rule, success, element_count=total, missing_count=_nulls(name, aggs, total),
-        **({"observed_num": values[0]} if len(values) == 1 else {}),
-        observed_text=F.concat_ws(",", *[v.cast("string") for v in values]),
-    )

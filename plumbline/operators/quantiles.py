@@ -16,18 +16,21 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
 from plumbline.functions.local import local_frame
+from plumbline.operators.sketches import quantiles_of, rank_error, sketch_and_count
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import QuantileRule
 
-GRID = 1000
-ACCURACY = 10_000
+GRID = 2000
+SKETCH_SIZE = 8_000
+# twice the error a sketch of that size stays below 99 times of 100, as a share of its rows
+RANK_ERROR = 2 * rank_error(SKETCH_SIZE)
 # most rows all brackets of a column may hold together before they are ranked in one group
-BRACKET_LIMIT = 1_000_000
+BRACKET_LIMIT = 2_000_000
 
 
 @dataclass
@@ -55,8 +58,9 @@ def exact_quantiles(
 ) -> dict[str, ColumnQuantiles]:
     """Interpolated quantiles per column, the same numbers as Spark's ``percentile``.
 
-    Runs two small jobs for all columns together, and one more per narrowing round. What
-    reaches the driver are grids and ranks: never more than a few thousand numbers.
+    Runs two jobs for all columns together, and one more per narrowing round; each round
+    divides what is left of a column by about 150. What reaches the driver are grids and
+    ranks: two thousand numbers per column, in later rounds per wanted quantile.
     """
     names = list(wanted)
     pruned = df.select(*[C.column(n).cast("double").alias(f"v{i}") for i, n in enumerate(names)])
@@ -97,20 +101,19 @@ def _ordered(i: int) -> Column:
     return F.when(F.isnan(v), F.lit(math.inf)).otherwise(v)
 
 
-def _grid(v: Column) -> Column:
-    steps = F.expr("array(" + ", ".join(f"{g / GRID}D" for g in range(GRID + 1)) + ")")
-    return F.percentile_approx(v, steps, ACCURACY)
+def _counts_and_grids(pruned: DataFrame, counts: dict[str, Column], grids: dict[str, Column]) -> Row:
+    """All counts, and per grid the ``GRID + 1`` evenly spaced quantiles of its column."""
+    seen = sketch_and_count(pruned, counts, grids, SKETCH_SIZE)
+    steps = [g / GRID for g in range(GRID + 1)]
+    return seen.select(*counts, *[quantiles_of(F.col(g), steps).alias(g) for g in grids]).first()
 
 
-def _first_pass(pruned: DataFrame, n: int):
-    aggs = [F.count(F.lit(1)).alias("rows")]
+def _first_pass(pruned: DataFrame, n: int) -> Row:
+    counts = {"rows": F.count(F.lit(1))}
     for i in range(n):
-        aggs += [
-            F.count(f"v{i}").alias(f"n{i}"),
-            C.count_where(F.isnan(f"v{i}")).alias(f"nan{i}"),
-            _grid(_ordered(i)).alias(f"g{i}"),
-        ]
-    return pruned.agg(*aggs).first()
+        counts[f"n{i}"] = F.count(f"v{i}")
+        counts[f"nan{i}"] = C.count_where(F.isnan(f"v{i}"))
+    return _counts_and_grids(pruned, counts, {f"g{i}": _ordered(i) for i in range(n)})
 
 
 def _choose(grid: Sequence[float], below: int, inside: int, rank: int, slack: int = 1) -> _Bracket:
@@ -119,7 +122,7 @@ def _choose(grid: Sequence[float], below: int, inside: int, rank: int, slack: in
     The grid describes ``inside`` rows that follow ``below`` smaller ones; each grid value may
     be off by the sketch's rank error, and rounding adds a row.
     """
-    error = slack * (inside / ACCURACY + 1)
+    error = slack * (inside * RANK_ERROR + 1)
     left = max(math.floor((rank - below - error) / inside * GRID), 0)
     right = min(math.ceil((rank - below + 1 + error) / inside * GRID), GRID)
     low = -math.inf if left == 0 else grid[left]
@@ -135,20 +138,27 @@ def _search(pruned: DataFrame, searches: _Searches, limit: int) -> dict[int, dic
     while searches:
         while any(_held(brackets) > limit for brackets in searches.values()):
             narrowed = _narrow(pruned, searches, slack)
-            if narrowed == searches:
-                break
+            stuck = all(_held(narrowed[i]) >= _held(searches[i]) for i in searches)
             searches = narrowed
+            if stuck:
+                break
         for i, values in _rank(pruned, searches).items():
             found[i].update(values)
-        # a rank outside its bracket: the sketch missed its promise, so trust it less
+        # a rank outside its bracket: the sketch was further off than it should be, so trust it less
         missed = {i: [b.rank for b in brackets if b.rank not in found[i]] for i, brackets in searches.items()}
         searches = {
             i: [_Bracket(r, -math.inf, math.inf, limit + 1) for r in ranks] for i, ranks in missed.items() if ranks
         }
         slack *= 8
+        if searches and slack > 64:
+            raise RuntimeError("the table changes from one read to the next: stage it, then check it")
     return found
 
 
+def _ends(brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
+    return sorted({(b.low, b.high) for b in brackets})
+
+
 def _held(brackets: Sequence[_Bracket]) -> int:
     return sum({(b.low, b.high): b.rows for b in brackets}.values())
 
@@ -159,22 +169,21 @@ def _narrow(pruned: DataFrame, searches: _Searches, slack: int) -> _Searches:
     Rows equal to an end are counted apart, so a value that repeats without bound settles at
     an end and stops counting as unresolved.
     """
-    aggs = []
+    counts, grids = {}, {}
     for i, brackets in searches.items():
         v = _ordered(i)
-        for j, b in enumerate(brackets):
-            between = (v > b.low) & (v < b.high)
-            aggs += [
-                C.count_where(v < b.low).alias(f"below{i}_{j}"),
-                C.count_where(v == b.low).alias(f"low{i}_{j}"),
-                C.count_where(between).alias(f"open{i}_{j}"),
-                _grid(F.when(between, v)).alias(f"g{i}_{j}"),
-            ]
-    seen = pruned.agg(*aggs).first()
+        for j, (low, high) in enumerate(_ends(brackets)):
+            between = (v > low) & (v < high)
+            counts[f"below{i}_{j}"] = C.count_where(v < low)
+            counts[f"low{i}_{j}"] = C.count_where(v == low)
+            counts[f"open{i}_{j}"] = C.count_where(between)
+            grids[f"g{i}_{j}"] = F.when(between, v)
+    seen = _counts_and_grids(pruned, counts, grids)
     out: _Searches = {}
     for i, brackets in searches.items():
         out[i] = []
-        for j, b in enumerate(brackets):
+        for b in brackets:
+            j = _ends(brackets).index((b.low, b.high))
             start = seen[f"below{i}_{j}"] + seen[f"low{i}_{j}"]  # first row of the open part
             inside = seen[f"open{i}_{j}"]
             if b.rank < start:

@@ -3,8 +3,9 @@
 ===========================  ==================================================
 rules                        plan
 ===========================  ==================================================
-row, aggregate, approximate  one global aggregate for all of them: one scan, one
-quantiles, row counts        exchange of one row per task
+row, aggregate, row count    one global aggregate for all of them: one scan, one
+                             exchange of one row per task
+approximate quantiles        one sketch per column, one scan for all of them
 frequency, key               one frequency table per column (or key) for all of
                              its checks
 exact quantiles              two or more small jobs, see ``operators.quantiles``
@@ -28,6 +29,7 @@ from plumbline.operators.frequency import frequency_verdicts
 from plumbline.operators.fused import fused_verdicts
 from plumbline.operators.quantiles import quantile_verdicts
 from plumbline.operators.schema import schema_verdicts
+from plumbline.operators.sketches import sketch_verdicts
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import ConstraintRule, FrequencyRule, QuantileRule, RowRule, Rule, SchemaRule
 from plumbline.sources.tables import staged
@@ -79,10 +81,13 @@ class Suite:
         exact = [r for r in rules if isinstance(r, QuantileRule) and not r.approx]
         frequency = [r for r in rules if isinstance(r, FrequencyRule)]
         constraints = [r for r in rules if isinstance(r, ConstraintRule)]
-        apart = {r.check_id for r in (*schema_rules, *exact, *frequency, *constraints)}
+        sketched = [r for r in rules if isinstance(r, QuantileRule) and r.approx]
+        apart = {r.check_id for r in (*schema_rules, *exact, *sketched, *frequency, *constraints)}
         fused = [r for r in rules if r.check_id not in apart]
         if fused:
             parts.append(fused_verdicts(df, fused))
+        if sketched:
+            parts.append(sketch_verdicts(df, sketched))
         if exact:
             parts.append(quantile_verdicts(df, exact))
         shared: dict[tuple, list[FrequencyRule]] = {}

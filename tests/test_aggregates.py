@@ -193,6 +193,12 @@ def test_a_bracket_that_misses_is_searched_again(spark, monkeypatch):
     assert max(calls) > 1
 
 
+def test_a_table_that_changes_between_reads_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(Q, "_choose", lambda grid, below, inside, rank, slack=1: Q._Bracket(rank, 1.0, 2.0, 2))
+    with pytest.raises(RuntimeError, match="changes"):
+        pl.exact_quantiles(spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS c"), {"c": [0.5]})
+
+
 def test_quantile_rules(spark):
     df = spark.range(101).selectExpr("CAST(id AS DOUBLE) AS c")
     ranges = {"quantiles": [0.25, 0.5], "value_ranges": [[25, 25], [None, 50]]}
