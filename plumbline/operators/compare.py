@@ -25,18 +25,18 @@ def _tagged(left: DataFrame, right: DataFrame, on: Sequence[str], right_on: Sequ
     return a.unionByName(b).groupBy(*names).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
 
 
+def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two one-row frames of different columns as one row, without a join."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def compare_row_counts(left: DataFrame, right: DataFrame, check_id: str = "compare_row_counts") -> DataFrame:
     """Both tables hold the same number of rows; ``unexpected_count`` is the difference."""
-    both = left.select(F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select(F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
+    counts = _side_by_side(left.agg(F.count(F.lit(1)).alias("n")), right.agg(F.count(F.lit(1)).alias("m")))
     n, m = F.col("n"), F.col("m")
-    counts = both.agg(F.coalesce(F.sum("l"), F.lit(0)).alias("n"), F.coalesce(F.sum("r"), F.lit(0)).alias("m"))
     rule = Rule(kind="compare_row_counts", check_id=check_id)
-    return rows(
-        counts,
-        [judged(rule, n == m, element_count=n, unexpected_count=F.abs(n - m), observed_num=m)],
-    )
+    return rows(counts, [judged(rule, n == m, element_count=n, unexpected_count=F.abs(n - m), observed_num=m)])
 
 
 def compare_keys(
@@ -63,27 +63,17 @@ def compare_aggregates(
 ) -> DataFrame:
     """One verdict per measure: its values on the two tables differ by at most ``tolerance``."""
     names = list(measures)
-
-    def tall(df: DataFrame, by: Mapping[str, Column], side: str) -> DataFrame:
-        values = df.agg(*[by[n].cast("double").alias(n) for n in names])
-        pairs = [F.struct(F.lit(n).alias("measure"), C.column(n).alias("value")) for n in names]
-        return values.select(F.inline(F.array(*pairs))).withColumn("side", F.lit(side))
-
-    both = tall(left, measures, "l").unionByName(tall(right, right_measures or measures, "r"))
-    # one row again: what the two sides hold, measure by measure
-    pairs = both.agg(
-        *[
-            F.max(F.when((F.col("measure") == n) & (F.col("side") == side), F.col("value"))).alias(f"{side}{i}")
-            for i, n in enumerate(names)
-            for side in "lr"
-        ]
+    others = right_measures or measures
+    both = _side_by_side(
+        left.agg(*[measures[n].cast("double").alias(f"l{i}") for i, n in enumerate(names)]),
+        right.agg(*[others[n].cast("double").alias(f"r{i}") for i, n in enumerate(names)]),
     )
     out = []
     for i, name in enumerate(names):
         gap = F.abs(F.col(f"l{i}") - F.col(f"r{i}"))
         rule = Rule(kind="compare_aggregates", check_id=f"{check_id}.{name}")
         out.append(judged(rule, gap <= F.lit(tolerance), observed_num=gap))
-    return rows(pairs, out)
+    return rows(both, out)
 
 
 def row_differences(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:

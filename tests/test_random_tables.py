@@ -1,0 +1,181 @@
+"""Random tables with nulls, ties and hot values against plain Python."""
+
+import json
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+import plumbline as pl
+
+WORDS = ["a", "ab", "abc", "b1", "BAD-x", "é", "", "x\ny"]
+
+
+def random_rows(seed):
+    rng = random.Random(seed)
+    n = rng.choice([1, 7, 60, 400])
+    nulls = rng.choice([0.0, 0.2, 0.9])
+    hot = rng.choice([0.0, 0.4])
+
+    def maybe(value):
+        return None if rng.random() < nulls else value
+
+    rows = []
+    for _ in range(n):
+        if rng.random() < hot:
+            rows.append((7, 7, "ab", 1.5))
+        else:
+            rows.append(
+                (maybe(rng.randrange(12)), maybe(rng.randrange(12)), maybe(rng.choice(WORDS)),
+                 maybe(rng.choice([rng.uniform(-5, 5), 1.5, 0.0])))
+            )
+    return rows
+
+
+A, B, S, V = range(4)
+
+
+def judge(rows, kept, holds, mostly=1.0, show_nulls_of=None):
+    evaluated = [r for r in rows if kept(r)]
+    bad = sum(not holds(r) for r in evaluated)
+    missing = len(rows) - len(evaluated) if show_nulls_of is None else sum(r[show_nulls_of] is None for r in rows)
+    return not evaluated or (len(evaluated) - bad) / len(evaluated) >= mostly, len(rows), missing, bad
+
+
+def has(*columns):
+    return lambda r: all(r[c] is not None for c in columns)
+
+
+def some(*columns):
+    return lambda r: any(r[c] is not None for c in columns)
+
+
+def expected_counts(rows):
+    keys = Counter((r[A], r[S]) for r in rows)
+    singles = Counter(r[A] for r in rows)
+    yield pl.expect_column_values_to_be_null("a"), judge(rows, lambda r: True, lambda r: r[A] is None, 1, A)
+    yield (pl.expect_column_values_to_not_be_null("a", mostly=0.8),
+           judge(rows, lambda r: True, lambda r: r[A] is not None, 0.8, A))
+    yield (pl.expect_column_values_to_be_between("v", -1, 2, mostly=0.5),
+           judge(rows, has(V), lambda r: -1 <= r[V] <= 2, 0.5))
+    yield pl.expect_column_values_to_be_in_set("s", ["a", "ab"]), judge(rows, has(S), lambda r: r[S] in ("a", "ab"))
+    yield pl.expect_column_values_to_be_in_set("s", []), judge(rows, has(S), lambda r: False)
+    yield pl.expect_column_values_to_not_be_in_set("a", [7, 8]), judge(rows, has(A), lambda r: r[A] not in (7, 8))
+    yield pl.expect_column_values_to_not_be_in_set("a", []), judge(rows, has(A), lambda r: True)
+    yield (pl.expect_column_value_lengths_to_be_between("s", 1, 2),
+           judge(rows, has(S), lambda r: 1 <= len(r[S]) <= 2))
+    yield pl.expect_column_value_lengths_to_equal("s", 1), judge(rows, has(S), lambda r: len(r[S]) == 1)
+    yield (pl.expect_column_values_to_match_regex("s", "[a-c]"),
+           judge(rows, has(S), lambda r: re.search("[a-c]", r[S]) is not None))
+    yield (pl.expect_column_values_to_not_match_like_pattern_list("s", ["a%", "_y"]),
+           judge(rows, has(S), lambda r: not r[S].startswith("a") and not (len(r[S]) == 2 and r[S][1] == "y")))
+    yield (pl.expect_column_pair_values_a_to_be_greater_than_b("a", "b", mostly=0.3),
+           judge(rows, some(A, B), lambda r: has(A, B)(r) and r[A] > r[B], 0.3))
+    yield (pl.expect_column_pair_values_to_be_equal("a", "b", ignore_row_if="any_value_is_missing"),
+           judge(rows, has(A, B), lambda r: r[A] == r[B]))
+    yield (pl.expect_column_pair_values_to_be_equal("a", "b", ignore_row_if="never"),
+           judge(rows, lambda r: True, lambda r: r[A] == r[B]))
+    yield (pl.expect_column_pair_values_to_be_in_set("a", "s", [(7, "ab"), (1, "a")]),
+           judge(rows, some(A, S), lambda r: (r[A], r[S]) in ((7, "ab"), (1, "a"))))
+    yield (pl.expect_column_pair_values_to_be_in_set("a", "s", [(i, w) for i in range(8) for w in WORDS]),
+           judge(rows, some(A, S), lambda r: has(A, S)(r) and r[A] < 8))
+    yield (pl.expect_multicolumn_sum_to_equal(["a", "b"], 14),
+           judge(rows, some(A, B), lambda r: has(A, B)(r) and r[A] + r[B] == 14))
+    yield (pl.expect_select_column_values_to_be_unique_within_record(["a", "b"]),
+           judge(rows, has(A, B), lambda r: r[A] != r[B]))
+    yield pl.expect_column_values_to_be_unique("a"), judge(rows, has(A), lambda r: singles[r[A]] == 1)
+    yield (pl.expect_compound_columns_to_be_unique(["a", "s"], mostly=0.5),
+           judge(rows, some(A, S), lambda r: keys[r[A], r[S]] == 1, 0.5))
+    yield (pl.expect_compound_columns_to_be_unique(["a", "s"], ignore_row_if="never"),
+           judge(rows, lambda r: True, lambda r: keys[r[A], r[S]] == 1))
+
+
+def expected_numbers(rows):
+    values = sorted(r[V] for r in rows if r[V] is not None)
+    ints = [r[A] for r in rows if r[A] is not None]
+    tally = Counter(ints)
+    if values:
+        mean = math.fsum(values) / len(values)
+        position = 0.5 * (len(values) - 1)
+        low, high = values[math.floor(position)], values[math.ceil(position)]
+        found = [max(values), min(values), mean, math.fsum(values), low + (high - low) * (position % 1)]
+        deviation = (
+            math.sqrt(math.fsum((x - mean) ** 2 for x in values) / (len(values) - 1)) if len(values) > 1 else None
+        )
+    else:
+        found, deviation = [None] * 5, None
+    for expect, value in zip(
+        (pl.expect_column_max_to_be_between, pl.expect_column_min_to_be_between, pl.expect_column_mean_to_be_between,
+         pl.expect_column_sum_to_be_between, pl.expect_column_median_to_be_between), found,
+    ):
+        yield expect("v", -1000, 1000), value, value is not None
+    yield pl.expect_column_stdev_to_be_between("v", 0, 1000), deviation, deviation is not None
+    yield pl.expect_column_sum_to_be_between("a", 0, 10**6), sum(ints) if ints else None, bool(ints)
+    yield pl.expect_column_unique_value_count_to_be_between("a", 5, None), len(tally), len(tally) >= 5
+    share = len(tally) / len(ints) if ints else None
+    yield (pl.expect_column_proportion_of_unique_values_to_be_between("a", 0.2, 1), share,
+           share is not None and 0.2 <= share)
+    yield (pl.expect_column_distinct_values_to_be_in_set("a", range(8)), len(tally), set(tally) <= set(range(8)))
+    yield (pl.expect_column_distinct_values_to_contain_set("a", [1, 7]), len(tally), {1, 7} <= set(tally))
+    yield (pl.expect_column_distinct_values_to_equal_set("a", range(12)), len(tally), set(tally) == set(range(12)))
+    weights = {i: 1 / 12 for i in range(12)}
+    divergence = (
+        math.fsum(c / len(ints) * math.log(c / len(ints) / weights[i]) for i, c in tally.items()) if ints else None
+    )
+    yield (
+        pl.expect_column_kl_divergence_to_be_less_than(
+            "a", {"values": list(weights), "weights": list(weights.values())}, threshold=0.6),
+        divergence, divergence is not None and divergence < 0.6,
+    )
+    top = [i for i, c in tally.items() if c == max(tally.values())]
+    yield pl.expect_column_most_common_value_to_be_in_set("a", [7]), None, top == [7]
+    yield pl.expect_column_most_common_value_to_be_in_set("a", [7], ties_okay=True), None, 7 in top
+    yield pl.expect_table_row_count_to_be_between(5, None), len(rows), len(rows) >= 5
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_against_python(spark, seed):
+    rows = random_rows(seed)
+    df = spark.createDataFrame(rows, "a int, b int, s string, v double").repartition(3)
+    counted, measured = list(expected_counts(rows)), list(expected_numbers(rows))
+    suite = pl.Suite([rule for rule, *_ in (*counted, *measured)])
+    found = {r.check_id: r for r in suite.verdicts(df).collect()}
+    assert len(found) == len(counted) + len(measured)
+    for rule, (_, want) in zip(suite.rules, counted):
+        got = found[rule.check_id]
+        assert (got.success, got.element_count, got.missing_count, got.unexpected_count) == want, rule.check_id
+    for rule, (_, value, success) in zip(suite.rules[len(counted):], measured):
+        got = found[rule.check_id]
+        assert got.success == success, rule.check_id
+        if "most_common" not in rule.kind:
+            assert got.observed_num == (None if value is None else pytest.approx(value, abs=1e-9)), rule.check_id
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_failing_values_against_python(spark, seed):
+    rows = random_rows(seed)
+    df = spark.createDataFrame(rows, "a int, b int, s string, v double").repartition(3)
+    suite = pl.Suite(
+        [
+            pl.expect_column_values_to_be_in_set("a", [1, 2], check_id="set"),
+            pl.expect_column_pair_values_to_be_equal("a", "b", check_id="pair"),
+            pl.expect_column_values_to_be_unique("s", check_id="unique"),
+        ]
+    )
+    found = {}
+    for r in suite.failing_values(df, top=5).collect():
+        found.setdefault(r.check_id, []).append((r.value, r.n))
+
+    def top(counter):
+        return sorted(counter.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+
+    pairs = [(r[A], r[B]) for r in rows if some(A, B)(r) and r[A] != r[B]]
+    want = {
+        "set": top(Counter(str(r[A]) for r in rows if r[A] is not None and r[A] not in (1, 2))),
+        "pair": top(Counter(json.dumps({"a": a, "b": b}, separators=(",", ":")) for a, b in pairs)),
+        "unique": [(k, c) for k, c in top(Counter(r[S] for r in rows if r[S] is not None)) if c > 1],
+    }
+    for name, values in want.items():
+        assert sorted(found.get(name, []), key=lambda kv: (-kv[1], kv[0])) == values
