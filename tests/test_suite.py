@@ -69,6 +69,18 @@ def test_constraints(spark, people):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("table_under_test")]
 
 
+def test_a_constraint_that_cannot_be_analysed_fails_alone(people):
+    rows = run(
+        people,
+        pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE no_such_column > 2"),
+        pl.expect_query_to_return_no_rows("SELEC 1"),
+        pl.expect_column_values_to_not_be_null("id"),
+    )
+    by_text = {r.observed_text: r.success for r in rows}
+    assert by_text.pop(None) is True
+    assert len(by_text) == 2 and not any(by_text.values()) and any("no_such_column" in t for t in by_text)
+
+
 # ------------------------------------------------------------------ the suite
 
 
