@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import plumbline as pl
+from plumbline.sources.tables import shared_folder
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -141,7 +142,7 @@ def src_date_slice(spark, sf_dir):
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name under the shared folder of the cluster; local only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared_folder(spark)
     return f"{shared.rstrip('/')}/report-{datetime.datetime.now().timestamp()}" if shared else tempfile.mkdtemp()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import columns as C
 from plumbline.functions.local import local_frame
 from plumbline.operators.frequency import frequency_table, key_names, with_members
-from plumbline.operators.fused import evaluated_and_failed
+from plumbline.operators.fused import failed
 from plumbline.rules import FrequencyRule, RowRule, Rule
 
 TOP = 20
@@ -37,9 +37,8 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int = TOP) -> Data
 def _row_offenders(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     marks = []
     for rule in rules:
-        _, failed = evaluated_and_failed(rule, df.schema)
         text = C.as_text([C.column(c) for c in rule.columns], rule.columns)
-        marks.append(F.when(failed, F.struct(F.lit(rule.check_id).alias("check_id"), text.alias("value"))))
+        marks.append(F.when(failed(rule, df.schema), F.struct(F.lit(rule.check_id).alias("check_id"), text.alias("value"))))
     return (
         df.select(F.explode(F.array_compact(F.array(*marks))).alias("hit"))
         .groupBy("hit.check_id", "hit.value")

@@ -25,15 +25,19 @@ from plumbline.rules import AggregateRule, Rule, RowRule
 BUFFER_FIELDS = 90
 
 
-def evaluated_and_failed(rule: RowRule, schema: T.StructType) -> tuple[Column, Column]:
-    """Which rows a row rule looks at, and which of those break it (true there; false or null elsewhere)."""
+def kept(rule: RowRule) -> Column:
+    """The rows a row rule looks at."""
+    return ~C.missing([C.column(name) for name in rule.columns], rule.ignore_row_if)
+
+
+def failed(rule: RowRule, schema: T.StructType) -> Column:
+    """True for the rows that break a row rule; false or null for all others."""
     cols = [C.column(name) for name in rule.columns]
-    kept = ~C.missing(cols, rule.ignore_row_if)
     holds = rule.holds(cols, [schema[name].dataType for name in rule.columns])
     if len(cols) == 1 and not rule.subject_is_null:
         # one column: the predicate is null exactly where the row is not evaluated
-        return kept, ~holds
-    return kept, kept & ~F.coalesce(holds, F.lit(False))
+        return ~holds
+    return kept(rule) & ~F.coalesce(holds, F.lit(False))
 
 
 # evidence of one check, or how to make it once the aggregates' types are known
@@ -98,15 +102,14 @@ def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:
 
 
 def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
-    kept, failed = evaluated_and_failed(rule, schema)
-    bad = aggs.add(("failed", i), lambda: C.count_where(failed))
+    bad = aggs.add(("failed", i), lambda: C.count_where(failed(rule, schema)))
     if rule.subject_is_null:
         return counted(rule, rule.mostly, total, F.lit(0), bad, missing=_nulls(rule.columns[0], aggs, total))
     if rule.ignore_row_if == "never":
         return counted(rule, rule.mostly, total, F.lit(0), bad)
     if len(rule.columns) == 1:
         return counted(rule, rule.mostly, total, _nulls(rule.columns[0], aggs, total), bad)
-    seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept))
+    seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept(rule)))
     return counted(rule, rule.mostly, total, total - seen, bad)
 
 

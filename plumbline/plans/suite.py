@@ -63,8 +63,8 @@ class Suite:
         """One row per applicable rule.
 
         Lazy, except that exact quantiles run their searches here. With ``stage`` the needed
-        columns are first written to the checkpoint folder, for a source that is expensive
-        to compute and would otherwise be read once per plan.
+        columns are first written to the shared folder, for a source that is expensive to
+        compute and would otherwise be computed once per plan.
         """
         rules, unfit = self._fitting(df)
         _check_patterns(df, rules)

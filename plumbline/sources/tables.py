@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +42,23 @@ def today_slice(df: DataFrame, column: str, today: datetime.date | None = None)
     return df.filter(c == F.date_format(day, "yyyyMMdd").cast(dtype))
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def staged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The needed columns of an expensive source, written once to the reliable checkpoint folder.
+    """The needed columns of an expensive source, written once to the shared folder and read back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; executors may come
-    and go without the source being computed again.
+    A written table outlives lost executors and stays columnar, so each plan of a suite reads
+    only its own columns. It is the caller's to remove: its path is in ``inputFiles()``.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder to stage a source")
-        context.setCheckpointDir(folder)
-    return df.select(*[C.column(c) for c in columns]).checkpoint()
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder to stage a source")
+    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    # a column of no type cannot be stored, and a table needs a column
+    kept = [C.column(c).cast("string") if isinstance(df.schema[c].dataType, T.NullType) else C.column(c) for c in columns]
+    named = [k.alias(c) for k, c in zip(kept, columns)] or [F.lit(True).alias("row")]
+    df.select(*named).write.parquet(path)
+    return df.sparkSession.read.parquet(path)

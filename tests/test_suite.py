@@ -148,6 +148,17 @@ def test_staged_source(people):
     assert {r.check_id: r.success for r in with_query.collect()} == EXPECTED
     counting = pl.Suite([pl.expect_table_row_count_to_equal(4)])
     assert counting.verdicts(people, stage=True).first().success
+    odd = people.selectExpr("id AS `a.b c`", "null AS nothing")
+    rules = [pl.expect_column_values_to_be_null("nothing"), pl.expect_column_values_to_not_be_null("a.b c")]
+    assert [r.success for r in pl.Suite(rules).verdicts(odd, stage=True).collect()] == [True, True]
+
+
+def test_a_staged_source_is_computed_once_and_read_by_column(people):
+    slow = people.withColumn("doubled", F.col("age") * 2)
+    rules = [pl.expect_column_mean_to_be_between("doubled", 0, 200), pl.expect_column_values_to_be_unique("id")]
+    plan = plan_of(pl.Suite(rules).verdicts(slow, stage=True))
+    assert "ReadSchema: struct<doubled:double>" in plan and "ReadSchema: struct<id:bigint>" in plan
+    assert "InMemoryTableScan" not in plan and "* 2" not in plan
 
 
 # ------------------------------------------------------------------ statistics, report, evidence
