@@ -1,8 +1,8 @@
 """Checks on distinct values and keys: one frequency table per column (or key) for all of them.
 
 ``groupBy(value).count()`` combines on the map side, so a value that holds a third of all
-rows reaches the shuffle as one row per task. Everything after it works on distinct values,
-and is reduced once more - to one row per *count* - before the final one-row aggregate.
+rows reaches the shuffle as one row per task. Everything after it works on distinct values.
+Only the most common value needs a further step, to one row per *count*.
 """
 
 from __future__ import annotations
@@ -89,23 +89,23 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
 
     n, lost = F.col("n"), C.missing(keys, policy)
     kept = ~lost
-    # values with the same count are alike from here on: one row per count
-    by_count = [C.count_where(kept).alias("k"), C.count_where(lost).alias("lost")]
-    # a minimum of text cannot live in a hash aggregate's buffer, so ask for it only if it is shown
-    with_mode = any(rule.judge == "most_common" for rule in rules)
-    if with_mode:
-        by_count.append(F.min(F.when(kept, keys[0])).alias("least"))
+    # what each distinct value contributes
+    facts = {"k": _one_if(kept), "lost": _one_if(lost)}
     for rule in rules:
         mark = marks.get(rule.check_id)
         if mark:
-            by_count.append(C.count_where(kept & F.col(mark).isNotNull()).alias(f"{mark}_h"))
+            facts[f"{mark}_h"] = _one_if(kept & F.col(mark).isNotNull())
         if rule.judge == "kl":
             q = F.col(mark)
-            by_count += [
-                C.count_where(kept & (q.isNull() | (q <= 0))).alias(f"{mark}_unseen"),
-                F.sum(F.when(kept & (q > 0), n * F.ln(F.try_divide(n.cast("double"), q)))).alias(f"{mark}_s"),
-            ]
-    counts = freq.groupBy("n").agg(*by_count)
+            facts[f"{mark}_unseen"] = _one_if(kept & (q.isNull() | (q <= 0)))
+            facts[f"{mark}_s"] = F.when(kept & (q > 0), n * F.ln(F.try_divide(n.cast("double"), q)))
+    with_mode = any(rule.judge == "most_common" for rule in rules)
+    if with_mode:
+        # values with the same count are alike from here on: one row per count, to see all values of the top one
+        least = F.min(F.when(kept, keys[0])).alias("least")
+        counts = freq.groupBy("n").agg(*[F.sum(v).alias(name) for name, v in facts.items()], least)
+    else:
+        counts = freq.select("n", *[v.alias(name) for name, v in facts.items()])
 
     k, some = F.col("k"), F.when(F.col("k") > 0, n)
     final = [
@@ -138,6 +138,10 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
     return rows(one, [_judge(rule, marks.get(rule.check_id)) for rule in rules])
 
 
+def _one_if(condition: Column) -> Column:
+    return F.when(condition, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+
 _SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_common", "rows_in_set",
                "rows_not_in_set"}
 
