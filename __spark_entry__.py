@@ -253,7 +253,7 @@ def row_in_set(spark, sf_dir):
     )
 
 
-# large sets leave the fused pass: frequency table, then a join whose strategy Catalyst picks by size
+# sets too long for a literal list: a relation of checked size, broadcast into the fused pass
 @query(
     "row_in_large_set",
     counts_sql(

@@ -68,6 +68,12 @@ def _is_iso(text: str) -> bool:
     return True
 
 
+def iso(value: object, dtype: T.DataType) -> str:
+    """A date or time, or any ISO text of one, in one spelling per value of the type."""
+    moment = datetime.datetime.fromisoformat(str(value))
+    return str(moment.date() if isinstance(dtype, T.DateType) else moment)
+
+
 def literal(value: object, dtype: T.DataType) -> Column:
     """Literal to compare with a column of type ``dtype``.
 
@@ -75,7 +81,7 @@ def literal(value: object, dtype: T.DataType) -> Column:
     integers beyond 64 bits, which only a decimal can hold.
     """
     if is_temporal(dtype):
-        return F.lit(str(value)).cast(dtype)
+        return F.lit(iso(value, dtype)).cast(dtype)
     if isinstance(value, int) and abs(value) >= 2**63:
         return F.lit(str(value)).cast(WIDE_INTEGER)
     return F.lit(value)

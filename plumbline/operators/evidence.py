@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
 from plumbline.functions.local import local_frame
-from plumbline.operators.frequency import frequency_table, key_names, with_members
+from plumbline.operators.frequency import frequency_table, key_names
 from plumbline.operators.fused import failed
+from plumbline.operators.members import with_members
 from plumbline.rules import FrequencyRule, RowRule, Rule
 
 TOP = 20
@@ -49,12 +50,13 @@ def _row_offenders(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
 def _frequency_offenders(df: DataFrame, rule: FrequencyRule) -> list[DataFrame]:
     keys = [F.col(k) for k in key_names(rule.columns)]
     freq = frequency_table(df, rule.columns).filter(~C.missing(keys, rule.ignore_row_if))
+    types = [df.schema[c].dataType for c in rule.columns]
     if rule.judge == "unique":
         bad = freq.filter(F.col("n") > 1)
     elif rule.judge in ("distinct_in_set", "distinct_equals", "rows_in_set", "kl"):
-        bad = with_members(freq, df, rule, "mark").filter(F.col("mark").isNull())
+        bad = with_members(freq, rule, types, key_names(rule.columns), "mark").filter(F.col("mark").isNull())
     elif rule.judge == "rows_not_in_set":
-        bad = with_members(freq, df, rule, "mark").filter(F.col("mark").isNotNull())
+        bad = with_members(freq, rule, types, key_names(rule.columns), "mark").filter(F.col("mark").isNotNull())
     else:  # the check judges the column as a whole; no single value offends
         return []
     return [bad.select(F.lit(rule.check_id).alias("check_id"), C.as_text(keys, rule.columns).alias("value"), "n")]

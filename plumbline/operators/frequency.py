@@ -8,18 +8,15 @@ Only the most common value needs a further step, to one row per *count*.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbline.functions import columns as C
+from plumbline.operators.members import ROW_JUDGES, with_members
 from plumbline.operators.verdict import counted, judged, rows
-from plumbline.rules import LITERAL_SET_LIMIT, FrequencyRule
+from plumbline.rules import FrequencyRule
 
 
 def key_names(columns: Sequence[str]) -> list[str]:
@@ -32,60 +29,17 @@ def frequency_table(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*keys).groupBy(*key_names(names)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _member_table(df: DataFrame, rule: FrequencyRule) -> DataFrame:
-    """The rule's value set as a local relation of known size.
-
-    No broadcast hint: Catalyst sees the size and broadcasts a small set; a large one is
-    shuffled by key to the frequency table, which is already partitioned that way.
-    """
-    names = key_names(rule.columns)
-    types = [df.schema[c].dataType for c in rule.columns]
-    arrays, fields = [], []
-    for i, (name, dtype) in enumerate(zip(names, types)):
-        values = [m[i] for m in rule.members]
-        if C.is_temporal(dtype):
-            kind, values = pa.string(), [str(v) for v in values]
-        elif C.is_numeric(dtype) and any(isinstance(v, float) for v in values):
-            kind, values = pa.float64(), [float(v) for v in values]
-        elif isinstance(dtype, T.IntegralType):
-            kind = pa.int64()
-        else:
-            kind = to_arrow_type(dtype)
-        arrays.append(pa.array(values, kind))
-        fields.append(name)
-    if rule.weights:
-        arrays.append(pa.array(rule.weights, pa.float64()))
-        fields.append("q")
-    local = df.sparkSession.createDataFrame(pa.table(arrays, names=fields))
-    cast = [
-        F.col(n).cast(t).alias(n) if C.is_temporal(t) else F.col(n) for n, t in zip(names, types)
-    ]
-    return local.select(*cast, F.col("q") if rule.weights else F.lit(True).alias("q"))
-
-
-def with_members(freq: DataFrame, df: DataFrame, rule: FrequencyRule, mark: str) -> DataFrame:
-    """Add ``mark``: the member's weight (or true); null for a value outside the set."""
-    if not rule.weights and len(rule.columns) == 1 and len(rule.members) <= LITERAL_SET_LIMIT:
-        dtype = df.schema[rule.columns[0]].dataType
-        hit = C.in_values(F.col("k0"), dtype, [m[0] for m in rule.members])
-        return freq.withColumn(mark, F.when(hit, F.lit(True)))
-    side = _member_table(df, rule)
-    names = key_names(rule.columns)
-    side = side.select(*[F.col(n).alias(f"{mark}_{n}") for n in names], F.col("q").alias(mark))
-    match = reduce(and_, [F.col(n) == F.col(f"{mark}_{n}") for n in names])
-    return freq.join(side, match, "left").drop(*[f"{mark}_{n}" for n in names])
-
-
 def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFrame:
     """Verdicts of rules that share their columns and missing-value policy: one plan for all."""
     names, policy = rules[0].columns, rules[0].ignore_row_if
     keys = [F.col(k) for k in key_names(names)]
     freq = frequency_table(df, names)
+    types = [df.schema[c].dataType for c in names]
     marks = {}
     for i, rule in enumerate(rules):
         if rule.members or rule.judge in _SET_JUDGES:
             marks[rule.check_id] = f"m{i}"
-            freq = with_members(freq, df, rule, f"m{i}")
+            freq = with_members(freq, rule, types, key_names(names), f"m{i}")
 
     n, lost = F.col("n"), C.missing(keys, policy)
     kept = ~lost
@@ -142,8 +96,7 @@ def _one_if(condition: Column) -> Column:
     return F.when(condition, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
-_SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_common", "rows_in_set",
-               "rows_not_in_set"}
+_SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_common", *ROW_JUDGES}
 
 
 def _judge(rule: FrequencyRule, mark: str | None) -> dict:

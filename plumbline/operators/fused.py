@@ -1,4 +1,4 @@
-"""Row predicates and plain aggregates: one scan, one aggregate.
+"""Row predicates, membership in sets and plain aggregates: one scan, one aggregate.
 
 The rules become columns of a single global aggregate. Each task reads its split once, keeps
 one buffer row, and one row per task is shuffled.
@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
+from plumbline.operators.members import with_members
 from plumbline.operators.verdict import counted, judged, rows
-from plumbline.rules import AggregateRule, Rule, RowRule
+from plumbline.rules import AggregateRule, FrequencyRule, Rule, RowRule
 
 # safely below spark.sql.codegen.maxFields
 BUFFER_FIELDS = 90
 
 
-def kept(rule: RowRule) -> Column:
-    """The rows a row rule looks at."""
+def kept(rule: RowRule | FrequencyRule) -> Column:
+    """The rows a rule looks at."""
     return ~C.missing([C.column(name) for name in rule.columns], rule.ignore_row_if)
 
 
@@ -89,7 +90,13 @@ def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     total = aggs.add("rows", lambda: F.count(F.lit(1)))
     out = []
     for i, rule in enumerate(rules):
-        if isinstance(rule, RowRule):
+        if isinstance(rule, FrequencyRule):
+            # membership in a set too long for a literal list, but small enough for every executor
+            mark = f"plumbline_member_{i}"
+            types = [schema[c].dataType for c in rule.columns]
+            df = with_members(df, rule, types, rule.columns, mark, broadcast=True)
+            out.append(_member_verdict(rule, mark, aggs, total))
+        elif isinstance(rule, RowRule):
             out.append(_row_verdict(rule, i, schema, aggs, total))
         else:
             out.append(_aggregate_verdict(rule, schema, aggs, total))
@@ -105,12 +112,22 @@ def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates,
     bad = aggs.add(("failed", i), lambda: C.count_where(failed(rule, schema)))
     if rule.subject_is_null:
         return counted(rule, rule.mostly, total, F.lit(0), bad, missing=_nulls(rule.columns[0], aggs, total))
+    return counted(rule, rule.mostly, total, _ignored(rule, aggs, total), bad)
+
+
+def _ignored(rule: RowRule | FrequencyRule, aggs: _Aggregates, total: Column) -> Column:
     if rule.ignore_row_if == "never":
-        return counted(rule, rule.mostly, total, F.lit(0), bad)
+        return F.lit(0)
     if len(rule.columns) == 1:
-        return counted(rule, rule.mostly, total, _nulls(rule.columns[0], aggs, total), bad)
-    seen = aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept(rule)))
-    return counted(rule, rule.mostly, total, total - seen, bad)
+        return _nulls(rule.columns[0], aggs, total)
+    return total - aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept(rule)))
+
+
+def _member_verdict(rule: FrequencyRule, mark: str, aggs: _Aggregates, total: Column) -> dict:
+    inside = F.col(mark).isNotNull()
+    wrong = inside if rule.judge == "rows_not_in_set" else ~inside
+    bad = aggs.add(("wrong", mark), lambda: C.count_where(kept(rule) & wrong))
+    return counted(rule, rule.mostly, total, _ignored(rule, aggs, total), bad)
 
 
 def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggregates, total: Column) -> Outcome:

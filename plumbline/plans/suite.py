@@ -3,11 +3,11 @@
 ===========================  ==================================================
 rules                        plan
 ===========================  ==================================================
-row, aggregate, row count    one global aggregate for all of them: one scan, one
-                             exchange of one row per task
+row, aggregate, row count,   one global aggregate for all of them: one scan, one
+membership in a set          exchange of one row per task
 approximate quantiles        one sketch per column, one scan for all of them
-frequency, key               one frequency table per column (or key) for all of
-                             its checks
+frequency, key, membership   one frequency table per column (or key) for all of
+in a very large set          its checks
 exact quantiles              two or more small jobs, see ``operators.quantiles``
 schema                       no job
 SQL constraints              as written
@@ -27,6 +27,7 @@ from plumbline.operators.constraints import constraint_verdict
 from plumbline.operators.evidence import TOP, failing_values
 from plumbline.operators.frequency import frequency_verdicts
 from plumbline.operators.fused import fused_verdicts
+from plumbline.operators.members import ROW_JUDGES, can_broadcast
 from plumbline.operators.quantiles import quantile_verdicts
 from plumbline.operators.schema import schema_verdicts
 from plumbline.operators.sketches import sketch_verdicts
@@ -79,7 +80,7 @@ class Suite:
             read = {c for r in rules if not isinstance(r, SchemaRule) for c in r.columns}
             df = staged(df, df.columns if constrained else [c for c in df.columns if c in read])
         exact = [r for r in rules if isinstance(r, QuantileRule) and not r.approx]
-        frequency = [r for r in rules if isinstance(r, FrequencyRule)]
+        frequency = [r for r in rules if isinstance(r, FrequencyRule) and not _joins_rows(r, df)]
         constraints = [r for r in rules if isinstance(r, ConstraintRule)]
         sketched = [r for r in rules if isinstance(r, QuantileRule) and r.approx]
         apart = {r.check_id for r in (*schema_rules, *exact, *sketched, *frequency, *constraints)}
@@ -122,6 +123,11 @@ class Suite:
         return fit, unfit
 
 
+def _joins_rows(rule: FrequencyRule, df: DataFrame) -> bool:
+    """Is it membership in a set small enough to meet the rows themselves?"""
+    return rule.judge in ROW_JUDGES and can_broadcast(rule, [df.schema[c].dataType for c in rule.columns])
+
+
 def _with_ids(rules: list[Rule]) -> list[Rule]:
     used = {r.check_id for r in rules if r.check_id is not None}
     if len(used) != sum(r.check_id is not None for r in rules):

@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 
-# Up to this many members a value set is a literal IN list inside the fused pass. Beyond
-# it the check goes through the column's frequency table and a join with the set.
+# Up to this many members a value set is a literal IN list; beyond it the set becomes a relation.
 LITERAL_SET_LIMIT = 1000
 LITERAL_PAIR_LIMIT = 50
 

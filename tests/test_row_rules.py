@@ -142,7 +142,9 @@ def test_within_record(spark):
     assert counts(one(wide, distinct(list("abcdef"), ignore_row_if="never"))) == (3, 0, 1)
 
 
-def test_large_sets_agree_with_small_ones(spark):
+@pytest.mark.parametrize("limit", [0, 8 * 2**20])
+def test_large_sets_agree_with_small_ones(spark, monkeypatch, limit):
+    monkeypatch.setattr("plumbline.operators.members.BROADCAST_BYTES", limit)
     df = spark.range(5000).selectExpr("if(id % 10 = 0, null, id % 3000) AS c", "cast(id % 7 AS int) AS d")
     wanted = list(range(1200))
     large = one(df, pl.expect_column_values_to_be_in_set("c", wanted))
@@ -154,6 +156,20 @@ def test_large_sets_agree_with_small_ones(spark):
     pairs = one(df, pl.expect_column_pair_values_to_be_in_set("c", "d", allowed))
     assert pairs.missing_count == 0
     assert pairs.unexpected_count == df.filter("NOT coalesce(c < 40 AND d < 5, false)").count()
+    for policy, missing in (("any_value_is_missing", 500), ("never", 0), ("all_values_are_missing", 0)):
+        row = one(df, pl.expect_column_pair_values_to_be_in_set("c", "d", allowed, ignore_row_if=policy))
+        assert row.missing_count == missing and row.unexpected_count == pairs.unexpected_count - missing
+
+
+@pytest.mark.parametrize("limit", [0, 8 * 2**20])
+def test_large_sets_of_dates_hold_each_day_once(spark, monkeypatch, limit):
+    monkeypatch.setattr("plumbline.operators.members.BROADCAST_BYTES", limit)
+    first = datetime.date(2020, 1, 1)
+    days = [first + datetime.timedelta(i) for i in range(1200)]
+    df = spark.range(1300).selectExpr("date_add(DATE'2020-01-01', CAST(id AS INT)) AS c")
+    row = one(df, pl.expect_column_values_to_be_in_set("c", [*days, *[d.isoformat() for d in days], "20200101"]))
+    assert counts(row) == (1300, 0, 100)
+    assert one(df, pl.expect_column_values_to_be_between("c", "20200101", "20230801")).unexpected_count == 0
 
 
 def test_column_names_with_dots_and_backticks(spark):

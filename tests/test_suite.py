@@ -376,8 +376,24 @@ def test_comparison_shuffles_once(lines):
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" in plan
 
 
-def test_large_sets_are_not_broadcast_beyond_the_size_spark_allows(spark, lines):
+def test_sets_of_checked_size_meet_the_rows_and_fold_into_the_fused_pass(lines):
+    suite = pl.Suite(
+        [
+            pl.expect_column_values_to_be_in_set("l_partkey", range(2000)),
+            pl.expect_column_pair_values_to_be_in_set(
+                "l_linenumber", "l_suppkey", [(a, b) for a in range(5) for b in range(60)]),
+            pl.expect_column_values_to_be_between("l_tax", 0, 1),
+        ]
+    )
+    plan = plan_of(suite.verdicts(lines))
+    assert plan.count("FileScan") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert "hashpartitioning" not in plan
+
+
+def test_larger_sets_meet_the_frequency_table_by_a_join_spark_chooses(spark, lines, monkeypatch):
     rule = pl.expect_column_values_to_be_in_set("l_partkey", range(2000))
+    broadcast = one(lines, rule)
+    monkeypatch.setattr("plumbline.operators.members.BROADCAST_BYTES", 0)
     small = plan_of(pl.Suite([rule]).verdicts(lines))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
@@ -387,4 +403,4 @@ def test_large_sets_are_not_broadcast_beyond_the_size_spark_allows(spark, lines)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in small and "SortMergeJoin" in large
-    assert verdict == one(lines, rule)
+    assert verdict == one(lines, rule) == broadcast
