@@ -1,8 +1,8 @@
 """Checks on distinct values and keys: one frequency table per column (or key) for all of them.
 
 ``groupBy(value).count()`` combines on the map side, so a value that holds a third of all
-rows reaches the shuffle as one row per task. Everything after it works on distinct values.
-Only the most common value needs a further step, to one row per *count*.
+rows reaches the shuffle as one row per task. What every check asks of the table - counts, hits,
+ties for the most common value - is then one aggregate over the distinct values.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
-from plumbline.operators.members import ROW_JUDGES, with_members
+from plumbline.operators.members import ROW_JUDGES, member_count, with_members
 from plumbline.operators.verdict import counted, judged, rows
 from plumbline.rules import FrequencyRule
 
@@ -43,77 +43,58 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
 
     n, lost = F.col("n"), C.missing(keys, policy)
     kept = ~lost
-    # what each distinct value contributes
-    facts = {"k": _one_if(kept), "lost": _one_if(lost)}
+    sums = {
+        "elements": n,
+        "missing": F.when(lost, n),
+        "total": F.when(kept, n),
+        "distinct": F.when(kept, 1),
+        "repeated": F.when(kept & (n > 1), n),
+    }
+    tops = {}
     for rule in rules:
         mark = marks.get(rule.check_id)
         if mark:
-            facts[f"{mark}_h"] = _one_if(kept & F.col(mark).isNotNull())
+            hit = kept & F.col(mark).isNotNull()
+            sums[f"{mark}_hits"] = F.when(hit, 1)
+            sums[f"{mark}_rows"] = F.when(hit, n)
         if rule.judge == "kl":
             q = F.col(mark)
-            facts[f"{mark}_unseen"] = _one_if(kept & (q.isNull() | (q <= 0)))
-            facts[f"{mark}_s"] = F.when(kept & (q > 0), n * F.ln(F.try_divide(n.cast("double"), q)))
-    with_mode = any(rule.judge == "most_common" for rule in rules)
-    if with_mode:
-        # values with the same count are alike from here on: one row per count, to see all values of the top one
-        least = F.min(F.when(kept, keys[0])).alias("least")
-        counts = freq.groupBy("n").agg(*[F.sum(v).alias(name) for name, v in facts.items()], least)
-    else:
-        counts = freq.select("n", *[v.alias(name) for name, v in facts.items()])
-
-    k, some = F.col("k"), F.when(F.col("k") > 0, n)
-    final = [
-        F.sum(n * (k + F.col("lost"))).alias("elements"),
-        F.sum(n * F.col("lost")).alias("missing"),
-        F.sum(n * k).alias("total"),
-        F.sum(k).alias("distinct"),
-        F.sum(F.when(n > 1, n * k)).alias("repeated"),
-    ]
-    if with_mode:
-        final += [F.max_by(k, some).alias("modes"), F.max_by(F.col("least"), some).alias("mode")]
-    for rule in rules:
-        mark = marks.get(rule.check_id)
-        if mark:
-            h = F.col(f"{mark}_h")
-            final += [
-                F.sum(h).alias(f"{mark}_hits"),
-                F.sum(n * h).alias(f"{mark}_rows"),
-            ]
+            sums[f"{mark}_unseen"] = F.when(kept & (q.isNull() | (q <= 0)), 1)
+            sums[f"{mark}_s"] = F.when(kept & (q > 0), n * F.ln(F.try_divide(n.cast("double"), q)))
         if rule.judge == "most_common":
-            final.append(F.max_by(F.col(f"{mark}_h"), some).alias(f"{mark}_modes"))
-        if rule.judge == "kl":
-            final += [F.sum(f"{mark}_unseen").alias(f"{mark}_unseen"), F.sum(f"{mark}_s").alias(f"{mark}_s")]
-    keep_null = {"modes", "mode"} | {f"{m}_modes" for m in marks.values()}
-    one = counts.agg(*final)
-    one = one.select(
-        *[F.col(c) if c in keep_null or c.endswith("_s") else F.coalesce(F.col(c), F.lit(0)).alias(c)
-          for c in one.columns]
+            tops[f"{mark}_top"] = F.max(F.when(hit, n))
+    if tops:
+        # the first and last of the most frequent values: the same one unless there is a tie
+        tops["top"] = F.max(F.when(kept, n))
+        tops["first_mode"] = F.min(F.when(kept, F.struct((-n).alias("n"), keys[0].alias("v"))))["v"]
+        tops["last_mode"] = F.max(F.when(kept, F.struct(n.alias("n"), keys[0].alias("v"))))["v"]
+    one = freq.agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(name) for name, v in sums.items()],
+        *[v.alias(name) for name, v in tops.items()],
     )
-    return rows(one, [_judge(rule, marks.get(rule.check_id)) for rule in rules])
-
-
-def _one_if(condition: Column) -> Column:
-    return F.when(condition, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return rows(one, [_judge(rule, marks.get(rule.check_id), types) for rule in rules])
 
 
 _SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_common", *ROW_JUDGES}
 
 
-def _judge(rule: FrequencyRule, mark: str | None) -> dict:
+def _judge(rule: FrequencyRule, mark: str | None, types: Sequence[T.DataType]) -> dict:
     elements, missing, total = F.col("elements"), F.col("missing"), F.col("total")
-    distinct, size = F.col("distinct"), F.lit(len(rule.members))
+    distinct = F.col("distinct")
     base = {"element_count": elements, "missing_count": missing}
     hits = F.col(f"{mark}_hits") if mark else None
     if rule.judge == "distinct_in_set":
         return judged(rule, hits == distinct, observed_num=distinct, **base)
     if rule.judge == "distinct_contains":
-        return judged(rule, hits == size, observed_num=distinct, **base)
+        return judged(rule, hits == member_count(rule, types), observed_num=distinct, **base)
     if rule.judge == "distinct_equals":
-        return judged(rule, (hits == distinct) & (hits == size), observed_num=distinct, **base)
+        same = (hits == distinct) & (hits == member_count(rule, types))
+        return judged(rule, same, observed_num=distinct, **base)
     if rule.judge == "most_common":
-        modes, good = F.col("modes"), F.col(f"{mark}_modes")
-        success = good > 0 if rule.ties_okay else (modes == 1) & (good == 1)
-        return judged(rule, success, observed_text=F.col("mode"), **base)
+        success = F.col(f"{mark}_top") == F.col("top")
+        if not rule.ties_okay:
+            success = success & (F.col("first_mode") == F.col("last_mode"))
+        return judged(rule, success, observed_text=F.col("first_mode"), **base)
     if rule.judge == "unique_proportion":
         share = F.try_divide(distinct.cast("double"), total)
         return judged(rule, C.in_range(share, T.DoubleType(), rule.low, rule.high), observed_num=share, **base)

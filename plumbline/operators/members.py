@@ -26,6 +26,11 @@ def can_broadcast(rule: FrequencyRule, types: Sequence[T.DataType]) -> bool:
     return _set_as_table(rule, types).nbytes <= BROADCAST_BYTES
 
 
+def member_count(rule: FrequencyRule, types: Sequence[T.DataType]) -> int:
+    """Different members, as the column's type tells them apart."""
+    return _set_as_table(rule, types).num_rows
+
+
 def with_members(
     frame: DataFrame, rule: FrequencyRule, types: Sequence[T.DataType], names: Sequence[str], mark: str,
     broadcast: bool = False,

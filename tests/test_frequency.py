@@ -130,6 +130,7 @@ def test_numeric_weights_and_dates(spark):
     dates = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01'), (DATE'2024-01-02') AS t(c)")
     assert one(dates, kl("c", {"values": ["2024-01-01", "2024-01-02"], "weights": [0.5, 0.5]}, 0.1)).success
     assert one(dates, SAME("c", ["2024-01-01", "2024-01-02"])).success
+    assert one(dates, SAME("c", ["2024-01-01", "20240102", "2024-01-02"])).success
     decimals = spark.sql("SELECT CAST(x AS DECIMAL(5,1)) AS c FROM VALUES (1.5), (2.5) AS t(x)")
     assert one(decimals, kl("c", {"values": [1.5, 2.5], "weights": [0.5, 0.5]}, 0.1)).success
 
