@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plumbline as pl
-from tests.helpers import one, plan_of, run
+from tests.helpers import one, plan_of, run, scan_metrics
 
 
 @pytest.fixture(scope="module")
@@ -249,6 +249,8 @@ def test_latest_slice_reads_one_partition(spark, tmp_path):
     latest = pl.latest_slice(spark.read.parquet(path), "day")
     assert latest.count() == 20
     assert "PartitionFilters: [isnotnull(day" in plan_of(latest) and "Subquery" in plan_of(latest)
+    assert scan_metrics(latest, "numPartitions") == [1]
+    assert scan_metrics(spark.read.parquet(path), "numPartitions") == [5]
 
 
 def test_query_source(spark, people):
