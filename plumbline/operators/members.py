@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -62,8 +63,10 @@ def _set_as_table(rule: FrequencyRule, types: Sequence[T.DataType]) -> pa.Table:
             kind, values = pa.string(), [C.iso(v, dtype) for v in values]
         elif C.is_numeric(dtype) and any(isinstance(v, float) for v in values):
             kind, values = pa.float64(), [float(v) for v in values]
-        elif isinstance(dtype, T.IntegralType):
+        elif C.is_numeric(dtype) and all(isinstance(v, int) and abs(v) < 2**63 for v in values):
             kind = pa.int64()
+        elif C.is_numeric(dtype):
+            kind, values = None, [decimal.Decimal(v) for v in values]  # as wide as its members need
         else:
             kind = to_arrow_type(dtype)
         columns.append(values)

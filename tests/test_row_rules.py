@@ -1,6 +1,7 @@
 """Row predicates: a passing and a failing control each, nulls, empty tables, edges."""
 
 import datetime
+import decimal
 
 import pytest
 
@@ -172,6 +173,23 @@ def test_large_sets_of_dates_hold_each_day_once(spark, monkeypatch, limit):
     assert one(df, pl.expect_column_values_to_be_between("c", "20200101", "20230801")).unexpected_count == 0
 
 
+@pytest.mark.parametrize("limit", [0, 8 * 2**20])
+def test_large_sets_of_any_number(spark, monkeypatch, limit):
+    monkeypatch.setattr("plumbline.operators.members.BROADCAST_BYTES", limit)
+    df = spark.range(2000).selectExpr("id AS i", "CAST(id / 4 AS DECIMAL(6,2)) AS d", "id / 4 AS f")
+    quarters = [decimal.Decimal(n) / 4 for n in range(1200)]
+    for rule, bad in (
+        (pl.expect_column_values_to_be_in_set("i", [*range(1200), 10**30]), 800),
+        (pl.expect_column_values_to_be_in_set("i", [float(n) for n in range(1200)]), 800),
+        (pl.expect_column_values_to_be_in_set("d", quarters), 800),
+        (pl.expect_column_values_to_be_in_set("d", range(1200)), 1500),
+        (pl.expect_column_values_to_be_in_set("f", quarters), 800),
+        (pl.expect_column_values_to_be_in_set("f", [*range(1200)]), 1500),
+    ):
+        assert counts(one(df, rule)) == (2000, 0, bad)
+    assert not one(df, pl.expect_column_distinct_values_to_contain_set("i", [1, 10**30])).success
+
+
 def test_column_names_with_dots_and_backticks(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "`x.y` string, `t``k` int")
     rows = run(
