@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 import plumbline as pl
 from plumbline.sources.tables import shared_folder
 
+try:  # the operators for training data are a part that may be absent
+    import corpus_pipeline
+    from plumbline.llm import queries as llm
+except ModuleNotFoundError as absent:
+    if absent.name not in {"corpus_pipeline", "plumbline.llm"}:
+        raise
+    corpus_pipeline = llm = None
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -1351,8 +1359,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(_QUERIES) if llm is None else _QUERIES | llm.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    if llm is None:
+        return dict(_ORACLES)
+    return _ORACLES | llm.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
