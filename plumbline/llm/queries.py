@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, warc
+from plumbline.llm import bpe, chat, decontaminate, warc
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,23 @@ def op4_warc(spark, sf_dir):
     return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# ------------------------------------------------------------------ 5 BPE
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op5_bpe")
+def op5_bpe(spark, sf_dir):
+    encoded = bpe.encode(spark, table(spark, sf_dir, "documents"), tokenizer_file())
+    return bpe.decode(spark, encoded, tokenizer_file()).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 
 #: A conversation in another layout, whose texts hold the template's own control strings.
