@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chat, decontaminate, warc
+from plumbline.llm import bpe, chat, decontaminate, langid, toxicity, warc
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,25 @@ def op2_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+# ------------------------------------------------------------------ 3 toxicity
+
+
+def fold(doc_id: str, of: int, held: int):
+    """Whether a row is held out, by the CRC-32 of its id as text; a row without id is not."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == held, F.lit(False))
+
+
+def toxicity_model(spark, documents, labels):
+    return toxicity.train(spark, documents, labels.filter(~fold("doc_id", 5, 0)))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    scored = toxicity.score(spark, documents, toxicity_model(spark, documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", fold("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 # ------------------------------------------------------------------ 4 WARC
 
 
@@ -88,6 +107,20 @@ def op5_bpe(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------------ 6 language ID
+
+
+def language_model(documents):
+    return langid.train(documents.filter(~fold("doc_id", 4, 2)))
+
+
+@query("op6_langid")
+def op6_langid(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    found = langid.identify(spark, documents, language_model(documents))
+    return found.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 
 #: A conversation in another layout, whose texts hold the template's own control strings.
