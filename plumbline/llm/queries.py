@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chat, decontaminate, langid, toxicity, warc
+from plumbline.llm import bpe, chat, decontaminate, jaccard, langid, toxicity, warc
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,22 @@ def op8_chat(spark, sf_dir):
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
     )
+
+
+# ------------------------------------------------------------------ 9 n-gram Jaccard join
+
+
+@query(
+    "op9_jaccard",
+    f"""WITH RECURSIVE d AS (SELECT doc_id, md5(text) AS t, coalesce({WORDS_SQL}, []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+         JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+         GROUP BY a.doc_id, b.doc_id HAVING 5 * count(*) >= 4 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT r.a AS doc_id, min(r.b) AS class_id, (SELECT count(*) FROM link WHERE link.a = r.a) AS n_links FROM reach r GROUP BY r.a""",
+)
+def op9_jaccard(spark, sf_dir):
+    return jaccard.similar(table(spark, sf_dir, "documents"))
