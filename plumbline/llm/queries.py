@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, langid, toxicity, warc
+from plumbline.llm import ann, bpe, chat, decontaminate, jaccard, langid, toxicity, warc
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,12 @@ SELECT r.a AS doc_id, min(r.b) AS class_id, (SELECT count(*) FROM link WHERE lin
 )
 def op9_jaccard(spark, sf_dir):
     return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 10 approximate nearest neighbours
+
+
+@query("op10_ann")
+def op10_ann(spark, sf_dir):
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
