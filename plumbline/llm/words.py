@@ -75,7 +75,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def find_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = IN_WORD, fold: np.ndarray = LOWER) -> Words:
+    """Longest runs of bytes of one kind; kind 0 is outside words. Hashes are of the folded bytes."""
     starts, ends, hashes = [], [], []
     at, total = 0, len(data)
     edge = np.zeros(0, np.int64)
@@ -84,7 +85,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
         if stop < total:  # never cut a word in two: go on to the next byte outside a word, or the next text
             tail = stop
             while True:
-                run = IN_WORD[data[tail : tail + 4096]]
+                run = kinds[data[tail : tail + 4096]] > 0
                 if not run.all() or tail + 4096 >= total:
                     tail += int(np.argmin(run)) if not run.all() else len(run)
                     break
@@ -92,17 +93,18 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
             after = offsets[np.searchsorted(offsets, stop)]
             stop = int(min(tail, after, total))
         part = data[at:stop]
-        inside = IN_WORD[part]
+        kind = kinds[part]
+        inside = kind > 0
         edge = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at
         new = inside.copy()
-        new[1:] &= ~inside[:-1]
+        new[1:] &= kind[1:] != kind[:-1]
         new[edge] = inside[edge]
         last = inside.copy()
         last[:-1] &= ~inside[1:] | new[1:]
         s, e = np.flatnonzero(new), np.flatnonzero(last) + 1
         up, down = _powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_VALUE[LOWER[part]] * up[: len(part)], out=sums[1:])
+        np.cumsum(_VALUE[fold[part]] * up[: len(part)], out=sums[1:])
         hashes.append(_mixed((sums[e] - sums[s]) * down[s]))
         starts.append(s + at)
         ends.append(e + at)
@@ -117,6 +119,41 @@ def words_of(column: pa.Array) -> Words:
     return find_words(*text_bytes(column))
 
 
+#: Words (1) and runs of ASCII punctuation (2).
+MARKS = IN_WORD.astype(np.uint8)
+MARKS[33:127] = np.where(IN_WORD[33:127], 1, 2)
+
+
+def tokens_of(column: pa.Array) -> Words:
+    """Words and runs of punctuation, with upper and lower case told apart."""
+    return find_words(*text_bytes(column), MARKS, np.arange(256, dtype=np.uint8))
+
+
+class Lookup:
+    """Values by 64-bit key for many keys at once: sorted keys, entered by their leading bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float):
+        order = np.argsort(keys)
+        self.keys, self.values, self.missing = keys[order], values[order], missing
+        bits = max(4, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        out = np.full(len(asked), self.missing, self.values.dtype)
+        bucket = (asked >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        open_ = np.flatnonzero(at < end)
+        at, end = at[open_], end[open_]
+        while len(open_):
+            found = self.keys[at] == asked[open_]
+            out[open_[found]] = self.values[at[found]]
+            at += 1
+            more = ~found & (at < end)
+            open_, at, end = open_[more], at[more], end[more]
+        return out
+
+
 def pieces(column: pa.Array, most: int = 4 * BLOCK):
     """(first, last) rows of consecutive slices of about ``most`` bytes; a longer text is a slice by itself."""
     column = column.cast(pa.large_binary()).fill_null(b"")
