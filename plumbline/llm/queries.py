@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ann, bpe, chat, decontaminate, jaccard, langid, quality, toxicity, warc
+from plumbline.llm import ann, bpe, chat, decontaminate, jaccard, langid, lmscore, quality, toxicity, warc
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,15 @@ def op6_langid(spark, sf_dir):
     return found.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+# ------------------------------------------------------------------ 7 language-model scores
+
+
+@query("op7_lmscore")
+def op7_lmscore(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return lmscore.score(spark, documents, lmscore.train(spark, documents))
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 
 #: A conversation in another layout, whose texts hold the template's own control strings.
