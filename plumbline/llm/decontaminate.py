@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import written
+from plumbline.llm.store import same_rows, text_digest, written
 from plumbline.llm.words import grams, pieces, words_of
 
 #: Words of a window, and of the k-grams whose minimum is its fingerprint.
@@ -120,14 +120,15 @@ def _seeds(lengths: list[int], bits):
                 )
                 first = np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(np.diff(w.first)), pa.ListArray.from_arrays(pa.array(first), hit)], names=["doc_id", "n_words", "seeds"]
+                    [ids.slice(a, b - a), batch.column("digest").slice(a, b - a), pa.array(np.diff(w.first)), pa.ListArray.from_arrays(pa.array(first), hit)],
+                    names=["doc_id", "digest", "n_words", "seeds"],
                 )
 
     return run
 
 
 def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
-    """Rows (doc_id, n_words, n_hit, n_items, items, contaminated), one per document row.
+    """Rows (doc_id, digest, n_words, n_hit, n_items, items, contaminated), one per document row; the digest is of the text.
 
     ``items`` are the ids of items with a window in the document, sorted as strings. A document is
     contaminated if any word is hit and the hit words are at least one in ``share``.
@@ -136,8 +137,8 @@ def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFram
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most WINDOW values
     bits = spark.sparkContext.broadcast(np.packbits(bit_map(windows)).tobytes())
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seeds = texts.mapInArrow(
-        _seeds(lengths, bits), "doc_id bigint, n_words bigint, seeds array<struct<start:int,length:int,mark:bigint,words:string>>"
+    seeds = texts.withColumn("digest", text_digest()).mapInArrow(
+        _seeds(lengths, bits), "doc_id bigint, digest binary, n_words bigint, seeds array<struct<start:int,length:int,mark:bigint,words:string>>"
     )
     scanned = written(seeds.withColumn("row", F.monotonically_increasing_id()), "seeds")
 
@@ -156,9 +157,15 @@ def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFram
     named = owned.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return (
-        scanned.select("row", "doc_id", "n_words").join(covered, "row", "left").join(named, "row", "left")
+        scanned.select("row", "doc_id", "digest", "n_words").join(covered, "row", "left").join(named, "row", "left")
         .select(
-            "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+            "doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
         )
     )
+
+
+def accepted(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, all columns, that are not contaminated."""
+    found = decontaminate(spark, documents, benchmark).filter("contaminated")
+    return same_rows(documents, found, "left_anti").drop("__digest")

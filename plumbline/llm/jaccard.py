@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
-from plumbline.llm.store import written
+from plumbline.llm.store import same_rows, text_digest, written
 from plumbline.llm.words import _mixed, grams, pieces, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -210,11 +210,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(links[kept]), pa.array(roots)], names=["node", "links", "root"])
 
 
-def similar(documents: DataFrame) -> DataFrame:
-    """Rows (doc_id, class_id, n_links), one per document row: its class of documents that hang together by
-    links of similarity THRESHOLD or more, and the number of documents linked to it directly, copies included."""
+def classes(documents: DataFrame) -> DataFrame:
+    """Rows (doc_id, digest, class_id, n_links, first), one per document row: its text's digest, its class of
+    documents that hang together by links of similarity THRESHOLD or more, the number of documents linked to it
+    directly, copies included, and whether it is the one document that stands for its class."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.select("doc_id", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("digest"), "text")
+    texts = texts.select("doc_id", text_digest().alias("digest"), "text")
     signed = texts.mapInArrow(_sign, "doc_id bigint, digest binary, signature binary").filter("signature IS NOT NULL")
     # one node per text, combined before the shuffle
     distinct = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"))
@@ -241,10 +242,26 @@ def similar(documents: DataFrame) -> DataFrame:
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     placed = nodes.select("node", "digest", "rep", "copies").join(labels, "node", "left").join(links, "node", "left")
     placed = placed.withColumn("label", F.coalesce("label", "node"))
-    names = placed.groupBy("label").agg(F.min("rep").alias("class_id"))
-    classes = placed.join(names, "label").select(
-        "digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"), F.lit(True).alias("worded")
-    )
-    return texts.select("doc_id", "digest").join(classes, "digest", "left").select(
-        "doc_id", F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
-    )
+    # the smallest doc_id of a class, and the text it has; nulls last
+    last = F.lit((1 << 63) - 1)
+    names = placed.groupBy("label").agg(F.min(F.struct(F.coalesce("rep", last).alias("id"), "digest")).alias("least"))
+    known = placed.join(names, "label").select(
+        "digest", F.nullif("least.id", last).alias("class_id"), F.col("least.digest").alias("best"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"), F.lit(True).alias("worded"),
+    )
+    worded, row = F.coalesce("worded", F.lit(False)), texts.select("doc_id", "digest").join(known, "digest", "left")
+    return row.select(
+        "doc_id", "digest", F.when(worded, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        (~worded | (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("best")))).alias("first"),
+    )
+
+
+def similar(documents: DataFrame) -> DataFrame:
+    """Rows (doc_id, class_id, n_links), one per document row."""
+    return classes(documents).select("doc_id", "class_id", "n_links")
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One document, all columns, of each class; rows that repeat id and text are one document."""
+    kept = classes(documents).filter("first")
+    return same_rows(documents, kept, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")

@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,48 +186,69 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE, chunks: int =
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
 
+def predict(texts: pa.Array, m: Model | None) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
+    """Language, its share of the words, and runs of words of one language, for each text."""
+    count = len(texts)
+    w = words_of(texts)
+    n = np.diff(w.first)
+    ascii_letter = np.zeros(256, bool)
+    ascii_letter[65:91] = ascii_letter[97:123] = True
+    letters = np.concatenate([[0], np.cumsum(ascii_letter[w.data])])
+    sizes = pc.binary_length(texts.cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    has = letters[ends] > letters[ends - sizes]
+    for i in np.flatnonzero(~has & (n > 0)).tolist():  # letters beyond ASCII
+        has[i] = any(map(str.isalpha, texts[i].as_py()))
+    names, score = np.full(count, "und", object), np.zeros(count)
+    spans: list[list[dict]] = [[] for _ in range(count)]
+    if m is None or not len(w.hash):
+        return names, score, spans
+    share, _, _ = forward_backward(emissions(w, m), w.first, m.start, m.moves)
+    sums = np.concatenate([np.zeros((1, share.shape[1])), np.cumsum(share, axis=0)])
+    total = (sums[w.first[1:]] - sums[w.first[:-1]]) / np.maximum(n, 1)[:, None]
+    best = total.argmax(axis=1)
+    names[has] = np.array(m.languages, object)[best[has]]
+    score[has] = np.clip(total[np.arange(count), best][has], 0, 1)
+    label = share.argmax(axis=1)
+    edge = np.zeros(len(label) + 1, bool)
+    edge[1:-1] = label[1:] != label[:-1]
+    edge[w.first] = True
+    at = np.flatnonzero(edge)
+    owner = np.searchsorted(w.first, at[:-1], side="right") - 1
+    for s, e, i in zip(at[:-1].tolist(), at[1:].tolist(), owner.tolist()):
+        if has[i]:
+            spans[i].append({"start": s - int(w.first[i]), "end": e - int(w.first[i]), "lang": m.languages[label[s]]})
+    return names, score, spans
+
+
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model | None = model.value
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
+            texts = batch.column("text")
             for a, b in pieces(texts):
-                part = texts.slice(a, b - a)
-                w = words_of(part)
-                n = np.diff(w.first)
-                ascii_letter = np.zeros(256, bool)
-                ascii_letter[65:91] = ascii_letter[97:123] = True
-                letters = np.concatenate([[0], np.cumsum(ascii_letter[w.data])])
-                sizes = pa.compute.binary_length(part.cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
-                ends = np.cumsum(sizes)
-                has = letters[ends] > letters[ends - sizes]
-                for i in np.flatnonzero(~has & (n > 0)).tolist():  # letters beyond ASCII
-                    has[i] = any(map(str.isalpha, part[i].as_py()))
-                names, score = np.full(b - a, "und", object), np.zeros(b - a)
-                spans: list[list] = [[] for _ in range(b - a)]
-                if m is not None and len(w.hash):
-                    share, _, _ = forward_backward(emissions(w, m), w.first, m.start, m.moves)
-                    sums = np.concatenate([np.zeros((1, share.shape[1])), np.cumsum(share, axis=0)])
-                    total = (sums[w.first[1:]] - sums[w.first[:-1]]) / np.maximum(n, 1)[:, None]
-                    best = total.argmax(axis=1)
-                    names[has] = np.array(m.languages, object)[best[has]]
-                    score[has] = np.clip(total[np.arange(b - a), best][has], 0, 1)
-                    label = share.argmax(axis=1)
-                    edge = np.zeros(len(label) + 1, bool)
-                    edge[1:-1] = label[1:] != label[:-1]
-                    edge[w.first] = True
-                    at = np.flatnonzero(edge)
-                    owner = np.searchsorted(w.first, at[:-1], side="right") - 1
-                    for s, e, i in zip(at[:-1].tolist(), at[1:].tolist(), owner.tolist()):
-                        if has[i]:
-                            spans[i].append({"start": s - int(w.first[i]), "end": e - int(w.first[i]), "lang": m.languages[label[s]]})
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(spans, _SPANS)], names=["doc_id", "lang_pred", "score", "spans"]
-                )
+                names, score, spans = predict(texts.slice(a, b - a), model.value)
+                arrays = [batch.column("doc_id").slice(a, b - a), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(spans, _SPANS)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score", "spans"])
 
     return run
 
 
+def _accept(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in pieces(texts):
+                names, _, _ = predict(texts.slice(a, b - a), model.value)
+                yield batch.slice(a, b - a).filter(pa.array((names != "und").astype(bool)))
+
+    return run
+
+
+def accepted(spark: SparkSession, documents: DataFrame, model: Model | None) -> DataFrame:
+    """The documents, all columns, whose text has a language; without a model none has."""
+    return documents.mapInArrow(_accept(spark.sparkContext.broadcast(model)), documents.schema)
+
+
 def identify(spark: SparkSession, documents: DataFrame, model: Model | None) -> DataFrame:
     """Rows (doc_id, lang_pred, score, spans): the language of most words, its share, and runs of words of one language."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

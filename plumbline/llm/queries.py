@@ -107,14 +107,18 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@query("op5_bpe")
-def op5_bpe(spark, sf_dir):
-    encoded = bpe.encode(spark, table(spark, sf_dir, "documents"), tokenizer_file())
+def encoded_digests(spark, documents):
+    encoded = bpe.encode(spark, documents, tokenizer_file())
     return bpe.decode(spark, encoded, tokenizer_file()).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
+@query("op5_bpe")
+def op5_bpe(spark, sf_dir):
+    return encoded_digests(spark, table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------------ 6 language ID
 
 

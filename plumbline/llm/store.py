@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.sources.tables import shared_folder
 
@@ -30,3 +31,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def text_digest(column: str = "text"):
+    """128 bits that stand for a text; null for null."""
+    return F.unhex(F.md5(F.encode(F.col(column).cast("string"), "UTF-8")))
+
+
+def same_rows(documents: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """The documents, all columns, that have (``left_semi``) or lack (``left_anti``) a row (doc_id, digest) in ``chosen``; nulls match nulls."""
+    keyed = documents.withColumn("__digest", text_digest()).alias("d")
+    c = chosen.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__other")).distinct().alias("c")
+    met = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("c.__id")) & F.col("d.__digest").eqNullSafe(F.col("c.__other"))
+    return keyed.join(c, met, how)

@@ -114,31 +114,45 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SEGMENTS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
+def judge(texts: pa.Array, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[dict]], np.ndarray]:
+    """Words, best segment, surprise, significant passages and probability of each text."""
+    w = words_of(texts)
+    count, n = len(texts), np.diff(w.first)
+    scores = word_scores(w.hash, m)
+    passages: list[list[dict]] = [[] for _ in range(count)]
+    top, rare = np.zeros(count), np.zeros(count)
+    marked = np.unique(np.searchsorted(w.first, np.flatnonzero(scores > 0), side="right") - 1)
+    for i in marked.tolist():
+        found = segments(scores[w.first[i] : w.first[i + 1]])
+        rare[i] = surprise(found, int(n[i]), m)
+        top[i] = max(s for _, _, s in found)
+        least = math.log(max(m.scale * n[i], 1e-300) / SIGNIFICANT) / m.decay
+        passages[i] = [{"start": s, "end": e, "score": x} for s, e, x in found if x >= least]
+    return n, top, rare, passages, 1 / (1 + np.exp(-np.clip(m.offset + m.slope * rare, -700, 700)))
+
+
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
+            texts = batch.column("text")
             for a, b in pieces(texts):
-                w = words_of(texts.slice(a, b - a))
-                scores = word_scores(w.hash, m)
-                n = np.diff(w.first)
-                kept, rare = [[] for _ in range(b - a)], np.zeros(b - a)
-                top = np.zeros(b - a)
-                marked = np.unique(np.searchsorted(w.first, np.flatnonzero(scores > 0), side="right") - 1)
-                for i in marked.tolist():
-                    found = segments(scores[w.first[i] : w.first[i + 1]])
-                    rare[i] = surprise(found, int(n[i]), m)
-                    top[i] = max(s for _, _, s in found)
-                    least = math.log(max(m.scale * n[i], 1e-300) / SIGNIFICANT) / m.decay
-                    kept[i] = [{"start": s, "end": e, "score": x} for s, e, x in found if x >= least]
-                score = 1 / (1 + np.exp(-np.clip(m.offset + m.slope * rare, -700, 700)))
-                arrays = [ids.slice(a, b - a), pa.array(n), pa.array(top), pa.array(rare), pa.array(kept, _SEGMENTS), pa.array(score)]
+                n, top, rare, passages, score = judge(texts.slice(a, b - a), model.value)
+                arrays = [batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(top), pa.array(rare), pa.array(passages, _SEGMENTS), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "top", "rare", "passages", "score"])
 
     return run
 
 
+def _accept(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in pieces(texts):
+                yield batch.slice(a, b - a).filter(pa.array(judge(texts.slice(a, b - a), model.value)[-1] < 0.5))
+
+    return run
+
+
 SCORED = "doc_id bigint, n_words bigint, top double, rare double, passages array<struct<start:int,end:int,score:double>>, score double"
 
 
@@ -224,3 +238,7 @@ def score(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     scored = _scores(spark, _texts(documents), model)
     return scored.select("doc_id", "n_words", "passages", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
+
+def accepted(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, that are not predicted toxic."""
+    return documents.mapInArrow(_accept(spark.sparkContext.broadcast(model)), documents.schema)
