@@ -87,11 +87,23 @@ def literal(value: object, dtype: T.DataType) -> Column:
     return F.lit(value)
 
 
+def inside_a_day(value: object, dtype: T.DataType) -> bool:
+    """Is ``value`` a moment other than midnight, compared with a column of dates?"""
+    if not isinstance(dtype, T.DateType):
+        return False
+    moment = datetime.datetime.fromisoformat(str(value))
+    return moment.time() != datetime.time(0)
+
+
 def in_range(c: Column, dtype: T.DataType, low: object = None, high: object = None) -> Column:
-    """Inclusive range; a ``None`` side is open. NaN sorts above every number, so it is refused."""
+    """Inclusive range; a ``None`` side is open. NaN sorts above every number, so it is refused.
+
+    A date stands for its midnight: it lies below any later moment of its day.
+    """
     tests = []
     if low is not None:
-        tests.append(c >= literal(low, dtype))
+        bound = literal(low, dtype)
+        tests.append(c > bound if inside_a_day(low, dtype) else c >= bound)
     if high is not None:
         tests.append(c <= literal(high, dtype))
     if is_float(dtype):
@@ -110,8 +122,8 @@ def count_where(condition: Column) -> Column:
 
 
 def in_values(c: Column, dtype: T.DataType, values: Iterable[object]) -> Column:
-    """Membership; null for a null, also in the empty set."""
-    literals = [literal(v, dtype) for v in values]
+    """Membership; null for a null, also in the empty set. No date equals a moment inside a day."""
+    literals = [literal(v, dtype) for v in values if not inside_a_day(v, dtype)]
     return c.isin(*literals) if literals else F.when(c.isNotNull(), F.lit(False))
 
 
@@ -135,13 +147,50 @@ def row_sum(cols: Sequence[Column], dtypes: Sequence[T.DataType]) -> Column:
     return reduce(add, cols)
 
 
-def some_pair_equal(cols: Sequence[Column]) -> Column:
-    """True when two of the columns hold the same non-null value in this row."""
-    if len(cols) <= 5:
-        pairs = [a == b for i, a in enumerate(cols) for b in cols[i + 1 :]]
-        return F.coalesce(any_of([F.coalesce(p, F.lit(False)) for p in pairs]), F.lit(False))
-    present = F.array_compact(F.array(*cols))
-    return F.size(F.array_distinct(present)) < F.size(present)
+FAMILIES = (
+    ("number", T.NumericType), ("text", T.StringType), ("time", (T.DateType, T.TimestampType, T.TimestampNTZType)),
+    ("boolean", T.BooleanType), ("binary", T.BinaryType),
+)
+
+
+def family(dtype: T.DataType) -> str | None:
+    """Types of one family can be compared with each other without reading one as the other; None cannot be compared."""
+    for name, kinds in FAMILIES:
+        if isinstance(dtype, kinds):
+            return name
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        return dtype.simpleString()
+    return None
+
+
+def incomparable(names: Sequence[str], dtypes: Sequence[T.DataType]) -> str | None:
+    """Why the columns cannot be compared with each other, or None if they can."""
+    families = [family(t) for t in dtypes]
+    for name, dtype, kind in zip(names, dtypes, families):
+        if kind is None:
+            return f"{name} is {type_name(dtype)}, which cannot be compared"
+        if kind != families[0]:
+            return f"{name} is {type_name(dtype)}, not comparable with {names[0]}, which is {type_name(dtypes[0])}"
+    return None
+
+
+def same_value(a: Column, b: Column, a_type: T.DataType, b_type: T.DataType) -> Column:
+    """``a == b``; an integer equals a floating-point number only if it is exactly that number."""
+    if is_float(a_type) and isinstance(b_type, T.IntegralType):
+        return same_value(b, a, b_type, a_type)
+    if isinstance(a_type, T.IntegralType) and is_float(b_type):
+        whole = b.try_cast("bigint")  # null beyond 64 bits; rounds, so the numbers must agree as such, too
+        return F.when(a.isNotNull() & b.isNotNull(), F.coalesce((whole == a) & (a.cast("double") == b), F.lit(False)))
+    return a == b
+
+
+def some_pair_equal(cols: Sequence[Column], dtypes: Sequence[T.DataType]) -> Column:
+    """True when two of the columns hold the same non-null value in this row, whatever other columns there are."""
+    pairs = [
+        F.coalesce(same_value(cols[i], cols[j], dtypes[i], dtypes[j]), F.lit(False))
+        for i in range(len(cols)) for j in range(i + 1, len(cols))
+    ]
+    return any_of(pairs)
 
 
 def as_text(cols: Sequence[Column], names: Sequence[str]) -> Column:

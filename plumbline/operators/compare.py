@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
-from plumbline.operators.verdict import judged, rows
+from plumbline.operators.verdict import judged, local_rows, rows
 from plumbline.rules import Rule
 
 
@@ -25,6 +25,25 @@ def _tagged(left: DataFrame, right: DataFrame, on: Sequence[str], right_on: Sequ
     return a.unionByName(b).groupBy(*names).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
 
 
+def _incomparable(left: DataFrame, right: DataFrame, on: Sequence[str], right_on: Sequence[str] | None) -> str | None:
+    for a, b in zip(on, right_on or on):
+        why = C.incomparable([f"left {a}", f"right {b}"], [left.schema[a].dataType, right.schema[b].dataType])
+        if why:
+            return why
+    return None
+
+
+def _failed(left: DataFrame, kind: str, columns: Sequence[str], check_id: str, why: str) -> DataFrame:
+    return local_rows(
+        left.sparkSession,
+        [
+            {"check_id": f"{check_id}.missing_from_{side}", "kind": kind, "columns": ",".join(columns), "success": False,
+             "observed_text": why}
+            for side in ("right", "left")
+        ],
+    )
+
+
 def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two one-row frames of different columns as one row, without a join."""
     both = left.unionByName(right, allowMissingColumns=True)
@@ -43,7 +62,13 @@ def compare_keys(
     left: DataFrame, right: DataFrame, on: Sequence[str], right_on: Sequence[str] | None = None,
     check_id: str = "compare_keys",
 ) -> DataFrame:
-    """Two verdicts: every key of each table also occurs in the other. Counts are of distinct keys."""
+    """Two verdicts: every key of each table also occurs in the other. Counts are of distinct keys.
+
+    Keys of types that cannot be compared make two failed verdicts with the reason.
+    """
+    why = _incomparable(left, right, on, right_on)
+    if why:
+        return _failed(left, "compare_keys", on, check_id, why)
     keys = _tagged(left, right, on, right_on).agg(
         C.count_where(F.col("l") > 0).alias("in_left"),
         C.count_where(F.col("r") > 0).alias("in_right"),
@@ -78,6 +103,9 @@ def compare_aggregates(
 
 def row_differences(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (as a bag) that one table holds more often than the other: columns, ``only_left``, ``only_right``."""
+    why = _incomparable(left, right, columns, None)
+    if why:
+        raise ValueError(why)
     surplus = F.col("l") - F.col("r")
     return (
         _tagged(left, right, columns, None)
@@ -93,7 +121,10 @@ def row_differences(left: DataFrame, right: DataFrame, columns: Sequence[str]) -
 def compare_rows(
     left: DataFrame, right: DataFrame, columns: Sequence[str], check_id: str = "compare_rows"
 ) -> DataFrame:
-    """Two verdicts: each table, as a bag of rows, is contained in the other."""
+    """Two verdicts: each table, as a bag of rows, is contained in the other; failed with the reason if types cannot be compared."""
+    why = _incomparable(left, right, columns, None)
+    if why:
+        return _failed(left, "compare_rows", columns, check_id, why)
     surplus = F.col("l") - F.col("r")
     totals = _tagged(left, right, columns, None).agg(
         F.coalesce(F.sum("l"), F.lit(0)).alias("in_left"),

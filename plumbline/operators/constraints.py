@@ -4,27 +4,26 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from plumbline.operators.verdict import judged, local_rows, rows
+from plumbline.operators.verdict import local_rows
 from plumbline.rules import ConstraintRule
 
 
 def constraint_verdict(df: DataFrame, rule: ConstraintRule) -> DataFrame:
     """A verdict row instead of an exception: one violated constraint must not lose the report.
 
-    Nor must a query that cannot be analysed, say because a column is gone; its verdict holds the reason.
+    Nor must a query that cannot be analysed, say because a column is gone, or one that fails while
+    it runs: it is counted here, and its verdict holds the reason.
     """
+    base = {"check_id": rule.check_id, "kind": rule.kind, "columns": ""}
     try:
-        found = _run(df, rule.query).agg(F.count(F.lit(1)).alias("found"))
-    except AnalysisException as error:
-        why = str(error).splitlines()[0]
-        record = {"check_id": rule.check_id, "kind": rule.kind, "columns": "", "success": False, "observed_text": why}
-        return local_rows(df.sparkSession, [record])
-    n = F.col("found")
-    return rows(found, [judged(rule, n == 0, unexpected_count=n, observed_num=n)])
+        n = _run(df, rule.query).count()
+    except PySparkException as error:
+        why = (error.getMessage() or str(error)).splitlines()[0]
+        return local_rows(df.sparkSession, [{**base, "success": False, "observed_text": why}])
+    return local_rows(df.sparkSession, [{**base, "success": n == 0, "unexpected_count": n, "observed_num": float(n)}])
 
 
 def _run(df: DataFrame, query: str) -> DataFrame:

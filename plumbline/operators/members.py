@@ -28,8 +28,13 @@ def can_broadcast(rule: FrequencyRule, types: Sequence[T.DataType]) -> bool:
 
 
 def member_count(rule: FrequencyRule, types: Sequence[T.DataType]) -> int:
-    """Different members, as the column's type tells them apart."""
-    return _set_as_table(rule, types).num_rows
+    """Different members, as the column's type tells them apart, with those it can never hold."""
+    never = [m for m in dict.fromkeys(rule.members) if _impossible(m, types)]
+    return _set_as_table(rule, types).num_rows + len(never)
+
+
+def _impossible(member: Sequence[object], types: Sequence[T.DataType]) -> bool:
+    return any(C.inside_a_day(v, t) for v, t in zip(member, types))
 
 
 def with_members(
@@ -46,7 +51,8 @@ def with_members(
     local = frame.sparkSession.createDataFrame(_set_as_table(rule, types))
     keys = [f"{mark}_{i}" for i in range(len(names))]
     side = local.select(
-        *[F.col(f"k{i}").cast(t if C.is_temporal(t) else local.schema[f"k{i}"].dataType).alias(key)
+        # texts take the column's collation
+        *[F.col(f"k{i}").cast(t if C.is_temporal(t) or isinstance(t, T.StringType) else local.schema[f"k{i}"].dataType).alias(key)
           for i, (key, t) in enumerate(zip(keys, types))],
         (F.col("q") if rule.weights else F.lit(True)).alias(mark),
     )
@@ -57,8 +63,9 @@ def with_members(
 def _set_as_table(rule: FrequencyRule, types: Sequence[T.DataType]) -> pa.Table:
     """Columns k0, k1, .. (and the weights as q), each member once."""
     columns, kinds = [], []
+    possible = [k for k, m in enumerate(rule.members) if not _impossible(m, types)]
     for i, dtype in enumerate(types):
-        values = [m[i] for m in rule.members]
+        values = [rule.members[k][i] for k in possible]
         if C.is_temporal(dtype):
             kind, values = pa.string(), [C.iso(v, dtype) for v in values]
         elif C.is_numeric(dtype) and any(isinstance(v, float) for v in values):
@@ -72,7 +79,7 @@ def _set_as_table(rule: FrequencyRule, types: Sequence[T.DataType]) -> pa.Table:
         columns.append(values)
         kinds.append(kind)
     rows = list(zip(*columns))
-    weights = list(rule.weights)
+    weights = [rule.weights[k] for k in possible] if rule.weights else []
     if not weights:
         rows = list(dict.fromkeys(rows))
     arrays = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]

@@ -10,7 +10,7 @@ frequency, key, membership   one frequency table per column (or key) for all of
 in a very large set          its checks
 exact quantiles              two or more small jobs, see ``operators.quantiles``
 schema                       no job
-SQL constraints              as written
+SQL constraints              as written, one count each
 ===========================  ==================================================
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ class Suite:
     def verdicts(self, df: DataFrame, stage: bool = False) -> DataFrame:
         """One row per applicable rule.
 
-        Lazy, except that exact quantiles run their searches here. With ``stage`` the needed
+        Lazy, except that exact quantiles run their searches and constraints their counts here. With ``stage`` the needed
         columns are first written to the shared folder, for a source that is expensive to
         compute and would otherwise be computed once per plan.
         """
@@ -167,5 +168,13 @@ def _check_patterns(df: DataFrame, rules: Sequence[Rule]) -> None:
     probe = local_frame(df.sparkSession, {"text": "string"}, [[""]]).select(*[F.col("text").rlike(p) for p in patterns])
     try:
         probe.collect()
-    except Exception as error:
-        raise ValueError(f"one of the patterns is not a valid regular expression: {patterns}") from error
+    except PySparkException as error:
+        bad = patterns
+        if len(patterns) > 1:  # which one?
+            for pattern in patterns:
+                try:
+                    probe.sparkSession.range(1).select(F.lit("").rlike(pattern)).collect()
+                except PySparkException:
+                    bad = [pattern]
+                    break
+        raise ValueError(f"not a valid regular expression: {bad[0]!r}") from error

@@ -6,6 +6,7 @@ no data; ``plumbline.plans.suite.Suite`` turns many of them into few DataFrames.
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -30,6 +31,7 @@ class Rule:
     check_id: str | None = None
     literals: tuple[object, ...] = ()  # compared with every column of the rule
     numeric: bool = False  # does the check only make sense on numbers?
+    compared: bool = False  # are the columns compared with each other?
 
     def misfit(self, dtypes: Sequence[T.DataType]) -> str | None:
         """Why the check cannot run on columns of these types, or None if it can."""
@@ -39,7 +41,7 @@ class Rule:
             odd = [v for v in self.literals if not C.accepts(dtype, v)]
             if odd:
                 return f"{name} is {C.type_name(dtype)}, not comparable with {odd[0]!r}"
-        return None
+        return C.incomparable(self.columns, dtypes) if self.compared else None
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -130,7 +132,8 @@ def _bounds(low: object, high: object) -> tuple[object, ...]:
         raise ValueError("give min_value, max_value or both")
     if any(isinstance(v, float) and math.isnan(v) for v in given):
         raise ValueError("a bound may not be NaN")
-    if len(given) == 2 and type(low) is type(high) and low > high:  # type: ignore[operator]
+    numbers = all(isinstance(v, (int, float, decimal.Decimal)) and not isinstance(v, bool) for v in given)
+    if len(given) == 2 and (numbers or type(low) is type(high)) and low > high:  # type: ignore[operator]
         raise ValueError(f"min_value {low!r} is above max_value {high!r}")
     return given
 
@@ -292,7 +295,7 @@ def expect_column_pair_values_a_to_be_greater_than_b(
 ) -> RowRule:
     return RowRule(
         kind="expect_column_pair_values_a_to_be_greater_than_b", columns=_columns((column_A, column_B), 2),
-        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if),
+        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if), compared=True,
         holds=lambda c, t: c[0] > c[1],
     )
 
@@ -303,8 +306,8 @@ def expect_column_pair_values_to_be_equal(
 ) -> RowRule:
     return RowRule(
         kind="expect_column_pair_values_to_be_equal", columns=_columns((column_A, column_B), 2),
-        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if),
-        holds=lambda c, t: c[0].eqNullSafe(c[1]),
+        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if), compared=True,
+        holds=lambda c, t: F.coalesce(C.same_value(*c, *t), c[0].isNull() & c[1].isNull()),
     )
 
 
@@ -360,8 +363,8 @@ def expect_select_column_values_to_be_unique_within_record(
     """The columns of one row hold pairwise different values; a null never equals anything."""
     return RowRule(
         kind="expect_select_column_values_to_be_unique_within_record", columns=_columns(column_list, 2),
-        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if),
-        holds=lambda c, t: ~C.some_pair_equal(c),
+        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if), compared=True,
+        holds=lambda c, t: ~C.some_pair_equal(c, t),
     )
 
 

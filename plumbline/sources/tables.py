@@ -14,10 +14,24 @@ from plumbline.functions import columns as C
 
 
 def query_source(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
-    """The rows of a query; ``tables`` are made visible to it as temporary views."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """The rows of a query; ``tables`` are visible to it, and only to it, under their names."""
+    before = {name: _view(spark, name) for name in tables}
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(query)  # analysed here: the names are not needed later
+    finally:
+        for name, view in before.items():
+            if view is None:
+                spark.catalog.dropTempView(name)
+            else:
+                view.createOrReplaceTempView(name)
+
+
+def _view(spark: SparkSession, name: str) -> DataFrame | None:
+    """The caller's own temporary view of that name."""
+    there = any(t.isTemporary and t.name == name.lower() for t in spark.catalog.listTables(pattern=name.lower()))
+    return spark.table(C.quoted(name)) if there else None
 
 
 def latest_slice(df: DataFrame, column: str) -> DataFrame:
@@ -31,7 +45,8 @@ def latest_slice(df: DataFrame, column: str) -> DataFrame:
 
 
 def today_slice(df: DataFrame, column: str, today: datetime.date | None = None) -> DataFrame:
-    """Rows of the current date; the column is a date, a timestamp, or a ``yyyymmdd`` number or text."""
+    """Rows of the current date; the column is a date, a timestamp, a ``yyyymmdd`` integer, or text in that
+    spelling or as ``yyyy-mm-dd``. Always a predicate on the bare column, so that partitions prune."""
     day = F.lit(today.isoformat()).cast("date") if today else F.current_date()
     dtype, c = df.schema[column].dataType, C.column(column)
     if isinstance(dtype, T.DateType):
@@ -39,7 +54,12 @@ def today_slice(df: DataFrame, column: str, today: datetime.date | None = None)
     if C.is_temporal(dtype):
         # a range on the bare column, so that it reaches the scan
         return df.filter((c >= day.cast(dtype)) & (c < F.date_add(day, 1).cast(dtype)))
-    return df.filter(c == F.date_format(day, "yyyyMMdd").cast(dtype))
+    digits = F.date_format(day, "yyyyMMdd")
+    if isinstance(dtype, T.StringType):
+        return df.filter(c.isin(digits, F.date_format(day, "yyyy-MM-dd")))
+    if not isinstance(dtype, T.IntegralType):
+        raise ValueError(f"{column} is {C.type_name(dtype)}, which holds no dates")
+    return df.filter(c == digits.cast(dtype))
 
 
 def shared_folder(spark: SparkSession) -> str | None:
