@@ -16,14 +16,16 @@ ignored. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import heapq
 import json
 import os
 import tempfile
 import unicodedata
-import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +33,46 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.words import pieces
+from plumbline.llm.store import written
+from plumbline.llm.words import _mixed, _powers, pieces
 
 #: Words compiled into the transducer, the most frequent ones, and bytes of the longest.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 64
-#: Words a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+#: Words a worker remembers before it starts afresh, and characters that are hashed at a time.
+REMEMBERED, BLOCK = 300_000, 1 << 20
+#: The one pattern of words that is supported: contractions, runs of letters, single numerals, runs of the rest.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, NUMERAL, REST, SPECIAL = range(5)
 
 
 # ------------------------------------------------------------------ the tokenizer
 
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.full(len(every), REST, np.uint8)
+    for kind, pattern in ((SPACE, r"\s"), (LETTER, r"\p{L}"), (NUMERAL, r"\p{N}")):
+        out[[ord(c) for c in regex.findall(pattern, every)]] = kind
+    return out
+
+
+class Split(NamedTuple):
+    """Words of consecutive texts: word k is whole[start[k]:end[k]]; text i owns words first[i]:first[i + 1]."""
+
+    whole: str
+    start: np.ndarray
+    end: np.ndarray
+    hash: np.ndarray
+    first: np.ndarray
+
+    def distinct(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct words, which of them each word is, and how often each occurs."""
+        _, one, which, n = np.unique(self.hash, return_index=True, return_inverse=True, return_counts=True)
+        return [self.whole[a:b] for a, b in zip(self.start[one].tolist(), self.end[one].tolist())], which, n
+
+
 class Tokenizer:
     """Normalisation, splitting and exact merging as the tokenizer file states them."""
 
@@ -58,7 +89,8 @@ class Tokenizer:
         self.end = model["end_of_word_suffix"]
         self.ranks = {tuple(m): k for k, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        if split["pattern"] != {"Regex": PATTERN}:
+            raise ValueError("a tokenizer that splits in another way")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
         self.tokens = [""] * (max([*self.vocab.values(), *self.special.values()]) + 1)
         for token, i in (self.vocab | self.special).items():
@@ -68,31 +100,74 @@ class Tokenizer:
         others = (b for b in range(256) if b not in set(plain))
         self.letter = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
-    def split(self, text: str) -> list[str]:
-        """Normalised words in order; a special token is its own word."""
-        out = []
-        for part in self.cut(text) if "<|" in text else [text]:
-            if part in self.special:
-                out.append(part)
-                continue
-            # lower case character by character: a final sigma is not treated apart
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            out += self.words(part)
-        return out
+    def split(self, texts: Sequence[str | None]) -> Split:
+        """Normalised words of all texts at once, by the kinds of their characters; a special token is a word."""
+        parts: list[str] = []
+        first, special, at = [0], [], 0
+        for text in texts:
+            for part in self.cut(text) if text and any(t in text for t in self.special) else [text or ""]:
+                if part in self.special:
+                    special.append((at, at + len(part)))
+                else:
+                    # lower case character by character: a final sigma is not treated apart
+                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                parts.append(part)
+                at += len(part)
+            first.append(at)
+        whole = "".join(parts)
+        code = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = _kinds()[code]
+        for a, b in special:
+            kind[a:b] = SPECIAL
+        new = kind > SPACE
+        new[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMERAL)
+        last = kind > SPACE
+        forced = np.array([a for a, _ in special] + first, np.int64)  # words never run over the start of a text or special token
+        forced = forced[forced < len(code)]
+        new[forced] = kind[forced] > SPACE
+        last[:-1] &= (kind[1:] == SPACE) | new[1:]
+        start, end = np.flatnonzero(new), np.flatnonzero(last) + 1
+        # an apostrophe by itself takes the letters of a contraction from the word after it
+        mark = np.flatnonzero((code[start] == ord("'")) & (end - start == 1)) if len(start) else start
+        mark = mark[mark + 1 < len(start)]
+        mark = mark[(start[mark + 1] == end[mark]) & (kind[end[mark]] == LETTER) & ~np.isin(end[mark], first)]
+        one, two = code[end[mark]], code[np.minimum(end[mark] + 1, len(code) - 1)]
+        two = np.where(end[mark + 1] - start[mark + 1] > 1, two, 0)
+        letters = np.isin(one, [ord(c) for c in "stmd"]) + 2 * sum((one == ord(a)) & (two == ord(b)) for a, b in ("re", "ve", "ll"))
+        end[mark] += letters
+        start[mark + 1] += letters
+        some = start < end
+        start, end = start[some], end[some]
+        hashes = np.zeros(len(start), np.uint64)
+        k = 0
+        while k < len(start):
+            stop = max(k + 1, int(np.searchsorted(end, start[k] + BLOCK, side="right")))
+            low = start[k]
+            part = code[low : end[stop - 1]].astype(np.uint64)
+            up, down = _powers(len(part) + 1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_mixed(part + np.uint64(1)) * up[: len(part)], out=sums[1:])
+            hashes[k:stop] = _mixed((sums[end[k:stop] - low] - sums[start[k:stop] - low]) * down[start[k:stop] - low])
+            k = stop
+        return Split(whole, start, end, hashes, np.searchsorted(start, first))
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the pair of lowest rank is merged first, the leftmost of equals."""
         parts = [self.letter[b] for b in word.encode("utf-8")]
         parts[-1] += self.end
-        ranks = self.ranks
-        if len(parts) <= 24:
-            while len(parts) > 1:
-                best = min(range(len(parts) - 1), key=lambda i: ranks.get((parts[i], parts[i + 1]), len(ranks)))
-                if (parts[best], parts[best + 1]) not in ranks:
-                    break
-                parts[best : best + 2] = [parts[best] + parts[best + 1]]
-        else:
+        if len(parts) > 64:
             parts = self._merge_long(parts)
+        elif len(parts) > 1:
+            rank, none = self.ranks.get, len(self.ranks)
+            order = [rank(p, none) for p in zip(parts, parts[1:])]
+            while order and (best := min(order)) < none:
+                i = order.index(best)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                del order[i]
+                if i:
+                    order[i - 1] = rank((parts[i - 1], parts[i]), none)
+                if i < len(order):
+                    order[i] = rank((parts[i], parts[i + 1]), none)
         return [self.vocab[p] for p in parts]
 
     def _merge_long(self, parts: list[str]) -> list[str]:
@@ -115,8 +190,36 @@ class Tokenizer:
                     heapq.heappush(queue, (ranks[parts[a], parts[b]], a, (parts[a], parts[b])))
         return [p for p in parts if p is not None]
 
-    def decode(self, ids: Sequence[int]) -> str:
-        return " ".join([self.tokens[i] for i in ids if 0 <= i < len(self.tokens)])
+    def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """UTF-8 of the texts that the ids from first[i] to first[i + 1] stand for, tokens joined by spaces, and where each begins.
+
+        Bytes are copied from a table of all tokens, each with a space before it.
+        """
+        known = (ids >= 0) & (ids < len(self.tokens))
+        if not known.all():
+            first = np.concatenate([[0], np.cumsum(known)])[first]
+            ids = ids[known]
+        table, begin = self._table()
+        out = []
+        for k in range(0, len(ids), BLOCK):
+            part = ids[k : k + BLOCK]
+            start, size = begin[part].copy(), (begin[part + 1] - begin[part])
+            heads = first[(first >= k) & (first < k + len(part))] - k  # no space before the first token of a text
+            start[heads] += 1
+            size[np.unique(heads)] -= 1
+            start[heads] = begin[part[heads]] + 1
+            to = np.cumsum(size) - size
+            out.append((table[np.repeat(start - to, size) + np.arange(int(size.sum()))], size))
+        if not out:
+            return np.zeros(0, np.uint8), np.zeros(len(first), np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([s for _, s in out]))])
+        return np.concatenate([b for b, _ in out]), ends[first]
+
+    def _table(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_spaced"):
+            raw = [b" " + t.encode() for t in self.tokens]
+            self._spaced = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+        return self._spaced
 
 
 # ------------------------------------------------------------------ the transducer
@@ -238,8 +341,9 @@ def _counts(file):
             return pa.RecordBatch.from_arrays([pa.array(short.keys(), pa.string()), pa.array(short.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokenizer.split(text.as_py() or ""))
+            for a, b in pieces(batch.column(0)):
+                words, _, n = tokenizer.split(batch.column(0).slice(a, b - a).to_pylist()).distinct()
+                seen.update(dict(zip(words, n.tolist())))
                 if len(seen) > REMEMBERED:
                     yield flushed()
                     seen.clear()
@@ -249,23 +353,32 @@ def _counts(file):
 
 
 def lexicon(documents: DataFrame, file, size: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, at most ``size`` of at most LEXICON_BYTES bytes: a bounded list."""
+    """The most frequent words of all texts, at most ``size`` of at most LEXICON_BYTES bytes: a bounded list.
+
+    Words are taken down to the lowest count that still fits, words of one count all or none, so
+    only a histogram of counts and the words themselves reach the driver.
+    """
     counts = documents.select(F.col("text").cast("string")).mapInArrow(_counts(file), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    counts = written(counts.filter("n > 1"), "words")
+    total, least = 0, None
+    # each of the highest counts has a word at least, so no more than ``size`` of them matter
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size).toLocalIterator():
+        total += r.words
+        if total > size:
+            break
+        least = r.n
+    return [] if least is None else [r.word for r in counts.filter(F.col("n") >= least).select("word").collect()]
 
 
 def _mapped(block: bytes) -> Transducer:
-    """The transducer from a file of this machine, written once per worker machine and then shared by its workers."""
-    path = os.path.join(tempfile.gettempdir(), f"plumbline-lexicon-{zlib.crc32(block):08x}-{len(block)}")
-    if not os.path.exists(path):
-        handle, part = tempfile.mkstemp(dir=tempfile.gettempdir())
-        with os.fdopen(handle, "wb") as f:
-            f.write(block)
-        os.replace(part, path)
-    return Transducer.mapped(path)
-
-
-_IDS = pa.list_(pa.int32())
+    """The transducer, mapped from a file of this worker that has no name any more and goes with the worker."""
+    handle, path = tempfile.mkstemp(prefix="plumbline-lexicon-")
+    with os.fdopen(handle, "wb") as f:
+        f.write(block)
+    try:
+        return Transducer.mapped(path)
+    finally:
+        os.unlink(path)
 
 
 def _encoder(file, block):
@@ -280,44 +393,53 @@ def _encoder(file, block):
 
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
-            for a, b in pieces(texts, 4 << 20):
-                split = [tokenizer.split(t or "") for t in texts.slice(a, b - a).to_pylist()]
+            for a, b in pieces(texts):
+                split = tokenizer.split(texts.slice(a, b - a).to_pylist())
+                words, which, _ = split.distinct()
                 if len(known) > REMEMBERED:
                     known = dict(specials)
-                known |= learn(list(set().union(*split).difference(known)))
-                joined = [b"".join([known[w] for w in words]) for words in split]
-                values = np.frombuffer(b"".join(joined), np.int32)
-                first = np.concatenate([[0], np.cumsum([len(x) // 4 for x in joined])]).astype(np.int32)
+                known |= learn([w for w in words if w not in known])
+                outputs = [known[w] for w in words]
+                size = np.fromiter(map(len, outputs), np.int64, len(outputs)) // 4
+                flat, begin = np.frombuffer(b"".join(outputs), np.int32), np.cumsum(size) - size
+                n = size[which]
+                to = np.cumsum(n) - n
+                values = flat[np.repeat(begin[which] - to, n) + np.arange(int(n.sum()))]
+                first = np.append(to, n.sum())[split.first].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(first), pa.array(values))], names=["doc_id", "ids"])
 
     return run
 
 
-def encode(spark: SparkSession, documents: DataFrame, path: str, size: int = LEXICON_WORDS) -> DataFrame:
-    """Rows (doc_id, ids) of whole texts, with the tokenizer file at ``path`` of the driver."""
+def _shared(spark: SparkSession, documents: DataFrame, path: str, size: int):
+    """The tokenizer file at ``path`` of the driver and the compiled lexicon of the documents, for all tasks."""
     with open(path, encoding="utf-8") as f:
         text = f.read()
     file, tokenizer = spark.sparkContext.broadcast(text), Tokenizer(text)
     entries = {w.encode(): tokenizer.merge(w) for w in lexicon(documents, file, size) if w not in tokenizer.special}
-    block = spark.sparkContext.broadcast(Transducer.compiled(entries).saved())
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_encoder(file, block), "doc_id bigint, ids array<int>")
+    return file, spark.sparkContext.broadcast(Transducer.compiled(entries).saved())
 
 
-def _decoder(file):
-    import hashlib
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def encode(spark: SparkSession, documents: DataFrame, path: str, size: int = LEXICON_WORDS) -> DataFrame:
+    """Rows (doc_id, ids) of whole texts, with the tokenizer file at ``path`` of the driver."""
+    return _texts(documents).mapInArrow(_encoder(*_shared(spark, documents, path, size)), "doc_id bigint, ids array<int>")
+
 
+def _decoder(file):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(file.value)
         for batch in batches:
             lists = batch.column("ids")
-            values, first = lists.values.to_numpy(), lists.offsets.to_numpy()
-            texts, digests = [], []
-            for a, b in zip(first[:-1], first[1:]):
-                texts.append(tokenizer.decode(values[a:b].tolist()))
-                digests.append(hashlib.sha256(values[a:b].astype("<u4").tobytes()).hexdigest())
-            arrays = [batch.column("doc_id"), lists, pa.array(texts, pa.string()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded", "ids_sha256"])
+            values, first = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+            raw, begin = tokenizer.decode(values, first)
+            texts = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(raw)).cast(pa.string())
+            little = values.astype("<u4")
+            digests = [hashlib.sha256(little[a:b]).hexdigest() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, texts, pa.array(digests, pa.string())], names=["doc_id", "ids", "decoded", "ids_sha256"])
 
     return run
 
@@ -328,3 +450,18 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
         file = spark.sparkContext.broadcast(f.read())
     lists = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return lists.mapInArrow(_decoder(file), "doc_id bigint, ids array<int>, decoded string, ids_sha256 string")
+
+
+def round_trip(spark: SparkSession, documents: DataFrame, path: str, size: int = LEXICON_WORDS) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): documents encoded, and the ids decoded, in the same tasks."""
+    file, block = _shared(spark, documents, path, size)
+    encoder, decoder = _encoder(file, block), _decoder(file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decoder(encoder(batches)):
+            texts = batch.column("decoded").cast(pa.binary())
+            digests = [hashlib.sha256(t.as_buffer()).hexdigest() for t in texts]
+            n = batch.column("ids").value_lengths().cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n, batch.column("ids_sha256"), pa.array(digests, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _texts(documents).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

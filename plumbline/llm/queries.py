@@ -108,10 +108,7 @@ def tokenizer_file() -> str:
 
 
 def encoded_digests(spark, documents):
-    encoded = bpe.encode(spark, documents, tokenizer_file())
-    return bpe.decode(spark, encoded, tokenizer_file()).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    return bpe.round_trip(spark, documents, tokenizer_file())
 
 
 @query("op5_bpe")
