@@ -7,7 +7,7 @@ fails on the same data, so a check that cannot fail would show.
 from __future__ import annotations
 
 import datetime
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,32 +148,63 @@ def src_date_slice(spark, sf_dir):
     return day.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
 
 
+@query(
+    "src_date_slice_text",
+    """SELECT 'iso' AS spelling, count(*) AS n, round(sum(value), 6) AS total FROM events WHERE ts::DATE = DATE '2024-01-15'
+UNION ALL SELECT 'digits', count(*), round(sum(value), 6) FROM events WHERE ts::DATE = DATE '2024-01-15'""",
+)
+def src_date_slice_text(spark, sf_dir):
+    def day(spelling, pattern):
+        events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", pattern))
+        found = pl.today_slice(events, "day", today=datetime.date(2024, 1, 15))
+        return found.agg(F.lit(spelling).alias("spelling"), F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+
+    return day("iso", "yyyy-MM-dd").unionByName(day("digits", "yyyyMMdd"))
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name under the shared folder of the cluster; local only where none is named."""
+    """A new folder name under the shared folder of the cluster."""
     shared = shared_folder(spark)
-    return f"{shared.rstrip('/')}/report-{datetime.datetime.now().timestamp()}" if shared else tempfile.mkdtemp()
+    if shared is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/report-{uuid.uuid4().hex}"
 
 
 @query(
     "sink_report",
-    """SELECT 'expect_column_values_to_be_between' AS type, count(*) FILTER (WHERE NOT value <= 100) AS unexpected_count,
-       count(*) FILTER (WHERE NOT value <= 100) = 0 AS success FROM events
-UNION ALL
-SELECT 'expect_column_values_to_be_in_set', count(*) FILTER (WHERE event_type NOT IN ('click', 'view')),
-       count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) = 0 FROM events""",
+    """SELECT 'cheap' AS check_id, count(*) FILTER (WHERE NOT value <= 100) AS unexpected_count, NULL AS observed, '100' AS max_value,
+       (SELECT count(DISTINCT value) FROM events WHERE NOT value <= 100) AS distinct_values, count(*) FILTER (WHERE NOT value <= 100) = 0 AS success FROM events
+UNION ALL SELECT 'kind', count(*) FILTER (WHERE event_type NOT IN ('click', 'view')), NULL, NULL,
+       (SELECT count(DISTINCT event_type) FROM events WHERE event_type NOT IN ('click', 'view')),
+       count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) = 0 FROM events
+UNION ALL SELECT 'largest', NULL, (max(event_id) + 9007199254740993)::VARCHAR, '5', NULL, max(event_id) + 9007199254740993 <= 5 FROM events
+UNION ALL SELECT 'there', NULL, '"value"', NULL, NULL, true
+UNION ALL SELECT 'left out', NULL, 'nowhere', NULL, NULL, NULL""",
 )
 def sink_report(spark, sf_dir):
-    verdicts = pl.Suite(
+    """A written report read back: counts, a bound, an exact bigint, a schema check and a check that was left out."""
+    suite = pl.Suite(
         [
-            pl.expect_column_values_to_be_between("value", max_value=100),
-            pl.expect_column_values_to_be_in_set("event_type", ["click", "view"]),
+            pl.expect_column_values_to_be_between("value", max_value=100, check_id="cheap"),
+            pl.expect_column_values_to_be_in_set("event_type", ["click", "view"], check_id="kind"),
+            pl.expect_column_max_to_be_between("big", max_value=5, check_id="largest"),
+            pl.expect_column_to_exist("value", check_id="there"),
+            pl.expect_column_values_to_not_be_null("nowhere", check_id="left out"),
         ]
-    ).verdicts(table(spark, sf_dir, "events"))
+    )
     path = scratch_folder(spark) + "/report"
-    pl.write_report(verdicts, path)
-    return pl.read_report(spark, path).select(F.explode("results").alias("r")).select(
-        "r.expectation_config.type", "r.result.unexpected_count", "r.success"
+    suite.write_report(table(spark, sf_dir, "events").withColumn("big", F.col("event_id") + 9007199254740993), path)
+    read = pl.read_report(spark, path)
+    run = read.select(F.explode("results").alias("r")).select(
+        "r.check_id", "r.result.unexpected_count", F.to_json("r.result.observed_value").alias("observed"),
+        F.try_variant_get("r.expectation_config.kwargs", "$.max_value", "string").alias("max_value"),
+        F.col("r.result.unexpected_distinct").alias("distinct_values"), "r.success",
+    )
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in run.dtypes]
+    skipped = read.select(F.explode("skipped").alias("s")).select(
+        F.col("s.check_id"), nothing[1], F.col("s.missing_columns").alias("observed"), *nothing[3:]
     )
+    return run.withColumn("observed", F.nullif("observed", F.lit("null"))).unionByName(skipped)
 
 
 # ------------------------------------------------------------------ row predicates
@@ -245,6 +276,53 @@ def row_between(spark, sf_dir):
     )
 
 
+EVENT_DAYS = "SELECT CAST(ts AS DATE) AS day FROM events"
+
+
+@query(
+    "row_between_dates",
+    counts_sql(
+        f"({EVENT_DAYS})",
+        ("after noon", "day IS NULL", "day::TIMESTAMP >= TIMESTAMP '2024-01-10 12:00:00'", 0.5),
+        ("before noon", "day IS NULL", "day::TIMESTAMP <= TIMESTAMP '2024-01-20 12:00:00'", 0.5),
+        ("midnight", "day IS NULL", "day::TIMESTAMP >= TIMESTAMP '2024-01-10 00:00:00'", 0.5),
+        ("moments", "day IS NULL", "day::TIMESTAMP IN (TIMESTAMP '2024-01-10 12:00:00', TIMESTAMP '2024-01-11 00:00:00')", 0.01),
+        ("no moments", "day IS NULL", "day::TIMESTAMP NOT IN (TIMESTAMP '2024-01-10 12:00:00')", 1.0),
+    ),
+)
+def row_between_dates(spark, sf_dir):
+    """Dates against bounds and members with a time of day: a date is its midnight."""
+    noon, moment = datetime.datetime(2024, 1, 10, 12), datetime.datetime
+    return counts(
+        from_sql(spark, sf_dir, EVENT_DAYS, "events"),
+        pl.expect_column_values_to_be_between("day", min_value=noon, mostly=0.5, check_id="after noon"),
+        pl.expect_column_values_to_be_between("day", max_value="2024-01-20T12:00:00", mostly=0.5, check_id="before noon"),
+        pl.expect_column_values_to_be_between("day", min_value=moment(2024, 1, 10), mostly=0.5, check_id="midnight"),
+        pl.expect_column_values_to_be_in_set("day", [noon, moment(2024, 1, 11)], mostly=0.01, check_id="moments"),
+        pl.expect_column_values_to_not_be_in_set("day", [noon], check_id="no moments"),
+    )
+
+
+@query(
+    "row_in_table_set",
+    counts_sql(
+        "lineitem",
+        ("known", "l_suppkey IS NULL", "l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)", 0.5),
+        ("unknown", "l_suppkey IS NULL", "l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)", 0.5),
+        ("orders", "l_orderkey IS NULL", "l_orderkey IN (SELECT o_orderkey FROM orders)", 1.0),
+    ),
+)
+def row_in_table_set(spark, sf_dir):
+    """Members that are a table of any size."""
+    solvent = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select("s_suppkey")
+    return counts(
+        table(spark, sf_dir, "lineitem"),
+        pl.expect_column_values_to_be_in_set("l_suppkey", solvent, mostly=0.5, check_id="known"),
+        pl.expect_column_values_to_not_be_in_set("l_suppkey", solvent, mostly=0.5, check_id="unknown"),
+        pl.expect_column_values_to_be_in_set("l_orderkey", table(spark, sf_dir, "orders").select("o_orderkey"), check_id="orders"),
+    )
+
+
 @query(
     "row_in_set",
     counts_sql(
@@ -524,6 +602,33 @@ def within_record(spark, sf_dir):
     )
 
 
+# bigints beyond 2**53 beside doubles, zeros of both signs, nulls; no two columns of the first check are ever equal
+LINE_WIDE = """SELECT l_linenumber + CAST(9007199254740992 AS BIGINT) AS a, CAST(9007199254740992 AS DOUBLE) AS b, l_quantity AS c,
+       -l_quantity AS d, 0.5 + l_linenumber AS e, CAST(NULL AS BIGINT) AS f, l_orderkey + CAST(100 AS BIGINT) AS g,
+       l_discount * 0 AS zero, CAST(-0.0 AS DOUBLE) * l_quantity AS minus FROM lineitem"""
+
+
+@query(
+    "within_record_wide",
+    counts_sql(
+        "lineitem",
+        ("exact", "false", "true", 1.0),
+        ("more", "false", "NOT (l_quantity = l_orderkey + 100 OR 0.5 + l_linenumber = l_quantity)", 0.9),
+        ("zeros", "false", "false", 0.9),
+    ),
+)
+def within_record_wide(spark, sf_dir):
+    """One meaning at every width: integers and doubles are equal only if they are the same number."""
+    distinct = pl.expect_select_column_values_to_be_unique_within_record
+    policy = "all_values_are_missing"
+    return counts(
+        from_sql(spark, sf_dir, LINE_WIDE, "lineitem"),
+        distinct(["a", "b"], check_id="exact"),
+        distinct(list("abcdefg"), mostly=0.9, ignore_row_if=policy, check_id="more"),
+        distinct(["a", "b", "zero", "minus", "e", "f", "g"], mostly=0.9, ignore_row_if=policy, check_id="zeros"),
+    )
+
+
 # ------------------------------------------------------------------ aggregates
 
 
@@ -719,8 +824,8 @@ def unique_count(spark, sf_dir):
 
 @query(
     "unique_count_approx",
-    """SELECT 'keys' AS check_id, count(DISTINCT l_orderkey) BETWEEN 10 AND 1000 AS success FROM lineitem
-UNION ALL SELECT 'more', count(DISTINCT l_orderkey) >= 10 FROM lineitem""",
+    """SELECT 'keys' AS check_id, count(DISTINCT l_orderkey) BETWEEN 10 AND 1000 AS success, count(DISTINCT l_orderkey) AS exact, true AS close FROM lineitem
+UNION ALL SELECT 'more', count(DISTINCT l_orderkey) >= 10, count(DISTINCT l_orderkey), true FROM lineitem""",
 )
 def unique_count_approx(spark, sf_dir):
     number = pl.expect_column_unique_value_count_to_be_between
@@ -728,7 +833,11 @@ def unique_count_approx(spark, sf_dir):
         number("l_orderkey", 10, 1000, approx=True, check_id="keys"),
         number("l_orderkey", 10, None, approx=True, check_id="more"),
     ]
-    return pl.Suite(rules).verdicts(table(spark, sf_dir, "lineitem")).select("check_id", "success")
+    lines = table(spark, sf_dir, "lineitem")
+    exact = lines.agg(F.countDistinct("l_orderkey")).scalar()
+    # three times the published standard error of 5 %
+    close = F.abs(F.col("observed_num") - exact) <= 0.15 * exact
+    return pl.Suite(rules).verdicts(lines).select("check_id", "success", exact.alias("exact"), close.alias("close"))
 
 
 def unique_sql(check_id: str, source: str, keys: str, missing: str, mostly: float) -> str:
@@ -963,6 +1072,42 @@ def sql_constraint(spark, sf_dir):
     return pl.Suite(rules).verdicts(table(spark, sf_dir, "lineitem")).select("check_id", "unexpected_count", "success")
 
 
+MIXED = """SELECT event_id, event_type, value, ts, user_id FROM events"""
+
+
+@query(
+    "suite_mixed_types",
+    """SELECT 'pair' AS check_id, false AS success, true AS told, NULL::BIGINT AS unexpected_count
+UNION ALL SELECT 'greater', false, true, NULL
+UNION ALL SELECT 'record', false, true, NULL
+UNION ALL SELECT 'time', false, true, NULL
+UNION ALL SELECT 'fails as it runs', false, true, NULL
+UNION ALL SELECT 'is not analysed', false, true, NULL
+UNION ALL SELECT 'keys.missing_from_left', false, true, NULL
+UNION ALL SELECT 'keys.missing_from_right', false, true, NULL
+UNION ALL SELECT 'range', count(*) FILTER (WHERE NOT value <= 100) = 0, false, count(*) FILTER (WHERE NOT value <= 100) FROM events
+UNION ALL SELECT 'query', count(*) = 0, false, count(*) FROM events WHERE value > 400""",
+)
+def suite_mixed_types(spark, sf_dir):
+    """Checks that make no sense on their columns' types, or fail as they run, beside good ones: each is a verdict."""
+    suite = pl.Suite(
+        [
+            pl.expect_column_pair_values_to_be_equal("event_type", "value", check_id="pair"),
+            pl.expect_column_pair_values_a_to_be_greater_than_b("event_type", "user_id", check_id="greater"),
+            pl.expect_select_column_values_to_be_unique_within_record(["user_id", "event_type"], check_id="record"),
+            pl.expect_column_pair_values_to_be_equal("ts", "value", check_id="time"),
+            pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE CAST(event_type AS INT) > 0", check_id="fails as it runs"),
+            pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE nowhere > 0", check_id="is not analysed"),
+            pl.expect_column_values_to_be_between("value", max_value=100, check_id="range"),
+            pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE value > 400", check_id="query"),
+        ]
+    )
+    events = from_sql(spark, sf_dir, MIXED, "events")
+    keys = pl.compare_keys(events, events, ["user_id"], ["event_type"], check_id="keys")
+    verdicts = suite.verdicts(events).unionByName(keys)
+    return verdicts.select("check_id", "success", F.col("observed_text").isNotNull().alias("told"), "unexpected_count")
+
+
 def parity(verdicts: DataFrame) -> DataFrame:
     return verdicts.select("check_id", "element_count", "unexpected_count", "success")
 
@@ -1106,18 +1251,23 @@ def suite_guard(spark, sf_dir):
     return skipped.withColumn("unchecked_rows", rows.scalar())
 
 
+def failing_sql(*checks: tuple) -> str:
+    """(check id, value, source of the offending rows, order of ties): the 20 most frequent, with totals."""
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{check_id}' AS check_id, value, n, distinct_values, failing_rows FROM (
+  SELECT value, n, count(*) OVER () AS distinct_values, (sum(n) OVER ())::BIGINT AS failing_rows
+  FROM (SELECT {value} AS value, count(*) AS n FROM {source} GROUP BY {value} {having}) ORDER BY n DESC, {ties} LIMIT 20)"""
+        for check_id, value, source, having, ties in checks
+    )
+
+
 @query(
     "failing_values",
-    """SELECT 'kind' AS check_id, event_type AS value, count(*) AS n FROM events WHERE event_type NOT IN ('view')
-GROUP BY event_type
-UNION ALL
-SELECT 'user', value, n FROM (
-  SELECT user_id::VARCHAR AS value, count(*) AS n FROM events WHERE NOT user_id >= 100 GROUP BY user_id
-  ORDER BY n DESC, value LIMIT 20)
-UNION ALL
-SELECT 'unique', value, n FROM (
-  SELECT user_id::VARCHAR AS value, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1
-  ORDER BY n DESC, value LIMIT 20)""",
+    failing_sql(
+        ("kind", "event_type", "events WHERE event_type NOT IN ('view')", "", "md5(value)"),
+        ("user", "user_id::VARCHAR", "events WHERE NOT user_id >= 100", "", "value"),
+        ("unique", "user_id::VARCHAR", "events", "HAVING count(*) > 1", "value"),
+    ),
 )
 def failing_values(spark, sf_dir):
     suite = pl.Suite(
@@ -1130,6 +1280,25 @@ def failing_values(spark, sf_dir):
     return suite.failing_values(table(spark, sf_dir, "events"))
 
 
+@query(
+    "failing_texts",
+    failing_sql(
+        ("length", "text", "documents WHERE NOT length(text) BETWEEN 500 AND 5000", "", "md5(value)"),
+        ("unique", "text", "documents", "HAVING count(*) > 1", "md5(value)"),
+        ("lang", "lang", "documents WHERE lang NOT IN ('en', 'de')", "", "md5(value)"),
+    ),
+)
+def failing_texts(spark, sf_dir):
+    suite = pl.Suite(
+        [
+            pl.expect_column_value_lengths_to_be_between("text", 500, 5000, check_id="length"),
+            pl.expect_column_values_to_be_unique("text", check_id="unique"),
+            pl.expect_column_distinct_values_to_be_in_set("lang", ["en", "de"], check_id="lang"),
+        ]
+    )
+    return suite.failing_values(table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------------ the full suite on a 33-column table
 
 # The columns of the table under test, in their contracted order.

@@ -20,12 +20,13 @@ from plumbline.operators.schema import observed_columns, schema_drift
 from plumbline.plans.suite import Suite
 from plumbline.rules import *  # noqa: F403
 from plumbline.sources.report import failures, read_report, report, statistics, write_report
-from plumbline.sources.tables import latest_slice, query_source, staged, today_slice
+from plumbline.sources.tables import latest_slice, query_source, remove_staged, staged, staged_table, today_slice
 
 __all__ = [
     *[name for name in dir(_rules) if name.startswith("expect_")],
     "Suite", "compare_aggregates", "compare_keys", "compare_row_counts", "compare_rows", "exact_quantiles",
     "failures", "frequency_table", "latest_slice", "observed_columns", "quantile_table", "query_source",
-    "read_report", "report", "row_differences", "schema_drift", "staged", "statistics", "today_slice",
+    "read_report", "remove_staged", "report", "row_differences", "schema_drift", "staged", "staged_table", "statistics",
+    "today_slice",
     "write_report",
 ]

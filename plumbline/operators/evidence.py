@@ -1,11 +1,12 @@
-"""Failing values: a bounded, counted sample of what broke each check."""
+"""Failing values: counted samples of what broke each check, with totals."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 from plumbline.functions.local import local_frame
@@ -15,48 +16,108 @@ from plumbline.operators.members import with_members
 from plumbline.rules import FrequencyRule, RowRule, Rule
 
 TOP = 20
+# the ranking of one check is begun in this many places
+SLICES = 64
 
+FIELDS = {"check_id": "string", "value": "string", "n": "bigint", "distinct_values": "bigint", "failing_rows": "bigint"}
 
-def failing_values(df: DataFrame, rules: Sequence[Rule], top: int = TOP) -> DataFrame:
-    """(check_id, value, n): the ``top`` most frequent offending values of each check.
 
-    All row rules share one scan. Offenders are counted per value before any ranking, and the
-    ranking keeps at most ``top`` rows per check and task ahead of its shuffle.
+def failing_values(df: DataFrame, rules: Sequence[Rule], top: int | None = TOP) -> DataFrame:
+    """(check_id, value, n, distinct_values, failing_rows): the ``top`` most frequent offending values of each
+    check, ties in the order of the values (of their hashes for texts), and the totals of the check.
+
+    All row rules share one scan, and rules on one column share its frequency table. Offenders are
+    counted before any ranking; texts are counted by a 128-bit hash, and only the texts that are
+    shown are read again. The ranking is cut to ``top`` per slice before the slices meet.
     """
     row_rules = [r for r in rules if isinstance(r, RowRule)]
+    shared: dict[tuple, list[FrequencyRule]] = {}
+    for r in rules:
+        if isinstance(r, FrequencyRule) and _offends(r):
+            shared.setdefault((r.columns, r.ignore_row_if), []).append(r)
     parts = [_row_offenders(df, row_rules)] if row_rules else []
-    parts += [p for r in rules if isinstance(r, FrequencyRule) for p in _frequency_offenders(df, r)]
+    parts += [_frequency_offenders(df, group) for group in shared.values()]
     if not parts:
-        return local_frame(df.sparkSession, {"check_id": "string", "value": "string", "n": "bigint"}, [])
+        return local_frame(df.sparkSession, FIELDS, [])
     offenders = parts[0]
     for part in parts[1:]:
         offenders = offenders.unionByName(part)
-    order = Window.partitionBy("check_id").orderBy(F.desc("n"), F.asc("value"))
-    return offenders.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top).drop("place")
+    totals = offenders.groupBy("check_id").agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("failing_rows"))
+    shown = offenders if top is None else _best(offenders, top)
+    texts = _texts(df, [*row_rules, *(r for group in shared.values() for r in group)], shown, top)
+    if texts is None:
+        named = shown.withColumn("value", F.col("key"))
+    else:
+        named = shown.join(texts, ["check_id", "key"], "left").withColumn("value", F.when(F.col("hashed"), F.col("text")).otherwise(F.col("key")))
+    return named.join(F.broadcast(totals), "check_id").select(*FIELDS)  # a row per check
+
+
+def _best(offenders: DataFrame, top: int) -> DataFrame:
+    order = [F.desc("n"), F.asc("key")]
+    slices = Window.partitionBy("check_id", F.pmod(F.xxhash64("key"), F.lit(SLICES))).orderBy(*order)
+    first = offenders.withColumn("place", F.row_number().over(slices)).filter(F.col("place") <= top)
+    return first.withColumn("place", F.row_number().over(Window.partitionBy("check_id").orderBy(*order))).filter(F.col("place") <= top).drop("place")
+
+
+def _hashed(rule: Rule, schema: T.StructType) -> bool:
+    return any(isinstance(schema[c].dataType, (T.StringType, T.BinaryType)) for c in rule.columns)
+
+
+def _key(text: Column, hashed: bool) -> Column:
+    return F.md5(F.encode(text, "UTF-8")) if hashed else text
+
+
+def _subject(rule: Rule) -> Column:
+    return C.as_text([C.column(c) for c in rule.columns], rule.columns)
 
 
 def _row_offenders(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     marks = []
     for rule in rules:
-        text = C.as_text([C.column(c) for c in rule.columns], rule.columns)
-        marks.append(F.when(failed(rule, df.schema), F.struct(F.lit(rule.check_id).alias("check_id"), text.alias("value"))))
-    return (
-        df.select(F.explode(F.array_compact(F.array(*marks))).alias("hit"))
-        .groupBy("hit.check_id", "hit.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _frequency_offenders(df: DataFrame, rule: FrequencyRule) -> list[DataFrame]:
-    keys = [F.col(k) for k in key_names(rule.columns)]
-    freq = frequency_table(df, rule.columns).filter(~C.missing(keys, rule.ignore_row_if))
-    types = [df.schema[c].dataType for c in rule.columns]
-    if rule.judge == "unique":
-        bad = freq.filter(F.col("n") > 1)
-    elif rule.judge in ("distinct_in_set", "distinct_equals", "rows_in_set", "kl"):
-        bad = with_members(freq, rule, types, key_names(rule.columns), "mark").filter(F.col("mark").isNull())
-    elif rule.judge == "rows_not_in_set":
-        bad = with_members(freq, rule, types, key_names(rule.columns), "mark").filter(F.col("mark").isNotNull())
-    else:  # the check judges the column as a whole; no single value offends
-        return []
-    return [bad.select(F.lit(rule.check_id).alias("check_id"), C.as_text(keys, rule.columns).alias("value"), "n")]
+        hashed = _hashed(rule, df.schema)
+        mark = F.struct(F.lit(rule.check_id).alias("check_id"), _key(_subject(rule), hashed).alias("key"), F.lit(hashed).alias("hashed"))
+        marks.append(F.when(failed(rule, df.schema), mark))
+    hits = df.select(F.explode(F.array_compact(F.array(*marks))).alias("hit"))
+    return hits.groupBy("hit.check_id", "hit.key", "hit.hashed").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _offends(rule: FrequencyRule) -> bool:
+    """Does a single value offend? Else the check judges the column as a whole."""
+    return rule.judge in ("unique", "distinct_in_set", "distinct_equals", "rows_in_set", "rows_not_in_set", "kl")
+
+
+def _frequency_offenders(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFrame:
+    """Offenders of rules on the same columns: of one frequency table, by hash where no set needs the values."""
+    names, hashed = rules[0].columns, _hashed(rules[0], df.schema)
+    if hashed and all(r.judge == "unique" for r in rules):
+        kept = df.filter(~C.missing([C.column(c) for c in names], rules[0].ignore_row_if))
+        freq = kept.groupBy(_key(_subject(rules[0]), True).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        keys = [F.col(k) for k in key_names(names)]
+        types = [df.schema[c].dataType for c in names]
+        freq = frequency_table(df, names).filter(~C.missing(keys, rules[0].ignore_row_if))
+        for i, rule in enumerate(rules):
+            if rule.judge != "unique":
+                freq = with_members(freq, rule, types, key_names(names), f"m{i}")
+        freq = freq.withColumn("key", _key(C.as_text(keys, names), hashed))
+    marks = []
+    for i, rule in enumerate(rules):
+        bad = F.col("n") > 1 if rule.judge == "unique" else F.col(f"m{i}").isNotNull() if rule.judge == "rows_not_in_set" else F.col(f"m{i}").isNull()
+        marks.append(F.when(bad, F.lit(rule.check_id)))
+    return freq.select(F.explode(F.array_compact(F.array(*marks))).alias("check_id"), "key", F.lit(hashed).alias("hashed"), "n")
+
+
+def _texts(df: DataFrame, rules: Sequence[Rule], shown: DataFrame, top: int | None) -> DataFrame | None:
+    """(check_id, key, text) of the hashed values that are shown; None if there is no text among the columns."""
+    marks = []
+    for rule in rules:
+        if _hashed(rule, df.schema):
+            text = _subject(rule)
+            mark = F.struct(F.lit(rule.check_id).alias("check_id"), _key(text, True).alias("key"), text.alias("text"))
+            marks.append(F.when(failed(rule, df.schema), mark) if isinstance(rule, RowRule) else mark)
+    if not marks:
+        return None
+    wanted = shown.filter("hashed").select("check_id", "key")
+    hits = df.select(F.explode(F.array_compact(F.array(*marks))).alias("hit")).select("hit.*")
+    # at most ``top`` short rows per check
+    return hits.join(wanted if top is None else F.broadcast(wanted), ["check_id", "key"]).groupBy("check_id", "key").agg(F.min("text").alias("text"))

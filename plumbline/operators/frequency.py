@@ -37,7 +37,7 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
     types = [df.schema[c].dataType for c in names]
     marks = {}
     for i, rule in enumerate(rules):
-        if rule.members or rule.judge in _SET_JUDGES:
+        if rule.members or rule.relation is not None or rule.judge in _SET_JUDGES:
             marks[rule.check_id] = f"m{i}"
             freq = with_members(freq, rule, types, key_names(names), f"m{i}")
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
-from plumbline.operators.members import with_members
+from plumbline.operators.members import set_key, with_members
 from plumbline.operators.verdict import counted, judged, rows
 from plumbline.rules import AggregateRule, FrequencyRule, Rule, RowRule
 
@@ -63,7 +63,9 @@ class _Aggregates:
 
 
 def fused_verdicts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    parts = [_one_aggregate(df, pack) for pack in packs(rules)]
+    apart = [r for r in rules if isinstance(r, AggregateRule) and r.apart]
+    together = [r for r in rules if r not in apart]
+    parts = [_one_aggregate(df, pack) for group in (together, apart) if group for pack in packs(group)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -88,13 +90,15 @@ def _width(rules: Sequence[Rule]) -> int:
 def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     schema, aggs = df.schema, _Aggregates()
     total = aggs.add("rows", lambda: F.count(F.lit(1)))
-    out = []
+    out, marks = [], {}
     for i, rule in enumerate(rules):
         if isinstance(rule, FrequencyRule):
             # membership in a set too long for a literal list, but small enough for every executor
-            mark = f"plumbline_member_{i}"
-            types = [schema[c].dataType for c in rule.columns]
-            df = with_members(df, rule, types, rule.columns, mark, broadcast=True)
+            mark = marks.get(set_key(rule))
+            if mark is None:
+                mark = marks[set_key(rule)] = f"plumbline_member_{i}"
+                types = [schema[c].dataType for c in rule.columns]
+                df = with_members(df, rule, types, rule.columns, mark, broadcast=True)
             out.append(_member_verdict(rule, mark, aggs, total))
         elif isinstance(rule, RowRule):
             out.append(_row_verdict(rule, i, schema, aggs, total))
@@ -126,7 +130,7 @@ def _ignored(rule: RowRule | FrequencyRule, aggs: _Aggregates, total: Column) ->
 def _member_verdict(rule: FrequencyRule, mark: str, aggs: _Aggregates, total: Column) -> dict:
     inside = F.col(mark).isNotNull()
     wrong = inside if rule.judge == "rows_not_in_set" else ~inside
-    bad = aggs.add(("wrong", mark), lambda: C.count_where(kept(rule) & wrong))
+    bad = aggs.add(("wrong", mark, rule.judge, rule.ignore_row_if), lambda: C.count_where(kept(rule) & wrong))
     return counted(rule, rule.mostly, total, _ignored(rule, aggs, total), bad)
 
 
@@ -142,6 +146,9 @@ def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggrega
         seen_type = types[aggs.order[rule.kind, name]].dataType
         shown = "observed_num" if C.is_numeric(seen_type) else "observed_text"
         passed = C.in_range(seen, seen_type, rule.low, rule.high)
-        return judged(rule, passed, element_count=total, missing_count=nulls, **{shown: seen})
+        evidence = {shown: seen}
+        if isinstance(seen_type, (T.IntegralType, T.DecimalType)):
+            evidence["observed_text"] = seen  # all its digits
+        return judged(rule, passed, element_count=total, missing_count=nulls, **evidence)
 
     return finish

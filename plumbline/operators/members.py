@@ -16,15 +16,32 @@ from pyspark.sql.pandas.types import to_arrow_type
 from plumbline.functions import columns as C
 from plumbline.rules import LITERAL_SET_LIMIT, FrequencyRule
 
-# A set up to this size may be sent to every executor. A larger one never meets the rows of a
-# table, only its frequency table, and Spark chooses that join by the set's known size.
+# All sets of a suite up to this size together may be sent to every executor. Further ones never meet the
+# rows of a table, only its frequency table, and Spark chooses that join by the set's known size.
 BROADCAST_BYTES = 8 * 2**20
 
 ROW_JUDGES = ("rows_in_set", "rows_not_in_set")
 
 
-def can_broadcast(rule: FrequencyRule, types: Sequence[T.DataType]) -> bool:
-    return _set_as_table(rule, types).nbytes <= BROADCAST_BYTES
+def broadcastable(rules: Sequence[FrequencyRule], schema: T.StructType) -> set[str | None]:
+    """Ids of the membership rules whose sets, different ones taken together, may be sent to every executor."""
+    left, chosen, out = BROADCAST_BYTES, {}, set()
+    for rule in rules:
+        if rule.judge not in ROW_JUDGES or rule.relation is not None:
+            continue
+        key = set_key(rule)
+        if key not in chosen:
+            size = _set_as_table(rule, [schema[c].dataType for c in rule.columns]).nbytes
+            chosen[key] = size <= left
+            left -= size if chosen[key] else 0
+        if chosen[key]:
+            out.add(rule.check_id)
+    return out
+
+
+def set_key(rule: FrequencyRule) -> tuple:
+    """Equal for rules that can share one join: same columns, same members (as spelt, type included)."""
+    return rule.columns, frozenset((type(v), v) for m in rule.members for v in m), frozenset(rule.members)
 
 
 def member_count(rule: FrequencyRule, types: Sequence[T.DataType]) -> int:
@@ -43,8 +60,12 @@ def with_members(
 ) -> DataFrame:
     """Add ``mark``: the weight of the value in columns ``names`` (or true); null outside the set.
 
-    ``types`` are the types of those columns. Only pass ``broadcast`` for a set that ``can_broadcast``.
+    ``types`` are the types of those columns. Only pass ``broadcast`` for a rule that is ``broadcastable``.
     """
+    if rule.relation is not None:
+        held = F.col(C.quoted(rule.relation.columns[0]))
+        side = rule.relation.select(held.alias(f"{mark}_0")).dropna().distinct().withColumn(mark, F.lit(True))
+        return frame.join(side, C.column(names[0]) == F.col(f"{mark}_0"), "left").drop(f"{mark}_0")
     if not rule.weights and len(names) == 1 and len(rule.members) <= LITERAL_SET_LIMIT:
         hit = C.in_values(C.column(names[0]), types[0], [m[0] for m in rule.members])
         return frame.withColumn(mark, F.when(hit, F.lit(True)))

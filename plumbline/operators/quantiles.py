@@ -31,6 +31,8 @@ SKETCH_SIZE = 8_000
 RANK_ERROR = 2 * rank_error(SKETCH_SIZE)
 # most rows all brackets of a column may hold together before they are ranked in one group
 BRACKET_LIMIT = 2_000_000
+# brackets of so few rows need not get narrower, whatever the limit
+FEW = 10_000
 
 
 @dataclass
@@ -71,7 +73,7 @@ def exact_quantiles(
         if present:
             ranks = {r for p in wanted[name] for r in _ranks(p, present)}
             searches[i] = [_choose(seen[f"g{i}"], 0, present, r) for r in sorted(ranks)]
-    found = _search(pruned, searches, bracket_limit)
+    found = _search(pruned, searches, bracket_limit, {i: seen[f"n{i}"] for i in searches})
     answers = {}
     for i, name in enumerate(names):
         present, nans = seen[f"n{i}"], seen[f"nan{i}"]
@@ -131,7 +133,11 @@ def _choose(grid: Sequence[float], below: int, inside: int, rank: int, slack: in
     return _Bracket(rank, low, high, math.ceil(min(held, inside)))
 
 
-def _search(pruned: DataFrame, searches: _Searches, limit: int) -> dict[int, dict[int, float]]:
+class Unsettled(Exception):
+    """The exact search did not come to an end."""
+
+
+def _search(pruned: DataFrame, searches: _Searches, limit: int, present: Mapping[int, int]) -> dict[int, dict[int, float]]:
     """column -> {rank -> value}"""
     found: dict[int, dict[int, float]] = {i: {} for i in searches}
     slack = 1
@@ -142,16 +148,17 @@ def _search(pruned: DataFrame, searches: _Searches, limit: int) -> dict[int, dic
             searches = narrowed
             if stuck:
                 break
+        if any(_held(brackets) > max(limit, FEW) for brackets in searches.values()):
+            raise Unsettled("the brackets of the wanted ranks do not get narrower")
         for i, values in _rank(pruned, searches).items():
             found[i].update(values)
-        # a rank outside its bracket: the sketch was further off than it should be, so trust it less
+        # a rank outside its bracket: the sketch was further off than it should be, so trust it less and
+        # begin again with the whole column, whose size is known
         missed = {i: [b.rank for b in brackets if b.rank not in found[i]] for i, brackets in searches.items()}
-        searches = {
-            i: [_Bracket(r, -math.inf, math.inf, limit + 1) for r in ranks] for i, ranks in missed.items() if ranks
-        }
+        searches = {i: [_Bracket(r, -math.inf, math.inf, present[i]) for r in ranks] for i, ranks in missed.items() if ranks}
         slack *= 8
         if searches and slack > 64:
-            raise RuntimeError("the table changes from one read to the next: stage it, then check it")
+            raise Unsettled("the table changes from one read to the next: stage it, then check it")
     return found
 
 
@@ -251,7 +258,16 @@ def quantile_verdicts(df: DataFrame, rules: Sequence[QuantileRule]) -> DataFrame
     for rule in rules:
         wanted.setdefault(rule.columns[0], [])
         wanted[rule.columns[0]] += [p for p in rule.probabilities if p not in wanted[rule.columns[0]]]
-    answers = exact_quantiles(df, wanted)
+    try:
+        answers = exact_quantiles(df, wanted)
+    except Unsettled as why:
+        return local_rows(
+            df.sparkSession,
+            [
+                {"check_id": r.check_id, "kind": r.kind, "columns": r.columns[0], "success": False, "observed_text": str(why)}
+                for r in rules
+            ],
+        )
     records = []
     for rule in rules:
         answer = answers[rule.columns[0]]

@@ -28,12 +28,13 @@ from plumbline.operators.constraints import constraint_verdict
 from plumbline.operators.evidence import TOP, failing_values
 from plumbline.operators.frequency import frequency_verdicts
 from plumbline.operators.fused import fused_verdicts
-from plumbline.operators.members import ROW_JUDGES, can_broadcast
+from plumbline.operators.members import broadcastable
 from plumbline.operators.quantiles import quantile_verdicts
 from plumbline.operators.schema import schema_verdicts
 from plumbline.operators.sketches import sketch_verdicts
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import ConstraintRule, FrequencyRule, QuantileRule, RowRule, Rule, SchemaRule
+from plumbline.sources.report import write_report
 from plumbline.sources.tables import staged
 
 
@@ -61,12 +62,21 @@ class Suite:
             ],
         )
 
-    def verdicts(self, df: DataFrame, stage: bool = False) -> DataFrame:
+    def configs(self, df: DataFrame) -> DataFrame:
+        """(check_id, kwargs) of all rules: the arguments each was declared with, as JSON."""
+        return local_frame(df.sparkSession, {"check_id": "string", "kwargs": "string"}, [(r.check_id, r.config) for r in self.rules])
+
+    def write_report(self, df: DataFrame, path: str, mode: str = "errorifexists", top: int | None = TOP) -> None:
+        """Run all checks and write the whole report: verdicts, thresholds, failing values, skipped checks."""
+        write_report(self.verdicts(df), path, mode, self.configs(df), self.skipped(df), self.failing_values(df, top=top))
+
+    def verdicts(self, df: DataFrame, stage: bool | str = False) -> DataFrame:
         """One row per applicable rule.
 
         Lazy, except that exact quantiles run their searches and constraints their counts here. With ``stage`` the needed
-        columns are first written to the shared folder, for a source that is expensive to
-        compute and would otherwise be computed once per plan.
+        columns are first written to the shared folder (or the path given as ``stage``), for a
+        source that is expensive to compute and would otherwise be computed once per plan. What is
+        staged stays until ``remove_staged``; ``staged_table`` removes it by itself.
         """
         rules, unfit = self._fitting(df)
         _check_patterns(df, rules)
@@ -79,9 +89,10 @@ class Suite:
         if stage:
             constrained = any(isinstance(r, ConstraintRule) for r in rules)
             read = {c for r in rules if not isinstance(r, SchemaRule) for c in r.columns}
-            df = staged(df, df.columns if constrained else [c for c in df.columns if c in read])
+            df = staged(df, df.columns if constrained else [c for c in df.columns if c in read], stage if isinstance(stage, str) else None)
         exact = [r for r in rules if isinstance(r, QuantileRule) and not r.approx]
-        frequency = [r for r in rules if isinstance(r, FrequencyRule) and not _joins_rows(r, df)]
+        joined = broadcastable([r for r in rules if isinstance(r, FrequencyRule)], df.schema)
+        frequency = [r for r in rules if isinstance(r, FrequencyRule) and r.check_id not in joined]
         constraints = [r for r in rules if isinstance(r, ConstraintRule)]
         sketched = [r for r in rules if isinstance(r, QuantileRule) and r.approx]
         apart = {r.check_id for r in (*schema_rules, *exact, *sketched, *frequency, *constraints)}
@@ -104,8 +115,9 @@ class Suite:
             out = out.unionByName(part)
         return out
 
-    def failing_values(self, df: DataFrame, check_ids: Iterable[str] | None = None, top: int = TOP) -> DataFrame:
-        """(check_id, value, n): most frequent offending values, at most ``top`` per check."""
+    def failing_values(self, df: DataFrame, check_ids: Iterable[str] | None = None, top: int | None = TOP) -> DataFrame:
+        """(check_id, value, n, distinct_values, failing_rows): the ``top`` most frequent offending values of each
+        check (all, if None), and how many values and rows offend in all."""
         rules, _ = self._fitting(df)
         _check_patterns(df, rules)
         wanted = None if check_ids is None else set(check_ids)
@@ -124,11 +136,6 @@ class Suite:
         return fit, unfit
 
 
-def _joins_rows(rule: FrequencyRule, df: DataFrame) -> bool:
-    """Is it membership in a set small enough to meet the rows themselves?"""
-    return rule.judge in ROW_JUDGES and can_broadcast(rule, [df.schema[c].dataType for c in rule.columns])
-
-
 def _with_ids(rules: list[Rule]) -> list[Rule]:
     used = {r.check_id for r in rules if r.check_id is not None}
     if len(used) != sum(r.check_id is not None for r in rules):

@@ -6,17 +6,23 @@ no data; ``plumbline.plans.suite.Suite`` turns many of them into few DataFrames.
 
 from __future__ import annotations
 
+import dataclasses
 import decimal
+import functools
+import inspect
+import json
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 
+# A longer collection appears in a report by its size.
+SHOWN_MEMBERS = 100
 # Up to this many members a value set is a literal IN list; beyond it the set becomes a relation.
 LITERAL_SET_LIMIT = 1000
 LITERAL_PAIR_LIMIT = 50
@@ -32,6 +38,7 @@ class Rule:
     literals: tuple[object, ...] = ()  # compared with every column of the rule
     numeric: bool = False  # does the check only make sense on numbers?
     compared: bool = False  # are the columns compared with each other?
+    config: str = "{}"  # the arguments it was declared with, as JSON
 
     def misfit(self, dtypes: Sequence[T.DataType]) -> str | None:
         """Why the check cannot run on columns of these types, or None if it can."""
@@ -62,6 +69,7 @@ class AggregateRule(Rule):
     measure: Callable[[Column, T.DataType], Column] | None = None  # None: the row count
     low: object = None
     high: object = None
+    apart: bool = False  # an aggregate that Spark cannot compile: keep it out of the others' pass
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -82,6 +90,7 @@ class FrequencyRule(Rule):
 
     judge: str
     members: tuple[tuple[object, ...], ...] = ()
+    relation: DataFrame | None = None  # the members as a table of one column, of any size
     weights: tuple[float, ...] = ()
     low: float | None = None
     high: float | None = None
@@ -94,6 +103,11 @@ class FrequencyRule(Rule):
             odd = [m[i] for m in self.members if not C.accepts(dtype, m[i])]
             if odd:
                 return f"{name} is {C.type_name(dtype)}, not comparable with {odd[0]!r}"
+        if self.relation is not None:
+            held = self.relation.schema[0]
+            why = C.incomparable([held.name, *self.columns], [held.dataType, *dtypes])
+            if why:
+                return why
         return super().misfit(dtypes)
 
 
@@ -114,6 +128,34 @@ class ConstraintRule(Rule):
 # ---------------------------------------------------------------- argument checks
 
 
+def recorded(expect):
+    """Keep the arguments of a declaration with its rule, for the report."""
+    signature = inspect.signature(expect)
+
+    @functools.wraps(expect)
+    def declare(*args, **kwargs):
+        rule = expect(*args, **kwargs)
+        given = signature.bind(*args, **kwargs).arguments
+        shown = {k: _shown(v) for k, v in given.items() if k != "check_id" and v is not None}
+        return dataclasses.replace(rule, config=json.dumps(shown, ensure_ascii=False))
+
+    return declare
+
+
+def _shown(value: object) -> object:
+    if isinstance(value, DataFrame):
+        return {"table": value.columns}
+    if isinstance(value, Mapping):
+        return {str(k): _shown(v) for k, v in value.items()}
+    if isinstance(value, Iterable) and not isinstance(value, str):
+        held = list(value) if isinstance(value, (Sequence, set, frozenset)) else []
+        if len(held) > SHOWN_MEMBERS:
+            return {"size": len(held)}
+        ordered = sorted(held, key=repr) if isinstance(value, (set, frozenset)) else held
+        return [_shown(v) for v in ordered]
+    return value if isinstance(value, (bool, int, str)) or (isinstance(value, float) and math.isfinite(value)) else str(value)
+
+
 def _mostly(mostly: float) -> float:
     if not 0 <= mostly <= 1:
         raise ValueError(f"mostly must lie in [0, 1], got {mostly!r}")
@@ -164,6 +206,7 @@ def _texts(patterns: Iterable[str]) -> tuple[str, ...]:
 # ---------------------------------------------------------------- row rules
 
 
+@recorded
 def expect_column_values_to_be_null(column: str, mostly: float = 1.0, check_id: str | None = None) -> RowRule:
     return RowRule(
         kind="expect_column_values_to_be_null", columns=_columns(column), check_id=check_id,
@@ -171,6 +214,7 @@ def expect_column_values_to_be_null(column: str, mostly: float = 1.0, check_id:
     )
 
 
+@recorded
 def expect_column_values_to_not_be_null(column: str, mostly: float = 1.0, check_id: str | None = None) -> RowRule:
     return RowRule(
         kind="expect_column_values_to_not_be_null", columns=_columns(column), check_id=check_id,
@@ -178,6 +222,7 @@ def expect_column_values_to_not_be_null(column: str, mostly: float = 1.0, check_
     )
 
 
+@recorded
 def expect_column_values_to_be_between(
     column: str, min_value: object = None, max_value: object = None, mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -188,10 +233,21 @@ def expect_column_values_to_be_between(
     )
 
 
+def _table_rule(kind: str, judge: str, column: str, table: DataFrame, check_id: str | None, mostly: float) -> FrequencyRule:
+    """Membership in a table of one column, whose nulls are no members: joined to the column's frequency table."""
+    if len(table.columns) != 1:
+        raise ValueError(f"a table of members has one column, got {table.columns}")
+    return FrequencyRule(kind=kind, columns=_columns(column), check_id=check_id, judge=judge, relation=table, mostly=_mostly(mostly))
+
+
+@recorded
 def expect_column_values_to_be_in_set(
-    column: str, value_set: Iterable[object], mostly: float = 1.0, check_id: str | None = None
+    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, check_id: str | None = None
 ) -> Rule:
-    kind, members = "expect_column_values_to_be_in_set", _members(value_set)
+    kind = "expect_column_values_to_be_in_set"
+    if isinstance(value_set, DataFrame):
+        return _table_rule(kind, "rows_in_set", column, value_set, check_id, mostly)
+    members = _members(value_set)
     if len(members) > LITERAL_SET_LIMIT:
         return FrequencyRule(
             kind=kind, columns=_columns(column), check_id=check_id, judge="rows_in_set",
@@ -203,10 +259,14 @@ def expect_column_values_to_be_in_set(
     )
 
 
+@recorded
 def expect_column_values_to_not_be_in_set(
-    column: str, value_set: Iterable[object], mostly: float = 1.0, check_id: str | None = None
+    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, check_id: str | None = None
 ) -> Rule:
-    kind, members = "expect_column_values_to_not_be_in_set", _members(value_set)
+    kind = "expect_column_values_to_not_be_in_set"
+    if isinstance(value_set, DataFrame):
+        return _table_rule(kind, "rows_not_in_set", column, value_set, check_id, mostly)
+    members = _members(value_set)
     if len(members) > LITERAL_SET_LIMIT:
         return FrequencyRule(
             kind=kind, columns=_columns(column), check_id=check_id, judge="rows_not_in_set",
@@ -218,6 +278,7 @@ def expect_column_values_to_not_be_in_set(
     )
 
 
+@recorded
 def expect_column_value_lengths_to_be_between(
     column: str, min_value: int | None = None, max_value: int | None = None, mostly: float = 1.0,
     check_id: str | None = None,
@@ -230,6 +291,7 @@ def expect_column_value_lengths_to_be_between(
     )
 
 
+@recorded
 def expect_column_value_lengths_to_equal(
     column: str, value: int, mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -244,6 +306,7 @@ def _matches_any(c: Column, patterns: Sequence[str]) -> Column:
     return C.any_of([text.rlike(p) for p in patterns])
 
 
+@recorded
 def expect_column_values_to_match_regex(
     column: str, regex: str, mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -255,6 +318,7 @@ def expect_column_values_to_match_regex(
     )
 
 
+@recorded
 def expect_column_values_to_match_regex_list(
     column: str, regex_list: Sequence[str], mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -266,6 +330,7 @@ def expect_column_values_to_match_regex_list(
     )
 
 
+@recorded
 def expect_column_values_to_not_match_regex_list(
     column: str, regex_list: Sequence[str], mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -277,6 +342,7 @@ def expect_column_values_to_not_match_regex_list(
     )
 
 
+@recorded
 def expect_column_values_to_not_match_like_pattern_list(
     column: str, like_pattern_list: Sequence[str], mostly: float = 1.0, check_id: str | None = None
 ) -> RowRule:
@@ -289,6 +355,7 @@ def expect_column_values_to_not_match_like_pattern_list(
     )
 
 
+@recorded
 def expect_column_pair_values_a_to_be_greater_than_b(
     column_A: str, column_B: str, mostly: float = 1.0, ignore_row_if: str = "all_values_are_missing",
     check_id: str | None = None,
@@ -300,6 +367,7 @@ def expect_column_pair_values_a_to_be_greater_than_b(
     )
 
 
+@recorded
 def expect_column_pair_values_to_be_equal(
     column_A: str, column_B: str, mostly: float = 1.0, ignore_row_if: str = "all_values_are_missing",
     check_id: str | None = None,
@@ -311,6 +379,7 @@ def expect_column_pair_values_to_be_equal(
     )
 
 
+@recorded
 def expect_column_pair_values_to_be_in_set(
     column_A: str, column_B: str, value_pairs_set: Iterable[tuple[object, object]], mostly: float = 1.0,
     ignore_row_if: str = "all_values_are_missing", check_id: str | None = None,
@@ -345,6 +414,7 @@ class _PairSetRule(RowRule):
         return None
 
 
+@recorded
 def expect_multicolumn_sum_to_equal(
     column_list: Sequence[str], sum_total: float, mostly: float = 1.0,
     ignore_row_if: str = "all_values_are_missing", check_id: str | None = None,
@@ -356,6 +426,7 @@ def expect_multicolumn_sum_to_equal(
     )
 
 
+@recorded
 def expect_select_column_values_to_be_unique_within_record(
     column_list: Sequence[str], mostly: float = 1.0, ignore_row_if: str = "any_value_is_missing",
     check_id: str | None = None,
@@ -380,6 +451,7 @@ def _aggregate(kind: str, column: str, low: object, high: object, check_id: str
     )
 
 
+@recorded
 def expect_column_max_to_be_between(
     column: str, min_value: object = None, max_value: object = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -387,6 +459,7 @@ def expect_column_max_to_be_between(
                       lambda c, t: F.max(c), numeric=False)
 
 
+@recorded
 def expect_column_min_to_be_between(
     column: str, min_value: object = None, max_value: object = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -394,6 +467,7 @@ def expect_column_min_to_be_between(
                       lambda c, t: F.min(c), numeric=False)
 
 
+@recorded
 def expect_column_mean_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -401,6 +475,7 @@ def expect_column_mean_to_be_between(
                       lambda c, t: F.avg(c))
 
 
+@recorded
 def expect_column_sum_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -408,6 +483,7 @@ def expect_column_sum_to_be_between(
                       lambda c, t: F.sum(c.cast(C.WIDE_INTEGER) if isinstance(t, T.IntegralType) else c))
 
 
+@recorded
 def expect_column_stdev_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -416,6 +492,7 @@ def expect_column_stdev_to_be_between(
                       lambda c, t: F.stddev_samp(c))
 
 
+@recorded
 def expect_table_row_count_to_be_between(
     min_value: int | None = None, max_value: int | None = None, check_id: str | None = None
 ) -> AggregateRule:
@@ -423,10 +500,12 @@ def expect_table_row_count_to_be_between(
     return AggregateRule(kind="expect_table_row_count_to_be_between", check_id=check_id, low=min_value, high=max_value)
 
 
+@recorded
 def expect_table_row_count_to_equal(value: int, check_id: str | None = None) -> AggregateRule:
     return AggregateRule(kind="expect_table_row_count_to_equal", check_id=check_id, low=value, high=value)
 
 
+@recorded
 def expect_column_median_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, approx: bool = False,
     check_id: str | None = None,
@@ -438,6 +517,7 @@ def expect_column_median_to_be_between(
     )
 
 
+@recorded
 def expect_column_quantile_values_to_be_between(
     column: str, quantile_ranges: Mapping[str, Sequence], approx: bool = False, check_id: str | None = None
 ) -> QuantileRule:
@@ -464,24 +544,28 @@ def _set_rule(kind: str, judge: str, column: str, value_set, check_id, **more) -
     )
 
 
+@recorded
 def expect_column_distinct_values_to_be_in_set(
     column: str, value_set: Iterable[object], check_id: str | None = None
 ) -> FrequencyRule:
     return _set_rule("expect_column_distinct_values_to_be_in_set", "distinct_in_set", column, value_set, check_id)
 
 
+@recorded
 def expect_column_distinct_values_to_contain_set(
     column: str, value_set: Iterable[object], check_id: str | None = None
 ) -> FrequencyRule:
     return _set_rule("expect_column_distinct_values_to_contain_set", "distinct_contains", column, value_set, check_id)
 
 
+@recorded
 def expect_column_distinct_values_to_equal_set(
     column: str, value_set: Iterable[object], check_id: str | None = None
 ) -> FrequencyRule:
     return _set_rule("expect_column_distinct_values_to_equal_set", "distinct_equals", column, value_set, check_id)
 
 
+@recorded
 def expect_column_most_common_value_to_be_in_set(
     column: str, value_set: Iterable[object], ties_okay: bool = False, check_id: str | None = None
 ) -> FrequencyRule:
@@ -490,6 +574,7 @@ def expect_column_most_common_value_to_be_in_set(
                      ties_okay=ties_okay)
 
 
+@recorded
 def expect_column_proportion_of_unique_values_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> FrequencyRule:
@@ -501,23 +586,25 @@ def expect_column_proportion_of_unique_values_to_be_between(
     )
 
 
+@recorded
 def expect_column_unique_value_count_to_be_between(
     column: str, min_value: int | None = None, max_value: int | None = None, approx: bool = False,
     check_id: str | None = None,
 ) -> Rule:
-    """Number of distinct values. ``approx`` trades exactness for a sketch inside the fused pass."""
+    """Number of distinct values. ``approx`` trades exactness for a sketch in a pass of its own."""
     kind = "expect_column_unique_value_count_to_be_between"
     _bounds(min_value, max_value)
     if approx:
         return AggregateRule(
             kind=kind, columns=_columns(column), check_id=check_id, low=min_value, high=max_value,
-            measure=lambda c, t: F.approx_count_distinct(c),
+            measure=lambda c, t: F.approx_count_distinct(c), apart=True,
         )
     return FrequencyRule(
         kind=kind, judge="unique_count", columns=_columns(column), check_id=check_id, low=min_value, high=max_value
     )
 
 
+@recorded
 def expect_column_values_to_be_unique(column: str, mostly: float = 1.0, check_id: str | None = None) -> FrequencyRule:
     return FrequencyRule(
         kind="expect_column_values_to_be_unique", judge="unique", columns=_columns(column), check_id=check_id,
@@ -525,6 +612,7 @@ def expect_column_values_to_be_unique(column: str, mostly: float = 1.0, check_id
     )
 
 
+@recorded
 def expect_compound_columns_to_be_unique(
     column_list: Sequence[str], mostly: float = 1.0, ignore_row_if: str = "all_values_are_missing",
     check_id: str | None = None,
@@ -536,6 +624,7 @@ def expect_compound_columns_to_be_unique(
     )
 
 
+@recorded
 def expect_column_kl_divergence_to_be_less_than(
     column: str, partition_object: Mapping[str, Sequence], threshold: float, check_id: str | None = None
 ) -> FrequencyRule:
@@ -557,6 +646,7 @@ def expect_column_kl_divergence_to_be_less_than(
 # ---------------------------------------------------------------- schema rules
 
 
+@recorded
 def expect_column_to_exist(column: str, check_id: str | None = None) -> SchemaRule:
     return SchemaRule(
         kind="expect_column_to_exist", columns=_columns(column), check_id=check_id,
@@ -572,6 +662,7 @@ def _type_test(column: str, wanted: tuple[str, ...]):
     return test
 
 
+@recorded
 def expect_column_values_to_be_of_type(column: str, type_: str, check_id: str | None = None) -> SchemaRule:
     """``type_`` is a Spark type class name such as ``DoubleType``."""
     return SchemaRule(
@@ -580,6 +671,7 @@ def expect_column_values_to_be_of_type(column: str, type_: str, check_id: str |
     )
 
 
+@recorded
 def expect_column_values_to_be_in_type_list(
     column: str, type_list: Sequence[str], check_id: str | None = None
 ) -> SchemaRule:
@@ -589,6 +681,7 @@ def expect_column_values_to_be_in_type_list(
     )
 
 
+@recorded
 def expect_table_column_count_to_be_between(
     min_value: int | None = None, max_value: int | None = None, check_id: str | None = None
 ) -> SchemaRule:
@@ -602,6 +695,7 @@ def expect_table_column_count_to_be_between(
     return SchemaRule(kind="expect_table_column_count_to_be_between", check_id=check_id, test=test)
 
 
+@recorded
 def expect_table_column_count_to_equal(value: int, check_id: str | None = None) -> SchemaRule:
     return SchemaRule(
         kind="expect_table_column_count_to_equal", check_id=check_id,
@@ -609,6 +703,7 @@ def expect_table_column_count_to_equal(value: int, check_id: str | None = None)
     )
 
 
+@recorded
 def expect_table_columns_to_match_ordered_list(
     column_list: Sequence[str], check_id: str | None = None
 ) -> SchemaRule:
@@ -619,6 +714,7 @@ def expect_table_columns_to_match_ordered_list(
     )
 
 
+@recorded
 def expect_table_columns_to_match_set(column_set: Iterable[str], check_id: str | None = None) -> SchemaRule:
     wanted = set(column_set)
     return SchemaRule(
@@ -630,5 +726,6 @@ def expect_table_columns_to_match_set(column_set: Iterable[str], check_id: str |
 # ---------------------------------------------------------------- SQL constraints
 
 
+@recorded
 def expect_query_to_return_no_rows(query: str, check_id: str | None = None) -> ConstraintRule:
     return ConstraintRule(kind="expect_query_to_return_no_rows", check_id=check_id, query=query)

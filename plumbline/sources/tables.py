@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,18 +68,39 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
-def staged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The needed columns of an expensive source, written once to the shared folder and read back.
+def staged(df: DataFrame, columns: Sequence[str], path: str | None = None) -> DataFrame:
+    """The needed columns of an expensive source, written once to a new path of the shared folder and read back.
 
     A written table outlives lost executors and stays columnar, so each plan of a suite reads
-    only its own columns. It is the caller's to remove: its path is in ``inputFiles()``.
+    only its own columns. It is the caller's to remove (``remove_staged``), who may name the path.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder to stage a source")
-    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    if path is None:
+        folder = shared_folder(spark)
+        if folder is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder to stage a source")
+        path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
     # a column of no type cannot be stored, and a table needs a column
     kept = [C.column(c).cast("string") if isinstance(df.schema[c].dataType, T.NullType) else C.column(c) for c in columns]
     named = [k.alias(c) for k, c in zip(kept, columns)] or [F.lit(True).alias("row")]
     df.select(*named).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged table, on whatever file system it is."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextlib.contextmanager
+def staged_table(df: DataFrame, columns: Sequence[str] | None = None) -> Iterator[DataFrame]:
+    """The staged source for the length of a ``with`` block; results must be collected or written inside it."""
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder to stage a source")
+    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    try:
+        yield staged(df, df.columns if columns is None else columns, path)
+    finally:
+        remove_staged(df.sparkSession, path)

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import plumbline as pl
 from plumbline.operators import quantiles as Q
@@ -178,9 +179,9 @@ def test_nan_sorts_above_everything(spark):
     assert math.isnan(found[0.75]) and math.isnan(found[1.0])
 
 
-def test_a_bracket_that_misses_is_searched_again(spark, monkeypatch):
-    df = spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS c")
-    honest, calls = Q._choose, []
+def test_a_bracket_that_misses_is_searched_again_within_the_limit(spark, monkeypatch):
+    df = spark.range(200_000).selectExpr("CAST((id * 7919) % 200000 AS DOUBLE) AS c")
+    honest, rank, calls, held = Q._choose, Q._rank, [], []
 
     def wrong_at_first(grid, below, inside, rank, slack=1):
         calls.append(slack)
@@ -188,15 +189,28 @@ def test_a_bracket_that_misses_is_searched_again(spark, monkeypatch):
             return Q._Bracket(rank, 1.0, 2.0, 2)
         return honest(grid, below, inside, rank, slack)
 
+    def watched(pruned, searches):
+        for brackets in searches.values():
+            spans = Q._merge([(b.low, b.high) for b in brackets])
+            held.append(sum(pruned.filter((F.col("v0") >= low) & (F.col("v0") <= high)).count() for low, high in spans))
+        return rank(pruned, searches)
+
     monkeypatch.setattr(Q, "_choose", wrong_at_first)
-    assert pl.exact_quantiles(df, {"c": [0.5, 0.9]})["c"].values == {0.5: 2499.5, 0.9: pytest.approx(4499.1)}
-    assert max(calls) > 1
+    monkeypatch.setattr(Q, "_rank", watched)
+    found = pl.exact_quantiles(df, {"c": [0.5, 0.9]}, bracket_limit=1000)["c"].values
+    assert found == {0.5: 99999.5, 0.9: pytest.approx(179999.1)}
+    assert max(calls) > 1 and len(held) == 2 and max(held) <= 1000
 
 
-def test_a_table_that_changes_between_reads_is_refused(spark, monkeypatch):
+def test_a_table_that_changes_between_reads_fails_its_quantiles_only(spark, monkeypatch):
     monkeypatch.setattr(Q, "_choose", lambda grid, below, inside, rank, slack=1: Q._Bracket(rank, 1.0, 2.0, 2))
-    with pytest.raises(RuntimeError, match="changes"):
-        pl.exact_quantiles(spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS c"), {"c": [0.5]})
+    monkeypatch.setattr(Q, "BRACKET_LIMIT", 100)
+    monkeypatch.setattr(Q.exact_quantiles, "__defaults__", (100,))
+    df = spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS c")
+    median, high = run(df, pl.expect_column_median_to_be_between("c", 0, 9999), pl.expect_column_max_to_be_between("c", 0, 9999))
+    if high.kind != "expect_column_max_to_be_between":
+        median, high = high, median
+    assert high.success and not median.success and "changes" in median.observed_text
 
 
 def test_quantile_rules(spark):

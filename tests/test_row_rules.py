@@ -4,6 +4,8 @@ import datetime
 import decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 import plumbline as pl
 from tests.helpers import counts, one, run
@@ -231,3 +233,67 @@ def test_bad_regex_is_refused_before_the_run(spark):
     suite = pl.Suite([pl.expect_column_values_to_match_regex("c", "(")])
     with pytest.raises(ValueError, match="regular expression"):
         suite.verdicts(frame(spark, ["a"], WORDS))
+
+
+VALUES = {
+    "i": ("int", [1, 2, None]), "l": ("bigint", [9007199254740993, 9007199254740992, 2, None]), "d": ("double", [9007199254740992.0, -0.0, 0.0, 2.0, 2.5, None]),
+    "m": ("decimal(10,1)", ["2.5", "2.0", None]),
+}
+
+
+def _equal(a, b):
+    return a is not None and b is not None and a == b  # Python compares numbers of all kinds exactly
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(sorted(VALUES)), min_size=2, max_size=12).flatmap(lambda kinds: st.tuples(st.just(kinds), st.tuples(*[st.sampled_from(VALUES[k][1]) for k in kinds]))))
+def test_within_record_means_the_same_at_every_width(spark, drawn):
+    kinds, values = drawn
+    values = [decimal.Decimal(v) if k == "m" and v is not None else v for k, v in zip(kinds, values)]
+    df = spark.createDataFrame([tuple(values)], ", ".join(f"c{i} {VALUES[k][0]}" for i, k in enumerate(kinds)))
+    names = df.columns
+    # columns that equal none of the others
+    wide = df.selectExpr("*", *[f"CAST({1000 + i} AS BIGINT) AS x{i}" for i in range(6)])
+    rule = lambda cols: pl.expect_select_column_values_to_be_unique_within_record(cols, ignore_row_if="never")
+    want = not any(_equal(a, b) for i, a in enumerate(values) for b in values[i + 1 :])
+    assert one(df, rule(names)).success == want
+    assert one(wide, rule(wide.columns)).success == want
+
+
+@pytest.mark.parametrize("rule", [
+    pl.expect_column_pair_values_to_be_equal("a", "b"), pl.expect_column_pair_values_a_to_be_greater_than_b("a", "b"),
+    pl.expect_select_column_values_to_be_unique_within_record(["a", "b"]),
+])
+@pytest.mark.parametrize("types", ["a string, b double", "a string, b bigint", "a timestamp, b double", "a boolean, b int", "a map<int,int>, b map<int,int>", "a array<int>, b array<string>"])
+def test_columns_of_different_families_fail_with_the_reason(spark, rule, types):
+    row = one(spark.createDataFrame([(None, None)], types), rule)
+    assert not row.success and "compar" in row.observed_text
+
+
+def test_keys_of_different_families(spark):
+    rows = pl.compare_keys(spark.range(3), spark.range(3).selectExpr("CAST(id AS STRING) AS id"), ["id"]).collect()
+    assert len(rows) == 2 and not any(r.success for r in rows) and all("not comparable" in r.observed_text for r in rows)
+
+
+def test_bounds_of_mixed_number_types_are_checked():
+    with pytest.raises(ValueError):
+        pl.expect_column_values_to_be_between("x", min_value=10, max_value=1.0)
+
+
+def test_moments_inside_a_day_are_no_dates(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS d")
+    noon = datetime.datetime(2024, 1, 1, 12)
+    assert not one(df, pl.expect_column_values_to_be_between("d", min_value=noon)).success
+    assert one(df, pl.expect_column_values_to_be_between("d", max_value=noon)).success
+    assert not one(df, pl.expect_column_values_to_be_in_set("d", [noon])).success
+    assert one(df, pl.expect_column_values_to_not_be_in_set("d", [noon])).success
+    assert not one(df, pl.expect_column_distinct_values_to_contain_set("d", [noon])).success
+    assert one(df, pl.expect_column_distinct_values_to_contain_set("d", [datetime.datetime(2024, 1, 1)])).success
+
+
+def test_a_constraint_that_fails_as_it_runs(spark):
+    bad, good = pl.Suite([
+        pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE CAST(c AS INT) > 0", check_id="a"),
+        pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE c = 'y'", check_id="b"),
+    ]).verdicts(spark.sql("SELECT 'x' AS c")).orderBy("check_id").collect()
+    assert not bad.success and "CAST_INVALID_INPUT" in bad.observed_text and good.success

@@ -1,12 +1,16 @@
 """Suites, schema contracts, constraints, comparisons, sources, reports and evidence."""
 
 import datetime
+import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import plumbline as pl
+from plumbline.operators import members
 from tests.helpers import one, plan_of, run, scan_metrics
 
 
@@ -184,7 +188,7 @@ def test_report_is_indented_json_in_new_folders(people, tmp_path):
     assert report["statistics"]["evaluated_expectations"] == 11
     by_id = {r["check_id"]: r for r in report["results"]}
     assert by_id["max"]["expectation_config"]["type"] == "expect_column_max_to_be_between"
-    assert by_id["max"]["result"]["observed_value"] == "70.0"
+    assert by_id["max"]["result"]["observed_value"] == 70.0
     assert by_id["null"]["result"]["unexpected_count"] == 1
     assert report["run_id"]["run_time"]
 
@@ -208,10 +212,18 @@ def test_failing_values(spark):
     )
     rows = suite.failing_values(df).collect()
     by_id = {}
+    totals = {}
     for r in sorted(rows, key=lambda r: (-r.n, r.value or "")):
         by_id.setdefault(r.check_id, []).append((r.value, r.n))
+        totals[r.check_id] = (r.distinct_values, r.failing_rows)
     assert by_id["regex"][0] == ("hot", 50) and len(by_id["regex"]) == 20
-    assert by_id["regex"][1:] == [(str(v), 1) for v in sorted(map(str, range(10, 100)))][:19]
+    # ties of texts in the order of their hashes
+    first = sorted(map(str, range(10, 100)), key=lambda v: hashlib.md5(v.encode()).hexdigest())[:19]
+    assert {v for v, _ in by_id["regex"][1:]} == set(first)
+    assert totals["regex"] == (91, 140) and totals["null"] == (1, 5) and totals["unique"] == (1, 50) and totals["distinct"] == (1, 33)
+    for top in (1001, None):
+        every = [r for r in suite.failing_values(df, ["regex"], top=top).collect()]
+        assert len(every) == 91 and sum(r.n for r in every) == 140 and {r.failing_rows for r in every} == {140}
     assert by_id["null"] == [(None, 5)]
     assert by_id["pair"][0] == ('{"d":0,"e":null}', 2)
     assert by_id["distinct"] == [("2", 33)]
@@ -406,3 +418,105 @@ def test_larger_sets_meet_the_frequency_table_by_a_join_spark_chooses(spark, lin
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in small and "SortMergeJoin" in large
     assert verdict == one(lines, rule) == broadcast
+
+
+def test_a_whole_report_is_read_back(spark, people, tmp_path):
+    suite = pl.Suite(
+        [
+            pl.expect_column_to_exist("age", check_id="there"),
+            pl.expect_column_values_to_be_in_set("id", range(5000), check_id="large", mostly=0.5),
+            pl.expect_column_sum_to_be_between("id", 0, None, check_id="sum"),
+            pl.expect_column_values_to_not_be_null("nowhere", check_id="gone"),
+        ]
+    )
+    suite.write_report(people, str(tmp_path / "r"))
+    read = pl.read_report(spark, str(tmp_path / "r")).first()
+    assert [r.check_id for r in read.results] == ["large", "sum", "there"]
+    assert [tuple(r) for r in read.skipped] == [("gone", "expect_column_values_to_not_be_null", "nowhere")]
+    by_id = {r.check_id: r for r in read.results}
+    assert by_id["large"].expectation_config.kwargs.toPython() == {"column": "id", "mostly": 0.5, "value_set": {"size": 5000}}
+    assert by_id["sum"].result.observed_value.toPython() == people.agg(F.sum("id")).first()[0]
+    assert by_id["there"].result.unexpected_count is None and by_id["there"].result.observed_value.toPython() == "age"
+
+
+def test_exact_digits_of_large_integers(spark):
+    df = spark.createDataFrame([(9007199254740993,), (1,)], "x bigint")
+    row = pl.Suite([pl.expect_column_max_to_be_between("x", 0, None)]).verdicts(df).first()
+    assert row.success and row.observed_text == "9007199254740993"
+
+
+def test_an_approximate_count_leaves_the_others_compiled(spark):
+    rules = [pl.expect_column_values_to_be_between("id", i, None) for i in range(5)]
+    rules.append(pl.expect_column_unique_value_count_to_be_between("id", 1, None, approx=True))
+    plan = plan_of(pl.Suite(rules).verdicts(spark.range(100)))
+    assert plan.count("Scan") + plan.count("Range (") == 2
+    lines = [line for line in plan.splitlines() if "functions=[partial_" in line]
+    assert len(lines) == 2 and not any("CASE" in line for line in lines if "approx_count_distinct" in line)
+    assert sum("CASE" in line for line in lines) == 1
+
+
+def test_sets_share_joins_and_a_broadcast_budget(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id AS a", "id AS b")
+    big = list(range(1500))
+    rules = [
+        pl.expect_column_values_to_be_in_set("a", big), pl.expect_column_values_to_not_be_in_set("a", big),
+        pl.expect_column_values_to_be_in_set("b", [v + 1 for v in big]),
+    ]
+    assert plan_of(pl.Suite(rules).verdicts(df)).count("BroadcastExchange") == 2
+    one = members._set_as_table(rules[0], [T.LongType()]).nbytes
+    monkeypatch.setattr(members, "BROADCAST_BYTES", one + 10)
+    assert members.broadcastable(pl.Suite(rules).rules, df.schema) == {r.check_id for r in pl.Suite(rules).rules[:2]}
+    got = {r.check_id: r.unexpected_count for r in pl.Suite(rules).verdicts(df).collect()}
+    assert sorted(got.values()) == [1500, 1500, 1500]
+
+
+def test_a_table_of_members(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "x string")
+    table = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "y string")
+    inside, outside = pl.Suite([pl.expect_column_values_to_be_in_set("x", table), pl.expect_column_values_to_not_be_in_set("x", table)]).verdicts(df).collect()
+    assert (inside.unexpected_count, outside.unexpected_count, inside.missing_count) == (1, 2, 1)
+    wrong = pl.Suite([pl.expect_column_values_to_be_in_set("x", spark.range(3))]).verdicts(df).first()
+    assert not wrong.success and "not comparable" in wrong.observed_text
+    with pytest.raises(ValueError):
+        pl.expect_column_values_to_be_in_set("x", table.selectExpr("y", "1 AS z"))
+
+
+def test_collated_text_and_a_large_set(spark):
+    df = spark.sql("SELECT collate(c, 'UTF8_LCASE') AS c FROM VALUES ('Ab'), ('zz') t(c)")
+    row = pl.Suite([pl.expect_column_values_to_be_in_set("c", ["ab", *map(str, range(2000))])]).verdicts(df).first()
+    assert row.unexpected_count == 1
+
+
+def test_a_caller_keeps_its_views(spark):
+    spark.range(7).createOrReplaceTempView("mine")
+    try:
+        assert pl.query_source(spark, "SELECT * FROM mine", mine=spark.range(2)).count() == 2
+        assert spark.table("mine").count() == 7
+        pl.query_source(spark, "SELECT * FROM other", other=spark.range(2))
+        assert "other" not in {t.name for t in spark.catalog.listTables()}
+    finally:
+        spark.catalog.dropTempView("mine")
+
+
+def test_staged_tables_can_be_removed(spark, tmp_path):
+    path = str(tmp_path / "here")
+    rule = pl.expect_column_median_to_be_between("id", 0, 9)
+    assert pl.Suite([rule]).verdicts(spark.range(9), stage=path).first().success
+    assert (tmp_path / "here").exists()
+    pl.remove_staged(spark, path)
+    assert not (tmp_path / "here").exists()
+    with pl.staged_table(spark.range(9)) as kept:
+        files = kept.inputFiles()
+        assert files and kept.count() == 9
+    assert not Path(files[0].removeprefix("file://")).exists()
+
+
+def test_date_slices_of_text_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "days")
+    spark.sql("SELECT id, date_format(date_add(DATE '2024-01-01', CAST(id AS INT)), 'yyyy-MM-dd') AS day FROM range(5)").write.partitionBy("day").parquet(path)
+    days = spark.read.schema("id bigint, day string").parquet(path)
+    day = pl.today_slice(days, "day", today=datetime.date(2024, 1, 3))
+    assert scan_metrics(day, "numPartitions") == [1]
+    assert [r.id for r in day.collect()] == [2]
+    with pytest.raises(ValueError, match="holds no dates"):
+        pl.today_slice(spark.range(3).selectExpr("CAST(id AS DOUBLE) AS day"), "day")
