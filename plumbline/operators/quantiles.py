@@ -12,11 +12,14 @@ tell whether the rank really lay inside its bracket; if not, the search repeats
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as C
@@ -33,6 +36,8 @@ RANK_ERROR = 2 * rank_error(SKETCH_SIZE)
 BRACKET_LIMIT = 2_000_000
 # brackets of so few rows need not get narrower, whatever the limit
 FEW = 10_000
+# up to so many counted values are ranked on the driver, without a sort of their own
+FEW_GROUPS = 50_000
 
 
 @dataclass
@@ -61,8 +66,8 @@ def exact_quantiles(
     """Interpolated quantiles per column, the same numbers as Spark's ``percentile``.
 
     Runs two jobs for all columns together, and one more per narrowing round; each round
-    divides what is left of a column by about 150. What reaches the driver are grids and
-    ranks: two thousand numbers per column, in later rounds per wanted quantile.
+    divides what is left of a column by about 150. What reaches the driver are a sketch per
+    column, in later rounds per wanted quantile, and at most ``FEW_GROUPS`` counted values.
     """
     names = list(wanted)
     pruned = df.select(*[C.column(n).cast("double").alias(f"v{i}") for i, n in enumerate(names)])
@@ -72,7 +77,7 @@ def exact_quantiles(
         present = seen[f"n{i}"]
         if present:
             ranks = {r for p in wanted[name] for r in _ranks(p, present)}
-            searches[i] = [_choose(seen[f"g{i}"], 0, present, r) for r in sorted(ranks)]
+            searches[i] = _chosen(df.sparkSession, seen[f"g{i}"], 0, present, sorted(ranks), 1)
     found = _search(pruned, searches, bracket_limit, {i: seen[f"n{i}"] for i in searches})
     answers = {}
     for i, name in enumerate(names):
@@ -103,11 +108,17 @@ def _ordered(i: int) -> Column:
     return F.when(F.isnan(v), F.lit(math.inf)).otherwise(v)
 
 
-def _counts_and_grids(pruned: DataFrame, counts: dict[str, Column], grids: dict[str, Column]) -> Row:
-    """All counts, and per grid the ``GRID + 1`` evenly spaced quantiles of its column."""
-    seen = sketch_and_count(pruned, counts, grids, SKETCH_SIZE)
-    steps = [g / GRID for g in range(GRID + 1)]
-    return seen.select(*counts, *[quantiles_of(F.col(g), steps).alias(g) for g in grids]).first()
+def _counts_and_sketches(pruned: DataFrame, counts: dict[str, Column], sketched: dict[str, Column]) -> Row:
+    return sketch_and_count(pruned, counts, sketched, SKETCH_SIZE).first()
+
+
+def _chosen(spark: SparkSession, sketch: bytes, below: int, inside: int, ranks: Sequence[int], slack: int) -> list[_Bracket]:
+    """Brackets of the ranks, from the few grid values they need; the sketch is read on the driver, without a job."""
+    places = sorted({g for r in ranks for g in _span(below, inside, r, slack)})
+    local = spark.createDataFrame(pa.table({"s": [bytes(sketch)]}))
+    values = local.select(quantiles_of(F.col("s"), [g / GRID for g in places])).first()[0]
+    grid = dict(zip(places, values))
+    return [_choose(grid, below, inside, r, slack) for r in ranks]
 
 
 def _first_pass(pruned: DataFrame, n: int) -> Row:
@@ -115,18 +126,29 @@ def _first_pass(pruned: DataFrame, n: int) -> Row:
     for i in range(n):
         counts[f"n{i}"] = F.count(f"v{i}")
         counts[f"nan{i}"] = C.count_where(F.isnan(f"v{i}"))
-    return _counts_and_grids(pruned, counts, {f"g{i}": _ordered(i) for i in range(n)})
+    return _counts_and_sketches(pruned, counts, {f"g{i}": _ordered(i) for i in range(n)})
 
 
-def _choose(grid: Sequence[float], below: int, inside: int, rank: int, slack: int = 1) -> _Bracket:
-    """Smallest pair of grid values sure to enclose the wanted rank.
+def _error(inside: int, slack: int) -> float:
+    """Rows that a grid value may be off: the sketch's rank error, and a row for rounding."""
+    return slack * (inside * RANK_ERROR + 1)
 
-    The grid describes ``inside`` rows that follow ``below`` smaller ones; each grid value may
-    be off by the sketch's rank error, and rounding adds a row.
-    """
-    error = slack * (inside * RANK_ERROR + 1)
+
+def _span(below: int, inside: int, rank: int, slack: int) -> tuple[int, int]:
+    """Places of the ``GRID + 1`` evenly spaced quantiles that are sure to enclose the rank."""
+    error = _error(inside, slack)
     left = max(math.floor((rank - below - error) / inside * GRID), 0)
     right = min(math.ceil((rank - below + 1 + error) / inside * GRID), GRID)
+    return left, right
+
+
+def _choose(grid: Mapping[int, float], below: int, inside: int, rank: int, slack: int = 1) -> _Bracket:
+    """Smallest pair of grid values sure to enclose the wanted rank.
+
+    The grid describes ``inside`` rows that follow ``below`` smaller ones.
+    """
+    error = _error(inside, slack)
+    left, right = _span(below, inside, rank, slack)
     low = -math.inf if left == 0 else grid[left]
     high = math.inf if right == GRID else grid[right]
     held = inside * (right - left) / GRID + 2 * error
@@ -185,7 +207,7 @@ def _narrow(pruned: DataFrame, searches: _Searches, slack: int) -> _Searches:
             counts[f"low{i}_{j}"] = C.count_where(v == low)
             counts[f"open{i}_{j}"] = C.count_where(between)
             grids[f"g{i}_{j}"] = F.when(between, v)
-    seen = _counts_and_grids(pruned, counts, grids)
+    seen = _counts_and_sketches(pruned, counts, grids)
     out: _Searches = {}
     for i, brackets in searches.items():
         out[i] = []
@@ -198,7 +220,7 @@ def _narrow(pruned: DataFrame, searches: _Searches, slack: int) -> _Searches:
             elif b.rank >= start + inside:
                 out[i].append(_Bracket(b.rank, b.high, b.high, 0))
             else:
-                closer = _choose(seen[f"g{i}_{j}"], start, inside, b.rank, slack)
+                closer = _chosen(pruned.sparkSession, seen[f"g{i}_{j}"], start, inside, [b.rank], slack)[0]
                 closer.low, closer.high = max(closer.low, b.low), min(closer.high, b.high)
                 out[i].append(closer)
     return out
@@ -227,6 +249,8 @@ def _rank(pruned: DataFrame, searches: _Searches) -> dict[int, dict[int, float]]
     union = plans[0]
     for plan in plans[1:]:
         union = union.unionByName(plan)
+    if sum(map(_held, searches.values())) <= FEW_GROUPS:
+        return _rank_here(union, searches)
     running = F.sum("n").over(
         Window.partitionBy("column").orderBy("region", "value").rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -243,6 +267,22 @@ def _rank(pruned: DataFrame, searches: _Searches) -> dict[int, dict[int, float]]
     return found
 
 
+def _rank_here(counts: DataFrame, searches: _Searches) -> dict[int, dict[int, float]]:
+    """The same on the driver, for a few counted values."""
+    groups: dict[int, list[tuple]] = {i: [] for i in searches}
+    for r in counts.collect():
+        groups[r["column"]].append((r["region"], r["value"], r["n"]))
+    found: dict[int, dict[int, float]] = {i: {} for i in searches}
+    for i, held in groups.items():
+        held.sort(key=lambda g: (g[0], -math.inf if g[1] is None else g[1]))
+        upto = list(itertools.accumulate(n for *_, n in held))
+        for b in searches[i]:
+            at = bisect.bisect_right(upto, b.rank)
+            if at < len(held) and held[at][1] is not None:
+                found[i][b.rank] = held[at][1]
+    return found
+
+
 def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for low, high in sorted(spans):
