@@ -38,8 +38,8 @@ from plumbline.llm.words import _mixed, _powers, pieces
 
 #: Words compiled into the transducer, the most frequent ones, and bytes of the longest.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 64
-#: Words a worker remembers before it starts afresh, and characters that are hashed at a time.
-REMEMBERED, BLOCK = 300_000, 1 << 20
+#: Words a worker remembers before it starts afresh, and characters or ids that are worked on at a time.
+REMEMBERED, BLOCK = 200_000, 1 << 18
 #: The one pattern of words that is supported: contractions, runs of letters, single numerals, runs of the rest.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE, LETTER, NUMERAL, REST, SPECIAL = range(5)

@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.words import LOWER, Words, _mixed, pieces, words_of
 
-#: The bounded sample: documents per language, runs of words in all, words of a run.
-PER_LANGUAGE, CHUNKS, RUN = 1_000, 8_000, 24
+#: The bounded sample: documents per language, runs of words in all, words and bytes of a run (longer words are not trained on).
+PER_LANGUAGE, CHUNKS, RUN, RUN_BYTES = 1_000, 8_000, 24, 2048
 #: Feature weights per language (a power of two), training passes, and how often a word must occur to be in the lexicon.
 SLOTS, PASSES, LEAST = 1 << 18, 3, 3
-#: Bytes of a word that count for its features.
-LONGEST = 64
+#: Distinct words whose features are laid out at a time.
+AT_ONCE = 1 << 15
 
 
 class Model(NamedTuple):
@@ -44,7 +44,7 @@ class Model(NamedTuple):
 def features(w: Words, which: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(slot, owner) of all features of the chosen words; owner is the index in ``which``, in order within each kind."""
     begin = w.start[which]
-    size = np.minimum(w.end[which] - begin, LONGEST)
+    size = w.end[which] - begin
     owner = np.repeat(np.arange(len(which)), size)
     first = np.cumsum(size) - size
     inside = np.arange(len(owner)) - first[owner]
@@ -76,8 +76,12 @@ def features(w: Words, which: np.ndarray, lexicon: np.ndarray) -> tuple[np.ndarr
 def emissions(w: Words, model: Model) -> np.ndarray:
     """Log-potential of every language for every word, computed once per distinct word."""
     _, which, back = np.unique(w.hash, return_index=True, return_inverse=True)
-    slots, owners = features(w, which, model.lexicon)
-    out = np.column_stack([np.bincount(owners, model.weights[slots, k], minlength=len(which)) for k in range(len(model.languages))])
+    out = np.empty((len(which), len(model.languages)))
+    for a in range(0, len(which), AT_ONCE):
+        part = which[a : a + AT_ONCE]
+        slots, owners = features(w, part, model.lexicon)
+        for k in range(out.shape[1]):
+            out[a : a + len(part), k] = np.bincount(owners, model.weights[slots, k], minlength=len(part))
     return out[back]
 
 
@@ -160,7 +164,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(b - a):
                 for k in range(int(w.first[i]), int(w.first[i + 1]), RUN):
                     stop = min(k + RUN, int(w.first[i + 1]))
-                    out.append(" ".join(w.text(j)[:LONGEST] for j in range(k, stop)))
+                    if w.end[stop - 1] - w.start[k] > RUN_BYTES:
+                        continue
+                    out.append(w.span(k, stop))
                     lang.append(langs[a + i])
                     hashed.append(int(_mixed(w.hash[k:stop].sum(keepdims=True))[0] >> np.uint64(1)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lang, pa.string()), pa.array(hashed, pa.int64())], names=["run", "lang", "at"])

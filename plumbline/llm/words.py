@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes treated at a time; bounds the working arrays, not the texts.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -35,8 +35,8 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64, for i below n."""
-    size = 1 << max(12, int(n - 1).bit_length())
-    if size not in _POWERS:
+    size = -(-n // 65536) * 65536
+    if not any(held >= n for held in _POWERS):
         ups = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             a = np.full(size, base, dtype=np.uint64)
@@ -44,7 +44,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             ups.append(np.cumprod(a, dtype=np.uint64))
         _POWERS.clear()
         _POWERS[size] = tuple(ups)
-    return _POWERS[size]
+    return next(iter(_POWERS.values()))
 
 
 class Words(NamedTuple):
@@ -154,7 +154,7 @@ class Lookup:
         return out
 
 
-def pieces(column: pa.Array, most: int = 4 * BLOCK):
+def pieces(column: pa.Array, most: int = 2 * BLOCK):
     """(first, last) rows of consecutive slices of about ``most`` bytes; a longer text is a slice by itself."""
     column = column.cast(pa.large_binary()).fill_null(b"")
     if not len(column):
