@@ -44,3 +44,15 @@ def same_rows(documents: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
     c = chosen.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__other")).distinct().alias("c")
     met = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("c.__id")) & F.col("d.__digest").eqNullSafe(F.col("c.__other"))
     return keyed.join(c, met, how)
+
+
+def sampled_rows(rows: DataFrame, key: str, size: int, seed: int = 0) -> list:
+    """At most ``size`` rows, those that come first by a hash of a key that no two rows share.
+
+    Rows are thinned to about twice as many before any are ordered, so that no more than that
+    reach the driver, however many tasks there are.
+    """
+    total = rows.count()
+    place = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
+    thin = rows.filter(place < F.lit(int(min(1.0, 2 * size / max(total, 1)) * (1 << 30))))
+    return thin.orderBy(place, key).limit(size).collect()

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.store import sampled_rows
 from plumbline.llm.words import _mixed, pieces, words_of
 
 #: Labelled documents that are fitted on, and words that get a score of their own.
@@ -183,7 +184,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample:
     """Fit on the ``sample`` labelled documents that come first by a hash of their id; rows of ``labels`` are (doc_id, toxic)."""
     one = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("bigint").alias("toxic")).dropna()
     one = one.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("bigint")).alias("toxic"))
-    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()  # at most `sample` pairs of numbers
+    chosen = sampled_rows(one, "doc_id", sample)
     if not chosen:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, 1.0, 1.0, 0.0, math.log(0.5 / 0.5))
     n_bad = sum(r.toxic for r in chosen)

@@ -60,3 +60,13 @@ def test_tokens_tell_case_and_punctuation_apart():
     w = words.tokens_of(pa.array(["Ab ab!! é?,x"]))
     assert [w.data[a:b].tobytes().decode() for a, b in zip(w.start, w.end)] == ["Ab", "ab", "!!", "é", "?,", "x"]
     assert len(set(w.hash.tolist())) == 6
+
+
+def test_samples_are_bounded_and_the_same_each_time(spark):
+    from plumbline.llm.store import sampled_rows
+
+    rows = spark.range(5000).selectExpr("id", "id * 2 AS twice").repartition(7)
+    got = sampled_rows(rows, "id", 100)
+    assert len(got) == 100 and all(r.twice == 2 * r.id for r in got)
+    assert [r.id for r in got] == [r.id for r in sampled_rows(rows.repartition(3), "id", 100)]
+    assert len(sampled_rows(rows, "id", 9999)) == 5000 and sampled_rows(rows.limit(0), "id", 5) == []
