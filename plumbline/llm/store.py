@@ -19,7 +19,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     """
     folder = shared_folder(spark)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="plumbline-")
         spark.sparkContext.setCheckpointDir(folder)
