@@ -6,7 +6,8 @@ Forward-backward gives each word's language in code-switched text, and a text's
 one with the largest share of its words.
 
 Fitted on a bounded sample of labelled documents: about ``per_language`` of each language, by a
-hash of the id, and ``chunks`` runs of their words. Training sequences join runs of words, of one
+hash of id and text, and ``chunks`` distinct runs of their words, as many of each language. Every
+document of a language gives one run before any gives a second one. Training sequences join runs of words, of one
 language or of two, so that switches are learned. Defined results: a null text or one without a
 letter is ``und`` with score 0, as is every text if nothing could be learned; repeated rows are
 predicted alike; ties go to the language that sorts first; extra columns are ignored.
@@ -23,9 +24,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.store import written
 from plumbline.llm.words import LOWER, Words, _mixed, pieces, words_of
 
-#: The bounded sample: documents per language, runs of words in all, words and bytes of a run (longer words are not trained on).
+#: The bounded sample: documents per language, runs of words in all, words and bytes of a run (longer words are cut).
 PER_LANGUAGE, CHUNKS, RUN, RUN_BYTES = 1_000, 8_000, 24, 2048
 #: Feature weights per language (a power of two), training passes, and how often a word must occur to be in the lexicon.
 SLOTS, PASSES, LEAST = 1 << 18, 3, 3
@@ -155,37 +157,66 @@ def fit(texts: list[str], langs: list[str], passes: int = PASSES, seed: int = 7)
 # ------------------------------------------------------------------ on Spark
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, langs = batch.column("text"), batch.column("lang").to_pylist()
-        for a, b in pieces(texts):
-            w = words_of(texts.slice(a, b - a))
-            out, lang, hashed = [], [], []
-            for i in range(b - a):
-                for k in range(int(w.first[i]), int(w.first[i + 1]), RUN):
-                    stop = min(k + RUN, int(w.first[i + 1]))
-                    if w.end[stop - 1] - w.start[k] > RUN_BYTES:
-                        continue
-                    out.append(w.span(k, stop))
-                    lang.append(langs[a + i])
-                    hashed.append(int(_mixed(w.hash[k:stop].sum(keepdims=True))[0] >> np.uint64(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lang, pa.string()), pa.array(hashed, pa.int64())], names=["run", "lang", "at"])
+def _runs(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, langs = batch.column("text"), batch.column("lang").to_pylist()
+            for a, b in pieces(texts):
+                w = words_of(texts.slice(a, b - a))
+                out, lang, turns, hashed = [], [], [], []
+                for i in range(b - a):
+                    cuts, k, last = [], int(w.first[i]), int(w.first[i + 1])
+                    while k < last:
+                        stop = min(k + RUN, last)
+                        stop = max(k + 1, k + int(np.searchsorted(w.end[k:stop], w.start[k] + RUN_BYTES, side="right")))
+                        cuts.append((k, stop))
+                        k = stop
+                    at = np.array([_mixed(w.hash[k:stop].sum(keepdims=True))[0] >> np.uint64(1) for k, stop in cuts], np.int64)
+                    # turns of the document's distinct runs, by their hash
+                    at, which = np.unique(at, return_index=True)
+                    for turn, (h, c) in enumerate(zip(at[:most].tolist(), which[:most].tolist())):
+                        text = w.span(*cuts[c])
+                        out.append(text if len(text) <= RUN_BYTES // 4 else text.encode()[:RUN_BYTES].decode("utf-8", "ignore"))
+                        lang.append(langs[a + i])
+                        turns.append(turn)
+                        hashed.append(h)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(lang, pa.string()), pa.array(turns, pa.int64()), pa.array(hashed, pa.int64())], names=["run", "lang", "turn", "at"])
+
+    return run
 
 
 def train(documents: DataFrame, per_language: int = PER_LANGUAGE, chunks: int = CHUNKS) -> Model | None:
     """Fit on labelled documents (text, lang); None if there is nothing to learn from."""
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    # each language is thinned to about the same number of documents, by a hash of the id
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # each language is thinned to about the same number of documents, by a hash
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).collect()
     if not sizes:
         return None
+    quota = -(-chunks // len(sizes))
     keep = F.lit(False)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    for lang, n in sizes.items():
-        keep = keep | ((F.col("lang") == lang) & (place < per_language / n))
-    runs = rows.filter(keep).select("text", "lang").mapInArrow(_runs, "run string, lang string, at bigint")
-    chosen = runs.orderBy("at", "run", "lang").limit(chunks).toPandas()  # at most `chunks` runs of RUN words
+    for r in sizes:
+        keep = keep | ((F.col("lang") == r.lang) & (place <= max(int(per_language / r.n * (1 << 30)), r.least)))
+    runs = rows.filter(keep).select("text", "lang").mapInArrow(_runs(quota), "run string, lang string, turn bigint, at bigint")
+    runs = written(runs.groupBy("lang", "run").agg(F.min("turn").alias("turn"), F.min("at").alias("at")), "runs")
+    # the turns that fit into a language's share, and of the next one about twice what is missing
+    counts: dict[str, list[tuple[int, int]]] = {}
+    for r in runs.groupBy("lang", "turn").count().collect():  # `quota` turns of each language at most
+        counts.setdefault(r.lang, []).append((r.turn, r["count"]))
+    keep, place = F.lit(False), F.pmod(F.xxhash64("run"), F.lit(1 << 30))
+    for lang, found in counts.items():
+        left = quota
+        for turn, n in sorted(found):
+            if n > left:
+                part = int(min(1.0, (2 * left + 16) / n) * (1 << 30))
+                keep = keep | ((F.col("lang") == lang) & ((F.col("turn") < turn) | (F.col("turn") == turn) & (place < part)))
+                break
+            left -= n
+        else:
+            keep = keep | (F.col("lang") == lang)
+    chosen = runs.filter(keep).toPandas()  # about twice `chunks` runs of RUN words at most
+    chosen = chosen.sort_values(["lang", "turn", "at", "run"]).groupby("lang").head(quota).sort_values(["at", "run", "lang"])
     return fit(chosen["run"].tolist(), chosen["lang"].tolist()) if len(chosen) else None
 
 

@@ -69,6 +69,25 @@ def test_on_a_table(spark, documents):
     assert kept.columns == df.columns and kept.count() == len(rows) + 3
 
 
+def test_every_language_is_learned_beside_long_texts_and_copies(spark):
+    rng = random.Random(6)
+    line = lambda lang, n: " ".join(rng.choice("abcdef") + rng.choice("ghijkl") + rng.choice(ENDINGS[lang]) for _ in range(n))
+    copy = line("yy", 24)
+    rows = [(1, line("xx", 60_000), "xx"), *((10 + k, copy, "yy") for k in range(500)), (600, line("yy", 200), "yy"), (700, line("zz", 10), "zz"), (None, "日" * 3000, "ja")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    for per_language in (1000, 1):
+        found = langid.train(df, per_language=per_language, chunks=40)
+        assert found.languages == ["ja", "xx", "yy", "zz"]
+    seen = []
+    keep, langid.fit = langid.fit, lambda texts, langs: seen.append(list(zip(langs, texts)))
+    try:
+        langid.train(df, chunks=40)
+    finally:
+        langid.fit = keep
+    count = {lang: sum(x == lang for x, _ in seen[0]) for lang in ("ja", "xx", "yy", "zz")}
+    assert count == {"ja": 1, "xx": 10, "yy": 10, "zz": 1} and len(set(seen[0])) == len(seen[0])
+
+
 def test_nothing_to_learn(spark, documents):
     df = documents((1, "abc"), (2, None), lang=None)
     assert langid.train(df) is None
