@@ -6,7 +6,8 @@ maximal segment (Ruzzo and Tompa). Segment scores of clean text follow an extrem
 parameters come from the word shares and from the clean training documents; it turns the segments
 of a document into one p-value, and a logistic curve turns that into a probability.
 
-The model is fitted on a bounded sample of labelled documents (``sample``); every document is
+The model is fitted on a bounded sample of labelled documents (``sample``), shared out by label and
+language and weighted back for the probabilities; every document is
 scored over its whole text. Defined results: null, empty and wordless texts have no segment and
 get the score of a p-value of 1; a document labelled more than once is toxic if any label says so;
 null labels and labels of unknown documents are not used; repeated rows score alike; extra columns
@@ -25,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import sampled_rows
+from plumbline.llm.store import quotas, written
 from plumbline.llm.words import _mixed, pieces, words_of
 
 #: Labelled documents that are fitted on, and words that get a score of their own.
 SAMPLE, LEXICON = 8_000, 65_536
+#: Words on either side that tell one passage of a word from another.
+AROUND = 2
 #: Weight of the Dirichlet prior, in words.
 PRIOR = 100.0
 #: Expected number of equally high segments in clean text of the same length, for a segment to be reported.
@@ -99,17 +102,22 @@ def word_scores(hashes: np.ndarray, model: Model) -> np.ndarray:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, word before it, draw): a random number for pair and document, whose last bit says whether the document is toxic."""
+    """(word, passage, draw): a hash of the words up to AROUND away, and a random number for both and the document, whose last bit says whether the document is toxic."""
     for batch in batches:
         texts, toxic = batch.column("text"), np.asarray(batch.column("toxic").to_pylist(), np.uint64)
         ids = np.asarray(batch.column("doc_id").to_pylist(), np.int64).view(np.uint64)
         for a, b in pieces(texts):
             w = words_of(texts.slice(a, b - a))
-            before = np.concatenate([[np.uint64(0)], w.hash[:-1]]) if len(w.hash) else w.hash
-            before[w.first[:-1][np.diff(w.first) > 0]] = 0
-            doc, label = (np.repeat(x[a:b], np.diff(w.first)) for x in (ids, toxic))
-            draw = _mixed(w.hash ^ _mixed(before + np.uint64(1)) ^ _mixed(doc + np.uint64(2))) & ~np.uint64(1) | label
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (w.hash, before, draw)], names=["word", "before", "draw"])
+            n = np.diff(w.first)
+            at = np.arange(len(w.hash))
+            low, high = np.repeat(w.first[:-1], n), np.repeat(w.first[1:], n)
+            passage = np.zeros(len(w.hash), np.uint64)
+            for k in range(-AROUND, AROUND + 1):
+                inside = (at + k >= low) & (at + k < high)
+                passage = _mixed(passage * np.uint64(0x9FB21C651E98DF25) + np.where(inside, w.hash[np.where(inside, at + k, at)], np.uint64(0)) + np.uint64(1))
+            doc, label = (np.repeat(x[a:b], n) for x in (ids, toxic))
+            draw = _mixed(passage ^ _mixed(doc + np.uint64(2))) & ~np.uint64(1) | label
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (w.hash, passage, draw)], names=["word", "passage", "draw"])
 
 
 _SEGMENTS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
@@ -165,14 +173,14 @@ def _scores(spark: SparkSession, texts: DataFrame, model: Model) -> DataFrame:
     return texts.mapInArrow(_scorer(spark.sparkContext.broadcast(model)), SCORED)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (0 at least) and offset of a lightly penalised logistic fit, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope (0 at least) and offset of a lightly penalised logistic fit of weighted rows, by Newton's method."""
     design = np.column_stack([np.minimum(x, 50.0), np.ones(len(x))])
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
-        gradient = design.T @ (y - p) - np.array([1e-2, 1e-2]) * beta
-        curve = (design * (p * (1 - p) + 1e-9)[:, None]).T @ design + np.diag([1e-2, 1e-2])
+        gradient = design.T @ (weight * (y - p)) - np.array([1e-2, 1e-2]) * beta
+        curve = (design * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ design + np.diag([1e-2, 1e-2])
         step = np.linalg.solve(curve, gradient)
         beta += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -181,21 +189,33 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on the ``sample`` labelled documents that come first by a hash of their id; rows of ``labels`` are (doc_id, toxic)."""
+    """Fit on at most ``sample`` labelled documents, as many of each label and language as there are and the others leave; rows of ``labels`` are (doc_id, toxic)."""
     one = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("bigint").alias("toxic")).dropna()
     one = one.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("bigint")).alias("toxic"))
-    chosen = sampled_rows(one, "doc_id", sample)
-    if not chosen:
+    lang = F.col("lang").cast("string") if "lang" in documents.columns else F.lit(None).cast("string")
+    langs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), lang.alias("lang")).groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    one = written(one.join(langs, "doc_id"), "labelled")
+    sizes = {(r.lang, r.toxic): r["count"] for r in one.groupBy("lang", "toxic").count().collect()}
+    if not sizes:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, 1.0, 1.0, 0.0, math.log(0.5 / 0.5))
-    n_bad = sum(r.toxic for r in chosen)
-    base = math.log((n_bad + 0.5) / (len(chosen) - n_bad + 0.5))
-    picked = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], "doc_id bigint, toxic bigint"))
+    quota, thin, place = quotas(sizes, sample), F.lit(False), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    for (lang, toxic), n in sizes.items():
+        part = int(min(1.0, (2 * quota[lang, toxic] + 16) / n) * (1 << 30))
+        thin = thin | (F.col("lang").eqNullSafe(F.lit(lang)) & (F.col("toxic") == toxic) & (place < part))
+    chosen, left = [], dict(quota)
+    for r in sorted(one.filter(thin).withColumn("place", place).collect(), key=lambda r: (r.place, r.doc_id)):  # about twice ``sample``
+        if left[r.lang, r.toxic]:
+            left[r.lang, r.toxic] -= 1
+            chosen.append((r.doc_id, r.toxic, sizes[r.lang, r.toxic] / quota[r.lang, r.toxic]))
+    n_bad, n_good = (sum(n for (_, toxic), n in sizes.items() if toxic == x) for x in (1, 0))
+    base = math.log((n_bad + 0.5) / (n_good + 0.5))
+    picked = F.broadcast(spark.createDataFrame(chosen, "doc_id bigint, toxic bigint, weight double"))
     fitted = _texts(documents).join(picked, "doc_id").select("doc_id", "text", "toxic")
     empty = Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, 1.0, 1.0, 0.0, base)
 
-    # a word counts once for each word it follows, for a random document that has the pair: copies and
-    # repetitions weigh no more than one passage, and common pairs fall to either side by its share
-    pairs = fitted.mapInArrow(_contexts, "word bigint, before bigint, draw bigint").groupBy("word", "before").agg(F.min("draw").alias("draw"))
+    # a word counts once for each passage that holds it, for a random document that has the passage: copies
+    # weigh no more than one passage, and passages of both labels fall to either side by their share
+    pairs = fitted.mapInArrow(_contexts, "word bigint, passage bigint, draw bigint").groupBy("word", "passage").agg(F.min("draw").alias("draw"))
     bit = F.col("draw").bitwiseAND(1)
     counts = pairs.groupBy("word").agg(F.sum(bit).alias("bad"), F.sum(1 - bit).alias("good"))
     bad, good, words = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0)), F.count(F.lit(1))).first()
@@ -229,8 +249,8 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, sample:
     law = scored.filter("toxic = 0 AND n_words > 0").agg(F.count(F.lit(1)), F.sum(F.col("n_words") * F.exp(-model.decay * F.col("top")))).first()
     if law[0]:
         model = model._replace(scale=law[0] / max(law[1], 1e-300))
-    sample_scores = _scores(spark, _texts(fitted), model).join(picked, "doc_id").select("rare", "toxic").toPandas()  # rows of the sample
-    slope, offset = logistic(sample_scores["rare"].to_numpy(), sample_scores["toxic"].to_numpy(float))
+    sample_scores = _scores(spark, _texts(fitted), model).join(picked, "doc_id").select("rare", "toxic", "weight").toPandas()  # rows of the sample
+    slope, offset = logistic(sample_scores["rare"].to_numpy(), sample_scores["toxic"].to_numpy(float), (sample_scores["weight"] / sample_scores["weight"].mean()).to_numpy())
     return model._replace(slope=slope, offset=offset)
 
 
