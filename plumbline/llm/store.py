@@ -57,12 +57,3 @@ def sampled_rows(rows: DataFrame, key: str, size: int, seed: int = 0) -> list:
     place = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
     thin = rows.filter(place < F.lit(int(min(1.0, 2 * size / max(total, 1)) * (1 << 30))))
     return thin.orderBy(place, key).limit(size).collect()
-
-
-def quotas(sizes: dict, total: int) -> dict:
-    """Even shares of ``total``; what a small group leaves goes to the others. Every group gets one at least."""
-    out = {}
-    for left, (key, n) in zip(range(len(sizes), 0, -1), sorted(sizes.items(), key=lambda x: (x[1], str(x[0])))):
-        out[key] = min(n, max(1, total // left))
-        total -= out[key]
-    return out

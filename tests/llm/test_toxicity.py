@@ -74,20 +74,6 @@ def test_planted_words_are_found_and_clean_text_left(spark, documents, corpus):
     assert {r.doc_id for r in t.accepted(spark, df, model).select("doc_id").collect()} == {r.doc_id for r in got if not r.predicted}
 
 
-def test_words_after_one_word_and_in_rare_languages_are_scored(spark, documents):
-    """A word that always follows the same word counts for each of its passages, and a rare language has its share of the sample."""
-    rng = random.Random(8)
-    line = lambda x, n=40: [f"{x}{rng.randrange(200)}" for _ in range(n)]
-    rows = [(k, " ".join(line("a") + (["such", "vile"] if k % 10 == 0 else ["such"]) + line("a")), int(k % 10 == 0), "en") for k in range(1500)]
-    rows += [(5000 + k, " ".join(line("z") + (["solch", "mies"] if k % 2 else ["solch"]) + line("z")), k % 2, "zz") for k in range(30)]
-    df = documents(*(r[:2] for r in rows[:1500])).union(documents(*(r[:2] for r in rows[1500:]), lang="zz"))
-    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
-    model = t.train(spark, df, labels, sample=120)
-    assert all(t.word_scores(t.words_of(t.pa.array([x])).hash, model)[0] > 1 for x in ("vile", "mies"))
-    got = {r.doc_id: r.predicted for r in t.score(spark, df, model).collect()}
-    assert np.mean([got[i] == bad for i, _, bad, _ in rows]) > 0.97 and all(got[i] == bad for i, _, bad, lang in rows if lang == "zz")
-
-
 def test_without_labels_of_both_kinds(spark, documents):
     df = documents((1, "a b"), (2, None))
     for labels, low in (([], 0.5), ([(1, 1)], 0.5), ([(1, 0)], 0.0)):
