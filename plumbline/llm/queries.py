@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import ann, bpe, chat, decontaminate, jaccard, langid, lmscore, quality, toxicity, warc
+from plumbline.llm import ann, bpe, chat, decontaminate, descent, jaccard, langid, lmscore, merkle, quality, toxicity, warc, whiten
 from plumbline.llm.store import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,89 @@ def op9_jaccard(spark, sf_dir):
 def op10_ann(spark, sf_dir):
     found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
+
+
+# ------------------------------------------------------------------ 11 Merkle dataset manifest
+
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + ")"
+
+
+#: CRC-32 of the decimal doc_id, bit by bit: only its last bit is asked for.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+@query(
+    "op11_merkle",
+    f"""WITH RECURSIVE base AS MATERIALIZED (SELECT doc_id, source, {leaf_sql("text")} AS leaf,
+    CASE WHEN {CRC_SQL} % 2 = 0 THEN {leaf_sql("replace(text, chr(10), '')")} ELSE {leaf_sql("text")} END AS given FROM documents),
+placed AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM base),
+node(tree, level, pos, n, d) AS (
+    SELECT tree, 0, pos, count(*) OVER (PARTITION BY tree), leaf FROM placed
+    UNION ALL SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, level, pos // 3, n),
+kept AS MATERIALIZED (SELECT * FROM node),
+tops AS MATERIALIZED (SELECT tree, d FROM kept WHERE n = 1),
+upper(level, pos, n, d) AS (
+    SELECT 0, tree, (SELECT count(*) FROM tops), d FROM tops
+    UNION ALL SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY level, pos // 3, n),
+high AS MATERIALIZED (SELECT * FROM upper),
+walk(tree, start, level, pos, given, proof) AS (
+    SELECT tree, pos, 0, pos, given, '' FROM placed
+    UNION ALL SELECT w.tree, w.start, w.level + 1, w.pos // 3, sha256(string_agg(CASE WHEN k.pos = w.pos THEN w.given ELSE k.d END, '' ORDER BY k.pos)),
+        w.proof || coalesce(string_agg(CASE WHEN k.pos <> w.pos THEN k.d END, '' ORDER BY k.pos), '')
+    FROM walk w JOIN kept k ON k.tree = w.tree AND k.level = w.level AND k.n > 1 AND k.pos // 3 = w.pos // 3
+    GROUP BY w.tree, w.start, w.level, w.pos, w.given, w.proof),
+below AS MATERIALIZED (SELECT tree, start, arg_max(given, level) AS given, arg_max(proof, level) AS proof FROM walk GROUP BY tree, start),
+climb(tree, start, level, pos, given, proof) AS (
+    SELECT tree, start, 0, tree, given, proof FROM below
+    UNION ALL SELECT w.tree, w.start, w.level + 1, w.pos // 3, sha256(string_agg(CASE WHEN k.pos = w.pos THEN w.given ELSE k.d END, '' ORDER BY k.pos)),
+        w.proof || coalesce(string_agg(CASE WHEN k.pos <> w.pos THEN k.d END, '' ORDER BY k.pos), '')
+    FROM climb w JOIN high k ON k.level = w.level AND k.n > 1 AND k.pos // 3 = w.pos // 3
+    GROUP BY w.tree, w.start, w.level, w.pos, w.given, w.proof),
+ended AS (SELECT tree, start, arg_max(given, level) AS given, arg_max(proof, level) AS proof FROM climb GROUP BY tree, start)
+SELECT p.doc_id, p.leaf, t.d AS subroot, r.d AS root, sha256(e.proof) AS proof_sha256, e.given AS folded_root, e.given = r.d AS verified
+FROM placed p JOIN tops t USING (tree) JOIN ended e ON e.tree = p.tree AND e.start = p.pos JOIN (SELECT d FROM high WHERE n = 1) r ON true""",
+)
+def op11_merkle(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select(*LEAF)
+    kept = [F.col(c) for c in LEAF[:-1]]
+    whole = merkle.leaf_digest([*kept, F.col("text")])
+    altered = F.when(fold("doc_id", 2, 0), merkle.leaf_digest([*kept, F.replace(F.col("text"), F.lit("\n"), F.lit(""))])).otherwise(whole)
+    rows = documents.select("doc_id", "source", whole.alias("whole"), altered.alias("given"))
+    proved = merkle.verify(merkle.manifest(rows, F.col("whole"), "source", ["doc_id"]), "given")
+    digest = lambda name: F.lower(F.hex(name)).alias(name)
+    return proved.select(
+        "doc_id", F.lower(F.hex("digest")).alias("leaf"), digest("subroot"), digest("root"),
+        F.sha2(F.lower(F.hex("siblings")), 256).alias("proof_sha256"), digest("folded_root"), "verified",
+    )
+
+
+# ------------------------------------------------------------------ 12 embedding whitening
+
+
+@query("op12_whiten")
+def op12_whiten(spark, sf_dir):
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+# ------------------------------------------------------------------ 13 embedding near-dedup
+
+
+@query(
+    "op13_descent",
+    """WITH RECURSIVE e AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+fine AS MATERIALIZED (SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT r.a AS vec_id, (SELECT count(*) FROM link WHERE link.a = r.a) AS n_links, min(r.b) AS component_id, min(r.b) = r.a AS kept FROM reach r GROUP BY r.a""",
+)
+def op13_descent(spark, sf_dir):
+    return descent.near_duplicates(table(spark, sf_dir, "embeddings"))
