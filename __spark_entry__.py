@@ -325,6 +325,36 @@ def row_in_table_set(spark, sf_dir):
     )
 
 
+#: Whole numbers around the first that a floating-point number cannot hold.
+WIDE_KEYS = "SELECT 9007199254740992 + l_linenumber AS k, CAST(9007199254740992 + l_linenumber AS DOUBLE) AS x, l_linenumber AS n FROM lineitem"
+
+
+@query(
+    "row_in_mixed_set",
+    counts_sql(
+        f"({WIDE_KEYS})",
+        ("listed", "k IS NULL", "k IN (9007199254740993, 9007199254740994, 9007199254740996)", 0.5),
+        ("floats", "x IS NULL", "x::BIGINT IN (9007199254740994)", 0.5),
+        ("table", "k IS NULL", "k IN (SELECT x::BIGINT FROM mixed)", 0.5),
+        ("not in table", "k IS NULL", "k NOT IN (SELECT x::BIGINT FROM mixed)", 0.5),
+        ("whole in table", "x IS NULL", "x::BIGINT IN (SELECT k FROM mixed)", 0.5),
+    ).replace("FROM mixed", f"FROM ({WIDE_KEYS}) WHERE n < 4"),
+)
+def row_in_mixed_set(spark, sf_dir):
+    """Members of another number type than the column: a number is only itself."""
+    keys = from_sql(spark, sf_dir, WIDE_KEYS, "lineitem")
+    within, without = pl.expect_column_values_to_be_in_set, pl.expect_column_values_to_not_be_in_set
+    few = keys.filter("n < 4")
+    return counts(
+        keys,
+        within("k", [9007199254740993, 9007199254740994.0, 9007199254740996.0, 1.5], mostly=0.5, check_id="listed"),
+        within("x", [9007199254740993, 9007199254740994], mostly=0.5, check_id="floats"),
+        within("k", few.select("x"), mostly=0.5, check_id="table"),
+        without("k", few.select("x"), mostly=0.5, check_id="not in table"),
+        within("x", few.select("k"), mostly=0.5, check_id="whole in table"),
+    )
+
+
 @query(
     "row_in_set",
     counts_sql(
@@ -920,6 +950,30 @@ def compound_unique(spark, sf_dir):
     )
 
 
+@query(
+    "unique_few_repeats",
+    unique_sql("orders", "lineitem", "l_orderkey", "l_orderkey IS NULL", 1.0)
+    + "\nUNION ALL\n" + unique_sql("lines", f"({LINE_KEYS})", "l_orderkey, l_linenumber", "l_orderkey IS NULL AND l_linenumber IS NULL", 0.5)
+    + "\nUNION ALL\n" + unique_sql("every", f"({LINE_KEYS})", "l_orderkey, l_linenumber, flag", "false", 1.0)
+    + "\nUNION ALL\n" + unique_sql("events", "events", "event_id", "event_id IS NULL", 1.0)
+    + "\nUNION ALL\n" + unique_sql("texts", "documents", "text", "text IS NULL", 0.5),
+)
+def unique_few_repeats(spark, sf_dir):
+    """Keys believed to be nearly unique, whether they are or not."""
+    unique, key = pl.expect_column_values_to_be_unique, pl.expect_compound_columns_to_be_unique
+    parts = [
+        counts(
+            from_sql(spark, sf_dir, LINE_KEYS, "lineitem"),
+            unique("l_orderkey", few_repeats=True, check_id="orders"),
+            key(["l_orderkey", "l_linenumber"], mostly=0.5, few_repeats=True, check_id="lines"),
+            key(["l_orderkey", "l_linenumber", "flag"], ignore_row_if="never", few_repeats=True, check_id="every"),
+        ),
+        counts(table(spark, sf_dir, "events"), unique("event_id", few_repeats=True, check_id="events")),
+        counts(table(spark, sf_dir, "documents"), unique("text", mostly=0.5, few_repeats=True, check_id="texts")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -1197,9 +1251,102 @@ def row_differences(spark, sf_dir):
     return pl.row_differences(table(spark, sf_dir, "events"), changed, ["event_type", "user_id"])
 
 
+@query(
+    "compare_mixed_numbers",
+    f"""WITH t AS ({WIDE_KEYS}), a AS (SELECT DISTINCT k FROM t), b AS (SELECT DISTINCT x::BIGINT AS k FROM t)
+SELECT 'keys.missing_from_right' AS check_id, (SELECT count(*) FROM a) AS element_count, count(*) AS unexpected_count, count(*) = 0 AS success
+FROM a WHERE k NOT IN (SELECT k FROM b)
+UNION ALL SELECT 'keys.missing_from_left', (SELECT count(*) FROM b), count(*), count(*) = 0 FROM b WHERE k NOT IN (SELECT k FROM a)
+UNION ALL SELECT 'rows.missing_from_right', (SELECT count(*) FROM t), count(*), count(*) = 0 FROM (SELECT k, n FROM t EXCEPT ALL SELECT x::BIGINT, n FROM t)
+UNION ALL SELECT 'rows.missing_from_left', (SELECT count(*) FROM t), count(*), count(*) = 0 FROM (SELECT x::BIGINT, n FROM t EXCEPT ALL SELECT k, n FROM t)
+UNION ALL SELECT 'aggregates.highest', NULL, NULL, max(k) = max(x)::BIGINT FROM t
+UNION ALL SELECT 'aggregates.first', NULL, NULL, min(k) = min(k - 1) FROM t
+UNION ALL SELECT 'aggregates.nan', NULL, NULL, true
+UNION ALL SELECT 'aggregates.flag', NULL, NULL, true
+UNION ALL SELECT 'aggregates.odd', NULL, NULL, false""",
+)
+def compare_mixed_numbers(spark, sf_dir):
+    """Whole numbers beyond 2**53 against floating-point ones, NaN, and texts."""
+    wide = from_sql(spark, sf_dir, WIDE_KEYS, "lineitem")
+    measures = {
+        "highest": F.max("k"), "first": F.min("k"), "nan": F.max(F.lit(float("nan"))), "flag": F.min(F.lit("flag")), "odd": F.max("k"),
+    }
+    others = measures | {"highest": F.max("x"), "first": F.min(F.col("k") - 1), "odd": F.max(F.lit("9"))}
+    left, right = wide.select("k", "n"), wide.select(F.col("x").alias("k"), "n")
+    parts = [
+        parity(pl.compare_keys(left, right, ["k"], check_id="keys")),
+        parity(pl.compare_rows(left, right, ["k", "n"], check_id="rows")),
+        parity(pl.compare_aggregates(wide, wide, measures, others, check_id="aggregates")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+ORDER_COLUMNS = "o_orderkey, o_orderdate, o_totalprice, o_orderpriority"
+CHANGED_ORDERS = """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 5000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    o_orderpriority FROM orders WHERE o_orderkey % 7001 <> 3"""
+
+
+def bag_sql(check_id: str, left: str, right: str) -> str:
+    return f"""SELECT '{check_id}.missing_from_right' AS check_id, (SELECT count(*) FROM ({left})) AS element_count,
+       count(*) AS unexpected_count, count(*) = 0 AS success FROM (({left}) EXCEPT ALL ({right}))
+UNION ALL SELECT '{check_id}.missing_from_left', (SELECT count(*) FROM ({right})), count(*), count(*) = 0 FROM (({right}) EXCEPT ALL ({left}))"""
+
+
+@query(
+    "compare_digests",
+    "\nUNION ALL\n".join(
+        [
+            bag_sql("by_key", f"SELECT {ORDER_COLUMNS} FROM orders", CHANGED_ORDERS),
+            bag_sql("by_date", CHANGED_ORDERS, f"SELECT {ORDER_COLUMNS} FROM orders"),
+            bag_sql("by_text", f"SELECT {ORDER_COLUMNS} FROM orders", CHANGED_ORDERS),
+            bag_sql("equal", f"SELECT {ORDER_COLUMNS} FROM orders", f"SELECT {ORDER_COLUMNS} FROM orders"),
+            bag_sql("hot", "SELECT event_type, user_id FROM events", RELABELLED),
+        ]
+    ),
+)
+def compare_digests(spark, sf_dir):
+    """Few differences between large tables: by a number, a date, texts, and a key that few values hold."""
+    orders, changed = table(spark, sf_dir, "orders"), from_sql(spark, sf_dir, CHANGED_ORDERS, "orders")
+    columns = ORDER_COLUMNS.split(", ")
+    events, relabelled = table(spark, sf_dir, "events"), from_sql(spark, sf_dir, RELABELLED, "events")
+    parts = [
+        pl.compare_digests(orders, changed, ["o_orderkey"], columns, check_id="by_key", few_rows=100),
+        pl.compare_digests(changed, orders, ["o_orderdate"], columns, check_id="by_date"),
+        pl.compare_digests(orders, changed, ["o_orderpriority", "o_orderkey"], columns, check_id="by_text", few_rows=10),
+        pl.compare_digests(orders, orders, ["o_orderkey"], columns, check_id="equal"),
+        pl.compare_digests(events, relabelled, ["event_type"], ["event_type", "user_id"], check_id="hot", few_rows=10),
+    ]
+    return reduce(DataFrame.unionByName, [parity(p) for p in parts])
+
+
 # ------------------------------------------------------------------ suites
 
 
+@query(
+    "suite_overflow",
+    """SELECT 'sum' AS check_id, false AS success, 'beyond 38 digits' AS observed_text FROM (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'mean', false, 'beyond 38 digits'
+UNION ALL SELECT 'columns', false, NULL
+UNION ALL SELECT 'quantity', avg(l_quantity) BETWEEN 1 AND 50, NULL FROM lineitem
+UNION ALL SELECT 'highest', true, '99999999999999999999999999999999999999'
+UNION ALL SELECT 'lines', sum(l_linenumber) >= 1, sum(l_linenumber)::BIGINT::VARCHAR FROM lineitem""",
+)
+def suite_overflow(spark, sf_dir):
+    """Decimals that overflow are failed checks beside unchanged others."""
+    nines = "CAST('" + "9" * 38 + "' AS DECIMAL(38, 0))"
+    rows = from_sql(spark, sf_dir, f"SELECT {nines} AS big, {nines} AS other, l_quantity, l_linenumber FROM lineitem", "lineitem")
+    return pl.Suite(
+        [
+            pl.expect_column_sum_to_be_between("big", 0, None, check_id="sum"),
+            pl.expect_column_mean_to_be_between("big", 0, None, check_id="mean"),
+            pl.expect_multicolumn_sum_to_equal(["big", "other"], 5, check_id="columns"),
+            pl.expect_column_mean_to_be_between("l_quantity", 1, 50, check_id="quantity"),
+            pl.expect_column_max_to_be_between("big", 0, None, check_id="highest"),
+            pl.expect_column_sum_to_be_between("l_linenumber", 1, None, check_id="lines"),
+        ]
+    ).verdicts(rows).select("check_id", "success", "observed_text")
+
+
 def event_rules() -> list:
     return [
         pl.expect_column_values_to_not_be_null("event_type", mostly=0.99, check_id="e01"),

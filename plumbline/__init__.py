@@ -14,6 +14,7 @@ from plumbline.operators.compare import (
     compare_rows,
     row_differences,
 )
+from plumbline.operators.digests import compare_digests, digest_differences
 from plumbline.operators.frequency import frequency_table
 from plumbline.operators.quantiles import exact_quantiles, quantile_table
 from plumbline.operators.schema import observed_columns, schema_drift
@@ -24,7 +25,7 @@ from plumbline.sources.tables import latest_slice, query_source, remove_staged,
 
 __all__ = [
     *[name for name in dir(_rules) if name.startswith("expect_")],
-    "Suite", "compare_aggregates", "compare_keys", "compare_row_counts", "compare_rows", "exact_quantiles",
+    "Suite", "compare_aggregates", "compare_digests", "compare_keys", "compare_row_counts", "compare_rows", "digest_differences", "exact_quantiles",
     "failures", "frequency_table", "latest_slice", "observed_columns", "quantile_table", "query_source",
     "read_report", "remove_staged", "report", "row_differences", "schema_drift", "staged", "staged_table", "statistics",
     "today_slice",

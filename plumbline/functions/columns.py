@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import add, and_, or_
@@ -98,8 +99,11 @@ def inside_a_day(value: object, dtype: T.DataType) -> bool:
 def in_range(c: Column, dtype: T.DataType, low: object = None, high: object = None) -> Column:
     """Inclusive range; a ``None`` side is open. NaN sorts above every number, so it is refused.
 
-    A date stands for its midnight: it lies below any later moment of its day.
+    A date stands for its midnight: it lies below any later moment of its day. Integers are compared
+    with integers, so that no bound rounds them.
     """
+    if isinstance(dtype, T.IntegralType):
+        low, high = (f(b) if _is_fraction(b) else b for f, b in ((math.ceil, low), (math.floor, high)))
     tests = []
     if low is not None:
         bound = literal(low, dtype)
@@ -111,6 +115,29 @@ def in_range(c: Column, dtype: T.DataType, low: object = None, high: object = No
     return reduce(and_, tests)
 
 
+def _is_fraction(value: object) -> bool:
+    return isinstance(value, (float, decimal.Decimal)) and math.isfinite(value)
+
+
+def fitted(value: object, dtype: T.DataType) -> object:
+    """The value as a column of that type can hold it, exactly; None if it never can."""
+    if not is_numeric(dtype) or isinstance(value, bool):
+        return None if inside_a_day(value, dtype) else value
+    if isinstance(dtype, T.IntegralType):
+        return value if isinstance(value, int) else int(value) if math.isfinite(value) and value == int(value) else None
+    if is_float(dtype):
+        return value if not isinstance(value, int) or int(float(value)) == value else None
+    if isinstance(value, float):  # a decimal is the float it is written as
+        return decimal.Decimal(repr(value)) if math.isfinite(value) else None
+    return value
+
+
+def equals(c: Column, dtype: T.DataType, value: object) -> Column:
+    """``c == value``, where a number only equals itself; null for a null."""
+    held = fitted(value, dtype)
+    return F.when(c.isNotNull(), F.lit(False)) if held is None else c == literal(held, dtype)
+
+
 def count_where(condition: Column) -> Column:
     """Rows for which the condition is true.
 
@@ -122,8 +149,8 @@ def count_where(condition: Column) -> Column:
 
 
 def in_values(c: Column, dtype: T.DataType, values: Iterable[object]) -> Column:
-    """Membership; null for a null, also in the empty set. No date equals a moment inside a day."""
-    literals = [literal(v, dtype) for v in values if not inside_a_day(v, dtype)]
+    """Membership; null for a null, also in the empty set. No date equals a moment inside a day, no number another one."""
+    literals = [literal(v, dtype) for v in (fitted(v, dtype) for v in values) if v is not None]
     return c.isin(*literals) if literals else F.when(c.isNotNull(), F.lit(False))
 
 
@@ -139,7 +166,9 @@ def missing(cols: Sequence[Column], policy: str) -> Column:
 
 
 def row_sum(cols: Sequence[Column], dtypes: Sequence[T.DataType]) -> Column:
-    """Sum across one row that cannot overflow: int goes to bigint, bigint to a wide decimal."""
+    """Sum across one row: int goes to bigint, bigint to a wide decimal; null if a decimal overflows all the same."""
+    if any(isinstance(t, T.DecimalType) for t in dtypes) and not any(is_float(t) for t in dtypes):
+        return reduce(F.try_add, [c.cast(WIDE_INTEGER) if isinstance(t, T.IntegralType) else c for c, t in zip(cols, dtypes)])
     if any(isinstance(t, T.LongType) for t in dtypes):
         cols = [c.cast(WIDE_INTEGER) if isinstance(t, T.IntegralType) else c for c, t in zip(cols, dtypes)]
     else:
@@ -175,7 +204,9 @@ def incomparable(names: Sequence[str], dtypes: Sequence[T.DataType]) -> str | No
 
 
 def same_value(a: Column, b: Column, a_type: T.DataType, b_type: T.DataType) -> Column:
-    """``a == b``; an integer equals a floating-point number only if it is exactly that number."""
+    """``a == b``; an integer or decimal equals a floating-point number only if it is exactly that number."""
+    if {type(a_type), type(b_type)} & {T.DecimalType} and a_type != b_type:
+        return common_form(a, a_type, b_type) == common_form(b, b_type, a_type)
     if is_float(a_type) and isinstance(b_type, T.IntegralType):
         return same_value(b, a, b_type, a_type)
     if isinstance(a_type, T.IntegralType) and is_float(b_type):
@@ -184,6 +215,44 @@ def same_value(a: Column, b: Column, a_type: T.DataType, b_type: T.DataType) ->
     return a == b
 
 
+def common_form(c: Column, own: T.DataType, other: T.DataType) -> Column:
+    """The value in a form it shares with equal values of a column of the other type, and with no others.
+
+    Numbers keep their own type where both have it. Whole numbers of up to 64 bits are told apart exactly, whatever
+    type they come in; other numbers that meet floating-point ones are compared as such. Dates become times.
+    """
+    if own == other or isinstance(own, T.IntegralType) and isinstance(other, T.IntegralType):
+        return c if own == other else c.cast("bigint")
+    if is_temporal(own) and is_temporal(other):
+        return c.cast("timestamp" if T.TimestampType() in (own, other) else "timestamp_ntz")
+    if not (is_numeric(own) and is_numeric(other)):
+        return c
+    if is_float(own) and is_float(other):
+        return c.cast("double")
+    if not is_float(own) and not is_float(other):
+        (p, s), (q, r) = _digits(own), _digits(other)
+        if max(p - s, q - r) + max(s, r) <= 38:
+            return c.cast(T.DecimalType(max(p - s, q - r) + max(s, r), max(s, r)))
+        text = c.cast(T.DecimalType(p, s)).cast("string")  # no decimal holds both: as written, less closing zeros
+        return F.when(F.instr(text, ".") > 0, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    whole = c.try_cast("bigint")
+    same = F.coalesce((whole.cast(own) == c) & (F.abs(c.cast("double")) < float(2**63)), F.lit(False))
+    return F.when(c.isNotNull(), F.struct(F.when(same, whole).alias("whole"), F.when(~same, c.cast("double")).alias("other")))
+
+
+def _digits(dtype: T.DataType) -> tuple[int, int]:
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision, dtype.scale
+    return {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}[type(dtype)], 0
+
+
+def shown_form(c: Column, dtype: T.DataType) -> Column:
+    """A common form as something to read: the number as text where it is a pair of forms."""
+    if isinstance(dtype, T.StructType) and dtype.names == ["whole", "other"]:
+        return F.coalesce(c["whole"].cast("string"), c["other"].cast("string"))
+    return c
+
+
 def some_pair_equal(cols: Sequence[Column], dtypes: Sequence[T.DataType]) -> Column:
     """True when two of the columns hold the same non-null value in this row, whatever other columns there are."""
     pairs = [

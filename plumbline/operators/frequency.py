@@ -72,13 +72,13 @@ def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFra
         *[F.coalesce(F.sum(v), F.lit(0)).alias(name) for name, v in sums.items()],
         *[v.alias(name) for name, v in tops.items()],
     )
-    return rows(one, [_judge(rule, marks.get(rule.check_id), types) for rule in rules])
+    return rows(one, [judge_of(rule, marks.get(rule.check_id), types) for rule in rules])
 
 
 _SET_JUDGES = {"distinct_in_set", "distinct_contains", "distinct_equals", "most_common", *ROW_JUDGES}
 
 
-def _judge(rule: FrequencyRule, mark: str | None, types: Sequence[T.DataType]) -> dict:
+def judge_of(rule: FrequencyRule, mark: str | None, types: Sequence[T.DataType]) -> dict:
     elements, missing, total = F.col("elements"), F.col("missing"), F.col("total")
     distinct = F.col("distinct")
     base = {"element_count": elements, "missing_count": missing}

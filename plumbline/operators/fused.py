@@ -24,6 +24,7 @@ from plumbline.rules import AggregateRule, FrequencyRule, Rule, RowRule
 
 # safely below spark.sql.codegen.maxFields
 BUFFER_FIELDS = 90
+OVERFLOW = "beyond 38 digits"
 
 
 def kept(rule: RowRule | FrequencyRule) -> Column:
@@ -148,7 +149,8 @@ def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggrega
         passed = C.in_range(seen, seen_type, rule.low, rule.high)
         evidence = {shown: seen}
         if isinstance(seen_type, (T.IntegralType, T.DecimalType)):
-            evidence["observed_text"] = seen  # all its digits
+            # all its digits; no number although there are values is an overflow
+            evidence["observed_text"] = F.when(seen.isNull() & (nulls < total), F.lit(OVERFLOW)).otherwise(seen.cast("string"))
         return judged(rule, passed, element_count=total, missing_count=nulls, **evidence)
 
     return finish

@@ -51,7 +51,8 @@ def member_count(rule: FrequencyRule, types: Sequence[T.DataType]) -> int:
 
 
 def _impossible(member: Sequence[object], types: Sequence[T.DataType]) -> bool:
-    return any(C.inside_a_day(v, t) for v, t in zip(member, types))
+    """Is it a member that no value of these types equals?"""
+    return any(C.fitted(v, t) is None for v, t in zip(member, types))
 
 
 def with_members(
@@ -63,7 +64,11 @@ def with_members(
     ``types`` are the types of those columns. Only pass ``broadcast`` for a rule that is ``broadcastable``.
     """
     if rule.relation is not None:
-        held = F.col(C.quoted(rule.relation.columns[0]))
+        held, kind = F.col(C.quoted(rule.relation.columns[0])), rule.relation.schema[0].dataType
+        if C.is_numeric(types[0]) and kind != types[0]:
+            # as the column's type, and only what is the same number there
+            member = held.try_cast(types[0])
+            held = F.when(C.same_value(member, held, types[0], kind), member)
         side = rule.relation.select(held.alias(f"{mark}_0")).dropna().distinct().withColumn(mark, F.lit(True))
         return frame.join(side, C.column(names[0]) == F.col(f"{mark}_0"), "left").drop(f"{mark}_0")
     if not rule.weights and len(names) == 1 and len(rule.members) <= LITERAL_SET_LIMIT:
@@ -86,10 +91,10 @@ def _set_as_table(rule: FrequencyRule, types: Sequence[T.DataType]) -> pa.Table:
     columns, kinds = [], []
     possible = [k for k, m in enumerate(rule.members) if not _impossible(m, types)]
     for i, dtype in enumerate(types):
-        values = [rule.members[k][i] for k in possible]
+        values = [C.fitted(rule.members[k][i], dtype) for k in possible]
         if C.is_temporal(dtype):
             kind, values = pa.string(), [C.iso(v, dtype) for v in values]
-        elif C.is_numeric(dtype) and any(isinstance(v, float) for v in values):
+        elif C.is_float(dtype):
             kind, values = pa.float64(), [float(v) for v in values]
         elif C.is_numeric(dtype) and all(isinstance(v, int) and abs(v) < 2**63 for v in values):
             kind = pa.int64()

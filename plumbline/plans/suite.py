@@ -8,6 +8,7 @@ membership in a set          exchange of one row per task
 approximate quantiles        one sketch per column, one scan for all of them
 frequency, key, membership   one frequency table per column (or key) for all of
 in a very large set          its checks
+uniqueness, few repeats      a counting filter: two jobs, see ``operators.uniqueness``
 exact quantiles              two or more small jobs, see ``operators.quantiles``
 schema                       no job
 SQL constraints              as written, one count each
@@ -32,6 +33,7 @@ from plumbline.operators.members import broadcastable
 from plumbline.operators.quantiles import quantile_verdicts
 from plumbline.operators.schema import schema_verdicts
 from plumbline.operators.sketches import sketch_verdicts
+from plumbline.operators.uniqueness import filtered, unique_verdicts
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import ConstraintRule, FrequencyRule, QuantileRule, RowRule, Rule, SchemaRule
 from plumbline.sources.report import write_report
@@ -73,7 +75,7 @@ class Suite:
     def verdicts(self, df: DataFrame, stage: bool | str = False) -> DataFrame:
         """One row per applicable rule.
 
-        Lazy, except that exact quantiles run their searches and constraints their counts here. With ``stage`` the needed
+        Lazy, except that exact quantiles and counting filters run their searches and constraints their counts here. With ``stage`` the needed
         columns are first written to the shared folder (or the path given as ``stage``), for a
         source that is expensive to compute and would otherwise be computed once per plan. What is
         staged stays until ``remove_staged``; ``staged_table`` removes it by itself.
@@ -106,7 +108,7 @@ class Suite:
         shared: dict[tuple, list[FrequencyRule]] = {}
         for rule in frequency:
             shared.setdefault((rule.columns, rule.ignore_row_if), []).append(rule)
-        parts += [frequency_verdicts(df, group) for group in shared.values()]
+        parts += [(unique_verdicts if filtered(df, group) else frequency_verdicts)(df, group) for group in shared.values()]
         parts += [constraint_verdict(df, rule) for rule in constraints]
         if not parts:
             return local_rows(df.sparkSession, [])

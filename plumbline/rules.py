@@ -96,6 +96,7 @@ class FrequencyRule(Rule):
     high: float | None = None
     mostly: float = 1.0
     ties_okay: bool = False
+    few_repeats: bool = False  # look for repeats with a counting filter, see operators.uniqueness
     ignore_row_if: str = "all_values_are_missing"
 
     def misfit(self, dtypes: Sequence[T.DataType]) -> str | None:
@@ -396,7 +397,7 @@ def expect_column_pair_values_to_be_in_set(
     return _PairSetRule(
         pairs=pairs,
         holds=lambda c, t: C.any_of(
-            [(c[0] == C.literal(a, t[0])) & (c[1] == C.literal(b, t[1])) for a, b in pairs]
+            [C.equals(c[0], t[0], a) & C.equals(c[1], t[1], b) for a, b in pairs]
         ),
         **common,
     )
@@ -472,7 +473,7 @@ def expect_column_mean_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> AggregateRule:
     return _aggregate("expect_column_mean_to_be_between", column, min_value, max_value, check_id,
-                      lambda c, t: F.avg(c))
+                      lambda c, t: F.try_avg(c) if isinstance(t, T.DecimalType) else F.avg(c))
 
 
 @recorded
@@ -480,7 +481,8 @@ def expect_column_sum_to_be_between(
     column: str, min_value: float | None = None, max_value: float | None = None, check_id: str | None = None
 ) -> AggregateRule:
     return _aggregate("expect_column_sum_to_be_between", column, min_value, max_value, check_id,
-                      lambda c, t: F.sum(c.cast(C.WIDE_INTEGER) if isinstance(t, T.IntegralType) else c))
+                      lambda c, t: F.try_sum(c.cast(C.WIDE_INTEGER)) if isinstance(t, T.IntegralType)
+                      else F.try_sum(c) if isinstance(t, T.DecimalType) else F.sum(c))
 
 
 @recorded
@@ -605,22 +607,26 @@ def expect_column_unique_value_count_to_be_between(
 
 
 @recorded
-def expect_column_values_to_be_unique(column: str, mostly: float = 1.0, check_id: str | None = None) -> FrequencyRule:
+def expect_column_values_to_be_unique(
+    column: str, mostly: float = 1.0, few_repeats: bool = False, check_id: str | None = None
+) -> FrequencyRule:
+    """``few_repeats``: the column is believed to be nearly unique. Repeats are then sought with a filter that
+    shuffles no rows but those that may repeat; the verdict is the same."""
     return FrequencyRule(
         kind="expect_column_values_to_be_unique", judge="unique", columns=_columns(column), check_id=check_id,
-        mostly=_mostly(mostly),
+        mostly=_mostly(mostly), few_repeats=few_repeats,
     )
 
 
 @recorded
 def expect_compound_columns_to_be_unique(
     column_list: Sequence[str], mostly: float = 1.0, ignore_row_if: str = "all_values_are_missing",
-    check_id: str | None = None,
+    few_repeats: bool = False, check_id: str | None = None,
 ) -> FrequencyRule:
-    """The columns together are a key; nulls compare as equal to each other."""
+    """The columns together are a key; nulls compare as equal to each other. ``few_repeats`` as for one column."""
     return FrequencyRule(
         kind="expect_compound_columns_to_be_unique", judge="unique", columns=_columns(column_list),
-        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if),
+        check_id=check_id, mostly=_mostly(mostly), ignore_row_if=_policy(ignore_row_if), few_repeats=few_repeats,
     )
 
 
