@@ -698,6 +698,42 @@ def agg_quantiles(spark, sf_dir):
     return found.select("quantile", F.round("value", 6).alias("value"))
 
 
+#: Integers beyond 53 bits, decimals of 38 digits, dates and times.
+WIDE_VALUES = """SELECT 9007199254740992 + l_linenumber * 2 + l_orderkey % 2 AS big,
+    CAST(90000000000000000000000000000000000 + l_orderkey * 1000 + l_linenumber AS DECIMAL(38, 2)) AS amount, l_shipdate AS shipped,
+    CAST(l_shipdate AS DATE) AS day FROM lineitem"""
+
+
+@query(
+    "agg_quantiles_wide",
+    f"""WITH t AS ({WIDE_VALUES.replace("90000000000000000000000000000000000 +", "90000000000000000000000000000000000::DECIMAL(38, 2) +")}),
+one AS (SELECT count(*) AS n, list_sort(list(big)) AS b, list_sort(list(amount)) AS a, quantile_disc(shipped, 0.75) AS s, quantile_disc(day, 0.5) AS d FROM t),
+mid AS (SELECT *, (n - 1) // 2 + 1 AS h, n % 2 = 1 AS odd FROM one)
+SELECT 'big' AS check_id, n AS element_count, CASE WHEN odd THEN b[h] * 2 ELSE b[h] + b[h + 1] END <= 2 * 9007199254741001 AS success,
+    CASE WHEN odd OR b[h] = b[h + 1] THEN b[h]::VARCHAR END AS observed_text FROM mid
+UNION ALL SELECT 'big below', n, CASE WHEN odd THEN b[h] * 2 ELSE b[h] + b[h + 1] END <= 2 * 9007199254741000, NULL FROM mid
+UNION ALL SELECT 'amount', n, true, CASE WHEN odd THEN a[h]::VARCHAR ELSE (a[h] + (a[h + 1] - a[h]) * 0.5)::DECIMAL(38, 2)::VARCHAR END FROM mid
+UNION ALL SELECT 'shipped', n, s >= TIMESTAMP '1995-01-01', strftime(s, '%Y-%m-%d %H:%M:%S') FROM mid
+UNION ALL SELECT 'day', n, d BETWEEN DATE '1990-01-01' AND DATE '2030-01-01', d::VARCHAR FROM mid""",
+)
+def agg_quantiles_wide(spark, sf_dir):
+    """Medians and quantiles that a floating-point number would round."""
+    values = from_sql(spark, sf_dir, WIDE_VALUES, "lineitem")
+    found = pl.Suite(
+        [
+            pl.expect_column_median_to_be_between("big", None, 9007199254741001, check_id="big"),
+            pl.expect_column_median_to_be_between("big", None, 9007199254741000, check_id="big below"),
+            pl.expect_column_median_to_be_between("amount", 1, None, check_id="amount"),
+            pl.expect_column_quantile_values_to_be_between(
+                "shipped", {"quantiles": [0.75], "value_ranges": [[datetime.datetime(1995, 1, 1), None]]}, check_id="shipped"
+            ),
+            pl.expect_column_median_to_be_between("day", datetime.date(1990, 1, 1), "2030-01-01", check_id="day"),
+        ]
+    ).verdicts(values)
+    text = F.when(F.col("check_id") != "big below", F.col("observed_text"))
+    return found.select("check_id", "element_count", "success", text.alias("observed_text"))
+
+
 QUANTILE_RANGES = {
     "good": {"quantiles": [0.25, 0.5, 0.75], "value_ranges": [[10, 200], [20, None], [None, 800]]},
     "bad": {"quantiles": [0.25, 0.5], "value_ranges": [[10, 200], [None, 30]]},

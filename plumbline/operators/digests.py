@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +86,7 @@ def inside(df: DataFrame, on: Sequence[str], place: Column, by_value: bool, rang
 
 
 def _digests(df: DataFrame, place: Column, forms: Sequence[Column], cells: Sequence[tuple[int, int, int]]) -> DataFrame:
-    """(cell, part, n, low, high, mixed): a digest per range; ``cells`` are (start, end, width of a part) in ascending order, cell -1 has null keys."""
+    """(cell, part, n, low, high, mixed, first, last): a digest per range and its outermost keys; ``cells`` are (start, end, width of a part) in ascending order, cell -1 has null keys."""
     row = df.select(place.alias("p"), F.xxhash64(*forms).alias("h"), F.xxhash64(F.lit(0x5EED), *forms).alias("g"))
     cell, part = F.lit(-1), F.lit(0).cast("bigint")
     for i, (start, end, width) in enumerate(cells):
@@ -102,18 +102,22 @@ def _digests(df: DataFrame, place: Column, forms: Sequence[Column], cells: Seque
         F.try_sum(F.col("h").bitwiseAND(mask)).alias("low"),
         F.try_sum(F.shiftright("h", HALF).bitwiseAND(mask)).alias("high"),
         F.bit_xor("g").alias("mixed"),
+        F.min("p").alias("first"),
+        F.max("p").alias("last"),
     )
 
 
 def _compared(left: DataFrame, right: DataFrame) -> DataFrame:
     """Counts of both sides per range, and whether its digests differ (a sum beyond 64 bits counts as a difference)."""
     names = ("n", "low", "high", "mixed")
-    none = [F.lit(None).cast("bigint")]
-    a = left.select("cell", "part", *[F.col(n).alias(f"l_{n}") for n in names], *[x.alias(f"r_{n}") for n in names for x in none])
-    b = right.select("cell", "part", *[x.alias(f"l_{n}") for n in names for x in none], *[F.col(n).alias(f"r_{n}") for n in names])
-    both = a.unionByName(b).groupBy("cell", "part").agg(*[F.max(f"{s}_{n}").alias(f"{s}_{n}") for s in "lr" for n in names])
-    same = reduce(lambda x, y: x & y, [F.coalesce(F.col(f"l_{n}") == F.col(f"r_{n}"), F.lit(False)) for n in names])
-    return both.select("cell", "part", F.coalesce("l_n", F.lit(0)).alias("l"), F.coalesce("r_n", F.lit(0)).alias("r"), (~same).alias("differs"))
+    none = F.lit(None).cast("bigint")
+    kept = ("cell", "part", "first", "last")
+    a = left.select(*kept, *[F.col(n).alias(f"l_{n}") for n in names], *[none.alias(f"r_{n}") for n in names])
+    b = right.select(*kept, *[none.alias(f"l_{n}") for n in names], *[F.col(n).alias(f"r_{n}") for n in names])
+    sides = [F.max(f"{s}_{n}").alias(f"{s}_{n}") for s in "lr" for n in names]
+    both = a.unionByName(b).groupBy("cell", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"), *sides)
+    same = reduce(and_, [F.coalesce(F.col(f"l_{n}") == F.col(f"r_{n}"), F.lit(False)) for n in names])
+    return both.select("cell", "first", "last", F.coalesce("l_n", F.lit(0)).alias("l"), F.coalesce("r_n", F.lit(0)).alias("r"), (~same).alias("differs"))
 
 
 def _joined(ranges: Sequence[Range], most: int = APART) -> list[Range]:
@@ -144,23 +148,22 @@ def differing_ranges(
         ends = [df.select(p.alias("p")).agg(F.min("p").alias("a"), F.max("p").alias("b")) for df, p in zip((left, right), places)]
         seen = ends[0].unionByName(ends[1]).agg(F.min("a").alias("a"), F.max("b").alias("b")).first()
         low, high = (0, 0) if seen["a"] is None else (seen["a"], seen["b"])
-    todo, nulls, totals, held = [(low, high)], True, None, 0
+    todo, nulls, totals, held, idle = [(low, high)], True, None, 0, 0
     sides = [left, right]
     for level in range(1, LEVELS + 1):
         per = max(1, ranges // len(todo))
         cells = [(a, b, -(-(b - a + 1) // per)) for a, b in todo]
-        found = _compared(*[_digests(df, p, f, cells) for df, p, f in zip(sides, places, forms)])
-        parts = found.collect()  # a row per range
+        parts = _compared(*[_digests(df, p, f, cells) for df, p, f in zip(sides, places, forms)]).collect()  # a row per range
         if totals is None:
             totals = (sum(p["l"] for p in parts), sum(p["r"] for p in parts))
             nulls = any(p["differs"] for p in parts if p["cell"] < 0)
+            held = sum(totals)
         odd = [p for p in parts if p["differs"]]
-        before = held
-        held = sum(p["l"] + p["r"] for p in odd)
-        spans = [(a + p["part"] * w, min(b, a + (p["part"] + 1) * w - 1)) for p in odd if p["cell"] >= 0 for a, b, w in [cells[p["cell"]]]]
-        todo = _joined(spans)
-        # no further level if there is little to read, nothing left to cut, or most rows differ anyway
-        if not todo or held <= few_rows or all(a == b for a, b in todo) or (level > 1 and held >= before > 0 and sum(b - a for a, b in todo) < ranges):
+        before, held = held, sum(p["l"] + p["r"] for p in odd)
+        idle = idle + 1 if held >= before else 0
+        todo = _joined([(p["first"], p["last"]) for p in odd if p["cell"] >= 0])
+        # no further level if there is little to read, nothing left to cut, or cutting does not help
+        if not todo or held <= few_rows or all(a == b for a, b in todo) or idle > 1:
             break
         sides = [inside(df, on, p, by_value, todo, False) for df, p in zip((left, right), places)]
     return Differing(todo, nulls, *totals, held, level)

@@ -6,6 +6,8 @@ two values of an approximate grid, and a second pass counts exactly: all rows ou
 brackets collapse into one group per gap, so only the few values inside a bracket are shuffled.
 When a bracket may still hold too many rows, further passes narrow it first.
 
+Wide integers, decimals, dates and times are searched in their own type instead, see ``operators.radix``.
+
 A sketch only ever chooses where to look. Every answer is read from exact counts, which also
 tell whether the rank really lay inside its bracket; if not, the search repeats with wider ones.
 """
@@ -17,13 +19,16 @@ import itertools
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 from plumbline.functions.local import local_frame
+from plumbline.operators.radix import Unsettled, is_wide, wide_quantiles
 from plumbline.operators.sketches import quantiles_of, rank_error, sketch_and_count
 from plumbline.operators.verdict import local_rows
 from plumbline.rules import QuantileRule
@@ -57,18 +62,24 @@ _Searches = dict[int, list[_Bracket]]  # by column number
 class ColumnQuantiles:
     rows: int
     present: int
-    values: dict[float, float | None]
+    values: dict[float, object]  # numbers; dates and times as text; None without rows
 
 
 def exact_quantiles(
     df: DataFrame, wanted: Mapping[str, Sequence[float]], bracket_limit: int = BRACKET_LIMIT
 ) -> dict[str, ColumnQuantiles]:
-    """Interpolated quantiles per column, the same numbers as Spark's ``percentile``.
+    """Interpolated quantiles per column, the same numbers as Spark's ``percentile``, and exact beyond 53 bits.
 
-    Runs two jobs for all columns together, and one more per narrowing round; each round
+    Of dates and times, the first value that at least the wanted share of rows does not exceed. Runs two jobs for all columns together, and one more per narrowing round; each round
     divides what is left of a column by about 150. What reaches the driver are a sketch per
     column, in later rounds per wanted quantile, and at most ``FEW_GROUPS`` counted values.
     """
+    wide = {n: p for n, p in wanted.items() if is_wide(df.schema[n].dataType)}
+    if wide:
+        rows, found = wide_quantiles(df, wide)
+        answers = {n: ColumnQuantiles(rows, present, values) for n, (present, values) in found.items()}
+        others = {n: p for n, p in wanted.items() if n not in wide}
+        return answers | (exact_quantiles(df, others, bracket_limit) if others else {})
     names = list(wanted)
     pruned = df.select(*[C.column(n).cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     seen = _first_pass(pruned, len(names))
@@ -155,10 +166,6 @@ def _choose(grid: Mapping[int, float], below: int, inside: int, rank: int, slack
     return _Bracket(rank, low, high, math.ceil(min(held, inside)))
 
 
-class Unsettled(Exception):
-    """The exact search did not come to an end."""
-
-
 def _search(pruned: DataFrame, searches: _Searches, limit: int, present: Mapping[int, int]) -> dict[int, dict[int, float]]:
     """column -> {rank -> value}"""
     found: dict[int, dict[int, float]] = {i: {} for i in searches}
@@ -310,28 +317,41 @@ def quantile_verdicts(df: DataFrame, rules: Sequence[QuantileRule]) -> DataFrame
         )
     records = []
     for rule in rules:
-        answer = answers[rule.columns[0]]
+        answer, dtype = answers[rule.columns[0]], df.schema[rule.columns[0]].dataType
         values = [answer.values[p] for p in rule.probabilities]
+        number = len(values) == 1 and C.is_numeric(dtype) and values[0] is not None
+        inside = _moments_inside(df.sparkSession, values, rule.ranges, dtype) if C.is_temporal(dtype) else [_inside(v, *b) for v, b in zip(values, rule.ranges)]
         records.append(
             {
                 "check_id": rule.check_id, "kind": rule.kind, "columns": rule.columns[0],
-                "success": all(_inside(v, *bounds) for v, bounds in zip(values, rule.ranges)),
+                "success": all(inside),
                 "element_count": answer.rows, "missing_count": answer.rows - answer.present,
-                "observed_num": values[0] if len(values) == 1 else None,
+                "observed_num": float(values[0]) if number else None,
                 "observed_text": ",".join("null" if v is None else str(v) for v in values),
             }
         )
     return local_rows(df.sparkSession, records)
 
 
-def _inside(value: float | None, low: float | None, high: float | None) -> bool:
-    if value is None or math.isnan(value):
+def _inside(value: object, low: object, high: object) -> bool:
+    if value is None or (isinstance(value, float) and math.isnan(value)):
         return False
-    return (low is None or value >= low) and (high is None or value <= high)
+    return (low is None or _exact(value) >= _exact(low)) and (high is None or _exact(value) <= _exact(high))
+
+
+def _exact(value: object) -> object:
+    """A number as it compares without rounding."""
+    return value if isinstance(value, float) and not math.isfinite(value) else Fraction(value)
+
+
+def _moments_inside(spark: SparkSession, values: Sequence[str | None], ranges: Sequence[tuple], dtype: T.DataType) -> list[bool]:
+    """The same for dates and times, by Spark's own comparison on one local row."""
+    tests = [F.lit(v).cast(dtype).isNotNull() if low is None and high is None else C.in_range(F.lit(v).cast(dtype), dtype, low, high) for v, (low, high) in zip(values, ranges)]
+    return [bool(t) for t in spark.range(1).select(*[F.coalesce(t, F.lit(False)).alias(f"t{i}") for i, t in enumerate(tests)]).first()]
 
 
 def quantile_table(df: DataFrame, name: str, probabilities: Sequence[float]) -> DataFrame:
-    """(quantile, value) rows: the exact quantiles of one column."""
+    """(quantile, value) rows: the exact quantiles of one column of numbers, as floating-point numbers."""
     answer = exact_quantiles(df, {name: probabilities})[name]
-    rows = [(float(p), answer.values[p]) for p in probabilities]
+    rows = [(float(p), None if answer.values[p] is None else float(answer.values[p])) for p in probabilities]
     return local_frame(df.sparkSession, {"quantile": "double", "value": "double"}, rows)

@@ -77,9 +77,16 @@ class QuantileRule(Rule):
     """Quantiles, each inside its own range. Exact unless ``approx``."""
 
     probabilities: tuple[float, ...]
-    ranges: tuple[tuple[float | None, float | None], ...]
+    ranges: tuple[tuple[object, object], ...]
     approx: bool = False
 
+    def misfit(self, dtypes: Sequence[T.DataType]) -> str | None:
+        name, dtype = self.columns[0], dtypes[0]
+        if not C.is_numeric(dtype) and (self.approx or not C.is_temporal(dtype)):
+            return f"{name} is {C.type_name(dtype)}, not a number" + ("" if self.approx else ", date or time")
+        odd = [b for r in self.ranges for b in r if b is not None and not C.accepts(dtype, b)]
+        return f"{name} is {C.type_name(dtype)}, not comparable with {odd[0]!r}" if odd else None
+
 
 @dataclass(frozen=True, kw_only=True)
 class FrequencyRule(Rule):
@@ -509,12 +516,13 @@ def expect_table_row_count_to_equal(value: int, check_id: str | None = None) ->
 
 @recorded
 def expect_column_median_to_be_between(
-    column: str, min_value: float | None = None, max_value: float | None = None, approx: bool = False,
+    column: str, min_value: object = None, max_value: object = None, approx: bool = False,
     check_id: str | None = None,
 ) -> QuantileRule:
+    """Median of numbers, interpolated; of dates and times, the first that half of the rows do not exceed."""
     _bounds(min_value, max_value)
     return QuantileRule(
-        kind="expect_column_median_to_be_between", columns=_columns(column), check_id=check_id, numeric=True,
+        kind="expect_column_median_to_be_between", columns=_columns(column), check_id=check_id,
         probabilities=(0.5,), ranges=((min_value, max_value),), approx=approx,
     )
 
@@ -531,7 +539,7 @@ def expect_column_quantile_values_to_be_between(
     if not all(0 <= p <= 1 for p in probabilities):
         raise ValueError("quantiles must lie in [0, 1]")
     return QuantileRule(
-        kind="expect_column_quantile_values_to_be_between", columns=_columns(column), check_id=check_id, numeric=True,
+        kind="expect_column_quantile_values_to_be_between", columns=_columns(column), check_id=check_id,
         probabilities=probabilities, ranges=ranges, approx=approx,
     )
 
