@@ -236,7 +236,8 @@ def common_form(c: Column, own: T.DataType, other: T.DataType) -> Column:
         text = c.cast(T.DecimalType(p, s)).cast("string")  # no decimal holds both: as written, less closing zeros
         return F.when(F.instr(text, ".") > 0, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
     whole = c.try_cast("bigint")
-    same = F.coalesce((whole.cast(own) == c) & (F.abs(c.cast("double")) < float(2**63)), F.lit(False))
+    same = F.lit(True) if isinstance(own, T.IntegralType) else whole.cast(own) == c
+    same = F.coalesce(same & (c >= -float(2**63)) & (c < float(2**63)) if is_float(own) else same, F.lit(False))  # a float at the edge casts to another number
     return F.when(c.isNotNull(), F.struct(F.when(same, whole).alias("whole"), F.when(~same, c.cast("double")).alias("other")))
 
 

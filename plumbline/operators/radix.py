@@ -86,7 +86,7 @@ class Line:
             found = decimal.Decimal(exact.numerator) / exact.denominator
         if Fraction(unit).denominator == 1:
             return found.quantize(decimal.Decimal(1).scaleb(-self.scale), context=decimal.Context(prec=60))
-        return found if Fraction(found) == exact and len(found.as_tuple().digits) <= 38 else +decimal.Context(prec=38).create_decimal(found)
+        return decimal.Context(prec=38).create_decimal(found)
 
     def cell(self, low: int, high: int) -> Column:
         """Number of the cell that a value between the ends falls in: it never falls as the value rises."""
@@ -129,7 +129,7 @@ def ranks_found(df: DataFrame, ranks: Mapping[str, Sequence[int]], ends: Mapping
         for plan in plans[1:]:
             union = union.unionByName(plan)
         cells: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for row in union.collect():  # at most CELLS rows a range, or FEW_ROWS a column
+        for row in union.collect():  # at most CELLS rows a range (a decimal's cell may round at its ends), or FEW_ROWS a column
             line = Line(df.schema[list(todo)[row["column"]]].dataType)
             cells.setdefault((row["column"], row["range"]), []).append((line.unit(row["first"]), line.unit(row["last"]), row["n"]))
         todo = {name: [part for j, r in enumerate(held) for part in _closer(r, sorted(cells.get((k, j), [])))] for k, (name, held) in enumerate(todo.items())}
@@ -139,7 +139,7 @@ def ranks_found(df: DataFrame, ranks: Mapping[str, Sequence[int]], ends: Mapping
 def _counted(df: DataFrame, name: str, k: int, held: Sequence[_Range]) -> DataFrame:
     """(column, range, first, last, n) for every cell of a column's ranges that holds rows."""
     line, c = Line(df.schema[name].dataType), C.column(name)
-    by_value = sum(r.rows for r in held) <= FEW_ROWS
+    by_value = sum(r.rows for r in held) <= FEW_ROWS or all(r.high - r.low < CELLS for r in held)
     inside = [(c >= line.at(r.low)) & (c <= line.at(r.high)) for r in held]
     place, cell = F.lit(None).cast("int"), F.lit(None).cast("bigint")
     for j, r in enumerate(held):
