@@ -4,8 +4,9 @@ Vectors of equal label (and length) are compared by cosine. Equal vectors are on
 the nearest of cells of bounded size: nodes are sorted by the signs of random projections, several times over,
 and every run of ``CELL`` is compared within itself. Then rounds of descent: each node introduces its
 neighbours, in both directions, to each other, and every node keeps the nearest it has met, ``WIDTH`` of them; a
-list whose entries all reach the threshold is saturated and grows to ``WIDE``. The neighbours of a hub meet in groups of
-bounded size, dealt anew each round. Rounds end when lists hardly change.
+list whose entries all reach the threshold is saturated and grows: it also keeps the ``FAR`` most distant ones that reach the threshold, which
+are those that tie dense groups together. The neighbours of a hub meet in groups of
+bounded size, dealt anew each round. Rounds end when lists that are not saturated hardly gain any link.
 
 Edges of the lists that reach the threshold, verified in double precision, make components. A list can be
 saturated at any width, so it is then enlarged to its whole component: links are counted between all nodes of a component,
@@ -37,10 +38,12 @@ from plumbline.llm.store import sampled_rows, written
 THRESHOLD = 0.93
 #: Nodes compared with each other to begin with, and how many orders of the nodes are cut into such cells.
 CELL, ORDERS = 256, 4
-#: Neighbours of a node, of a saturated one, and how many neighbours of one node meet at once.
-WIDTH, WIDE, MEET = 8, 16, 64
-#: Rounds, and the share of list entries that have to change for another one.
-ROUNDS, STILL = 6, 0.002
+#: Neighbours of a node, the distant ones of a saturated list, and how many neighbours of one node meet at once.
+WIDTH, FAR, MEET = 8, 8, 64
+#: Rounds, and the links that have to be gained for another one, as a share of all nodes.
+ROUNDS, STILL = 6, 0.001
+#: Hubs that are sent to every executor; more are joined.
+HUBS = 100_000
 #: Nodes of a component compared at once; more are compared block by block.
 BLOCK = 1024
 #: Nodes audited twice over, links of theirs that have to be found, and how often lists are widened.
@@ -150,25 +153,34 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _edges(np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(sims, near, 1).ravel())
 
 
-def _introduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one node's neighbours of which one is a new neighbour, where they come nearer than the farthest listed."""
-    for met in runs(batches, ["middle", "chunk"]):
-        ids, u = _column(met, "node").to_numpy(), _half(_column(met, "code"))
-        fresh, worst = _column(met, "fresh").to_numpy(zero_copy_only=False), _column(met, "worst").to_numpy()
-        sims = u @ u.T
-        good = (fresh[:, None] | fresh[None, :]) & (sims > worst[:, None])
-        np.fill_diagonal(good, False)
-        i, j = np.nonzero(good)
-        if len(i):
-            yield _edges(ids[i], ids[j], sims[i, j])
+def _introduced(threshold: float):
+    """Pairs of one node's neighbours of which one is a new neighbour, where a list of theirs has a place for the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in runs(batches, ["middle", "chunk"]):
+            ids, first, again = np.unique(_column(met, "node").to_numpy(), return_index=True, return_inverse=True)
+            u = _half(_column(met, "code").take(pa.array(first)))
+            fresh = np.bincount(again, _column(met, "fresh").to_numpy(zero_copy_only=False)) > 0
+            worst, far = (_column(met, c).to_numpy()[first] for c in ("worst", "far"))
+            sims = u @ u.T
+            good = (fresh[:, None] | fresh[None, :]) & ((sims > worst[:, None]) | ((sims < far[:, None]) & (sims >= threshold - SLACK)))
+            np.fill_diagonal(good, False)
+            i, j = np.nonzero(good)
+            if len(i):
+                yield _edges(ids[i], ids[j], sims[i, j])
+
+    return run
 
 
 def _nearest(edges: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Each node's list: ``width`` nearest, and up to twice as many of those that reach the threshold."""
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    wide = width * WIDE // WIDTH
-    ranked = edges.withColumn("place", place).filter(F.col("place") <= wide)
-    return ranked.filter((F.col("place") <= width) | (F.col("sim") >= threshold - SLACK)).drop("place")
+    """Each node's list (a, b, sim, fresh, far) from edges that may repeat: ``width`` nearest, and the most distant of further ones that reach the threshold."""
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = Window.partitionBy("a")
+    once = edges.repartition(n, "a").groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    links = F.count(F.when(F.col("sim") >= threshold - SLACK, 1)).over(own)
+    ranked = once.withColumn("place", F.row_number().over(own.orderBy(F.desc("sim"), "b"))).withColumn("links", links)
+    distant = (F.col("place") <= F.col("links")) & (F.col("links") - F.col("place") < FAR)
+    return ranked.filter((F.col("place") <= width) | distant).select("a", "b", "sim", "fresh", (F.col("place") > width).alias("far"))
 
 
 def _began(coded: DataFrame, orders: Sequence[int]) -> DataFrame:
@@ -184,25 +196,30 @@ def _began(coded: DataFrame, orders: Sequence[int]) -> DataFrame:
 
 
 def descend(coded: DataFrame, lists: DataFrame, nodes: int, threshold: float, width: int) -> DataFrame:
-    """Rounds of introductions on the lists (a, b, sim, fresh) until they hardly change."""
+    """Rounds of introductions on the lists until those that are not saturated hardly gain a link."""
     n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wide = width * WIDE // WIDTH
+    link = F.col("sim") >= threshold - SLACK
     for turn in range(ROUNDS):
         both = lists.select(F.col("a").alias("middle"), F.col("b").alias("other"), "fresh").union(lists.select("b", "a", "fresh"))
-        met = both.groupBy("middle", "other").agg(F.max("fresh").alias("fresh"))
-        active = met.groupBy("middle").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("some")).filter("some").drop("some")
-        chunk = F.pmod(F.xxhash64("other", F.lit(turn)), F.ceil(F.col("n") / MEET)).alias("chunk")
-        dealt = met.join(active, "middle").select("middle", "other", "fresh", chunk)
-        # a list that is not full takes anyone; a saturated one whoever reaches the threshold, until it is wide
-        held = lists.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least"))
-        limit = F.when(F.col("n") < width, F.lit(-2.0)).when((F.col("least") >= threshold - SLACK) & (F.col("n") < wide), F.lit(threshold - SLACK)).otherwise(F.col("least"))
-        known = coded.select("node", "code").join(held.select(F.col("a").alias("node"), limit.cast("float").alias("worst")), "node")
-        shipped = dealt.join(known, F.col("other") == F.col("node")).select("middle", "chunk", "node", "code", "fresh", "worst")
-        found = shipped.repartition(n, "middle", "chunk").sortWithinPartitions("middle", "chunk").mapInArrow(_introduced, EDGES)
+        # whoever many lists name is a hub, whose neighbours meet in several groups
+        hubs = lists.groupBy(F.col("b").alias("hub")).agg(F.ceil((F.count(F.lit(1)) + width + FAR) / MEET).alias("chunks")).filter("chunks > 1")
+        few = hubs.limit(HUBS + 1).count() <= HUBS
+        chunk = F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("other", F.lit(turn)), F.col("chunks"))).otherwise(F.lit(0))
+        dealt = both.join(F.broadcast(hubs) if few else hubs, F.col("middle") == F.col("hub"), "left").select("middle", "other", "fresh", chunk.alias("chunk"))
+        # a list that is not full takes anyone; a full one who is nearer, or farther, if it is saturated
+        held = lists.groupBy("a").agg(
+            F.count(F.when(~F.col("far"), 1)).alias("n"), F.min(F.when(~F.col("far"), F.col("sim"))).alias("least"),
+            F.count(F.when(F.col("far"), 1)).alias("m"), F.max(F.when(F.col("far"), F.col("sim"))).alias("most"),
+        )
+        worst = F.when(F.col("n") < width, F.lit(-2.0)).otherwise(F.col("least"))
+        far = F.when((F.col("n") < width) | (F.col("least") < threshold - SLACK), F.lit(-2.0)).when(F.col("m") < FAR, F.lit(2.0)).otherwise(F.col("most"))
+        known = coded.select("node", "code").join(held.select(F.col("a").alias("node"), worst.cast("float").alias("worst"), far.cast("float").alias("far")), "node")
+        shipped = dealt.join(known, F.col("other") == F.col("node")).select("middle", "chunk", "node", "code", "fresh", "worst", "far")
+        found = shipped.repartition(n, "middle", "chunk").sortWithinPartitions("middle", "chunk").mapInArrow(_introduced(threshold), EDGES)
         old = lists.select("a", "b", "sim", F.lit(False).alias("fresh"))
-        merged = old.unionByName(found.withColumn("fresh", F.lit(True))).groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-        lists = written(_nearest(merged, threshold, width), "lists")
-        if lists.filter("fresh").count() <= STILL * nodes * width:
+        lists = written(_nearest(old.unionByName(found.withColumn("fresh", F.lit(True))), threshold, width), "lists")
+        open_ = lists.groupBy("a").agg(F.count(F.when(link, 1)).alias("links"), F.count(F.when(link & F.col("fresh"), 1)).alias("gained")).filter(F.col("links") < width)
+        if open_.agg(F.coalesce(F.sum("gained"), F.lit(0))).first()[0] <= STILL * nodes:
             break
     return lists
 
@@ -293,7 +310,9 @@ def links_of(members: DataFrame, threshold: float) -> DataFrame:
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     sized = members.join(sizes, "component")
-    small = sized.filter(F.col("size") <= BLOCK).drop("size").repartition(n, "component").sortWithinPartitions("component").mapInArrow(_linked(threshold), COUNTS)
+    # by a hash of its own: dealt by the key of the join just made, the rows would stay as that join left them, skewed parts split
+    together = sized.filter(F.col("size") <= BLOCK).drop("size").repartition(n, F.xxhash64("component")).sortWithinPartitions("component")
+    small = together.mapInArrow(_linked(threshold), COUNTS)
     # salted, so that a component of any size is spread over all tasks
     salted = sized.filter(F.col("size") > BLOCK).repartition(n, "component", F.pmod(F.xxhash64("node"), F.lit(n))).sortWithinPartitions("component")
     large = written(salted, "large-components")
@@ -384,9 +403,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         fields = ", ".join(f"o{t} bigint" for t in orders)
         coded = written(nodes.select("node", "part", "v").mapInArrow(_coded(orders), f"node bigint, part string, code binary, {fields}"), "coded")
         started = _began(coded, orders).withColumn("fresh", F.lit(True))
-        started = started if lists is None else started.unionByName(lists.withColumn("fresh", F.lit(True)))
-        merged = started.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("fresh").alias("fresh"))
-        lists = descend(coded, written(_nearest(merged, threshold, width), "lists"), count, threshold, width)
+        started = started if lists is None else started.unionByName(lists.select("a", "b", "sim", F.lit(True).alias("fresh")))
+        lists = descend(coded, written(_nearest(started, threshold, width), "lists"), count, threshold, width)
         near = lists.filter(F.col("sim") >= threshold - SLACK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         with_a = near.join(nodes.select(F.col("node").alias("a"), F.col("v").alias("va")), "a")
         with_both = with_a.join(nodes.select(F.col("node").alias("b"), F.col("v").alias("vb")), "b").select("a", "b", "va", "vb")
