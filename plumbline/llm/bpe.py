@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.store import written
-from plumbline.llm.words import _mixed, _powers, pieces
+from plumbline.llm.words import LONG, _long_hash, _mixed, _powers, pieces
 
 #: Words compiled into the transducer, the most frequent ones, and bytes of the longest.
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 64
@@ -149,6 +149,8 @@ class Tokenizer:
             np.cumsum(_mixed(part + np.uint64(1)) * up[: len(part)], out=sums[1:])
             hashes[k:stop] = _mixed((sums[end[k:stop] - low] - sums[start[k:stop] - low]) * down[start[k:stop] - low])
             k = stop
+        for k in np.flatnonzero(end - start > LONG).tolist():
+            hashes[k] = _long_hash(code[start[k] : end[k]])
         return Split(whole, start, end, hashes, np.searchsorted(start, first))
 
     def merge(self, word: str) -> list[int]:

@@ -54,19 +54,22 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     held: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum after
+    lower: list[int] = []  # of each, the nearest earlier one that begins lower, -1 for none
     for i in np.flatnonzero(scores > 0).tolist():
         start, left, right = i, float(sums[i]), float(sums[i + 1])
-        end = i + 1
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
-            # nearest earlier segment that begins lower; those passed over can never join a later one first
+            # those passed over can never join a later one first, and later searches pass over them at once
             while j >= 0 and held[j][2] >= left:
-                j -= 1
+                j = lower[j]
             if j < 0 or held[j][3] >= right:
-                held.append((start, end, left, right))
+                held.append((start, i + 1, left, right))
+                lower.append(j)
                 break
             start, left = held[j][0], held[j][2]
-            del held[j:]
+            before = lower[j]
+            del held[j:], lower[j:]
+            j = before
     return [(s, e, r - l) for s, e, l, r in held]
 
 

@@ -7,11 +7,14 @@ every byte of a character beyond ASCII is above 0x7F, so bytes decide.
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
+#: Longer words have a hash of another kind: long words can be made whose sums modulo 2**64 agree whatever the base.
+LONG = 64
 #: Bytes treated at a time; bounds the working arrays, not the texts.
 BLOCK = 1 << 20
 
@@ -47,6 +50,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return next(iter(_POWERS.values()))
 
 
+def _long_hash(word: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(word.tobytes(), digest_size=8).digest(), "little")
+
+
 class Words(NamedTuple):
     """Words of consecutive texts: text i owns words first[i]:first[i + 1]."""
 
@@ -105,7 +112,10 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = IN_WOR
         up, down = _powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_VALUE[fold[part]] * up[: len(part)], out=sums[1:])
-        hashes.append(_mixed((sums[e] - sums[s]) * down[s]))
+        found = _mixed((sums[e] - sums[s]) * down[s])
+        for k in np.flatnonzero(e - s > LONG).tolist():
+            found[k] = _long_hash(fold[part[s[k] : e[k]]])
+        hashes.append(found)
         starts.append(s + at)
         ends.append(e + at)
         at = stop

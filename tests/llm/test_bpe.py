@@ -117,3 +117,10 @@ def test_query_matches_the_library(rows, duck, library):
         e = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         text = library.decode(e, skip_special_tokens=False)
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(e), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_long_words_made_to_agree_keep_their_own_ids(spark, documents, library):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    pairs = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    got = {r.doc_id: r.ids for r in bpe.encode(spark, documents(*pairs), tokenizer_file()).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in pairs} and got[1] != got[2]

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -33,6 +34,18 @@ def test_segments_match_the_definition(scores):
     assert np.allclose([s for *_, s in got], [s for *_, s in want])
 
 
+def test_segments_of_a_long_text_take_time_in_proportion():
+    """Toxic words each followed by a worse clean one: every one is a segment of its own, and none is looked at twice."""
+    scores = np.tile([1.0, -1.5], 300_000)
+    begun = time.process_time()
+    found = t.segments(scores)
+    assert len(found) == 300_000 and time.process_time() - begun < 5
+    # rising and falling, so that earlier segments are joined and passed over
+    rng = np.random.default_rng(2)
+    mixed = np.round(rng.normal(0, 1, 400), 3)
+    assert [(a, b) for a, b, _ in t.segments(mixed)] == [(a, b) for a, b, _ in maximal(mixed.tolist())]
+
+
 def test_surprise_grows_with_score_and_falls_with_length():
     m = t.Model(np.zeros(0, np.uint64), np.zeros(0), -0.1, 1.0, 0.01, 1.0, 0.0)
     one = lambda s, n: t.surprise([(0, 1, s)], n, m)
