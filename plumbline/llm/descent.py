@@ -140,17 +140,27 @@ def _coded(orders: Sequence[int]):
     return run
 
 
-def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nearest of every node within its run of ``CELL`` sorted nodes."""
-    for cell in runs(batches, ["part"], CELL):
-        ids, u = _column(cell, "node").to_numpy(), _half(_column(cell, "code"))
-        if len(ids) < 2:
-            continue
-        sims = u @ u.T
-        np.fill_diagonal(sims, -2)
-        k = min(WIDTH, len(ids) - 1)
-        near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        yield _edges(np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(sims, near, 1).ravel())
+def _in_cells(threshold: float, cell: int, width: int):
+    """The nearest of every node within its run of sorted nodes, and the most distant ones that reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in runs(batches, ["part"], cell):
+            ids, u = _column(met, "node").to_numpy(), _half(_column(met, "code"))
+            if len(ids) < 2:
+                continue
+            sims = u @ u.T
+            np.fill_diagonal(sims, -2)
+            k = min(width, len(ids) - 1)
+            near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+            yield _edges(np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(sims, near, 1).ravel())
+            full = np.flatnonzero((sims >= threshold - SLACK).sum(axis=1) > k)
+            if len(full):
+                links = np.where(sims[full] >= threshold - SLACK, sims[full], 2)
+                far = np.argpartition(links, min(FAR, len(ids)) - 1, axis=1)[:, : min(FAR, len(ids))]
+                i, j = np.nonzero(np.take_along_axis(links, far, 1) <= 1.5)
+                yield _edges(ids[full[i]], ids[far[i, j]], links[i, far[i, j]])
+
+    return run
 
 
 def _introduced(threshold: float):
@@ -183,12 +193,13 @@ def _nearest(edges: DataFrame, threshold: float, width: int) -> DataFrame:
     return ranked.filter((F.col("place") <= width) | distant).select("a", "b", "sim", "fresh", (F.col("place") > width).alias("far"))
 
 
-def _began(coded: DataFrame, orders: Sequence[int]) -> DataFrame:
-    n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _began(coded: DataFrame, orders: Sequence[int], nodes: int, threshold: float, width: int) -> DataFrame:
+    # partitions of several cells each, as the last one of a partition is cut short
+    n = max(1, min(int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions")), nodes // (4 * CELL)))
     parts = []
     for t in orders:
         by = ["part", f"o{t}", "node"]
-        parts.append(coded.select("node", "part", "code", f"o{t}").repartitionByRange(n, *by).sortWithinPartitions(*by).mapInArrow(_in_cells, EDGES))
+        parts.append(coded.select("node", "part", "code", f"o{t}").repartitionByRange(n, *by).sortWithinPartitions(*by).mapInArrow(_in_cells(threshold, CELL, width), EDGES))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -402,7 +413,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     for turn in range(TRIES if count > 1 else 0):
         fields = ", ".join(f"o{t} bigint" for t in orders)
         coded = written(nodes.select("node", "part", "v").mapInArrow(_coded(orders), f"node bigint, part string, code binary, {fields}"), "coded")
-        started = _began(coded, orders).withColumn("fresh", F.lit(True))
+        started = _began(coded, orders, count, threshold, width).withColumn("fresh", F.lit(True))
         started = started if lists is None else started.unionByName(lists.select("a", "b", "sim", F.lit(True).alias("fresh")))
         lists = descend(coded, written(_nearest(started, threshold, width), "lists"), count, threshold, width)
         near = lists.filter(F.col("sim") >= threshold - SLACK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

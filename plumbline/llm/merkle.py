@@ -36,9 +36,8 @@ from plumbline.functions.local import local_frame
 from plumbline.llm.store import written
 
 FAN = 3
-#: Levels of a block, and its leaves.
+#: Levels of a block: it has 729 leaves.
 LEVELS = 6
-BLOCK = FAN**LEVELS
 
 MANIFEST = ("tree", "pos", "path", "siblings", "subroot", "root")
 
@@ -57,10 +56,11 @@ def parent_of(digests: Sequence[bytes]) -> bytes:
 class Frontier:
     """The open subtrees of a block that grows at its right end, and the witnesses of its leaves so far."""
 
-    def __init__(self) -> None:
+    def __init__(self, levels: int = LEVELS) -> None:
+        self.levels = levels
         self.path: list[bytearray] = []
         self.siblings: list[bytearray] = []
-        self.open: list[list[tuple[bytes, range]]] = [[] for _ in range(LEVELS + 1)]
+        self.open: list[list[tuple[bytes, range]]] = [[] for _ in range(levels + 1)]
 
     def append(self, leaf: bytes) -> None:
         place = len(self.path)
@@ -78,7 +78,7 @@ class Frontier:
         for k in leaves:
             self.siblings[k] += before
         run.append((digest, leaves))
-        if len(run) == FAN and level < LEVELS:
+        if len(run) == FAN and level < self.levels:
             self._close(level)
 
     def _close(self, level: int) -> None:
@@ -89,11 +89,11 @@ class Frontier:
         self._complete(level + 1, parent_of([d for d, _ in run]), range(run[0][1].start, run[-1][1].stop))
 
     def close(self, first: bool) -> bytes:
-        """Root of the block. All blocks but the first of a tree have ``LEVELS`` levels; the first stops at one node."""
+        """Root of the block. All blocks but the first of a tree have all levels; the first stops at one node."""
         level = 0
         while True:
             run = self.open[level]
-            if len(run) == 1 and (first or level == LEVELS) and not any(self.open[level + 1 :]):
+            if len(run) == 1 and (first or level == self.levels) and not any(self.open[level + 1 :]):
                 return run[0][0]
             if run:
                 self._close(level)
@@ -175,50 +175,55 @@ def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> tuple[DataFra
     return placed, trees, most
 
 
-def _append(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _append(levels: int):
     """Stream sorted leaves into blocks; a block leaves with its witnesses and root as soon as it ends."""
+    size = FAN**levels
 
     def done(parts: list[pa.RecordBatch], at: tuple[int, int]) -> pa.RecordBatch:
         block = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-        frontier = Frontier()
+        frontier = Frontier(levels)
         for digest in block.column(block.schema.get_field_index("digest")).to_pylist():
             frontier.append(digest)
         top = frontier.close(at[1] == 0)
         extra = [[bytes(p) for p in frontier.path], [bytes(s) for s in frontier.siblings], [top] * block.num_rows]
         return pa.RecordBatch.from_arrays([*block.columns, *[pa.array(x, pa.binary()) for x in extra]], names=[*block.schema.names, "path", "siblings", "top"])
 
-    parts: list[pa.RecordBatch] = []
-    at: tuple[int, int] | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tree = batch.column(batch.schema.get_field_index("tree")).to_numpy()
-        block = batch.column(batch.schema.get_field_index("pos")).to_numpy() // BLOCK
-        cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (block[1:] != block[:-1])) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tree)]):
-            here = (int(tree[a]), int(block[a]))
-            if parts and here != at:
-                yield done(parts, at)
-                parts = []
-            parts.append(batch.slice(a, b - a))
-            at = here
-    if parts:
-        yield done(parts, at)
-
-
-def _appended(nodes: DataFrame, label: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        at: tuple[int, int] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tree = batch.column(batch.schema.get_field_index("tree")).to_numpy()
+            block = batch.column(batch.schema.get_field_index("pos")).to_numpy() // size
+            cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (block[1:] != block[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tree)]):
+                here = (int(tree[a]), int(block[a]))
+                if parts and here != at:
+                    yield done(parts, at)
+                    parts = []
+                parts.append(batch.slice(a, b - a))
+                at = here
+        if parts:
+            yield done(parts, at)
+
+    return run
+
+
+def _appended(nodes: DataFrame, label: str, levels: int) -> DataFrame:
     """Nodes (tree, pos, digest, ..) with their witness inside their block and the block's root."""
-    dealt = nodes.repartition(_partitions(nodes), F.col("tree"), F.expr(f"pos div {BLOCK}")).sortWithinPartitions("tree", "pos")
-    return written(dealt.mapInArrow(_append, f"{_fields(nodes)}, path binary, siblings binary, top binary"), label)
+    dealt = nodes.repartition(_partitions(nodes), F.col("tree"), F.expr(f"pos div {FAN**levels}")).sortWithinPartitions("tree", "pos")
+    return written(dealt.mapInArrow(_append(levels), f"{_fields(nodes)}, path binary, siblings binary, top binary"), label)
 
 
-def _grown(nodes: DataFrame, most: int, label: str) -> list[DataFrame]:
+def _grown(nodes: DataFrame, most: int, label: str, levels: int) -> list[DataFrame]:
     """Rounds of appending, the first of the nodes themselves, the last of one block for each tree."""
-    rounds = [_appended(nodes, label)]
-    while most >= BLOCK:
-        most //= BLOCK
-        tops = rounds[-1].filter(f"pos % {BLOCK} = 0").select("tree", F.expr(f"pos div {BLOCK}").alias("pos"), F.col("top").alias("digest"))
-        rounds.append(_appended(tops, label))
+    size = FAN**levels
+    rounds = [_appended(nodes, label, levels)]
+    while most >= size:
+        most //= size
+        tops = rounds[-1].filter(f"pos % {size} = 0").select("tree", F.expr(f"pos div {size}").alias("pos"), F.col("top").alias("digest"))
+        rounds.append(_appended(tops, label, levels))
     return rounds
 
 
@@ -230,24 +235,25 @@ def _extended(below: DataFrame, above: DataFrame, met: Column, carried: Sequence
     return b.join(a, met).select(*own, *longer, *[F.col(f"a.{c}") for c in carried])
 
 
-def manifest(rows: DataFrame, leaf: Column, group: str, order: Sequence[str]) -> DataFrame:
+def manifest(rows: DataFrame, leaf: Column, group: str, order: Sequence[str], levels: int = LEVELS) -> DataFrame:
     """The rows with the columns ``MANIFEST`` and ``digest``: where each stands, its witness up to the root, and both roots.
 
     ``leaf`` is the digest of a row as 32 bytes. ``siblings`` are digests of 32 bytes each, ``path`` is a
-    byte per level: the node's place among its run times 4, plus the size of the run.
+    byte per level: the node's place among its run times 4, plus the size of the run. Blocks have ``levels`` levels, which changes no digest.
     """
+    size = FAN**levels
     plain = rows.drop(*MANIFEST, "digest", "part", "top", "row")
     leaves = written(plain.select("*", leaf.alias("digest"), F.monotonically_increasing_id().alias("row")), "leaves")
     placed, trees, most = numbered(leaves, group, [*order, "digest", "row"])
-    low = _grown(placed.drop("row"), most, "witnesses")
+    low = _grown(placed.drop("row"), most, "witnesses", levels)
     tops = low[-1].filter("pos = 0").select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.col("top").alias("digest"))
-    high = _grown(tops, trees - 1, "group-witnesses")
+    high = _grown(tops, trees - 1, "group-witnesses", levels)
     above = high[-1].withColumnRenamed("top", "root").drop("digest")
     for r in reversed(high[:-1]):
-        above = _extended(r.drop("top", "digest"), above, F.expr(f"b.pos div {BLOCK} = a.pos"), ["root"])
+        above = _extended(r.drop("top", "digest"), above, F.expr(f"b.pos div {size} = a.pos"), ["root"])
     out = _extended(low[-1].withColumnRenamed("top", "subroot"), above, F.expr("b.tree = a.pos"), ["root"])
     for r in reversed(low[:-1]):
-        out = _extended(r.drop("top"), out.drop("digest"), F.expr(f"b.tree = a.tree AND b.pos div {BLOCK} = a.pos"), ["subroot", "root"])
+        out = _extended(r.drop("top"), out.drop("digest"), F.expr(f"b.tree = a.tree AND b.pos div {size} = a.pos"), ["subroot", "root"])
     return out
 
 
