@@ -209,6 +209,20 @@ def sink_report(spark, sf_dir):
     return run.withColumn("observed", F.nullif("observed", F.lit("null"))).unionByName(skipped)
 
 
+@query(
+    "src_newest_slice",
+    """SELECT 'day' AS slice, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)
+UNION ALL SELECT 'key', count(*), round(sum(l_extendedprice), 2) FROM lineitem WHERE l_orderkey = (SELECT max(l_orderkey) FROM lineitem)""",
+)
+def src_newest_slice(spark, sf_dir):
+    """The newest slice by the files' own statistics where they have them (the key), else by a scan (the time)."""
+    parts = []
+    for name, path, column, price in (("day", "orders", "o_orderdate", "o_totalprice"), ("key", "lineitem", "l_orderkey", "l_extendedprice")):
+        newest = pl.newest_slice(spark, f"{sf_dir}/{path}.parquet", column)
+        parts.append(newest.agg(F.lit(name).alias("slice"), F.count(F.lit(1)).alias("n"), F.round(F.sum(price), 2).alias("total")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------------------ row predicates
 
 EVENTS_SOME_NULL = "SELECT *, nullif(event_type, 'click') AS kind, nullif(event_type, event_type) AS nothing FROM events"
@@ -1154,6 +1168,27 @@ def schema_drift(spark, sf_dir):
 # ------------------------------------------------------------------ constraints and comparisons
 
 
+NEXT_CUSTOMERS = """SELECT c_custkey, c_nationkey AS nation, 'x' AS note, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(12, 2)) AS c_acctbal
+FROM customer WHERE c_nationkey < 20"""
+
+
+@query(
+    "schema_renames",
+    """WITH k AS (SELECT column_name AS c, CASE data_type WHEN 'BIGINT' THEN 'LongType' WHEN 'INTEGER' THEN 'IntegerType' WHEN 'DOUBLE' THEN 'DoubleType' ELSE 'StringType' END AS t
+           FROM information_schema.columns WHERE table_name = 'customer')
+SELECT CASE WHEN c = 'c_custkey' THEN 'same' WHEN c = 'c_acctbal' THEN 'retyped' WHEN c = 'c_name' THEN 'removed' ELSE 'renamed' END AS change, c AS old_column,
+    CASE c WHEN 'c_nationkey' THEN 'nation' WHEN 'c_mktsegment' THEN 'segment' WHEN 'c_name' THEN NULL ELSE c END AS new_column, t AS old_type,
+    CASE c WHEN 'c_acctbal' THEN 'DecimalType' WHEN 'c_name' THEN NULL ELSE t END AS new_type,
+    CASE c WHEN 'c_nationkey' THEN (SELECT round(count(DISTINCT c_nationkey) FILTER (WHERE c_nationkey < 20)::DOUBLE / count(DISTINCT c_nationkey), 6) FROM customer)
+        WHEN 'c_mktsegment' THEN (SELECT round(count(DISTINCT c_mktsegment) FILTER (WHERE c_nationkey < 20)::DOUBLE / count(DISTINCT c_mktsegment), 6) FROM customer) END AS likeness
+FROM k UNION ALL SELECT 'added', NULL, 'note', NULL, 'StringType', NULL""",
+)
+def schema_renames(spark, sf_dir):
+    """A version of a table with renamed, retyped, removed and added columns, told apart by their values."""
+    found = pl.schema_renames(table(spark, sf_dir, "customer"), from_sql(spark, sf_dir, NEXT_CUSTOMERS, "customer"))
+    return found.withColumn("likeness", F.round("likeness", 6))
+
+
 @query(
     "sql_constraint",
     """SELECT 'price' AS check_id, count(*) AS unexpected_count, count(*) = 0 AS success
@@ -1174,6 +1209,29 @@ def sql_constraint(spark, sf_dir):
     return pl.Suite(rules).verdicts(table(spark, sf_dir, "lineitem")).select("check_id", "unexpected_count", "success")
 
 
+@query(
+    "sql_constraints_shared",
+    """SELECT 'cheap' AS check_id, count(*) AS unexpected_count, count(*) = 0 AS success FROM lineitem WHERE l_extendedprice <= l_quantity * 900
+UNION ALL SELECT 'discount', count(*), count(*) = 0 FROM lineitem WHERE l_discount > 1
+UNION ALL SELECT 'flag', count(*), count(*) = 0 FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND l_tax > 0.05
+UNION ALL SELECT 'null', count(*), count(*) = 0 FROM lineitem WHERE nullif(l_returnflag, 'A') <> 'N'
+UNION ALL SELECT 'negated', count(*), count(*) = 0 FROM (SELECT -l_quantity AS l_quantity FROM lineitem) WHERE l_quantity > -2
+UNION ALL SELECT 'first', 1, false""",
+)
+def sql_constraints_shared(spark, sf_dir):
+    """Filters of the table, which share a scan, beside queries that only look like one."""
+    queries = {
+        "cheap": "SELECT * FROM {table} WHERE l_extendedprice <= l_quantity * 900",
+        "discount": "SELECT l_orderkey + 1 AS k FROM {table} AS t WHERE t.l_discount > 1",
+        "flag": "SELECT * FROM (SELECT * FROM {table} WHERE l_returnflag = 'R' AND l_linestatus = 'O') WHERE l_tax > 0.05",
+        "null": "SELECT * FROM {table} WHERE nullif(l_returnflag, 'A') <> 'N'",
+        "negated": "SELECT * FROM (SELECT -l_quantity AS l_quantity FROM {table}) WHERE l_quantity > -2",
+        "first": "SELECT * FROM {table} LIMIT 1",
+    }
+    suite = pl.Suite([pl.expect_query_to_return_no_rows(q, check_id=name) for name, q in queries.items()])
+    return suite.verdicts(table(spark, sf_dir, "lineitem")).select("check_id", "unexpected_count", "success")
+
+
 MIXED = """SELECT event_id, event_type, value, ts, user_id FROM events"""
 
 
@@ -1383,6 +1441,84 @@ def suite_overflow(spark, sf_dir):
     ).verdicts(rows).select("check_id", "success", "observed_text")
 
 
+DAYS = "SELECT *, CAST(ts AS DATE) AS day, nullif(event_type, 'click') AS kind FROM events"
+
+
+@query(
+    "suite_by_slice",
+    f"""WITH t AS ({DAYS})
+SELECT 'kind' AS check_id, count(*) AS element_count, count(*) FILTER (WHERE kind IS NULL) AS unexpected_count, NULL::DOUBLE AS observed_num,
+    count(kind)::DOUBLE / count(*) >= 0.9 AS success FROM t
+UNION ALL SELECT 'value', count(*), count(*) FILTER (WHERE NOT value BETWEEN 5 AND 400), NULL, false FROM t
+UNION ALL SELECT 'mean', count(*), NULL, round(avg(value), 6), avg(value) BETWEEN 40 AND 60 FROM t
+UNION ALL SELECT 'deviation', count(*), NULL, round(stddev_samp(value), 6), stddev_samp(value) <= 10 FROM t
+UNION ALL SELECT 'most', count(*), NULL, round(max(value), 6), true FROM t
+UNION ALL SELECT 'sum', count(*), NULL, sum(event_id)::DOUBLE, sum(event_id) >= 1 FROM t
+UNION ALL SELECT 'rows', count(*), NULL, count(*)::DOUBLE, count(*) > 100 FROM t
+UNION ALL SELECT 'unique', count(*), count(*) - count(DISTINCT event_id), NULL, count(*) = count(DISTINCT event_id) FROM t
+UNION ALL SELECT 'users', count(*), NULL, count(DISTINCT user_id)::DOUBLE, false FROM t
+UNION ALL SELECT 'median', count(*), NULL, round(median(value), 6), median(value) >= 1 FROM t
+UNION ALL SELECT 'large', NULL, count(*), count(*)::DOUBLE, count(*) = 0 FROM t WHERE value > 400""",
+)
+def suite_by_slice(spark, sf_dir):
+    """Validated when two thirds of the days were there, then again with all: the second run reads the new days."""
+    events = from_sql(spark, sf_dir, DAYS, "events")
+    suite = pl.Suite(
+        [
+            pl.expect_column_values_to_not_be_null("kind", mostly=0.9, check_id="kind"),
+            pl.expect_column_values_to_be_between("value", 5, 400, check_id="value"),
+            pl.expect_column_mean_to_be_between("value", 40, 60, check_id="mean"),
+            pl.expect_column_stdev_to_be_between("value", None, 10, check_id="deviation"),
+            pl.expect_column_max_to_be_between("value", 0, None, check_id="most"),
+            pl.expect_column_sum_to_be_between("event_id", 1, None, check_id="sum"),
+            pl.expect_table_row_count_to_be_between(101, None, check_id="rows"),
+            pl.expect_column_values_to_be_unique("event_id", check_id="unique"),
+            pl.expect_column_unique_value_count_to_be_between("user_id", 0, 1, check_id="users"),
+            pl.expect_column_median_to_be_between("value", 1, None, check_id="median"),
+            pl.expect_query_to_return_no_rows("SELECT * FROM {table} WHERE value > 400", check_id="large"),
+        ]
+    )
+    folder = scratch_folder(spark)
+    pl.verdicts_by_slice(suite, events.filter("day <= DATE'2024-01-20'"), "day", folder)
+    found = pl.verdicts_by_slice(suite, events, "day", folder)
+    return found.select("check_id", "element_count", "unexpected_count", F.round("observed_num", 6).alias("observed_num"), "success")
+
+
+@query(
+    "suite_trend",
+    """WITH t AS (SELECT year(o_orderdate)::VARCHAR AS run_id, count(*) AS n, avg(o_totalprice) AS price,
+    100::DOUBLE * count(*) FILTER (WHERE NOT o_totalprice <= 450000) / count(*) AS dear FROM orders GROUP BY ALL),
+v AS (SELECT 'rows' AS check_id, run_id, n::DOUBLE AS observed, n >= (SELECT avg(n) FROM t) AS success FROM t
+    UNION ALL SELECT 'price', run_id, price, price <= (SELECT avg(price) FROM t) FROM t
+    UNION ALL SELECT 'dear', run_id, dear, dear <= 10 FROM t),
+w AS (SELECT *, lag(observed) OVER o AS previous, count(observed) OVER b AS earlier_runs, avg(observed) OVER b AS mean, stddev_samp(observed) OVER b AS deviation,
+    lag(success) OVER o AS was, sum(success::INT) OVER (PARTITION BY check_id ORDER BY run_id) AS stretch FROM v
+    WINDOW o AS (PARTITION BY check_id ORDER BY run_id), b AS (PARTITION BY check_id ORDER BY run_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+SELECT check_id, run_id, success, round(observed, 4) AS observed, round(observed - previous, 4) AS change, earlier_runs, round(mean, 4) AS mean, round(deviation, 4) AS deviation,
+    CASE WHEN earlier_runs >= 2 THEN abs(observed - mean) > 1.5 * deviation END AS unusual,
+    count(*) FILTER (WHERE NOT success) OVER (PARTITION BY check_id, stretch ORDER BY run_id) AS failing_runs, coalesce(was <> success, false) AS turned
+FROM w""",
+)
+def suite_trend(spark, sf_dir):
+    """A run for each year's orders, recorded, and every check beside its three earlier runs."""
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    per_year = orders.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("price"))
+    norm = per_year.agg(F.avg("n").alias("n"), F.avg("price").alias("price")).first()
+    suite = pl.Suite(
+        [
+            pl.expect_table_row_count_to_be_between(norm["n"], None, check_id="rows"),
+            pl.expect_column_mean_to_be_between("o_totalprice", None, norm["price"], check_id="price"),
+            pl.expect_column_values_to_be_between("o_totalprice", None, 450000, mostly=0.9, check_id="dear"),
+        ]
+    )
+    path = scratch_folder(spark) + "/runs"
+    for (year,) in per_year.select("year").orderBy("year").collect():  # a run per year
+        pl.record_run(suite.verdicts(orders.filter(F.col("year") == year)), path, datetime.datetime(year, 12, 31), str(year))
+    found = pl.trend(pl.history(spark, path), earlier=3, tolerance=1.5)
+    rounded = [F.round(c, 4).alias(c) for c in ("observed", "change", "mean", "deviation")]
+    return found.select("check_id", "run_id", "success", *rounded, "earlier_runs", "unusual", "failing_runs", "turned")
+
+
 def event_rules() -> list:
     return [
         pl.expect_column_values_to_not_be_null("event_type", mostly=0.99, check_id="e01"),

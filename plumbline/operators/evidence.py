@@ -28,7 +28,8 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int | None = TOP)
 
     All row rules share one scan, and rules on one column share its frequency table. Offenders are
     counted before any ranking; texts are counted by a 128-bit hash, and only the texts that are
-    shown are read again. The ranking is cut to ``top`` per slice before the slices meet.
+    shown are read again (they are chosen here, the rest is lazy). The ranking is cut to ``top`` per slice before the slices
+    meet, and carries the totals along.
     """
     row_rules = [r for r in rules if isinstance(r, RowRule)]
     shared: dict[tuple, list[FrequencyRule]] = {}
@@ -42,21 +43,33 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int | None = TOP)
     offenders = parts[0]
     for part in parts[1:]:
         offenders = offenders.unionByName(part)
-    totals = offenders.groupBy("check_id").agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("failing_rows"))
-    shown = offenders if top is None else _best(offenders, top)
-    texts = _texts(df, [*row_rules, *(r for group in shared.values() for r in group)], shown, top)
+    shown = _best(offenders, top)
+    checks = [*row_rules, *(r for group in shared.values() for r in group)]
+    if top is not None and any(_hashed(r, df.schema) for r in checks):
+        # a few rows per check, wanted twice: to find their texts, and beside them
+        kind = {"check_id": "string", "key": "string", "hashed": "boolean", "n": "bigint", "distinct_values": "bigint", "failing_rows": "bigint"}
+        shown = local_frame(df.sparkSession, kind, [[r[c] for c in kind] for r in shown.select(*kind).collect()])
+    texts = _texts(df, checks, shown, top)
     if texts is None:
-        named = shown.withColumn("value", F.col("key"))
-    else:
-        named = shown.join(texts, ["check_id", "key"], "left").withColumn("value", F.when(F.col("hashed"), F.col("text")).otherwise(F.col("key")))
-    return named.join(F.broadcast(totals), "check_id").select(*FIELDS)  # a row per check
+        return shown.withColumnRenamed("key", "value").select(*FIELDS)
+    named = shown.join(texts, ["check_id", "key"], "left").withColumn("value", F.when(F.col("hashed"), F.col("text")).otherwise(F.col("key")))
+    return named.select(*FIELDS)
 
 
-def _best(offenders: DataFrame, top: int) -> DataFrame:
+def _best(offenders: DataFrame, top: int | None) -> DataFrame:
+    """The most frequent offenders of each check with the check's totals, all in the passes that rank them."""
     order = [F.desc("n"), F.asc("key")]
-    slices = Window.partitionBy("check_id", F.pmod(F.xxhash64("key"), F.lit(SLICES))).orderBy(*order)
-    first = offenders.withColumn("place", F.row_number().over(slices)).filter(F.col("place") <= top)
-    return first.withColumn("place", F.row_number().over(Window.partitionBy("check_id").orderBy(*order))).filter(F.col("place") <= top).drop("place")
+    slices = Window.partitionBy("check_id", F.pmod(F.xxhash64("key"), F.lit(SLICES)))
+    first = offenders.withColumn("place", F.row_number().over(slices.orderBy(*order)))
+    first = first.withColumn("values", F.count(F.lit(1)).over(slices)).withColumn("rows", F.sum("n").over(slices))
+    if top is not None:
+        first = first.filter(F.col("place") <= top)
+    whole = Window.partitionBy("check_id")
+    once = F.col("place") == 1  # a slice's totals count where its first value is
+    totals = first.withColumn("distinct_values", F.sum(F.when(once, F.col("values"))).over(whole)).withColumn("failing_rows", F.sum(F.when(once, F.col("rows"))).over(whole))
+    if top is not None:
+        totals = totals.withColumn("place", F.row_number().over(whole.orderBy(*order))).filter(F.col("place") <= top)
+    return totals.drop("place", "values", "rows")
 
 
 def _hashed(rule: Rule, schema: T.StructType) -> bool:

@@ -29,11 +29,14 @@ def frequency_table(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*keys).groupBy(*key_names(names)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataFrame:
-    """Verdicts of rules that share their columns and missing-value policy: one plan for all."""
+def frequency_verdicts(df: DataFrame, rules: Sequence[FrequencyRule], freq: DataFrame | None = None) -> DataFrame:
+    """Verdicts of rules that share their columns and missing-value policy: one plan for all.
+
+    ``freq`` is the columns' frequency table, if it is known already.
+    """
     names, policy = rules[0].columns, rules[0].ignore_row_if
     keys = [F.col(k) for k in key_names(names)]
-    freq = frequency_table(df, names)
+    freq = frequency_table(df, names) if freq is None else freq
     types = [df.schema[c].dataType for c in names]
     marks = {}
     for i, rule in enumerate(rules):

@@ -89,6 +89,17 @@ def _width(rules: Sequence[Rule]) -> int:
 
 
 def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    df, aggs, out = planned(df, rules)
+    return outcomes_of(df.agg(*aggs.columns()), out)
+
+
+def outcomes_of(seen: DataFrame, out: Sequence[Outcome]) -> DataFrame:
+    """Verdicts from the one row of aggregates."""
+    return rows(seen, [outcome(seen.schema) if callable(outcome) else outcome for outcome in out])
+
+
+def planned(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, _Aggregates, list[Outcome]]:
+    """The frame (with the sets the rules need joined to it), its aggregates, and what each rule makes of them."""
     schema, aggs = df.schema, _Aggregates()
     total = aggs.add("rows", lambda: F.count(F.lit(1)))
     out, marks = [], {}
@@ -105,8 +116,7 @@ def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             out.append(_row_verdict(rule, i, schema, aggs, total))
         else:
             out.append(_aggregate_verdict(rule, schema, aggs, total))
-    seen = df.agg(*aggs.columns())
-    return rows(seen, [outcome(seen.schema) if callable(outcome) else outcome for outcome in out])
+    return df, aggs, out
 
 
 def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:

@@ -48,14 +48,25 @@ def quantiles_of(sketch: Column, probabilities: Sequence[float]) -> Column:
     return F.when(sketch.isNotNull(), F.kll_sketch_get_quantile_double(sketch, steps))
 
 
-def sketch_verdicts(df: DataFrame, rules: Sequence[QuantileRule]) -> DataFrame:
-    """Approximate quantile rules: one scan, one sketch per column for all its rules."""
+def wanted_columns(rules: Sequence[QuantileRule]) -> tuple[list[str], dict[str, Column], dict[str, Column]]:
+    """The rules' columns, what to count, and what to sketch of each."""
     names = list(dict.fromkeys(r.columns[0] for r in rules))
     values = {n: C.column(n).cast("double") for n in names}
     counts = {"rows": F.count(F.lit(1)), **{f"n{i}": F.count(C.column(n)) for i, n in enumerate(names)}}
     # a sketch leaves NaN out; as it sorts above everything, let it count as infinity
     ordered = {f"s{i}": F.when(F.isnan(values[n]), F.lit(float("inf"))).otherwise(values[n]) for i, n in enumerate(names)}
-    seen = sketch_and_count(df, counts, ordered, ANSWER_SIZE)
+    return names, counts, ordered
+
+
+def sketch_verdicts(df: DataFrame, rules: Sequence[QuantileRule]) -> DataFrame:
+    """Approximate quantile rules: one scan, one sketch per column for all its rules."""
+    names, counts, ordered = wanted_columns(rules)
+    return sketched_verdicts(sketch_and_count(df, counts, ordered, ANSWER_SIZE), rules)
+
+
+def sketched_verdicts(seen: DataFrame, rules: Sequence[QuantileRule]) -> DataFrame:
+    """The rules' verdicts from the one row of counts and sketches."""
+    names, counts, _ = wanted_columns(rules)
     asked = {n: sorted({p for r in rules if r.columns[0] == n for p in r.probabilities}) for n in names}
     found = seen.select(
         *counts, *[quantiles_of(F.col(f"s{i}"), asked[n]).alias(f"q{i}") for i, n in enumerate(names)]

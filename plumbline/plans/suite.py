@@ -11,7 +11,8 @@ in a very large set          its checks
 uniqueness, few repeats      a counting filter: two jobs, see ``operators.uniqueness``
 exact quantiles              two or more small jobs, see ``operators.quantiles``
 schema                       no job
-SQL constraints              as written, one count each
+SQL constraints              filters of the table: one scan for all; others as
+                             written, one count each
 ===========================  ==================================================
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.local import local_frame
-from plumbline.operators.constraints import constraint_verdict
+from plumbline.operators.constraints import constraint_verdicts
 from plumbline.operators.evidence import TOP, failing_values
 from plumbline.operators.frequency import frequency_verdicts
 from plumbline.operators.fused import fused_verdicts
@@ -109,7 +110,7 @@ class Suite:
         for rule in frequency:
             shared.setdefault((rule.columns, rule.ignore_row_if), []).append(rule)
         parts += [(unique_verdicts if filtered(df, group) else frequency_verdicts)(df, group) for group in shared.values()]
-        parts += [constraint_verdict(df, rule) for rule in constraints]
+        parts += constraint_verdicts(df, constraints)
         if not parts:
             return local_rows(df.sparkSession, [])
         out = parts[0]

@@ -45,6 +45,30 @@ def latest_slice(df: DataFrame, column: str) -> DataFrame:
     return df.filter(C.column(column) == newest)
 
 
+def newest_value(spark: SparkSession, path: str, column: str) -> object:
+    """The greatest value of a column of a Parquet table; None without any.
+
+    Of whole numbers, floating-point numbers and dates it is read from the files' footers, in tasks and without a
+    data page, and of a partition column from the folders' names; other columns are scanned.
+    """
+    statistics = spark.newSession()  # the same engine, with settings of its own
+    statistics.conf.set("spark.sql.sources.useV1SourceList", "")
+    statistics.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    frame = statistics.read.parquet(path)
+    return frame.agg(F.max(C.column(column)).cast("string").alias("newest")).first()["newest"]
+
+
+def newest_slice(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Rows of the newest value of a column of a Parquet table, like ``latest_slice``.
+
+    The value is found here and once, from what the files say of themselves, however many plans a suite makes of the
+    slice; each of them has it as a literal, which prunes partitions and row groups when it is planned.
+    """
+    df = spark.read.parquet(path)
+    newest = newest_value(spark, path, column)
+    return df.limit(0) if newest is None else df.filter(C.column(column) == F.lit(newest).cast(df.schema[column].dataType))
+
+
 def today_slice(df: DataFrame, column: str, today: datetime.date | None = None) -> DataFrame:
     """Rows of the current date; the column is a date, a timestamp, a ``yyyymmdd`` integer, or text in that
     spelling or as ``yyyy-mm-dd``. Always a predicate on the bare column, so that partitions prune."""
