@@ -20,6 +20,10 @@ from plumbline.operators.verdict import local_rows
 from plumbline.rules import ConstraintRule
 
 
+#: What Spark calls a subquery that has no name.
+UNNAMED = "__auto_generated_subquery_name"
+
+
 def constraint_verdicts(df: DataFrame, rules: Sequence[ConstraintRule]) -> list[DataFrame]:
     """A frame of one verdict per rule; filters of the table share a scan.
 
@@ -41,7 +45,7 @@ def filter_of(df: DataFrame, query: str) -> Column | None:
     """The condition of a query whose rows are those of the table that meet it; None for any other query.
 
     Columns chosen and computed by the query change nothing about how many rows there are, as long as no
-    condition refers to them.
+    condition refers to them. Conditions that name the table by an alias are left to the query itself.
     """
     if "{table}" not in query:
         return None
@@ -59,7 +63,9 @@ def filter_of(df: DataFrame, query: str) -> Column | None:
             plan = plan.children().apply(0)
         if not plan.desc().identifier().table() == view:
             return None
-        met = reduce(and_, [F.expr(t.replace(f"{view}.", "")) for t in tests], F.lit(True))
+        for name in (view, UNNAMED):  # names that occur nowhere else
+            tests = [t.replace(f"{name}.", "") for t in tests]
+        met = reduce(and_, [F.expr(t) for t in tests], F.lit(True))
         df.select(met)  # analysed here, not run
         return met
     except PySparkException:
