@@ -58,7 +58,11 @@ def filter_of(df: DataFrame, query: str) -> Column | None:
         while plan.nodeName() != "View":
             if plan.nodeName() == "Filter" and plan.condition().deterministic():
                 tests.append(plan.condition().sql())
-            elif plan.nodeName() != "SubqueryAlias" and not (plan.nodeName() == "Project" and not tests):
+            elif plan.nodeName() == "Project":
+                chosen = plan.projectList()
+                if tests and any(chosen.apply(i).nodeName() != "AttributeReference" for i in range(chosen.size())):
+                    return None  # a condition above may refer to what is computed here
+            elif plan.nodeName() != "SubqueryAlias":
                 return None
             plan = plan.children().apply(0)
         if not plan.desc().identifier().table() == view:
