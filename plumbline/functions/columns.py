@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import add, and_, or_
@@ -115,6 +116,38 @@ def in_range(c: Column, dtype: T.DataType, low: object = None, high: object = No
     return reduce(and_, tests)
 
 
+def number_sql(value: object) -> str | None:
+    """A number as a SQL literal; None for what is better handed over as a column."""
+    if isinstance(value, bool) or not isinstance(value, (int, float)):
+        return None
+    if isinstance(value, int):
+        return f"{value}" if abs(value) < 2**31 else f"{value}L" if abs(value) < 2**63 else None
+    return f"{value!r}D" if math.isfinite(value) else None
+
+
+def range_sql(c: str, dtype: T.DataType, low: object = None, high: object = None) -> str | None:
+    """``in_range`` as SQL text, for numbers and plain bounds."""
+    if not is_numeric(dtype):
+        return None
+    if isinstance(dtype, T.IntegralType):
+        low, high = (f(b) if _is_fraction(b) else b for f, b in ((math.ceil, low), (math.floor, high)))
+    bounds = [(sign, number_sql(b)) for sign, b in ((">=", low), ("<=", high)) if b is not None]
+    if any(b is None for _, b in bounds):
+        return None
+    return " AND ".join([f"{c} {sign} {b}" for sign, b in bounds] + ([f"NOT isnan({c})"] if is_float(dtype) else []))
+
+
+def values_sql(c: str, dtype: T.DataType, values: Sequence[object]) -> str | None:
+    """``in_values`` as SQL text, for whole numbers and plain texts."""
+    if isinstance(dtype, T.StringType) and all(isinstance(v, str) and re.fullmatch(r"[\w .,:-]*", v, re.ASCII) for v in values):
+        shown = [f"'{v}'" for v in values]
+    elif isinstance(dtype, T.IntegralType) and all(isinstance(v, int) and number_sql(v) for v in values):
+        shown = [number_sql(v) for v in values]
+    else:
+        return None
+    return f"{c} IN ({', '.join(shown)})" if shown else None
+
+
 def _is_fraction(value: object) -> bool:
     return isinstance(value, (float, decimal.Decimal)) and math.isfinite(value)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
-from plumbline.operators.verdict import judged, local_rows, rows
+from plumbline.operators.verdict import judged, local_rows, rows, text_sql
 from plumbline.rules import Rule
 
 
@@ -118,7 +118,7 @@ def compare_aggregates(
         a_type, b_type = both.schema[f"l{i}"].dataType, both.schema[f"r{i}"].dataType
         why = C.incomparable([f"left {name}", f"right {name}"], [a_type, b_type])
         if why:
-            out.append(judged(rule, F.lit(False), observed_text=F.lit(why)))
+            out.append(judged(rule, "false", observed_text=text_sql(why)))
         else:
             near, gap = _near(a, b, a_type, b_type, tolerance)
             out.append(judged(rule, near, observed_num=gap))

@@ -18,6 +18,8 @@ from plumbline.rules import FrequencyRule, RowRule, Rule
 TOP = 20
 # the ranking of one check is begun in this many places
 SLICES = 64
+# texts of so many bytes are kept beside their hash
+SHORT = 64
 
 FIELDS = {"check_id": "string", "value": "string", "n": "bigint", "distinct_values": "bigint", "failing_rows": "bigint"}
 
@@ -27,7 +29,7 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int | None = TOP)
     check, ties in the order of the values (of their hashes for texts), and the totals of the check.
 
     All row rules share one scan, and rules on one column share its frequency table. Offenders are
-    counted before any ranking; texts are counted by a 128-bit hash, and only the texts that are
+    counted before any ranking; texts are counted by a 128-bit hash, and only the long texts that are
     shown are read again (they are chosen here, the rest is lazy). The ranking is cut to ``top`` per slice before the slices
     meet, and carries the totals along.
     """
@@ -45,15 +47,18 @@ def failing_values(df: DataFrame, rules: Sequence[Rule], top: int | None = TOP)
         offenders = offenders.unionByName(part)
     shown = _best(offenders, top)
     checks = [*row_rules, *(r for group in shared.values() for r in group)]
-    if top is not None and any(_hashed(r, df.schema) for r in checks):
+    if not any(_hashed(r, df.schema) for r in checks):
+        return shown.withColumnRenamed("key", "value").select(*FIELDS)
+    if top is not None:
         # a few rows per check, wanted twice: to find their texts, and beside them
-        kind = {"check_id": "string", "key": "string", "hashed": "boolean", "n": "bigint", "distinct_values": "bigint", "failing_rows": "bigint"}
-        shown = local_frame(df.sparkSession, kind, [[r[c] for c in kind] for r in shown.select(*kind).collect()])
+        kind = {"check_id": "string", "key": "string", "hashed": "boolean", "short": "string", "n": "bigint", "distinct_values": "bigint", "failing_rows": "bigint"}
+        known = [[r[c] for c in kind] for r in shown.select(*kind).collect()]
+        shown = local_frame(df.sparkSession, kind, known)
+        if all(not hashed or short is not None for _, _, hashed, short, *_ in known):
+            return shown.withColumn("value", F.when(F.col("hashed"), F.col("short")).otherwise(F.col("key"))).select(*FIELDS)
     texts = _texts(df, checks, shown, top)
-    if texts is None:
-        return shown.withColumnRenamed("key", "value").select(*FIELDS)
-    named = shown.join(texts, ["check_id", "key"], "left").withColumn("value", F.when(F.col("hashed"), F.col("text")).otherwise(F.col("key")))
-    return named.select(*FIELDS)
+    named = shown.join(texts, ["check_id", "key"], "left")
+    return named.withColumn("value", F.when(F.col("hashed"), F.coalesce("short", "text")).otherwise(F.col("key"))).select(*FIELDS)
 
 
 def _best(offenders: DataFrame, top: int | None) -> DataFrame:
@@ -80,6 +85,11 @@ def _key(text: Column, hashed: bool) -> Column:
     return F.md5(F.encode(text, "UTF-8")) if hashed else text
 
 
+def _short(text: Column, hashed: bool) -> Column:
+    """The text itself if it is short, which its hash decides like everything else about it."""
+    return F.when(F.octet_length(text) <= SHORT, text) if hashed else F.lit(None).cast("string")
+
+
 def _subject(rule: Rule) -> Column:
     return C.as_text([C.column(c) for c in rule.columns], rule.columns)
 
@@ -88,10 +98,11 @@ def _row_offenders(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     marks = []
     for rule in rules:
         hashed = _hashed(rule, df.schema)
-        mark = F.struct(F.lit(rule.check_id).alias("check_id"), _key(_subject(rule), hashed).alias("key"), F.lit(hashed).alias("hashed"))
+        text = _subject(rule)
+        mark = F.struct(F.lit(rule.check_id).alias("check_id"), _key(text, hashed).alias("key"), F.lit(hashed).alias("hashed"), _short(text, hashed).alias("short"))
         marks.append(F.when(failed(rule, df.schema), mark))
     hits = df.select(F.explode(F.array_compact(F.array(*marks))).alias("hit"))
-    return hits.groupBy("hit.check_id", "hit.key", "hit.hashed").agg(F.count(F.lit(1)).alias("n"))
+    return hits.groupBy("hit.check_id", "hit.key", "hit.hashed", "hit.short").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _offends(rule: FrequencyRule) -> bool:
@@ -104,7 +115,8 @@ def _frequency_offenders(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataF
     names, hashed = rules[0].columns, _hashed(rules[0], df.schema)
     if hashed and all(r.judge == "unique" for r in rules):
         kept = df.filter(~C.missing([C.column(c) for c in names], rules[0].ignore_row_if))
-        freq = kept.groupBy(_key(_subject(rules[0]), True).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        text = _subject(rules[0])
+        freq = kept.groupBy(_key(text, True).alias("key"), _short(text, True).alias("short")).agg(F.count(F.lit(1)).alias("n"))
     else:
         keys = [F.col(k) for k in key_names(names)]
         types = [df.schema[c].dataType for c in names]
@@ -112,12 +124,13 @@ def _frequency_offenders(df: DataFrame, rules: Sequence[FrequencyRule]) -> DataF
         for i, rule in enumerate(rules):
             if rule.judge != "unique":
                 freq = with_members(freq, rule, types, key_names(names), f"m{i}")
-        freq = freq.withColumn("key", _key(C.as_text(keys, names), hashed))
+        text = C.as_text(keys, names)
+        freq = freq.withColumn("key", _key(text, hashed)).withColumn("short", _short(text, hashed))
     marks = []
     for i, rule in enumerate(rules):
         bad = F.col("n") > 1 if rule.judge == "unique" else F.col(f"m{i}").isNotNull() if rule.judge == "rows_not_in_set" else F.col(f"m{i}").isNull()
         marks.append(F.when(bad, F.lit(rule.check_id)))
-    return freq.select(F.explode(F.array_compact(F.array(*marks))).alias("check_id"), "key", F.lit(hashed).alias("hashed"), "n")
+    return freq.select(F.explode(F.array_compact(F.array(*marks))).alias("check_id"), "key", F.lit(hashed).alias("hashed"), "short", "n")
 
 
 def _texts(df: DataFrame, rules: Sequence[Rule], shown: DataFrame, top: int | None) -> DataFrame | None:

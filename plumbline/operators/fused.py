@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions import columns as C
 from plumbline.operators.members import set_key, with_members
-from plumbline.operators.verdict import counted, judged, rows
+from plumbline.operators.verdict import Evidence, counted, judged, rows, text_sql
 from plumbline.rules import AggregateRule, FrequencyRule, Rule, RowRule
 
 # safely below spark.sql.codegen.maxFields
@@ -43,24 +43,28 @@ def failed(rule: RowRule, schema: T.StructType) -> Column:
 
 
 # evidence of one check, or how to make it once the aggregates' types are known
-Outcome = dict[str, Column] | Callable[[T.StructType], dict[str, Column]]
+Outcome = dict[str, Evidence] | Callable[[T.StructType], dict[str, Evidence]]
 
 
 class _Aggregates:
-    """Collects aggregate columns, each once, under short names."""
+    """Collects aggregates, SQL text or columns, each once, under short names."""
 
     def __init__(self) -> None:
-        self.named: dict[object, Column] = {}
+        self.named: dict[object, Evidence] = {}
         self.order: dict[object, str] = {}
 
-    def add(self, key: object, make) -> Column:
+    def add(self, key: object, make: Callable[[], Evidence]) -> str:
         if key not in self.order:
             self.order[key] = f"a{len(self.order)}"
-            self.named[key] = make().alias(self.order[key])
-        return F.col(self.order[key])
+            self.named[key] = make()
+        return self.order[key]
 
-    def columns(self) -> list[Column]:
-        return list(self.named.values())
+    def over(self, df: DataFrame) -> DataFrame:
+        """One row of all of them."""
+        texts = ", ".join(f"'{self.order[k]}', {v}" for k, v in self.named.items() if isinstance(v, str))
+        built = [v.alias(self.order[k]) for k, v in self.named.items() if not isinstance(v, str)]
+        one = df.agg(F.expr(f"named_struct({texts})").alias("texts"), *built)
+        return one.select("texts.*", *[self.order[k] for k, v in self.named.items() if not isinstance(v, str)])
 
 
 def fused_verdicts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -90,7 +94,7 @@ def _width(rules: Sequence[Rule]) -> int:
 
 def _one_aggregate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     df, aggs, out = planned(df, rules)
-    return outcomes_of(df.agg(*aggs.columns()), out)
+    return outcomes_of(aggs.over(df), out)
 
 
 def outcomes_of(seen: DataFrame, out: Sequence[Outcome]) -> DataFrame:
@@ -101,7 +105,7 @@ def outcomes_of(seen: DataFrame, out: Sequence[Outcome]) -> DataFrame:
 def planned(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, _Aggregates, list[Outcome]]:
     """The frame (with the sets the rules need joined to it), its aggregates, and what each rule makes of them."""
     schema, aggs = df.schema, _Aggregates()
-    total = aggs.add("rows", lambda: F.count(F.lit(1)))
+    total = aggs.add("rows", lambda: "count(1)")
     out, marks = [], {}
     for i, rule in enumerate(rules):
         if isinstance(rule, FrequencyRule):
@@ -119,48 +123,59 @@ def planned(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, _Aggregate
     return df, aggs, out
 
 
-def _nulls(name: str, aggs: _Aggregates, total: Column) -> Column:
-    return total - aggs.add(("present", name), lambda: F.count(C.column(name)))
+def _nulls(name: str, aggs: _Aggregates, total: str) -> str:
+    return f"({total} - {aggs.add(('present', name), lambda: f'count({C.quoted(name)})')})"
 
 
-def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: Column) -> dict:
-    bad = aggs.add(("failed", i), lambda: C.count_where(failed(rule, schema)))
+def _failures(rule: RowRule, schema: T.StructType) -> Evidence:
+    """How many rows break a row rule."""
+    if rule.text is not None:
+        holds = rule.text(C.quoted(rule.columns[0]), schema[rule.columns[0]].dataType)
+        if holds is not None:
+            return f"count(CASE WHEN NOT ({holds}) THEN 1 END)"
+    return C.count_where(failed(rule, schema))
+
+
+def _row_verdict(rule: RowRule, i: int, schema: T.StructType, aggs: _Aggregates, total: str) -> dict:
+    bad = aggs.add(("failed", i), lambda: _failures(rule, schema))
     if rule.subject_is_null:
-        return counted(rule, rule.mostly, total, F.lit(0), bad, missing=_nulls(rule.columns[0], aggs, total))
+        return counted(rule, rule.mostly, total, "0", bad, missing=_nulls(rule.columns[0], aggs, total))
     return counted(rule, rule.mostly, total, _ignored(rule, aggs, total), bad)
 
 
-def _ignored(rule: RowRule | FrequencyRule, aggs: _Aggregates, total: Column) -> Column:
+def _ignored(rule: RowRule | FrequencyRule, aggs: _Aggregates, total: str) -> str:
     if rule.ignore_row_if == "never":
-        return F.lit(0)
+        return "0"
     if len(rule.columns) == 1:
         return _nulls(rule.columns[0], aggs, total)
-    return total - aggs.add(("kept", rule.columns, rule.ignore_row_if), lambda: C.count_where(kept(rule)))
+    return f"({total} - {aggs.add(('kept', rule.columns, rule.ignore_row_if), lambda: C.count_where(kept(rule)))})"
 
 
-def _member_verdict(rule: FrequencyRule, mark: str, aggs: _Aggregates, total: Column) -> dict:
+def _member_verdict(rule: FrequencyRule, mark: str, aggs: _Aggregates, total: str) -> dict:
     inside = F.col(mark).isNotNull()
     wrong = inside if rule.judge == "rows_not_in_set" else ~inside
     bad = aggs.add(("wrong", mark, rule.judge, rule.ignore_row_if), lambda: C.count_where(kept(rule) & wrong))
     return counted(rule, rule.mostly, total, _ignored(rule, aggs, total), bad)
 
 
-def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggregates, total: Column) -> Outcome:
+def _passed(seen: str, dtype: T.DataType, rule: AggregateRule) -> Evidence:
+    return C.range_sql(seen, dtype, rule.low, rule.high) or C.in_range(F.col(seen), dtype, rule.low, rule.high)
+
+
+def _aggregate_verdict(rule: AggregateRule, schema: T.StructType, aggs: _Aggregates, total: str) -> Outcome:
     if rule.measure is None:
-        passed = C.in_range(total, T.LongType(), rule.low, rule.high)
-        return judged(rule, passed, element_count=total, observed_num=total)
+        return judged(rule, _passed(total, T.LongType(), rule), element_count=total, observed_num=total)
     name, dtype = rule.columns[0], schema[rule.columns[0]].dataType
-    seen = aggs.add((rule.kind, name), lambda: rule.measure(C.column(name), dtype))
+    measured = lambda: f"{rule.function}({C.quoted(name)})" if rule.function else rule.measure(C.column(name), dtype)
+    seen = aggs.add((rule.kind, name), measured)
     nulls = _nulls(name, aggs, total)
 
     def finish(types: T.StructType) -> dict:
-        seen_type = types[aggs.order[rule.kind, name]].dataType
-        shown = "observed_num" if C.is_numeric(seen_type) else "observed_text"
-        passed = C.in_range(seen, seen_type, rule.low, rule.high)
-        evidence = {shown: seen}
+        seen_type = types[seen].dataType
+        evidence = {"observed_num" if C.is_numeric(seen_type) else "observed_text": seen}
         if isinstance(seen_type, (T.IntegralType, T.DecimalType)):
             # all its digits; no number although there are values is an overflow
-            evidence["observed_text"] = F.when(seen.isNull() & (nulls < total), F.lit(OVERFLOW)).otherwise(seen.cast("string"))
-        return judged(rule, passed, element_count=total, missing_count=nulls, **evidence)
+            evidence["observed_text"] = f"CASE WHEN {seen} IS NULL AND {nulls} < {total} THEN {text_sql(OVERFLOW)} ELSE CAST({seen} AS STRING) END"
+        return judged(rule, _passed(seen, seen_type, rule), element_count=total, missing_count=nulls, **evidence)
 
     return finish

@@ -128,6 +128,7 @@ class _States:
         for key, name in aggs.order.items():
             kind, column = key if isinstance(key, tuple) and len(key) == 2 else (key, None)
             own = aggs.named[key]
+            own = F.expr(own) if isinstance(own, str) else own
             if kind == MEAN:
                 c, result = C.column(column), self.df.agg(own).schema[0].dataType
                 total = F.try_sum(c) if isinstance(result, T.DecimalType) else F.sum(c.cast("double"))
@@ -160,9 +161,9 @@ class _States:
             parts, (_, aggs, outcomes) = self._parts(rules), planned(self.df, rules)
             states = self._current(f"aggregates-{i}")
             if states is None:  # a table without rows has no slices
-                out.append(outcomes_of(self.df.limit(0).agg(*aggs.columns()), outcomes))
+                out.append(outcomes_of(aggs.over(self.df.limit(0)), outcomes))
             else:
-                wanted = self.df.agg(*aggs.columns()).schema
+                wanted = aggs.over(self.df).schema
                 merged = states.agg(*[merge.alias(name) for name, _, merge in parts])
                 out.append(outcomes_of(merged.select(*[F.col(f.name).cast(f.dataType) for f in wanted]), outcomes))
         if self.sketched:

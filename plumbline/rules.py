@@ -56,6 +56,7 @@ class RowRule(Rule):
     """A predicate every evaluated row should satisfy, up to the tolerance ``mostly``."""
 
     holds: Holds
+    text: Callable[[str, T.DataType], str | None] | None = None  # the same as SQL, for a quoted column; None where only columns will do
     mostly: float = 1.0
     ignore_row_if: str = "all_values_are_missing"
     subject_is_null: bool = False  # the null itself is what is judged: evaluate all rows
@@ -67,6 +68,7 @@ class AggregateRule(Rule):
     """One aggregate of a column (or the row count) inside an inclusive range."""
 
     measure: Callable[[Column, T.DataType], Column] | None = None  # None: the row count
+    function: str | None = None  # the measure's name, if it is an aggregate of the bare column
     low: object = None
     high: object = None
     apart: bool = False  # an aggregate that Spark cannot compile: keep it out of the others' pass
@@ -218,7 +220,7 @@ def _texts(patterns: Iterable[str]) -> tuple[str, ...]:
 def expect_column_values_to_be_null(column: str, mostly: float = 1.0, check_id: str | None = None) -> RowRule:
     return RowRule(
         kind="expect_column_values_to_be_null", columns=_columns(column), check_id=check_id,
-        holds=lambda c, t: c[0].isNull(), mostly=_mostly(mostly), ignore_row_if="never", subject_is_null=True,
+        holds=lambda c, t: c[0].isNull(), text=lambda c, t: f"{c} IS NULL", mostly=_mostly(mostly), ignore_row_if="never", subject_is_null=True,
     )
 
 
@@ -226,7 +228,7 @@ def expect_column_values_to_be_null(column: str, mostly: float = 1.0, check_id:
 def expect_column_values_to_not_be_null(column: str, mostly: float = 1.0, check_id: str | None = None) -> RowRule:
     return RowRule(
         kind="expect_column_values_to_not_be_null", columns=_columns(column), check_id=check_id,
-        holds=lambda c, t: c[0].isNotNull(), mostly=_mostly(mostly), ignore_row_if="never", subject_is_null=True,
+        holds=lambda c, t: c[0].isNotNull(), text=lambda c, t: f"{c} IS NOT NULL", mostly=_mostly(mostly), ignore_row_if="never", subject_is_null=True,
     )
 
 
@@ -238,6 +240,7 @@ def expect_column_values_to_be_between(
         kind="expect_column_values_to_be_between", columns=_columns(column), check_id=check_id,
         literals=_bounds(min_value, max_value), mostly=_mostly(mostly),
         holds=lambda c, t: C.in_range(c[0], t[0], min_value, max_value),
+        text=lambda c, t: C.range_sql(c, t, min_value, max_value),
     )
 
 
@@ -263,7 +266,7 @@ def expect_column_values_to_be_in_set(
         )
     return RowRule(
         kind=kind, columns=_columns(column), check_id=check_id, literals=members, mostly=_mostly(mostly),
-        holds=lambda c, t: C.in_values(c[0], t[0], members),
+        holds=lambda c, t: C.in_values(c[0], t[0], members), text=lambda c, t: C.values_sql(c, t, members),
     )
 
 
@@ -283,6 +286,7 @@ def expect_column_values_to_not_be_in_set(
     return RowRule(
         kind=kind, columns=_columns(column), check_id=check_id, literals=members, mostly=_mostly(mostly),
         holds=lambda c, t: ~C.in_values(c[0], t[0], members),
+        text=lambda c, t: f"NOT ({inside})" if (inside := C.values_sql(c, t, members)) else None,
     )
 
 
@@ -296,6 +300,7 @@ def expect_column_value_lengths_to_be_between(
         kind="expect_column_value_lengths_to_be_between", columns=_columns(column), check_id=check_id,
         mostly=_mostly(mostly),
         holds=lambda c, t: C.in_range(F.char_length(c[0].cast("string")), T.IntegerType(), min_value, max_value),
+        text=lambda c, t: C.range_sql(f"char_length(CAST({c} AS STRING))", T.IntegerType(), min_value, max_value),
     )
 
 
@@ -450,12 +455,12 @@ def expect_select_column_values_to_be_unique_within_record(
 # ---------------------------------------------------------------- aggregate rules
 
 
-def _aggregate(kind: str, column: str, low: object, high: object, check_id: str | None, measure, numeric=True):
+def _aggregate(kind: str, column: str, low: object, high: object, check_id: str | None, measure, numeric=True, function=None):
     """``numeric=False``: the aggregate keeps the column's type, so the bounds must fit that type."""
     bounds = _bounds(low, high)
     return AggregateRule(
         kind=kind, columns=_columns(column), check_id=check_id, literals=() if numeric else bounds, numeric=numeric,
-        measure=measure, low=low, high=high,
+        measure=measure, low=low, high=high, function=function,
     )
 
 
@@ -464,7 +469,7 @@ def expect_column_max_to_be_between(
     column: str, min_value: object = None, max_value: object = None, check_id: str | None = None
 ) -> AggregateRule:
     return _aggregate("expect_column_max_to_be_between", column, min_value, max_value, check_id,
-                      lambda c, t: F.max(c), numeric=False)
+                      lambda c, t: F.max(c), numeric=False, function="max")
 
 
 @recorded
@@ -472,7 +477,7 @@ def expect_column_min_to_be_between(
     column: str, min_value: object = None, max_value: object = None, check_id: str | None = None
 ) -> AggregateRule:
     return _aggregate("expect_column_min_to_be_between", column, min_value, max_value, check_id,
-                      lambda c, t: F.min(c), numeric=False)
+                      lambda c, t: F.min(c), numeric=False, function="min")
 
 
 @recorded
@@ -498,7 +503,7 @@ def expect_column_stdev_to_be_between(
 ) -> AggregateRule:
     """Sample standard deviation."""
     return _aggregate("expect_column_stdev_to_be_between", column, min_value, max_value, check_id,
-                      lambda c, t: F.stddev_samp(c))
+                      lambda c, t: F.stddev_samp(c), function="stddev_samp")
 
 
 @recorded
