@@ -339,6 +339,29 @@ def row_in_table_set(spark, sf_dir):
     )
 
 
+@query(
+    "row_in_filtered_set",
+    counts_sql(
+        "lineitem",
+        ("known", "l_suppkey IS NULL", "l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)", 0.5),
+        ("forbidden", "l_orderkey IS NULL", "l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 450000)", 0.8),
+    )
+    + "\nUNION ALL\n"
+    + counts_sql("documents", ("texts", "text IS NULL", "text NOT IN (SELECT text FROM documents WHERE doc_id % 7 = 3 AND text IS NOT NULL)", 0.5)),
+)
+def row_in_filtered_set(spark, sf_dir):
+    """Members that are a table, met through a bit map of them."""
+    within, without = pl.expect_column_values_to_be_in_set, pl.expect_column_values_to_not_be_in_set
+    solvent = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select("s_suppkey")
+    dear = table(spark, sf_dir, "orders").filter("o_totalprice > 450000").select("o_orderkey")
+    documents = table(spark, sf_dir, "documents")
+    return counts(
+        table(spark, sf_dir, "lineitem"),
+        within("l_suppkey", solvent, mostly=0.5, few_members=True, check_id="known"),
+        without("l_orderkey", dear, mostly=0.8, few_members=True, check_id="forbidden"),
+    ).unionByName(counts(documents, without("text", documents.filter("doc_id % 7 = 3").select("text"), mostly=0.5, few_members=True, check_id="texts")))
+
+
 #: Whole numbers around the first that a floating-point number cannot hold.
 WIDE_KEYS = "SELECT 9007199254740992 + l_linenumber AS k, CAST(9007199254740992 + l_linenumber AS DOUBLE) AS x, l_linenumber AS n FROM lineitem"
 

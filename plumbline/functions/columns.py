@@ -257,7 +257,7 @@ def common_form(c: Column, own: T.DataType, other: T.DataType) -> Column:
     if own == other or isinstance(own, T.IntegralType) and isinstance(other, T.IntegralType):
         return c if own == other else c.cast("bigint")
     if is_temporal(own) and is_temporal(other):
-        return c.cast("timestamp" if T.TimestampType() in (own, other) else "timestamp_ntz")
+        return c.cast(common_type(own, other))
     if not (is_numeric(own) and is_numeric(other)):
         return c
     if is_float(own) and is_float(other):
@@ -274,6 +274,11 @@ def common_form(c: Column, own: T.DataType, other: T.DataType) -> Column:
     return F.when(c.isNotNull(), F.struct(F.when(same, whole).alias("whole"), F.when(~same, c.cast("double")).alias("other")))
 
 
+def common_type(own: T.DataType, other: T.DataType) -> str:
+    """The type in which values of two types of dates and times meet."""
+    return "timestamp" if T.TimestampType() in (own, other) else "timestamp_ntz"
+
+
 def _digits(dtype: T.DataType) -> tuple[int, int]:
     if isinstance(dtype, T.DecimalType):
         return dtype.precision, dtype.scale

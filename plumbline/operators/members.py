@@ -64,12 +64,7 @@ def with_members(
     ``types`` are the types of those columns. Only pass ``broadcast`` for a rule that is ``broadcastable``.
     """
     if rule.relation is not None:
-        held, kind = F.col(C.quoted(rule.relation.columns[0])), rule.relation.schema[0].dataType
-        if C.is_numeric(types[0]) and kind != types[0]:
-            # as the column's type, and only what is the same number there
-            member = held.try_cast(types[0])
-            held = F.when(C.same_value(member, held, types[0], kind), member)
-        side = rule.relation.select(held.alias(f"{mark}_0")).dropna().distinct().withColumn(mark, F.lit(True))
+        side = members_of(rule, types[0]).select(F.col("member").alias(f"{mark}_0")).distinct().withColumn(mark, F.lit(True))
         return frame.join(side, C.column(names[0]) == F.col(f"{mark}_0"), "left").drop(f"{mark}_0")
     if not rule.weights and len(names) == 1 and len(rule.members) <= LITERAL_SET_LIMIT:
         hit = C.in_values(C.column(names[0]), types[0], [m[0] for m in rule.members])
@@ -86,6 +81,19 @@ def with_members(
     return frame.join(F.broadcast(side) if broadcast else side, match, "left").drop(*keys)
 
 
+def members_of(rule: FrequencyRule, dtype: T.DataType) -> DataFrame:
+    """(member): the table of members without nulls, as values of the column's type."""
+    held, kind = F.col(C.quoted(rule.relation.columns[0])), rule.relation.schema[0].dataType
+    if C.is_numeric(dtype) and kind != dtype:
+        # only what is the same number there
+        member = held.try_cast(dtype)
+        held = F.when(C.same_value(member, held, dtype, kind), member)
+    elif kind != dtype and C.is_temporal(dtype):
+        wide = C.common_form(held, kind, dtype)
+        held = F.when(wide.cast(dtype).cast(C.common_type(kind, dtype)) == wide, wide.cast(dtype))
+    return rule.relation.select(held.alias("member")).dropna()
+
+
 def _set_as_table(rule: FrequencyRule, types: Sequence[T.DataType]) -> pa.Table:
     """Columns k0, k1, .. (and the weights as q), each member once."""
     columns, kinds = [], []

@@ -9,6 +9,8 @@ approximate quantiles        one sketch per column, one scan for all of them
 frequency, key, membership   one frequency table per column (or key) for all of
 in a very large set          its checks
 uniqueness, few repeats      a counting filter: two jobs, see ``operators.uniqueness``
+membership in a large table, a bit map of the members at the scan, the
+few members                  frequency table of what passes
 exact quantiles              two or more small jobs, see ``operators.quantiles``
 schema                       no job
 SQL constraints              filters of the table: one scan for all; others as
@@ -33,6 +35,7 @@ from plumbline.operators.fused import fused_verdicts
 from plumbline.operators.members import broadcastable
 from plumbline.operators.quantiles import quantile_verdicts
 from plumbline.operators.schema import schema_verdicts
+from plumbline.operators.setfilter import filtered_sets, set_filter_verdicts
 from plumbline.operators.sketches import sketch_verdicts
 from plumbline.operators.uniqueness import filtered, unique_verdicts
 from plumbline.operators.verdict import local_rows
@@ -95,10 +98,12 @@ class Suite:
             df = staged(df, df.columns if constrained else [c for c in df.columns if c in read], stage if isinstance(stage, str) else None)
         exact = [r for r in rules if isinstance(r, QuantileRule) and not r.approx]
         joined = broadcastable([r for r in rules if isinstance(r, FrequencyRule)], df.schema)
-        frequency = [r for r in rules if isinstance(r, FrequencyRule) and r.check_id not in joined]
+        counted = [r for r in rules if isinstance(r, FrequencyRule) and r.check_id not in joined]
+        through_filter = filtered_sets(counted)
+        frequency = [r for r in counted if not (r.few_members and r.relation is not None)]
         constraints = [r for r in rules if isinstance(r, ConstraintRule)]
         sketched = [r for r in rules if isinstance(r, QuantileRule) and r.approx]
-        apart = {r.check_id for r in (*schema_rules, *exact, *sketched, *frequency, *constraints)}
+        apart = {r.check_id for r in (*schema_rules, *exact, *sketched, *counted, *constraints)}
         fused = [r for r in rules if r.check_id not in apart]
         if fused:
             parts.append(fused_verdicts(df, fused))
@@ -110,6 +115,7 @@ class Suite:
         for rule in frequency:
             shared.setdefault((rule.columns, rule.ignore_row_if), []).append(rule)
         parts += [(unique_verdicts if filtered(df, group) else frequency_verdicts)(df, group) for group in shared.values()]
+        parts += [set_filter_verdicts(df, rule) for rule in through_filter]
         parts += constraint_verdicts(df, constraints)
         if not parts:
             return local_rows(df.sparkSession, [])

@@ -105,6 +105,7 @@ class FrequencyRule(Rule):
     high: float | None = None
     mostly: float = 1.0
     ties_okay: bool = False
+    few_members: bool = False  # meet a large table of members through a filter, see operators.setfilter
     few_repeats: bool = False  # look for repeats with a counting filter, see operators.uniqueness
     ignore_row_if: str = "all_values_are_missing"
 
@@ -244,20 +245,26 @@ def expect_column_values_to_be_between(
     )
 
 
-def _table_rule(kind: str, judge: str, column: str, table: DataFrame, check_id: str | None, mostly: float) -> FrequencyRule:
+def _table_rule(
+    kind: str, judge: str, column: str, table: DataFrame, check_id: str | None, mostly: float, few_members: bool
+) -> FrequencyRule:
     """Membership in a table of one column, whose nulls are no members: joined to the column's frequency table."""
     if len(table.columns) != 1:
         raise ValueError(f"a table of members has one column, got {table.columns}")
-    return FrequencyRule(kind=kind, columns=_columns(column), check_id=check_id, judge=judge, relation=table, mostly=_mostly(mostly))
+    return FrequencyRule(
+        kind=kind, columns=_columns(column), check_id=check_id, judge=judge, relation=table, mostly=_mostly(mostly), few_members=few_members
+    )
 
 
 @recorded
 def expect_column_values_to_be_in_set(
-    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, check_id: str | None = None
+    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, few_members: bool = False, check_id: str | None = None
 ) -> Rule:
+    """``few_members``: the set is a large table, and few rows are believed to be in it. A filter then tells most rows
+    from members where they are read; the verdict is the same."""
     kind = "expect_column_values_to_be_in_set"
     if isinstance(value_set, DataFrame):
-        return _table_rule(kind, "rows_in_set", column, value_set, check_id, mostly)
+        return _table_rule(kind, "rows_in_set", column, value_set, check_id, mostly, few_members)
     members = _members(value_set)
     if len(members) > LITERAL_SET_LIMIT:
         return FrequencyRule(
@@ -272,11 +279,12 @@ def expect_column_values_to_be_in_set(
 
 @recorded
 def expect_column_values_to_not_be_in_set(
-    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, check_id: str | None = None
+    column: str, value_set: Iterable[object] | DataFrame, mostly: float = 1.0, few_members: bool = False, check_id: str | None = None
 ) -> Rule:
+    """``few_members`` as for ``expect_column_values_to_be_in_set``."""
     kind = "expect_column_values_to_not_be_in_set"
     if isinstance(value_set, DataFrame):
-        return _table_rule(kind, "rows_not_in_set", column, value_set, check_id, mostly)
+        return _table_rule(kind, "rows_not_in_set", column, value_set, check_id, mostly, few_members)
     members = _members(value_set)
     if len(members) > LITERAL_SET_LIMIT:
         return FrequencyRule(
