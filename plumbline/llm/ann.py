@@ -10,8 +10,7 @@ Inner products become distances by one more component, which gives all vectors t
 longest. Equal vectors are one vertex that carries all their ids, so copies do not crowd a graph.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, vectors
-without id, and vectors of another length than the most frequent one (the longer of equals) take no
-part; rows that repeat an id count once, with the smallest vector; ties go to the smaller id; extra
+without id take no part; vectors of different lengths are searched apart, each length in shards of its own; rows that repeat an id count once, with the smallest vector; ties go to the smaller id; extra
 columns are ignored; an empty table gives an empty table.
 """
 
@@ -24,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions.local import local_frame
 from plumbline.llm.store import written
 
 #: Vectors of a shard, and bytes of their components; queries that search a shard together.
@@ -156,12 +156,16 @@ def _matrix(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
-INDEX = "shard int, offsets binary, ids binary, vectors binary, graph binary, entry binary"
+INDEX = "shard int, size int, offsets binary, ids binary, vectors binary, graph binary, entry binary"
 
 
-def _index(size: int, longest: float):
+def _index(lengths: dict[int, float]):
+    """``lengths`` has the length of the longest vector by the number of its components."""
+
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("vec_id").to_numpy()
+        size = len(table.column("embedding")[0])
+        longest = lengths[size]
         x = _matrix(table.column("embedding"), size) + 0.0
         # equal vectors are one vertex; its ids in ascending order
         by = np.argsort(ids, kind="stable")
@@ -173,31 +177,42 @@ def _index(size: int, longest: float):
         graph, entry = build(lengthened(x, longest))
         arrays = [a.tobytes() for a in (offsets, ids[owned], x, graph, entry)]
         shard = table.column("shard")[0].as_py()
-        return pa.table([pa.array([shard], pa.int32())] + [pa.array([a], pa.binary()) for a in arrays], names=["shard", "offsets", "ids", "vectors", "graph", "entry"])
+        return pa.table(
+            [pa.array([shard], pa.int32()), pa.array([size], pa.int32())] + [pa.array([a], pa.binary()) for a in arrays],
+            names=["shard", "size", "offsets", "ids", "vectors", "graph", "entry"],
+        )
 
     return run
 
 
-def index(vectors: DataFrame, shard: int = SHARD) -> tuple[DataFrame, DataFrame, int]:
-    """(graphs, the vectors that take part, their length): one row per shard, every vector in one of them."""
+def index(vectors: DataFrame, shard: int = SHARD) -> tuple[DataFrame, DataFrame, list[tuple[int, int, int]]]:
+    """(graphs, the vectors that take part, and for each number of components its first shard and how many it has).
+
+    One row per shard, every vector in one of them.
+    """
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter(fine).dropna()
     kept = written(rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
-    sizes = kept.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)).alias("square"))
-    common = sizes.orderBy(F.desc("n"), F.desc("size")).first()
-    size, n, longest = (common["size"], common["n"], float(np.sqrt(common["square"]))) if common else (1, 0, 1.0)
-    kept = kept.filter(F.size("embedding") == size)
-    shards = max(1, -(-n // max(64, min(shard, SHARD_BYTES // (8 * size)))))
-    dealt = kept.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    graphs = dealt.groupBy("shard").applyInArrow(_index(size, longest * (1 + 1e-9)), INDEX)
-    return written(graphs, "graphs"), kept, size
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
+    sizes = kept.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square")).orderBy("size").collect()  # a row per length
+    lengths, plan, first = {}, [], 0
+    for row in sizes:
+        lengths[row["size"]] = float(np.sqrt(row["square"])) * (1 + 1e-9)
+        shards = max(1, -(-row["n"] // max(64, min(shard, SHARD_BYTES // (8 * row["size"])))))
+        plan.append((row["size"], first, shards))
+        first += shards
+    held = local_frame(kept.sparkSession, {"size": "bigint", "first": "bigint", "shards": "bigint"}, plan)
+    dealt = kept.withColumn("size", F.size("embedding").cast("bigint")).join(F.broadcast(held), "size")
+    dealt = dealt.select("vec_id", "embedding", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("shards"))).cast("int").alias("shard"))
+    return written(dealt.groupBy("shard").applyInArrow(_index(lengths), INDEX), "graphs"), kept, plan
 
 
-def _search(size: int, k: int, beam: int):
+def _search(k: int, beam: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 held = {c: batch.column(c)[row].as_buffer() for c in ("offsets", "ids", "vectors", "graph", "entry")}
+                size = batch.column("size")[row].as_py()
                 offsets, ids = (np.frombuffer(held[c], np.int64) for c in ("offsets", "ids"))
                 x = np.frombuffer(held["vectors"], np.float64).reshape(-1, size)
                 graph = np.frombuffer(held["graph"], np.int32).reshape(-1, DEGREE)
@@ -231,14 +246,16 @@ def _search(size: int, k: int, beam: int):
 
 def nearest(vectors: DataFrame, of, k: int = 20, beam: int = BEAM) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the k nearest found of every vector for which the condition ``of`` holds."""
-    graphs, kept, size = index(vectors)
-    asked = kept.filter(of)
+    graphs, kept, plan = index(vectors)
+    asked = kept.filter(of).withColumn("size", F.size("embedding"))
     blocks = max(1, -(-asked.count() // QUERIES))
-    shards = graphs.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0] + 1
-    packed = asked.groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
-    everywhere = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    # each block of queries meets each shard once
+    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")
+    packed = asked.groupBy("size", block).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
+    shards = local_frame(kept.sparkSession, {"length": "bigint", "first": "bigint", "shards": "bigint"}, plan)
+    last = F.col("first") + F.col("shards") - 1
+    everywhere = packed.join(F.broadcast(shards), F.col("size") == F.col("length")).select("block", "queries", F.explode(F.sequence(F.col("first").cast("int"), last.cast("int"))).alias("shard"))
+    # each block of queries meets each shard of its length once
     met = everywhere.join(graphs, "shard").repartition(F.col("shard"), F.col("block"))
-    found = met.mapInArrow(_search(size, k, beam), "query_id bigint, vec_id bigint, score double")
+    found = met.mapInArrow(_search(k, beam), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

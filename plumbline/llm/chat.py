@@ -6,7 +6,8 @@ declarative mapping to canonical turns (``array<struct<role, text>>``).
 Defined results: a null role or text is an empty string; turns of one conversation are ordered by
 turn, then role, then text (nulls first), so ties and repeated rows have one order; rows with a
 null conversation id form one conversation; columns that no layout names are ignored; a record
-that fits no layout has a null layout and no turns. An empty table gives an empty table.
+that fits no layout, or has no messages, is kept as one row without turn (its layout null, if it fits none), and becomes
+a conversation without text. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ class Layout(NamedTuple):
     name: str
     paths: tuple[str, ...]
     turns: str
+    turn: str | None = None  # where the number of its turn is, of a layout of single turns
 
 
 #: Layouts of single records, most specific first where one contains another.
@@ -49,14 +51,15 @@ LAYOUTS = (
         "array(struct('system' AS role, system AS text), struct('user' AS role, prompt AS text), struct('assistant' AS role, response AS text))",
     ),
     Layout("prompt", ("prompt", "response"), "array(struct('user' AS role, prompt AS text), struct('assistant' AS role, response AS text))"),
+    Layout("turn", ("role", "text", "turn"), "array(struct(CAST(role AS STRING) AS role, CAST(text AS STRING) AS text))", "turn"),
 )
-#: A table with one row per turn.
-ROWS = ("conv_id", "role", "text", "turn")
 #: All fields the layouts name, as a schema to parse JSON records with.
 RECORD = (
     "conv_id bigint, messages array<struct<role:string,content:string>>, conversations array<struct<`from`:string,value:string>>, "
-    "instruction string, input string, output string, system string, prompt string, response string"
+    "instruction string, input string, output string, system string, prompt string, response string, turn bigint, role string, text string"
 )
+#: The same arrays with whatever fields their elements have.
+ARRAYS = "messages array<map<string,string>>, conversations array<map<string,string>>"
 KNOWN = tuple(sorted({p for layout in LAYOUTS for p in layout.paths}))
 
 
@@ -76,12 +79,16 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
 
 
 def record_paths(json: Column) -> Column:
-    """The known field paths that a JSON record has, sorted; an array is judged by its first element."""
+    """The known field paths that a JSON record has, sorted; an array has those of all its elements."""
+    held = F.from_json(json, ARRAYS)
     found = []
     for path in KNOWN:
         top, _, inner = path.partition("[].")
-        holder = F.get_json_object(json, f"$.{top}[0]") if inner else json
-        found.append(F.when(F.array_contains(F.json_object_keys(holder), inner or top), F.lit(path)))
+        if inner:
+            there = F.exists(held[top], lambda m: F.array_contains(F.map_keys(m), inner))
+        else:
+            there = F.array_contains(F.json_object_keys(json), top)
+        found.append(F.when(there, F.lit(path)))
     return F.array_compact(F.array(*found))
 
 
@@ -93,29 +100,36 @@ def layout_of(paths: Column) -> Column:
     return F.coalesce(*exact, *wide)
 
 
+def _exploded(rows: DataFrame, turns: Column, turn: Column) -> DataFrame:
+    """A row per turn; a record without any keeps a row of its own. ``turn`` is null where turns are numbered by their place."""
+    numbered = rows.select(F.col("conv_id").cast("bigint").alias("conv_id"), "layout", turn.cast("bigint").alias("own"), F.posexplode_outer(turns).alias("place", "t"))
+    return numbered.select("conv_id", F.coalesce("own", F.col("place").cast("bigint")).alias("turn"), "t.role", "t.text", "layout", F.col("t").isNotNull().alias("is_turn"))
+
+
 def turns_of_json(records: DataFrame, json: str = "json") -> DataFrame:
-    """Rows (conv_id, turn, role, text) of JSON records, each by the layout its own fields select."""
+    """Rows (conv_id, turn, role, text, layout, is_turn) of JSON records, each by the layout its own fields select."""
     parsed = records.select(F.from_json(json, RECORD).alias("r"), layout_of(record_paths(F.col(json))).alias("layout")).select("r.*", "layout")
-    turns = F.lit(None).cast(TURNS)
+    turns, turn = F.lit(None).cast(TURNS), F.lit(None)
     for layout in LAYOUTS:
-        turns = F.when(F.col("layout") == layout.name, F.expr(layout.turns).cast(TURNS)).otherwise(turns)
-    return parsed.select("conv_id", F.posexplode(turns).alias("turn", "t")).select(
-        "conv_id", F.col("turn").cast("bigint").alias("turn"), "t.role", "t.text"
-    )
+        own = F.col("layout") == layout.name
+        turns = F.when(own, F.expr(layout.turns).cast(TURNS)).otherwise(turns)
+        turn = turn if layout.turn is None else F.when(own, F.col(layout.turn)).otherwise(turn)
+    return _exploded(parsed, turns, turn)
 
 
 def turns_of_table(df: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) of a typed table; its schema's fingerprint selects the mapping."""
+    """Rows (conv_id, turn, role, text, layout, is_turn) of a typed table; its schema's fingerprint selects the mapping."""
     paths = schema_paths(df.schema)
-    if set(ROWS) <= set(paths):
-        return df.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
     known = sorted(set(paths) & set(KNOWN))
     by_hash = {fingerprint(x.paths): x for x in LAYOUTS}
     layout = by_hash.get(fingerprint(known)) or next((x for x in LAYOUTS if set(x.paths) <= set(known)), None)
-    if layout is None:
+    if layout is None or "conv_id" not in paths:
         raise ValueError(f"no layout has the fields {', '.join(paths)}")
-    turns = df.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.posexplode(F.expr(layout.turns).cast(TURNS)).alias("turn", "t"))
-    return turns.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "t.role", "t.text")
+    named = df.withColumn("layout", F.lit(layout.name))
+    if layout.turn is not None:  # a row is a turn already
+        columns = [F.col(layout.turn).cast("bigint").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")]
+        return named.select(F.col("conv_id").cast("bigint").alias("conv_id"), *columns, "layout", F.lit(True).alias("is_turn"))
+    return _exploded(named, F.expr(layout.turns).cast(TURNS), F.lit(None))
 
 
 # ------------------------------------------------------------------ template
@@ -146,16 +160,18 @@ def format_turns(turns: DataFrame, trained: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_spans.
 
     ``loss_spans`` are (start, bytes) of the escaped texts of the trained role, in bytes of the
-    UTF-8 form. The text of a conversation is one value by definition, so the rows of one
+    UTF-8 form. Rows whose ``is_turn`` is false (if there is such a column) are no turns. The text of a conversation is one value by definition, so the rows of one
     conversation meet in one task; positions come from a running sum, which spills.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(HEAD), escape(role), F.lit(COLON))
+    there = F.col("is_turn") if "is_turn" in turns.columns else F.lit(True)
     rows = turns.select(
-        "conv_id", "turn", F.col("role").alias("said_by"), F.col("text").alias("said"), head.alias("head"), escape(text).alias("body"), (role == trained).alias("trained")
-    )
+        "conv_id", "turn", F.col("role").alias("said_by"), F.col("text").alias("said"), head.alias("head"), escape(text).alias("body"),
+        (role == trained).alias("trained"), there.alias("there"),
+    )
     piece = F.concat("head", "body", F.lit(END))
-    before = "sum(octet_length(head) + octet_length(body) + {}) OVER (PARTITION BY conv_id ORDER BY turn, said_by, said ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
+    before = "sum(IF(there, octet_length(head) + octet_length(body) + {}, 0)) OVER (PARTITION BY conv_id ORDER BY turn, said_by, said ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
     placed = rows.select(
         "conv_id",
         piece.alias("piece"),
@@ -163,8 +179,9 @@ def format_turns(turns: DataFrame, trained: str = "assistant") -> DataFrame:
         (F.expr(before.format(len(END), "CURRENT ROW")) - len(END) - F.octet_length("body")).alias("start"),
         F.octet_length("body").cast("bigint").alias("bytes"),
         "trained",
+        "there",
     )
-    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("n", "piece", "start", "bytes", "trained"))).alias("p"))
+    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.when(F.col("there"), F.struct("n", "piece", "start", "bytes", "trained")))).alias("p"))
     return whole.select(
         "conv_id",
         F.array_join(F.transform("p", lambda x: x.piece), "").alias("formatted"),

@@ -67,6 +67,33 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(frame(spark, x[:1]), F.lit(True)).collect() == []
 
 
+def test_lengths_are_searched_apart(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 100)
+    rng = np.random.default_rng(4)
+    x = [rng.normal(size=8 if k % 3 else 5).astype(np.float32).tolist() for k in range(600)]
+    x[40] = [1.0]
+    df = frame(spark, x)
+    _, kept, plan = ann.index(df, 100)
+    assert kept.count() == 600 and [(size, shards) for size, _, shards in plan] == [(1, 1), (5, 2), (8, 4)] and [first for _, first, _ in plan] == [0, 1, 3]
+    got = results(ann.nearest(df, F.col("vec_id") % 20 == 0))
+    want = {}
+    for size in (5, 8):
+        ids = [i for i, v in enumerate(x) if len(v) == size]
+        want |= brute(ids, np.array([x[i] for i in ids]), [i for i in ids if i % 20 == 0])
+    assert got.keys() == want.keys() and recall(got, want) > 0.97  # alone of its length, a vector has no neighbours
+
+
+def test_large_groups_of_near_copies_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 250)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 16))
+    x[:400] = x[0] + 0.01 * rng.normal(size=(400, 16))
+    x[400:430] = x[400]
+    x = x.astype(np.float32).astype(float)
+    got = results(ann.nearest(frame(spark, x), F.col("vec_id") % 20 == 0))
+    assert recall(got, brute(range(1200), x, range(0, 1200, 20))) >= 0.9
+
+
 def test_graph_keeps_its_degree_and_reaches_all():
     rng = np.random.default_rng(2)
     base = ann.lengthened(rng.normal(size=(900, 16)), 10.0)

@@ -44,21 +44,40 @@ def test_layouts_of_json_records(spark):
         {"conv_id": 5, "prompt": "q", "response": "a"},
         {"conv_id": 6, "prompt": "q", "response": "a", "system": "s"},
         {"conv_id": 7, "other": 1},
+        {"conv_id": 8, "messages": [{"role": "system"}, {"role": "user", "content": "q"}]},
+        {"conv_id": 9, "messages": []},
+        {"conv_id": 10, "turn": 1, "role": "assistant", "text": "a"},
+        {"conv_id": 10, "turn": 0, "role": "user", "text": "q"},
     ]
     df = spark.createDataFrame([(json.dumps(r),) for r in records] + [("not json",), (None,)], "json string")
     got = {}
     for r in chat.turns_of_json(df).orderBy("conv_id", "turn").collect():
-        got.setdefault(r.conv_id, []).append((r.role, r.text))
+        got.setdefault(r.conv_id, []).append((r.role, r.text) if r.is_turn else r.layout)
     two = [("user", "q"), ("assistant", "a")]
-    assert got == {1: two, 2: two, 3: two, 4: [("user", "q\n\nmore"), two[1]], 5: two, 6: [("system", "s"), *two]}
+    assert got == {
+        1: two, 2: two, 3: two, 4: [("user", "q\n\nmore"), two[1]], 5: two, 6: [("system", "s"), *two], 7: [None], 8: [("system", None), ("user", "q")], 9: [None], 10: two, None: [None, None],
+    }
+    out = read(chat.format_turns(chat.turns_of_json(df)))
+    assert [(t.role, t.text) for t in out[8].turns] == [("system", ""), ("user", "q")] and out[10].loss == "a"
+    assert all(out[k].formatted == "" and out[k].turns == [] and out[k].loss_spans == [] for k in (7, 9, None))
+
+
+def test_records_without_turns_do_not_move_spans(spark):
+    df = spark.createDataFrame([('{"conv_id": 1, "x": 1}',), ('{"conv_id": 1, "prompt": "q", "response": "aa"}',), ('{"conv_id": 1, "messages": []}',)], "json string")
+    got = read(chat.format_turns(chat.turns_of_json(df)))[1]
+    assert got.loss == "aa" and [t.text for t in got.turns] == ["q", "aa"]
 
 
 def test_layouts_of_tables(spark):
     df = spark.createDataFrame([(1, "q", "a", 9)], "conv_id bigint, prompt string, response string, note int")
-    assert [tuple(r) for r in chat.turns_of_table(df).collect()] == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    assert [tuple(r)[:5] for r in chat.turns_of_table(df).collect()] == [(1, 0, "user", "q", "prompt"), (1, 1, "assistant", "a", "prompt")]
     nested = spark.createDataFrame([(1, [("user", "q")])], "conv_id bigint, messages array<struct<role:string,content:string>>")
     assert "messages[].role" in chat.schema_paths(nested.schema)
-    assert [tuple(r) for r in chat.turns_of_table(nested).collect()] == [(1, 0, "user", "q")]
+    assert [tuple(r)[:4] for r in chat.turns_of_table(nested).collect()] == [(1, 0, "user", "q")]
+    empty = spark.createDataFrame([(1, []), (2, None)], nested.schema)
+    assert [tuple(r) for r in chat.turns_of_table(empty).orderBy("conv_id").collect()] == [(k, None, None, None, "messages", False) for k in (1, 2)]
+    rows = spark.createDataFrame([(1, 0, "user", "q", 3)], "conv_id bigint, turn int, role string, text string, note int")
+    assert chat.fingerprint(["turn", "role", "text"]) == chat.fingerprint(chat.LAYOUTS[-1].paths) and chat.turns_of_table(rows).first().layout == "turn"
     with pytest.raises(ValueError):
         chat.turns_of_table(spark.range(1))
 
