@@ -25,8 +25,8 @@ from plumbline.llm.words import grams, pieces, words_of
 
 #: Words of a window, and of the k-grams whose minimum is its fingerprint.
 WINDOW, K = 13, 7
-#: Bits of the map that tells which fingerprints the benchmark can have; a fixed size, whatever the benchmark's.
-BITS = 1 << 24
+#: Bits of the map that tells which fingerprints the benchmark can have: so many for each different one, from 2 MB to 32 MB.
+SPARSE, LEAST, MOST = 64, 1 << 24, 1 << 28
 #: One window may be in a large part of all documents: its join is split over so many keys.
 SALTS = 16
 
@@ -77,12 +77,22 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def bit_map(windows: DataFrame) -> np.ndarray:
-    """Which values modulo BITS the fingerprints take: at most BITS bits, whatever the number of windows."""
-    at = F.shiftright(F.pmod("mark", F.lit(BITS)), 6).alias("at")
-    table = windows.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) AS int))")).alias("bits")).toArrow()
-    out = np.zeros(BITS // 64, np.int64)
+    """Which fingerprints there are, modulo the number of bits, as bytes whose lowest bit comes first.
+
+    Its size follows the number of different fingerprints, so that few others pass it, up to a bound.
+    """
+    marks = windows.select("mark").distinct()
+    bits = min(MOST, max(LEAST, 1 << (SPARSE * marks.count()).bit_length()))
+    at = F.shiftright(F.pmod("mark", F.lit(bits)), 6).alias("at")
+    table = marks.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) AS int))")).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, "<i8")
     out[table["at"].to_numpy()] = table["bits"].to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+    return out.view(np.uint8)
+
+
+def in_map(held: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = marks & np.uint64(8 * len(held) - 1)
+    return (held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
 _HITS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("mark", pa.int64()), ("words", pa.string())]))
@@ -92,7 +102,7 @@ def _seeds(lengths: list[int], bits):
     """Per document: its number of words, and its windows whose fingerprint the benchmark may have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.unpackbits(np.frombuffer(bits.value, np.uint8)).view(bool)
+        there = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for a, b in pieces(texts):
@@ -100,7 +110,7 @@ def _seeds(lengths: list[int], bits):
                 starts, sizes, marks = [], [], []
                 for length in lengths:
                     found = fingerprints(w.hash, length)
-                    at = np.flatnonzero(there[(found % np.uint64(BITS)).astype(np.int64)])
+                    at = np.flatnonzero(in_map(there, found))
                     # windows are taken over all texts at once; those that run into the next text are dropped
                     text = np.searchsorted(w.first, at, side="right") - 1
                     at = at[at + length <= w.first[text + 1]]
@@ -135,7 +145,7 @@ def decontaminate(spark: SparkSession, documents: DataFrame, benchmark: DataFram
     """
     windows = written(item_windows(benchmark), "windows")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most WINDOW values
-    bits = spark.sparkContext.broadcast(np.packbits(bit_map(windows)).tobytes())
+    bits = spark.sparkContext.broadcast(bit_map(windows).tobytes())
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seeds = texts.withColumn("digest", text_digest()).mapInArrow(
         _seeds(lengths, bits), "doc_id bigint, digest binary, n_words bigint, seeds array<struct<start:int,length:int,mark:bigint,words:string>>"

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from plumbline.llm import decontaminate as d
 from tests.llm.test_words import plain
 
@@ -66,3 +69,14 @@ def test_accepted_documents_keep_their_columns(spark, documents):
     kept = d.accepted(spark, df, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) + str(r.text) for r in kept.collect()) == ["2clean", "2clean", "NoneNone"]
+
+
+@pytest.mark.parametrize("n", [0, 5, 300_000])
+def test_map_grows_with_the_fingerprints(spark, n):
+    marks = np.random.default_rng(1).integers(-(2**63), 2**63, n)
+    windows = spark.createDataFrame([(int(m),) for m in marks.tolist() * (2 if n == 5 else 1)], "mark bigint")
+    held = d.bit_map(windows)
+    assert 8 * len(held) == max(d.LEAST, 1 << (64 * n).bit_length() if n else 0)
+    assert d.in_map(held, marks.view(np.uint64)).all()
+    others = np.random.default_rng(2).integers(0, 2**63, 100_000).astype(np.uint64)
+    assert d.in_map(held, others).mean() <= 1.2 / d.SPARSE
