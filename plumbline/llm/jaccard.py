@@ -3,7 +3,8 @@
 Equal texts are one node. MinHash bands propose pairs of nodes; each pair's further MinHash values
 are compared a few at a time and the pair is dropped once the posterior probability that its
 similarity reaches the threshold is below a tolerance; the rest is verified exactly on the sets of
-shingles. Pairs are compared inside tasks and never become rows: what leaves a task is, per
+shingles. Pairs are compared inside tasks. The pairs that survive are written as one array of partners per
+document and group, which takes as many entries as there are such pairs; what leaves the verification is, per
 document, how many links it has and a smaller document that it hangs together with.
 
 A pair that shares several bands is handled in the first one only, so links are counted once. A
