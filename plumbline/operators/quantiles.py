@@ -41,6 +41,8 @@ RANK_ERROR = 2 * rank_error(SKETCH_SIZE)
 BRACKET_LIMIT = 2_000_000
 # brackets of so few rows need not get narrower, whatever the limit
 FEW = 10_000
+# rows looked at to see whether a column has few values, and how many values of them are few
+PEEK, FEW_VALUES = 4096, 256
 # up to so many counted values are ranked on the driver, without a sort of their own
 FEW_GROUPS = 50_000
 
@@ -70,7 +72,8 @@ def exact_quantiles(
 ) -> dict[str, ColumnQuantiles]:
     """Interpolated quantiles per column, the same numbers as Spark's ``percentile``, and exact beyond 53 bits.
 
-    Of dates and times, the first value that at least the wanted share of rows does not exceed. Runs two jobs for all columns together, and one more per narrowing round; each round
+    Of dates and times, the first value that at least the wanted share of rows does not exceed. Columns of few values are
+    counted value by value. For others, runs two jobs for all columns together, and one more per narrowing round; each round
     divides what is left of a column by about 150. What reaches the driver are a sketch per
     column, in later rounds per wanted quantile, and at most ``FEW_GROUPS`` counted values.
     """
@@ -81,6 +84,9 @@ def exact_quantiles(
         others = {n: p for n, p in wanted.items() if n not in wide}
         return answers | (exact_quantiles(df, others, bracket_limit) if others else {})
     names = list(wanted)
+    known = _by_counting(df, wanted)
+    if known is not None:
+        return known
     pruned = df.select(*[C.column(n).cast("double").alias(f"v{i}") for i, n in enumerate(names)])
     seen = _first_pass(pruned, len(names))
     searches: _Searches = {}
@@ -98,6 +104,32 @@ def exact_quantiles(
     return answers
 
 
+def _by_counting(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, ColumnQuantiles] | None:
+    """The answers from all values' counts, for columns whose first rows hold few values; None if they hold many after all."""
+    names = list(wanted)
+    values = [C.column(n).cast("double").alias(f"v{i}") for i, n in enumerate(names)]
+    first = df.select(*values).head(PEEK)
+    if len(first) == PEEK and any(len({r[i] for r in first}) > FEW_VALUES for i in range(len(names))):
+        return None
+    plans = [df.groupBy(v.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("column"), "value", "n") for i, v in enumerate(values)]
+    union = plans[0]
+    for plan in plans[1:]:
+        union = union.unionByName(plan)
+    counted = union.head(FEW_GROUPS + 1)
+    if len(counted) > FEW_GROUPS:
+        return None
+    answers = {}
+    for i, name in enumerate(names):
+        own = [(r["value"], r["n"]) for r in counted if r["column"] == i]
+        held = sorted((math.inf if math.isnan(v) else v, n) for v, n in own if v is not None)
+        nans = sum(n for v, n in own if v is not None and math.isnan(v))
+        upto = list(itertools.accumulate(n for _, n in held))
+        present = upto[-1] if upto else 0
+        at = {r: held[bisect.bisect_right(upto, r)][0] for p in wanted[name] for r in _ranks(p, present)} if present else {}
+        answers[name] = ColumnQuantiles(sum(n for _, n in own), present, {p: _interpolate(p, present, nans, at) if present else None for p in wanted[name]})
+    return answers
+
+
 def _ranks(p: float, n: int) -> tuple[int, int]:
     position = p * (n - 1)
     return math.floor(position), math.ceil(position)

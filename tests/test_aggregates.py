@@ -153,7 +153,10 @@ def shapes():
 
 @pytest.mark.parametrize("limit", [0, 40, 1_000_000])
 @pytest.mark.parametrize("name, values", list(shapes()), ids=lambda v: v if isinstance(v, str) else "")
-def test_exact_quantiles_match_percentile(spark, name, values, limit):
+def test_exact_quantiles_match_percentile(spark, monkeypatch, name, values, limit):
+    if limit < 1_000_000:  # by brackets, however few values there are
+        monkeypatch.setattr(Q, "PEEK", 0)
+        monkeypatch.setattr(Q, "FEW_VALUES", -1)
     df = numbers(spark, values).repartition(4)
     found = pl.exact_quantiles(df, {"c": PROBABILITIES}, bracket_limit=limit)["c"]
     expected = by_percentile(df, "c")
@@ -172,7 +175,19 @@ def test_exact_quantiles_of_several_columns(spark):
     assert found["d"].values[0.25] == pytest.approx(df.selectExpr("percentile(d, 0.25D) AS q").first().q)
 
 
-def test_nan_sorts_above_everything(spark):
+def test_a_column_that_only_begins_with_few_values(spark, monkeypatch):
+    monkeypatch.setattr(Q, "FEW_GROUPS", 1000)
+    df = spark.range(0, 30_000, 1, 3).selectExpr("CAST(IF(id < 5000, 7, id) AS DOUBLE) AS c")
+    assert Q._by_counting(df, {"c": [0.5]}) is None
+    found = pl.exact_quantiles(df, {"c": PROBABILITIES})["c"]
+    assert [found.values[p] for p in PROBABILITIES] == pytest.approx(by_percentile(df, "c"))
+
+
+@pytest.mark.parametrize("counted", [True, False])
+def test_nan_sorts_above_everything(spark, monkeypatch, counted):
+    if not counted:
+        monkeypatch.setattr(Q, "PEEK", 0)
+        monkeypatch.setattr(Q, "FEW_VALUES", -1)
     df = numbers(spark, [1.0, 2.0, math.inf, math.nan, math.nan])
     found = pl.exact_quantiles(df, {"c": [0.0, 0.25, 0.5, 0.75, 1.0]})["c"].values
     assert (found[0.0], found[0.25], found[0.5]) == (1.0, 2.0, math.inf)
