@@ -101,3 +101,22 @@ def test_held_out_accuracy(rows, duck):
     held = [r for r in rows("op6_langid") if r.held_out]
     assert len(held) > 200 and np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
     assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_first_step_follows_the_gradient_of_the_likelihood():
+    """From zero weights every labelling is equally likely, so seen less expected counts are known; a step is their sign, nearly."""
+    words = ["ab", "cd", "ab", "ef", "gh"]
+    got = langid.fit([" ".join(words), ""], ["xx", "yy"], passes=1)
+    step = lambda g: 0.2 * g / np.sqrt(g**2 + 1e-6)
+    assert np.allclose(got.start, step(np.array([0.5, -0.5])))
+    pairs = len(words) - 1
+    assert np.allclose(got.moves, step(np.array([[pairs - pairs / 4, -pairs / 4], [-pairs / 4, -pairs / 4]])))
+    import pyarrow as pa
+
+    from plumbline.llm.words import words_of
+
+    w = words_of(pa.array([" ".join(words)]))
+    slots, owners = langid.features(w, np.arange(len(words)), got.lexicon)
+    gradient = np.zeros((langid.SLOTS, 2))
+    np.add.at(gradient, slots, np.array([0.5, -0.5]))
+    assert np.allclose(got.weights, step(gradient))

@@ -1,12 +1,18 @@
+import math
 import random
+import sys
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from plumbline.llm import toxicity as t
+from plumbline.llm.words import _mixed, words_of
+
+sys.setrecursionlimit(10_000)
 
 
 def maximal(scores):
@@ -87,6 +93,44 @@ def test_planted_words_are_found_and_clean_text_left(spark, documents, corpus):
     assert {r.doc_id for r in t.accepted(spark, df, model).select("doc_id").collect()} == {r.doc_id for r in got if not r.predicted}
 
 
+def test_word_scores_and_calibration_match_plain_sums(spark, documents, corpus):
+    """Counts of distinct pairs, smoothed log-odds, lambda and K, recomputed without Spark."""
+    docs, labels = corpus
+    known = dict(labels)
+    train = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = t.train(spark, documents(*docs, docs[5]), train)
+    draws = {}
+    for k, text in docs:
+        w = words_of(pa.array([text]))
+        before = np.concatenate([[np.uint64(0)], w.hash[:-1]])
+        draw = _mixed(w.hash ^ _mixed(before + np.uint64(1)) ^ _mixed(np.uint64(k) + np.zeros(len(w.hash), np.uint64) + np.uint64(2))) & ~np.uint64(1) | np.uint64(known[k])
+        for pair in zip(w.hash.tolist(), before.tolist(), draw.view(np.int64).tolist()):
+            draws[pair[:2]] = min(draws.get(pair[:2], 1 << 63), pair[2])
+    counts = {}
+    for (word, _), draw in draws.items():
+        counts.setdefault(word, [0, 0])[draw & 1] += 1
+    good, bad = (sum(c[k] for c in counts.values()) for k in (0, 1))
+    ratio = lambda c: 2 * sum(x * math.log(x * (good + bad) / (sum(c) * total)) for x, total in zip(c, (good, bad)) if x)
+    chosen = {w: c for w, c in counts.items() if c[1] * good > c[0] * bad and ratio(c) >= 2 * math.log(len(counts))}
+    assert set(chosen) == set(model.hashes.tolist()) and 0 < len(chosen) < t.LEXICON
+    share = lambda x, c, total: (x + t.PRIOR * sum(c) / (good + bad)) / (total + t.PRIOR)
+    q, p = ({w: share(c[k], c, (good, bad)[k]) for w, c in chosen.items()} for k in (1, 0))
+    for w, s in zip(model.hashes.tolist(), model.scores.tolist()):
+        assert math.isclose(s, math.log(q[w] / p[w]), rel_tol=1e-9)
+    rest_q, rest_p = 1 - sum(q.values()), 1 - sum(p.values())
+    assert math.isclose(model.other, math.log(rest_q / rest_p), rel_tol=1e-9)
+    # random clean text scores so that the expectation of e^(lambda s) is 1
+    assert abs(sum(p[w] * math.exp(model.decay * math.log(q[w] / p[w])) for w in p) + rest_p * math.exp(model.decay * model.other) - 1) < 1e-6
+    # K makes the best segments of clean documents likeliest under exp(-K n e^(-lambda s))
+    number = total = 0.0
+    for k, text in [*docs, docs[5]]:
+        if not known[k]:
+            w = words_of(pa.array([text]))
+            best = max((s for *_, s in maximal([float(x) for x in t.word_scores(w.hash, model)])), default=0.0)
+            number, total = number + 1, total + len(w.hash) * math.exp(-model.decay * best)
+    assert math.isclose(model.scale, number / total, rel_tol=1e-6)
+
+
 def test_without_labels_of_both_kinds(spark, documents):
     df = documents((1, "a b"), (2, None))
     for labels, low in (([], 0.5), ([(1, 1)], 0.5), ([(1, 0)], 0.0)):
