@@ -3,13 +3,23 @@
 Equal texts are one node. MinHash bands propose pairs of nodes; each pair's further MinHash values
 are compared a few at a time and the pair is dropped once the posterior probability that its
 similarity reaches the threshold is below a tolerance; the rest is verified exactly on the sets of
-shingles. Pairs are compared inside tasks. The pairs that survive are written as one array of partners per
-document and group, which takes as many entries as there are such pairs; what leaves the verification is, per
-document, how many links it has and a smaller document that it hangs together with.
+shingles. Pairs are compared inside tasks.
 
-A pair that shares several bands is handled in the first one only, so links are counted once. A
-bucket of many documents is cut into blocks by hash, and every two blocks meet in a task of their
-own, so no task holds more than two blocks.
+Documents of buckets of FAMILY or more make families, which have a set R of the shingles that most of a
+few members hold. If x and y lack or add d shingles each, of which they share c, then by counting they are
+similar at 0.8 exactly if 9 c >= far(x) + far(y) - |R|, where far = 5 * lacking + 4 * added. So members
+with far(x) + far(y) <= |R| are links without being looked at, and counted from a histogram of far; and
+members whose d is too small for the c they would need are none. Only the pairs between go through
+MinHash values and verification. Any R gives the same links; one in the middle of the family leaves few
+pairs open, so a large group of near copies costs work and storage in proportion to its members, while
+members at the edge of similarity among each other are still compared in pairs.
+
+The pairs that survive are written as one array of partners per document and group; what leaves the
+verification is, per document, how many links it has and a smaller document that it hangs together with.
+
+A pair that shares several bands is handled in the first one only, so links are counted once. A bucket of
+many documents or bytes is cut into blocks by hash, and every two blocks meet in a task of their own, so no
+task holds more than two blocks.
 
 A document of fewer words than a shingle has one shingle, all its words. Defined results: a null or
 wordless text is linked to nothing; a class is named by its smallest doc_id (null if all are null,
@@ -23,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
@@ -37,8 +47,10 @@ BANDS, BAND, STEP, STEPS = 20, 3, 4, 17
 VALUES = BANDS * BAND + STEP * STEPS
 #: Posterior probability below which a pair is dropped.
 TOLERANCE = 1e-6
-#: Documents of a bucket's block.
-BLOCK = 1024
+#: Documents of a bucket's block, and bytes of their texts.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
+#: Documents of a bucket that make a family, and members that its set of shingles is taken from.
+FAMILY, SAMPLE = 32, 32
 
 _SEEDS = _mixed(np.arange(1, 2 * VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32)
 _FACTORS, _TERMS = _SEEDS[:VALUES] | np.uint32(1), _SEEDS[VALUES:]
@@ -111,7 +123,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = signature.tobytes()
             width = 4 * VALUES
             signed = pa.array([raw[i * width : (i + 1) * width] if has[i] else None for i in range(b - a)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("digest").slice(a, b - a), signed], names=["doc_id", "digest", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("digest").slice(a, b - a), batch.column("size").slice(a, b - a), signed], names=["doc_id", "digest", "size", "signature"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], enough: int):
@@ -141,31 +153,133 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], enough: int):
             yield table, cut(table)
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct shingles of each text."""
+    for batch in batches:
+        for a, b in pieces(batch.column("text")):
+            found = pa.array(list(_shingle_sets(batch.column("text").slice(a, b - a))), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("family").slice(a, b - a), found], names=["family", "shingles"])
+
+
+def _shingle_sets(texts) -> Iterator[np.ndarray]:
+    values, owners = shingles(words_of(texts), len(texts))
+    for one in np.split(values, np.searchsorted(owners, np.arange(1, len(texts)))):
+        yield np.unique(one.view(np.int64))
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How each member differs from its family's shingles, which come as the first row of its part of the family."""
+    middle = np.zeros(0, np.int64)
+    for batch in batches:
+        given = batch.column("middle")
+        for a, b in pieces(batch.column("text")):
+            node, family = batch.column("node").slice(a, b - a), batch.column("family").slice(a, b - a)
+            rows, out = [], []
+            for k, own in enumerate(_shingle_sets(batch.column("text").slice(a, b - a))):
+                if given[a + k].is_valid:
+                    middle = np.sort(given[a + k].values.to_numpy())
+                    continue
+                shared = len(np.intersect1d(own, middle, assume_unique=True))
+                lacking, added = len(middle) - shared, len(own) - shared
+                rows.append(k)
+                out.append((len(middle), 5 * lacking + 4 * added, lacking + added))
+            size, far, apart = (pa.array(x, pa.int64()) for x in (zip(*out) if out else ((), (), ())))
+            rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([node.take(rows), family.take(rows), size, far, apart], names=["node", "family", "middle", "far", "apart"])
+
+
+def families(near: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows (node, family, middle, far, apart): the members of families, the size of the family's set of shingles and how they differ from it."""
+    label = near.filter(F.col("m") >= FAMILY).select("node", "bucket", F.col("node").alias("family"))
+    for _ in range(2):  # the smallest node of all buckets of a node, and of theirs
+        least = label.groupBy("bucket").agg(F.min("family").alias("least"))
+        reached = label.join(least, "bucket").groupBy("node").agg(F.min("least").alias("family"))
+        label = label.select("node", "bucket").join(reached, "node")
+    members = written(label.select("node", "family").distinct().join(held, "node"), "families")
+
+    order = Window.partitionBy("family").orderBy(F.xxhash64("node"), "node")
+    few = members.select("family", "node").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE)
+    sets = few.select("family", "node").join(members, ["family", "node"]).mapInArrow(_sets, "family bigint, shingles array<bigint>")
+    held_by = sets.select("family", F.explode("shingles").alias("shingle")).groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"))
+    most = held_by.join(sizes, "family").filter(2 * F.col("n") > F.least("members", F.lit(SAMPLE)))
+    parts = sizes.select("family", _blocks("members", "bytes").alias("parts"))
+    # a family without a shingle that most hold has an empty set
+    middles = parts.join(most.groupBy("family").agg(F.collect_list("shingle").alias("middle")), "family", "left")
+    first = middles.select(
+        "family", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(-1).cast("bigint").alias("node"), F.lit("").alias("text"),
+        F.coalesce("middle", F.array().cast("array<bigint>")).alias("middle"),
+    )
+    rest = members.join(parts, "family").select("family", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node", "text", F.lit(None).cast("array<bigint>").alias("middle"))
+    dealt = first.unionByName(rest).repartition("family", "part").sortWithinPartitions("family", "part", "node")
+    return written(dealt.mapInArrow(_measure, "node bigint, family bigint, middle bigint, far bigint, apart bigint"), "members")
+
+
+def sure_links(members: DataFrame) -> DataFrame:
+    """Rows (node, links, root) of the members (with their copies) that their family's set proves to be links."""
+    counts = members.groupBy("family", "middle", "far").agg(F.sum("copies").alias("n"), F.min("node").alias("node"))
+    # a member is linked to all that are no farther than the rest of the set's size
+    asked = counts.select("family", (F.col("middle") - F.col("far")).alias("at"), F.lit(0).cast("bigint").alias("n"), F.col("far").alias("far"))
+    points = asked.unionByName(counts.select("family", F.col("far").alias("at"), "n", F.lit(None).cast("bigint").alias("far")))
+    running = Window.partitionBy("family").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    within = points.withColumn("within", F.sum("n").over(running)).filter("far IS NOT NULL").select("family", "far", "within")
+    nearest = counts.groupBy("family").agg(F.min(F.struct("far", "node")).alias("nearest"))
+    found = members.join(within, ["family", "far"]).join(nearest, "family")
+    links = F.col("within") - F.when(2 * F.col("far") <= F.col("middle"), F.col("copies")).otherwise(0)
+    return found.select("node", links.alias("links"), F.col("nearest.node").alias("root")).filter("links > 0")
+
+
+def _blocks(rows: str, size: str):
+    return F.greatest(F.ceil(F.col(rows) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES), F.lit(1)).cast("int")
+
+
 _PLACE = ["bucket", "i", "j"]
+_MEMBER = ["family", "middle", "far", "apart"]
+
+
+def _open_ranges(group: np.ndarray, family: np.ndarray, middle: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of rows sorted by group, family and falling distance: where the row's undecided relatives (from the next row on) end, where its family ends and its group."""
+    n = len(group)
+    new = np.ones(n, bool)
+    new[1:] = (group[1:] != group[:-1]) | (family[1:] != family[:-1])
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], n)
+    family_end = np.repeat(end, end - start)
+    open_end = np.arange(n) + 1
+    for a, b in zip(start[end - start > 1].tolist(), end[end - start > 1].tolist()):
+        open_end[a:b] = np.maximum(open_end[a:b], a + np.searchsorted(-far[a:b], far[a:b] - middle[a:b], "left"))
+    return open_end, family_end, np.searchsorted(group, group, "right")
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs inside a group that survive, as one row per document with the larger documents it may be similar to."""
+    """Undecided pairs inside a group that survive, as one row per document with the other documents it may be similar to."""
     least = least_matches()
     for table, group in _groups(batches, _PLACE, 16 << 20):
+        family, middle, far, apart = (table.column(c).to_numpy() for c in _MEMBER)
+        order = np.lexsort((-far, family, group))
+        table, group, family, middle, far, apart = table.take(pa.array(order)), group[order], family[order], middle[order], far[order], apart[order]
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
         node, band, block = (table.column(c).to_numpy() for c in ("node", "band", "block"))
         across = table.column("i").to_numpy() != table.column("j").to_numpy()
         triples = np.ascontiguousarray(signature[:, : BANDS * BAND]).reshape(-1, BANDS, BAND)
+        open_end, family_end, group_end = _open_ranges(group, family, middle, far)
         left, right = [], []
-        size = np.bincount(group)
-        at = np.arange(len(group))
-        for apart in range(1, int(size.max())):  # all pairs that are so many rows apart, of all groups at once
-            at = at[at + apart < len(group)]
-            at = at[group[at] == group[at + apart]]
-            p = at[~across[at] | (block[at] != block[at + apart])]
-            p = p[survivors(signature, p, p + apart, least)]
-            q = p + apart
-            # only in the first band that the two share
-            same = (triples[p] == triples[q]).all(axis=2)
-            own = same.argmax(axis=1) == band[p]
-            left.append(p[own])
-            right.append(q[own])
+        for begin, end in ((np.arange(len(group)) + 1, open_end), (family_end, group_end)):
+            at, step = np.flatnonzero(begin < end), 0
+            while len(at):  # the next partner of all rows at once
+                p, q = at, begin[at] + step
+                fit = ~across[p] | (block[p] != block[q])
+                fit &= (family[p] != family[q]) | (9 * np.minimum(apart[p], apart[q]) >= far[p] + far[q] - middle[p])
+                p, q = p[fit], q[fit]
+                alive = survivors(signature, p, q, least)
+                p, q = p[alive], q[alive]
+                # only in the first band that the two share
+                same = (triples[p] == triples[q]).all(axis=2)
+                own = same.argmax(axis=1) == band[p]
+                left.append(p[own])
+                right.append(q[own])
+                step += 1
+                at = at[begin[at] + step < end[at]]
         p, q = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         order = np.argsort(p, kind="stable")
         p, q = p[order], q[order]
@@ -183,9 +297,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = table.column("text").combine_chunks()
         sets: list[np.ndarray] = []
         for a, b in pieces(texts):
-            values, owners = shingles(words_of(texts.slice(a, b - a)), b - a)
-            cuts = np.searchsorted(owners, np.arange(1, b - a))
-            sets += [np.unique(x) for x in np.split(values, cuts)]
+            sets += _shingle_sets(texts.slice(a, b - a))
         place = {(g, n): k for k, (g, n) in enumerate(zip(group.tolist(), node.tolist()))}
         links = np.zeros(len(node), np.int64)
         root = list(range(len(node)))
@@ -217,27 +329,41 @@ def classes(documents: DataFrame) -> DataFrame:
     directly, copies included, and whether it is the one document that stands for its class."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.select("doc_id", text_digest().alias("digest"), "text")
-    signed = texts.mapInArrow(_sign, "doc_id bigint, digest binary, signature binary").filter("signature IS NOT NULL")
+    signed = texts.select("doc_id", "digest", F.octet_length("text").alias("size"), "text").mapInArrow(_sign, "doc_id bigint, digest binary, size int, signature binary")
     # one node per text, combined before the shuffle
-    distinct = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"))
+    distinct = signed.filter("signature IS NOT NULL").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("signature").alias("signature")
+    )
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     bands = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "signature")
     bands = bands.select("node", "band", F.xxhash64("band", F.substring("signature", 1 + 4 * BAND * F.col("band"), F.lit(4 * BAND))).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    found = bands.join(shared, "bucket").select("node", "band", "bucket", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
-    met = found.join(nodes.select("node", "signature"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "node", "signature")
-    ready = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node")
-    pairs = written(ready.mapInArrow(_prune, "bucket bigint, i int, j int, node bigint, partners array<bigint>"), "pairs")
+    near = written(bands.join(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "bucket"), "bands")
 
-    # texts of the documents that pairs are left for; repeated rows are combined before the shuffle
+    # texts of the documents that share a bucket; repeated rows are combined before the shuffle
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     stored = texts.groupBy("digest", key.alias("at")).agg(F.first("text").alias("text"))
-    wanted = pairs.join(nodes.select("node", "digest", F.coalesce("rep", F.lit(-(1 << 63))).alias("at"), "copies"), "node")
-    loaded = wanted.join(stored, ["digest", "at"]).select(*_PLACE, "node", "copies", "partners", "text")
-    verified = written(loaded.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node").mapInArrow(_verify, "node bigint, links bigint, root bigint"), "links")
+    meeting = nodes.join(near.select("node").distinct(), "node").select("node", "digest", F.coalesce("rep", F.lit(-(1 << 63))).alias("at"))
+    held = written(stored.join(meeting, ["digest", "at"]).select("node", "text"), "texts")
+
+    members = families(near, held).join(nodes.select("node", "copies"), "node")
+    # a document outside all families is one of its own
+    placed = nodes.select("node", "size", "signature").join(members.select("node", *_MEMBER), "node", "left")
+    placed = placed.withColumn("family", F.coalesce("family", -1 - F.col("node"))).na.fill(0, ["middle", "far", "apart"])
+    found = near.select("node", "band", "bucket").join(placed, "node")
+    kinds = found.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("m"), F.sum(F.col("size").cast("bigint")).alias("bytes"), (F.min("family") != F.max("family")).alias("mixed"), F.max("far").alias("farthest")
+    )
+    # what is a link to all others of its bucket for sure needs no look there
+    open_ = found.join(kinds, "bucket").filter(F.col("mixed") | (F.col("far") + F.col("farthest") > F.col("middle"))).withColumn("blocks", _blocks("m", "bytes"))
+    met = open_.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "node", *_MEMBER, "signature")
+    ready = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node")
+    pairs = written(ready.mapInArrow(_prune, "bucket bigint, i int, j int, node bigint, partners array<bigint>"), "pairs")
+
+    loaded = pairs.join(nodes.select("node", "copies"), "node").join(held, "node").select(*_PLACE, "node", "copies", "partners", "text")
+    compared = loaded.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node").mapInArrow(_verify, "node bigint, links bigint, root bigint")
+    verified = written(compared.unionByName(sure_links(members)), "links")
 
     labels = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))

@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import jaccard
 from plumbline.llm.components import components
+from plumbline.llm.store import written
 from tests.llm.test_words import plain
 
 
@@ -27,9 +29,9 @@ def brute(docs):
     return out
 
 
-@pytest.mark.parametrize("block", [1024, 3])
-def test_groups_of_edited_copies_match_brute_force(spark, documents, block, monkeypatch):
-    """Near copies of all degrees, beyond one block, with exact copies, equal ids and null ids among them."""
+@pytest.mark.parametrize("block, family", [(1024, 32), (3, 32), (1024, 3), (3, 5)])
+def test_groups_of_edited_copies_match_brute_force(spark, documents, block, family, monkeypatch):
+    """Near copies of all degrees, beyond one block, with exact copies, equal ids and null ids among them, in families or not."""
     rng = random.Random(block)
     docs = []
     for g in range(4):
@@ -42,11 +44,86 @@ def test_groups_of_edited_copies_match_brute_force(spark, documents, block, monk
     docs += [(None, docs[3][1]), (5000, docs[3][1]), (5000, docs[3][1]), (6000, None), (6001, ""), (6002, "--")]
     # the block size reaches the plan as a literal, so a small one makes many blocks meet
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FAMILY", family)
     got = [(r.doc_id, r.class_id, r.n_links) for r in jaccard.similar(documents(*docs)).collect()]
     key = lambda r: str(r)
     assert sorted(got, key=key) == sorted(brute(docs), key=key)
 
 
+def test_sets_around_a_middle_decide_like_whole_sets():
+    """What is a link for sure, what is none and what is open, against the sets, for any middle."""
+    rng = random.Random(5)
+    open_pairs = 0
+    for _ in range(3000):
+        middle = set(rng.sample(range(40), rng.choice([0, 10, 30, 40])))
+        x, y = (set(rng.sample(sorted(middle), rng.randint(max(0, len(middle) - 4), len(middle)))) | set(rng.sample(range(100, 110), rng.randint(1, 3))) for _ in "xy")
+        far = [5 * len(middle - z) + 4 * len(z - middle) for z in (x, y)]
+        shared = len((x ^ middle) & (y ^ middle))
+        link = 5 * len(x & y) >= 4 * len(x | y)
+        assert link == (9 * shared >= sum(far) - len(middle))
+        if sum(far) <= len(middle):
+            assert link
+        elif 9 * min(len(x ^ middle), len(y ^ middle)) < sum(far) - len(middle):
+            assert not link
+        else:
+            open_pairs += 1
+    assert open_pairs > 100
+
+
+def test_open_ranges():
+    group = np.array([0, 0, 0, 0, 0, 1, 1])
+    family = np.array([-5, 7, 7, 7, 9, 7, 7])
+    open_end, family_end, group_end = jaccard._open_ranges(group, family, np.full(7, 100), np.array([0, 90, 60, 5, 40, 50, 50]))
+    assert open_end.tolist() == [1, 3, 3, 4, 5, 6, 7]
+    assert family_end.tolist() == [1, 4, 4, 4, 5, 7, 7] and group_end.tolist() == [5] * 5 + [7] * 2
+
+
+def stored(monkeypatch):
+    """What the operator writes, as (label, rows, entries of lists) in order."""
+    seen = {}
+
+    def note(df, label):
+        out = written(df, label)
+        entries = out.agg(F.sum(F.size("partners"))).first()[0] if "partners" in out.columns else 0
+        seen[label] = (out.count(), entries or 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "written", note)
+    return seen
+
+
+def test_a_large_group_is_stored_in_proportion(spark, documents, monkeypatch):
+    """Near copies, each with a word of its own: every one is linked to all others, and no pair is stored."""
+    seen = stored(monkeypatch)
+    rows = {}
+    for m in (500, 2000):
+        rng = random.Random(m)
+        base = [f"w{k}" for k in range(200)]
+        docs = [(k, " ".join(base[:p] + [f"own{k}"] + base[p + 1 :])) for k, p in enumerate(rng.choices(range(200), k=m))]
+        got = jaccard.similar(documents(*docs)).collect()
+        assert {(r.class_id, r.n_links) for r in got} == {(0, m - 1)} and len(got) == m
+        rows[m] = dict(seen)
+    for label in ("nodes", "texts", "members", "links"):
+        assert rows[2000][label][0] <= 4.2 * rows[500][label][0]
+    assert rows[2000]["pairs"] == rows[500]["pairs"] == (0, 0)
+
+
+def test_far_members_of_a_large_group(spark, documents):
+    """Two variants and stragglers beside a large group, all in one family or several, as brute force has them."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(80)]
+    variant = base[:30] + [f"v{k}" for k in range(9)] + base[39:]
+    docs = []
+    for k in range(160):
+        w = list(rng.choice([base, base, variant]))
+        for p in rng.sample(range(80), rng.choice([0, 1, 1, 2, 3])):
+            w[p] = f"n{rng.randint(0, 40)}"
+        docs.append((k, " ".join(w)))
+    docs += [(200 + k, " ".join([f"z{k}"] + base[:70])) for k in range(3)]
+    got = [(r.doc_id, r.class_id, r.n_links) for r in jaccard.similar(documents(*docs)).collect()]
+    assert sorted(got) == sorted(brute(docs))
+
+
 def test_pruning_keeps_similar_and_drops_others():
     least = jaccard.least_matches()
     assert len(least) == jaccard.STEPS and (np.diff(least) >= 0).all() and least[-1] > 25
