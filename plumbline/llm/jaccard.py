@@ -188,13 +188,20 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([node.take(rows), family.take(rows), size, far, apart], names=["node", "family", "middle", "far", "apart"])
 
 
+def _told(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Rows (node, bucket, m, ..) with the columns of their bucket; a bucket of m rows meets them in as many parts as it has blocks."""
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    return dealt.join(buckets.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("m"), ["bucket", "part"]).drop("part")
+
+
 def families(near: DataFrame, held: DataFrame) -> DataFrame:
     """Rows (node, family, middle, far, apart): the members of families, the size of the family's set of shingles and how they differ from it."""
-    label = near.filter(F.col("m") >= FAMILY).select("node", "bucket", F.col("node").alias("family"))
+    label = near.filter(F.col("m") >= FAMILY).select("node", "bucket", "m", F.col("node").alias("family"))
     for _ in range(2):  # the smallest node of all buckets of a node, and of theirs
-        least = label.groupBy("bucket").agg(F.min("family").alias("least"))
-        reached = label.join(least, "bucket").groupBy("node").agg(F.min("least").alias("family"))
-        label = label.select("node", "bucket").join(reached, "node")
+        least = label.groupBy("bucket").agg(F.min("family").alias("least"), F.max("m").alias("m"))
+        reached = _told(label, least).groupBy("node").agg(F.min("least").alias("family"))
+        label = label.select("node", "bucket", "m").join(reached, "node")
     members = written(label.select("node", "family").distinct().join(held, "node"), "families")
 
     order = Window.partitionBy("family").orderBy(F.xxhash64("node"), "node")
@@ -350,12 +357,12 @@ def classes(documents: DataFrame) -> DataFrame:
     # a document outside all families is one of its own
     placed = nodes.select("node", "size", "signature").join(members.select("node", *_MEMBER), "node", "left")
     placed = placed.withColumn("family", F.coalesce("family", -1 - F.col("node"))).na.fill(0, ["middle", "far", "apart"])
-    found = near.select("node", "band", "bucket").join(placed, "node")
+    found = near.join(placed, "node")
     kinds = found.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("m"), F.sum(F.col("size").cast("bigint")).alias("bytes"), (F.min("family") != F.max("family")).alias("mixed"), F.max("far").alias("farthest")
+        F.max("m").alias("m"), F.sum(F.col("size").cast("bigint")).alias("bytes"), (F.min("family") != F.max("family")).alias("mixed"), F.max("far").alias("farthest")
     )
     # what is a link to all others of its bucket for sure needs no look there
-    open_ = found.join(kinds, "bucket").filter(F.col("mixed") | (F.col("far") + F.col("farthest") > F.col("middle"))).withColumn("blocks", _blocks("m", "bytes"))
+    open_ = _told(found, kinds).filter(F.col("mixed") | (F.col("far") + F.col("farthest") > F.col("middle"))).withColumn("blocks", _blocks("m", "bytes"))
     met = open_.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "node", *_MEMBER, "signature")
     ready = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node")
