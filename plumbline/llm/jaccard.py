@@ -10,11 +10,11 @@ few members hold. If x and y lack or add d shingles each, of which they share c,
 similar at 0.8 exactly if 9 c >= far(x) + far(y) - |R|, where far = 5 * lacking + 4 * added. So members
 with far(x) + far(y) <= |R| are links without being looked at, and counted from a histogram of far; and
 members whose d is too small for the c they would need are none. Only the pairs between go through
-MinHash values and verification. Any R gives the same links; one in the middle of the family leaves few
+MinHash values, and those that survive are decided by their c where they met, without being stored. Any R gives the same links; one in the middle of the family leaves few
 pairs open, so a large group of near copies costs work and storage in proportion to its members, while
 members at the edge of similarity among each other are still compared in pairs.
 
-The pairs that survive are written as one array of partners per document and group; what leaves the
+Surviving pairs of different families, or of none, are written as one array of partners per document and group; what leaves the
 verification is, per document, how many links it has and a smaller document that it hangs together with.
 
 A pair that shares several bands is handled in the first one only, so links are counted once. A bucket of
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,13 +180,14 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if given[a + k].is_valid:
                     middle = np.sort(given[a + k].values.to_numpy())
                     continue
-                shared = len(np.intersect1d(own, middle, assume_unique=True))
-                lacking, added = len(middle) - shared, len(own) - shared
+                differs = np.setxor1d(own, middle, assume_unique=True)
+                lacking = (len(middle) + len(differs) - len(own)) // 2
                 rows.append(k)
-                out.append((len(middle), 5 * lacking + 4 * added, lacking + added))
-            size, far, apart = (pa.array(x, pa.int64()) for x in (zip(*out) if out else ((), (), ())))
+                out.append((len(middle), 4 * len(differs) + lacking, differs))
+            size, far, differs = zip(*out) if out else ((), (), ())
+            size, far, differs = pa.array(size, pa.int64()), pa.array(far, pa.int64()), pa.array(differs, pa.list_(pa.int64()))
             rows = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([node.take(rows), family.take(rows), size, far, apart], names=["node", "family", "middle", "far", "apart"])
+            yield pa.RecordBatch.from_arrays([node.take(rows), family.take(rows), size, far, differs], names=["node", "family", "middle", "far", "differs"])
 
 
 def _told(rows: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -196,7 +198,7 @@ def _told(rows: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def families(near: DataFrame, held: DataFrame) -> DataFrame:
-    """Rows (node, family, middle, far, apart): the members of families, the size of the family's set of shingles and how they differ from it."""
+    """Rows (node, family, middle, far, differs): the members of families, the size of the family's set of shingles, and the shingles they lack or add."""
     label = near.filter(F.col("m") >= FAMILY).select("node", "bucket", "m", F.col("node").alias("family"))
     for _ in range(2):  # the smallest node of all buckets of a node, and of theirs
         least = label.groupBy("bucket").agg(F.min("family").alias("least"), F.max("m").alias("m"))
@@ -219,7 +221,7 @@ def families(near: DataFrame, held: DataFrame) -> DataFrame:
     )
     rest = members.join(parts, "family").select("family", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node", "text", F.lit(None).cast("array<bigint>").alias("middle"))
     dealt = first.unionByName(rest).repartition("family", "part").sortWithinPartitions("family", "part", "node")
-    return written(dealt.mapInArrow(_measure, "node bigint, family bigint, middle bigint, far bigint, apart bigint"), "members")
+    return written(dealt.mapInArrow(_measure, "node bigint, family bigint, middle bigint, far bigint, differs array<bigint>"), "members")
 
 
 def sure_links(members: DataFrame) -> DataFrame:
@@ -241,7 +243,20 @@ def _blocks(rows: str, size: str):
 
 
 _PLACE = ["bucket", "i", "j"]
-_MEMBER = ["family", "middle", "far", "apart"]
+_MEMBER = ["family", "middle", "far", "differs"]
+
+
+def _top(root: list[int], k: int) -> int:
+    while root[k] != k:
+        root[k] = root[root[k]]
+        k = root[k]
+    return k
+
+
+def _hang(root: list[int], node: np.ndarray, a: int, b: int) -> None:
+    """a and b hang together, on the smaller node of their tops."""
+    low, high = sorted((_top(root, a), _top(root, b)), key=lambda k: node[k])
+    root[high] = low
 
 
 def _open_ranges(group: np.ndarray, family: np.ndarray, middle: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -259,14 +274,18 @@ def _open_ranges(group: np.ndarray, family: np.ndarray, middle: np.ndarray, far:
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Undecided pairs inside a group that survive, as one row per document with the other documents it may be similar to."""
+    """Undecided pairs inside a group that survive: of one family, decided by what differs from its set and counted;
+    others as one row per document with the other documents it may be similar to."""
     least = least_matches()
     for table, group in _groups(batches, _PLACE, 16 << 20):
-        family, middle, far, apart = (table.column(c).to_numpy() for c in _MEMBER)
+        family, middle, far = (table.column(c).to_numpy() for c in ("family", "middle", "far"))
         order = np.lexsort((-far, family, group))
-        table, group, family, middle, far, apart = table.take(pa.array(order)), group[order], family[order], middle[order], far[order], apart[order]
+        table, group, family, middle, far = table.take(pa.array(order)), group[order], family[order], middle[order], far[order]
+        differs = table.column("differs").combine_chunks()
+        apart = pc.fill_null(pc.list_value_length(differs), 0).to_numpy().astype(np.int64)
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
-        node, band, block = (table.column(c).to_numpy() for c in ("node", "band", "block"))
+        node, band, block, copies = (table.column(c).to_numpy() for c in ("node", "band", "block", "copies"))
+        links, root = np.zeros(len(node), np.int64), list(range(len(node)))
         across = table.column("i").to_numpy() != table.column("j").to_numpy()
         triples = np.ascontiguousarray(signature[:, : BANDS * BAND]).reshape(-1, BANDS, BAND)
         open_end, family_end, group_end = _open_ranges(group, family, middle, far)
@@ -283,18 +302,28 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # only in the first band that the two share
                 same = (triples[p] == triples[q]).all(axis=2)
                 own = same.argmax(axis=1) == band[p]
-                left.append(p[own])
-                right.append(q[own])
+                p, q = p[own], q[own]
+                kin = family[p] == family[q]
+                left.append(p[~kin])
+                right.append(q[~kin])
+                for a, b in zip(p[kin].tolist(), q[kin].tolist()):
+                    shared = np.intersect1d(differs[a].values.to_numpy(), differs[b].values.to_numpy(), assume_unique=True)
+                    if 9 * len(shared) >= far[a] + far[b] - middle[a]:
+                        links[a] += copies[b]
+                        links[b] += copies[a]
+                        _hang(root, node, a, b)
                 step += 1
                 at = at[begin[at] + step < end[at]]
         p, q = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         order = np.argsort(p, kind="stable")
         p, q = p[order], q[order]
-        rows = np.union1d(p, q)
+        rows = np.union1d(np.union1d(p, q), np.flatnonzero(links))
         first = np.append(np.searchsorted(p, rows), len(p)).astype(np.int32)
         picked = table.select(_PLACE + ["node"]).take(pa.array(rows))
         partners = pa.ListArray.from_arrays(pa.array(first), pa.array(node[q]))
-        yield from picked.append_column("partners", partners).to_batches()
+        paired = pa.array(np.isin(rows, np.concatenate((p, q))))
+        roots = pa.array(np.array([node[_top(root, k)] for k in rows.tolist()], np.int64))
+        yield from picked.append_column("partners", partners).append_column("paired", paired).append_column("links", pa.array(links[rows])).append_column("root", roots).to_batches()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,12 +338,6 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = np.zeros(len(node), np.int64)
         root = list(range(len(node)))
 
-        def top(k: int) -> int:
-            while root[k] != k:
-                root[k] = root[root[k]]
-                k = root[k]
-            return k
-
         for (g, n), k in place.items():
             for other in table.column("partners")[k].as_py():
                 m = place[g, other]
@@ -323,10 +346,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if 5 * shared >= 4 * (len(sets[k]) + len(sets[m]) - shared):
                     links[k] += copies[m]
                     links[m] += copies[k]
-                    a, b = sorted((top(k), top(m)), key=lambda x: node[x])
-                    root[b] = a
+                    _hang(root, node, k, m)
         kept = np.flatnonzero(links)
-        roots = np.array([node[top(k)] for k in kept.tolist()], np.int64)
+        roots = np.array([node[_top(root, k)] for k in kept.tolist()], np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(links[kept]), pa.array(roots)], names=["node", "links", "root"])
 
 
@@ -355,8 +377,8 @@ def classes(documents: DataFrame) -> DataFrame:
 
     members = families(near, held).join(nodes.select("node", "copies"), "node")
     # a document outside all families is one of its own
-    placed = nodes.select("node", "size", "signature").join(members.select("node", *_MEMBER), "node", "left")
-    placed = placed.withColumn("family", F.coalesce("family", -1 - F.col("node"))).na.fill(0, ["middle", "far", "apart"])
+    placed = nodes.select("node", "size", "copies", "signature").join(members.select("node", *_MEMBER), "node", "left")
+    placed = placed.withColumn("family", F.coalesce("family", -1 - F.col("node"))).na.fill(0, ["middle", "far"])
     found = near.join(placed, "node")
     kinds = found.groupBy("bucket").agg(
         F.max("m").alias("m"), F.sum(F.col("size").cast("bigint")).alias("bytes"), (F.min("family") != F.max("family")).alias("mixed"), F.max("far").alias("farthest")
@@ -364,13 +386,14 @@ def classes(documents: DataFrame) -> DataFrame:
     # what is a link to all others of its bucket for sure needs no look there
     open_ = _told(found, kinds).filter(F.col("mixed") | (F.col("far") + F.col("farthest") > F.col("middle"))).withColumn("blocks", _blocks("m", "bytes"))
     met = open_.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "node", *_MEMBER, "signature")
+    met = met.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "node", "copies", *_MEMBER, "signature")
     ready = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node")
-    pairs = written(ready.mapInArrow(_prune, "bucket bigint, i int, j int, node bigint, partners array<bigint>"), "pairs")
+    pairs = written(ready.mapInArrow(_prune, "bucket bigint, i int, j int, node bigint, partners array<bigint>, paired boolean, links bigint, root bigint"), "pairs")
+    decided = pairs.filter("links > 0").select("node", "links", "root")
 
-    loaded = pairs.join(nodes.select("node", "copies"), "node").join(held, "node").select(*_PLACE, "node", "copies", "partners", "text")
+    loaded = pairs.filter("paired").join(nodes.select("node", "copies"), "node").join(held, "node").select(*_PLACE, "node", "copies", "partners", "text")
     compared = loaded.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "node").mapInArrow(_verify, "node bigint, links bigint, root bigint")
-    verified = written(compared.unionByName(sure_links(members)), "links")
+    verified = written(compared.unionByName(decided).unionByName(sure_links(members.drop("differs"))), "links")
 
     labels = components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
