@@ -50,6 +50,8 @@ VALUES = BANDS * BAND + STEP * STEPS
 TOLERANCE = 1e-6
 #: Documents of a bucket's block, and bytes of their texts.
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
+#: Bytes of rows that a task takes up at a time; a larger group is taken up whole.
+HELD = 4 << 20
 #: Documents of a bucket that make a family, and members that its set of shingles is taken from.
 FAMILY, SAMPLE = 32, 32
 
@@ -277,13 +279,14 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Undecided pairs inside a group that survive: of one family, decided by what differs from its set and counted;
     others as one row per document with the other documents it may be similar to."""
     least = least_matches()
-    for table, group in _groups(batches, _PLACE, 16 << 20):
+    for table, group in _groups(batches, _PLACE, HELD):
         family, middle, far = (table.column(c).to_numpy() for c in ("family", "middle", "far"))
         order = np.lexsort((-far, family, group))
-        table, group, family, middle, far = table.take(pa.array(order)), group[order], family[order], middle[order], far[order]
+        group, family, middle, far = group[order], family[order], middle[order], far[order]
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)[order]
+        table = table.drop_columns(["signature"]).take(pa.array(order))
         differs = table.column("differs").combine_chunks()
         apart = pc.fill_null(pc.list_value_length(differs), 0).to_numpy().astype(np.int64)
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
         node, band, block, copies = (table.column(c).to_numpy() for c in ("node", "band", "block", "copies"))
         links, root = np.zeros(len(node), np.int64), list(range(len(node)))
         across = table.column("i").to_numpy() != table.column("j").to_numpy()
@@ -328,7 +331,7 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact similarity of the surviving pairs: per group and document, the number of linked documents and the smallest document it hangs together with."""
-    for table, group in _groups(batches, _PLACE, 16 << 20):
+    for table, group in _groups(batches, _PLACE, HELD):
         node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         texts = table.column("text").combine_chunks()
         sets: list[np.ndarray] = []
