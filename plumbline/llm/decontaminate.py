@@ -81,7 +81,11 @@ def bit_map(windows: DataFrame) -> np.ndarray:
 
     Its size follows the number of different fingerprints, so that few others pass it, up to a bound.
     """
-    marks = windows.select("mark").distinct()
+    return map_of(windows.select("mark").distinct())
+
+
+def map_of(marks: DataFrame) -> np.ndarray:
+    """The bit map of different fingerprints."""
     bits = min(MOST, max(LEAST, 1 << (SPARSE * marks.count()).bit_length()))
     at = F.shiftright(F.pmod("mark", F.lit(bits)), 6).alias("at")
     table = marks.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) AS int))")).alias("bits")).toArrow()

@@ -167,13 +167,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
 
-def least_common(counts: DataFrame) -> int:
-    """The lowest count, 2 or more, down to which at most COMMON words are counted."""
+def least_common(counts: DataFrame, most: int) -> int:
+    """The lowest count, 2 or more, down to which at most ``most`` words are counted."""
     total, least = 0, None
-    # each of the highest counts has a word at least, so no more than COMMON of them matter
-    for r in counts.filter("n > 1").groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(COMMON + 1).toLocalIterator():
+    # each of the highest counts has a word at least, so no more than ``most`` of them matter
+    for r in counts.filter("n > 1").groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most + 1).toLocalIterator():
         total += r.words
-        if total > COMMON:
+        if total > most:
             return r.n + 1 if least is None else least
         least = r.n
     return 2
@@ -192,7 +192,7 @@ def vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     bucket = F.pmod(F.shiftrightunsigned("word", 20), F.lit(BUCKETS))
     for r in counts.join(known, "word", "left_anti").groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect():  # BUCKETS rows at most
         out[FREQUENT + r.b] = r.n
-    least = least_common(counts)
+    least = least_common(counts, COMMON)
     held = counts.filter(F.col("n") >= least).toArrow()  # COMMON rows at most
     common = Lookup(held.column("word").to_numpy().view(np.uint64), np.log(held.column("n").to_numpy()), 0.0)
     table = None

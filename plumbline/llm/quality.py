@@ -1,11 +1,14 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Words and runs of punctuation, case told apart, are the tokens of a trigram model. Counts, counts
+Words and runs of punctuation, case told apart, are the tokens of a trigram model. It is fitted on
+all trusted documents of one half, by runs of RUN tokens, each distinct run once. Counts, counts
 of contexts, continuation counts and discounts are Spark aggregations and joins, sharded by the
-hash of the n-gram or its context. The model is fitted on a bounded sample of the trusted text (at
-most about ``runs`` distinct runs of RUN tokens, by hash from all trusted documents of the half, as many of each
-language as it has and the others leave), so its tables are bounded too and every document is
-scored where it is read, by lookup instead of a shuffle of all its n-grams.
+hash of the n-gram or its context.
+
+A token's log-probability is a sum: the floor of unknown words, what each known n-gram that ends
+in it gains over the shorter one, and the weights of its known contexts. So a document's is a sum
+over its n-grams: the HELD most frequent ones are looked up where it is read, all others that a
+bit map lets pass are joined with the model's table.
 
 A document is kept if its perplexity is at most the ``level`` quantile of the trusted documents of
 its language that the model was not fitted on; a language without such documents takes the
@@ -18,19 +21,25 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.decontaminate import in_map, map_of
+from plumbline.llm.lmscore import least_common
 from plumbline.llm.store import written
 from plumbline.llm.words import Lookup, Words, _mixed, pieces, tokens_of
 
-#: The bounded sample: runs of trusted documents, tokens of a run.
-RUNS, RUN = 4_000, 256
+#: Tokens of a run, and runs that a task takes up at a time.
+RUN, TAKEN = 256, 1024
+#: N-grams whose values every task holds; those of all others are joined.
+HELD = 1 << 20
 #: The quantile of trusted perplexities up to which documents are kept.
 LEVEL = 0.995
 #: Stands before the first token of a text.
@@ -38,11 +47,13 @@ START = np.uint64(0x5354415254)
 
 
 class Model(NamedTuple):
-    third: Lookup  # discounted share of w after u v
-    third_rest: Lookup  # mass left to shorter contexts after u v
-    second: Lookup
-    second_rest: Lookup
-    first: Lookup
+    """What the held n-grams add to log-probabilities; the bit map and the table are of all others, if there are any."""
+
+    first: Lookup  # gain of a word or a longer n-gram over the shorter one without its first token
+    rest: Lookup  # log of the mass that an n-gram leaves to shorter contexts where it is the context
+    floor: float  # log-probability of an unknown word
+    bits: np.ndarray | None = None
+    table: DataFrame | None = None
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -63,9 +74,28 @@ def contexts(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def log_probabilities(hashes: np.ndarray, first: np.ndarray, m: Model) -> np.ndarray:
+    """As far as the held n-grams tell them."""
     uvw, uv, vw, v, w = contexts(hashes, first)
-    p = m.second(vw) + m.second_rest(v) * m.first(w)
-    return np.log(m.third(uvw) + m.third_rest(uv) * p)
+    return m.floor + m.first(uvw) + m.rest(uv) + m.first(vw) + m.rest(v) + m.first(w)
+
+
+def others(w: Words, m: Model) -> tuple[pa.ListArray, pa.ListArray]:
+    """Per text: its n-grams that only the table may have, and those of them that are no context, as they end it."""
+    uvw, uv, vw, v, w1 = contexts(w.hash, w.first)
+    begin, end = w.first[:-1][np.diff(w.first) > 0], w.first[1:][np.diff(w.first) > 0] - 1
+    last = np.zeros(len(w1), bool)
+    last[end] = True
+    # the context of a token is the n-gram that ends before it, but for the first of a text
+    keys = np.concatenate([uvw, vw, w1, uv[begin], v[begin]])
+    at = np.concatenate([np.arange(len(w1))] * 3 + [begin] * 2)
+    ends = np.concatenate([np.zeros(len(w1), bool), last, last, np.zeros(2 * len(begin), bool)])
+    rare = np.flatnonzero(in_map(m.bits, keys))
+    rare = rare[~m.first.has(keys[rare])]
+    out = []
+    for kind in (rare[~ends[rare]], rare[ends[rare]]):
+        kind = kind[np.argsort(at[kind], kind="stable")]
+        out.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(at[kind], w.first), pa.int32()), pa.array(keys[kind].view(np.int64))))
+    return out[0], out[1]
 
 
 def runs_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,19 +119,24 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(whose), batch.column("lang").take(whose), pa.array(at)], names=["doc_id", "lang", "at"])
 
 
-def _chosen(picked):
+def _chosen(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        missing = set(picked.value)  # every task gives a run once
+        there, given = bits.value, np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("text")
             for a, b in pieces(texts):
                 w = tokens_of(texts.slice(a, b - a))
                 start, _, at = runs_of(w)
-                stop = np.append(start[1:], len(w.hash))
-                found = {h: k for k, h in enumerate(at.tolist()) if h in missing}
-                missing -= found.keys()
-                runs = [w.hash[start[k] : stop[k]].view(np.int64) for k in found.values()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(runs, pa.list_(pa.int64()))], names=["at", "run"])
+                if not len(start):
+                    continue
+                stop = w.end[np.append(start[1:], len(w.hash)) - 1]
+                start = w.start[start]
+                fresh, k = np.unique(at, return_index=True)
+                new = in_map(there, fresh.view(np.uint64)) & ~np.isin(fresh, given)
+                fresh, k = fresh[new], k[new]
+                given = np.concatenate([given, fresh])  # a task gives a run once
+                runs = [w.data[start[j] : stop[j]].tobytes() for j in k.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(fresh), pa.array(runs, pa.binary())], names=["at", "run"])
 
     return run
 
@@ -115,12 +150,24 @@ def quotas(sizes: dict, total: int) -> dict:
     return out
 
 
-def _ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], key: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of some runs at a time, with what belongs to them and their counts."""
     for batch in batches:
-        runs = batch.column("run")
-        hashes = runs.flatten().to_numpy().view(np.uint64)
-        first = np.concatenate([[0], np.cumsum(runs.value_lengths().to_numpy())])
-        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in contexts(hashes, first)], names=["uvw", "uv", "vw", "v", "w"])
+        for k in range(0, batch.num_rows, TAKEN):
+            w = tokens_of(batch.column("run").slice(k, TAKEN))
+            found = contexts(w.hash, w.first)
+            _, at, n = np.unique(found[key], return_index=True, return_counts=True)
+            columns = dict(zip(("uvw", "uv", "vw", "v", "w"), found))
+            arrays = [pa.array(columns[x][at].view(np.int64)) for x in names]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n.astype(np.int64))], names=[*names, "n"])
+
+
+def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _contexts(batches, 0, ["uvw", "uv", "vw"])
+
+
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _contexts(batches, 2, ["vw", "v", "w"])
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -131,19 +178,21 @@ def discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1)]
 
 
-def shares(counts: DataFrame, key: str, context: str) -> tuple[DataFrame, DataFrame]:
-    """(key, share) discounted within the context, and (context, rest), the mass that the discounts leave."""
+def shares(counts: DataFrame, context: str) -> tuple[DataFrame, DataFrame]:
+    """The counts with ``share``, discounted within the context, and (context, total, rest), the mass that the discounts leave."""
     d1, d2, d3 = discounts(counts)
     taken = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
     totals = counts.groupBy(context).agg(F.sum("c").alias("total"), F.sum(taken).alias("taken"))
-    within = counts.join(totals, context).select(key, ((F.col("c") - taken) / F.col("total")).alias("value"))
-    return within, totals.select(context, (F.col("taken") / F.col("total")).alias("value"))
+    totals = totals.select(context, "total", (F.col("taken") / F.col("total")).alias("rest"))
+    return counts.join(totals, context).withColumn("share", (F.col("c") - taken) / F.col("total")).drop("total"), totals
 
 
-def lookup(table: DataFrame, missing: float) -> Lookup:
-    """A bounded table as arrays: its size is that of the sample."""
-    columns = table.toArrow()
-    return Lookup(columns.column(0).to_numpy().view(np.uint64), columns.column(1).to_numpy().astype(np.float64), missing)
+def entries(ngrams: DataFrame, key: str, contexts: DataFrame, context: str) -> DataFrame:
+    """Rows (key, c, gain, rest) of n-grams of one order, each also a context of longer ones or only that."""
+    left = ngrams.select(F.col(key).alias("key"), "c", "gain")
+    right = contexts.select(F.col(context).alias("key"), "total", F.log("rest").alias("rest"))
+    both = left.join(right, "key", "full")
+    return both.select("key", F.coalesce("c", "total").alias("c"), F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("rest", F.lit(0.0)).alias("rest"))
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -153,44 +202,66 @@ def trusted(labels: DataFrame) -> DataFrame:
     return good.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"))
 
 
-def train(documents: DataFrame, labels: DataFrame, runs: int = RUNS) -> Model | None:
-    spark = documents.sparkSession
+def runs_to_fit(documents: DataFrame, labels: DataFrame, runs: int | None = None) -> DataFrame:
+    """Rows (at, run): the distinct runs (their text) of all trusted documents of the half to fit on, or about ``runs`` of them."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     # distinct first: copies are one run, of the language that sorts first
     keys = texts.mapInArrow(_keys, "doc_id bigint, lang string, at bigint").join(trusted(labels).filter("half = 0").select("doc_id"), "doc_id", "left_semi")
     keys = written(keys.groupBy("at").agg(F.min("lang").alias("lang")), "runs")
-    sizes = {r.lang: r["count"] for r in keys.groupBy("lang").count().collect()}
-    if not sizes:
-        return None
-    quota, thin, place = quotas(sizes, runs), F.lit(False), F.pmod(F.xxhash64("at"), F.lit(1 << 30))
-    for lang, n in sizes.items():
-        thin = thin | (F.col("lang").eqNullSafe(F.lit(lang)) & (place < int(min(1.0, (2 * quota[lang] + 16) / n) * (1 << 30))))
-    picked, left = [], dict(quota)
-    for r in sorted(keys.filter(thin).collect(), key=lambda r: r["at"]):  # about twice ``runs``
-        if left[r.lang]:
-            left[r.lang] -= 1
-            picked.append(r["at"])
-    chosen = texts.select("text").mapInArrow(_chosen(spark.sparkContext.broadcast(picked)), "at bigint, run array<bigint>").groupBy("at").agg(F.any_value("run").alias("run"))
-    grams = chosen.select("run").mapInArrow(_ngrams, "uvw bigint, uv bigint, vw bigint, v bigint, w bigint")
-    three = written(grams.groupBy("uvw").agg(F.count(F.lit(1)).alias("c"), *(F.min(x).alias(x) for x in ("uv", "vw", "v", "w"))), "trigrams")
+    if runs is not None:
+        sizes = {r.lang: r["count"] for r in keys.groupBy("lang").count().collect()}
+        quota, thin, place = quotas(sizes, runs), F.lit(False), F.pmod(F.xxhash64("at"), F.lit(1 << 30))
+        for lang, n in sizes.items():
+            thin = thin | (F.col("lang").eqNullSafe(F.lit(lang)) & (place < int(min(1.0, (2 * quota[lang] + 16) / n) * (1 << 30))))
+        picked, left = [], dict(quota)
+        for r in sorted(keys.filter(thin).collect(), key=lambda r: r["at"]):  # about twice ``runs``
+            if left[r.lang]:
+                left[r.lang] -= 1
+                picked.append((r["at"],))
+        keys = documents.sparkSession.createDataFrame(picked, "at bigint")
+    bits = documents.sparkSession.sparkContext.broadcast(map_of(keys.select(F.col("at").alias("mark"))))
+    found = texts.select("text").mapInArrow(_chosen(bits), "at bigint, run binary")
+    return found.join(keys.select("at"), "at", "left_semi").groupBy("at").agg(F.any_value("run").alias("run"))
+
+
+def train(documents: DataFrame, labels: DataFrame, runs: int | None = None) -> Model | None:
+    """The model of all trusted text to fit on; of about ``runs`` of its runs, if that is given."""
+    fitted = written(runs_to_fit(documents, labels, runs).select("run"), "fitted")
+    three = fitted.mapInArrow(_trigrams, "uvw bigint, uv bigint, vw bigint, n bigint").groupBy("uvw")
+    three = written(three.agg(F.sum("n").alias("c"), F.min("uv").alias("uv"), F.min("vw").alias("vw")), "trigrams")
     # lower orders count in how many contexts an n-gram appears
-    two = written(three.groupBy("vw").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v"), F.min("w").alias("w")), "bigrams")
-    one = two.groupBy("w").agg(F.count(F.lit(1)).alias("c")).withColumn("all", F.lit(0))
+    parts = fitted.mapInArrow(_bigrams, "vw bigint, v bigint, w bigint, n bigint").groupBy("vw").agg(F.min("v").alias("v"), F.min("w").alias("w"))
+    two = written(three.groupBy("vw").agg(F.count(F.lit(1)).alias("c")).join(parts, "vw"), "bigrams")
+    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words").withColumn("all", F.lit(0))
     words = one.count()
     if not words:
         return None
-    third, third_rest = shares(three, "uvw", "uv")
-    second, second_rest = shares(two, "vw", "v")
-    first, first_rest = shares(one, "w", "all")
-    unknown = first_rest.first()["value"] / (words + 1)  # shared evenly by all known words and one for the unknown
-    return Model(
-        lookup(third, 0.0), lookup(third_rest, 1.0), lookup(second, 0.0), lookup(second_rest, 1.0), lookup(first.select("w", (F.col("value") + unknown).alias("value")), unknown)
-    )
+    first, left = shares(one, "all")
+    unknown = left.first()["rest"] / (words + 1)  # shared evenly by all known words and one for the unknown
+    first = first.withColumn("p", F.col("share") + unknown).withColumn("gain", F.log("p") - math.log(unknown))
+    second, after_word = shares(two, "v")
+    second = second.join(first.select("w", F.col("p").alias("shorter")), "w")
+    second = second.withColumn("p", F.col("share") + F.col("rest") * F.col("shorter")).withColumn("gain", F.log("p") - F.log("rest") - F.log("shorter"))
+    second = written(second.select("vw", "c", "p", "gain"), "bigram-gains")
+    third, after_pair = shares(three, "uv")
+    third = third.join(second.select("vw", F.col("p").alias("shorter")), "vw")
+    third = third.withColumn("gain", F.log(F.col("share") + F.col("rest") * F.col("shorter")) - F.log("rest") - F.log("shorter"))
+    longest = third.select(F.col("uvw").alias("key"), "c", "gain", F.lit(0.0).alias("rest"))
+    table = written(longest.union(entries(second, "vw", after_pair, "uv")).union(entries(first, "w", after_word, "v")), "model")
+    least = 1 if table.count() <= HELD else least_common(table.withColumnRenamed("c", "n"), HELD)
+    held = table.filter(F.col("c") >= least).toArrow()  # HELD rows at most
+    keys = held.column("key").to_numpy().view(np.uint64)
+    gains, rests = (Lookup(keys, held.column(x).to_numpy(), 0.0) for x in ("gain", "rest"))
+    if least == 1:
+        return Model(gains, rests, math.log(unknown))
+    rare = table.filter(F.col("c") < least)
+    return Model(gains, rests, math.log(unknown), map_of(rare.select(F.col("key").alias("mark"))), rare)
 
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = model.value
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
             for a, b in pieces(texts):
@@ -198,19 +269,34 @@ def _score(model):
                 n = np.diff(w.first)
                 logs = np.zeros(len(w.hash)) if m is None else log_probabilities(w.hash, w.first, m)
                 sums = np.concatenate([[0.0], np.cumsum(logs)])
-                mean = (sums[w.first[1:]] - sums[w.first[:-1]]) / np.maximum(n, 1)
-                perplexity = pa.array(np.exp(-mean), mask=(n == 0) | (m is None))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), pa.array(n), perplexity], names=["doc_id", "lang", "n_tokens", "perplexity"])
+                total = pa.array(sums[w.first[1:]] - sums[w.first[:-1]], mask=(n == 0) | (m is None))
+                none = pa.nulls(b - a, pa.list_(pa.int64()))
+                rare, ends = (none, none) if m is None or m.bits is None else others(w, m)
+                arrays = [pa.array(np.arange(row, row + b - a)), batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), pa.array(n), total, rare, ends]
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "lang", "n_tokens", "total", "rare", "ends"])
+                row += b - a
 
     return run
 
 
+def score(documents: DataFrame, model: Model | None) -> DataFrame:
+    """Rows (doc_id, lang, n_tokens, perplexity), one per document row."""
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    shared = documents.sparkSession.sparkContext.broadcast(model and model._replace(table=None))
+    columns = "row bigint, doc_id bigint, lang string, n_tokens bigint, total double, rare array<bigint>, ends array<bigint>"
+    scored = rows.mapInArrow(_score(shared), columns)
+    if model and model.table is not None:
+        scored = written(scored, "scores")  # rows keep their numbers
+        contexts = scored.select("row", F.explode("rare").alias("key"), F.lit(1.0).alias("weight"))
+        asked = contexts.union(scored.select("row", F.explode("ends").alias("key"), F.lit(0.0).alias("weight")))
+        more = asked.join(model.table, "key").groupBy("row").agg(F.sum(F.col("gain") + F.col("weight") * F.col("rest")).alias("more"))
+        scored = scored.drop("rare", "ends").join(more, "row", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    return scored.select("doc_id", "lang", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-F.col("total") / F.col("n_tokens"))).alias("perplexity"))
+
+
 def classify(documents: DataFrame, labels: DataFrame, level: float = LEVEL) -> DataFrame:
     """Rows (doc_id, lang, n_tokens, perplexity, threshold, keep), one per document row."""
-    spark = documents.sparkSession
-    model = spark.sparkContext.broadcast(train(documents, labels))
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    scored = written(rows.mapInArrow(_score(model), "doc_id bigint, lang string, n_tokens bigint, perplexity double"), "perplexities")
+    scored = written(score(documents, train(documents, labels)), "perplexities")
     known = scored.join(trusted(labels).filter("half = 1").select("doc_id"), "doc_id", "left_semi").filter("perplexity IS NOT NULL")
     quantile = F.percentile_approx("perplexity", level, 10_000)
     by_lang = known.groupBy("lang").agg(quantile.alias("own")).withColumnRenamed("lang", "of")  # a row per language

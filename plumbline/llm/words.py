@@ -151,17 +151,30 @@ class Lookup:
 
     def __call__(self, asked: np.ndarray) -> np.ndarray:
         out = np.full(len(asked), self.missing, self.values.dtype)
+        known, at = self._find(asked)
+        out[known] = self.values[at]
+        return out
+
+    def has(self, asked: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(asked), bool)
+        out[self._find(asked)[0]] = True
+        return out
+
+    def _find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the asked keys there are, and where."""
         bucket = (asked >> self.shift).astype(np.int64)
         at, end = self.first[bucket], self.first[bucket + 1]
         open_ = np.flatnonzero(at < end)
         at, end = at[open_], end[open_]
+        known, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         while len(open_):
             found = self.keys[at] == asked[open_]
-            out[open_[found]] = self.values[at[found]]
+            known.append(open_[found])
+            places.append(at[found])
             at += 1
             more = ~found & (at < end)
             open_, at, end = open_[more], at[more], end[more]
-        return out
+        return np.concatenate(known), np.concatenate(places)
 
 
 def pieces(column: pa.Array, most: int = 2 * BLOCK):

@@ -81,6 +81,32 @@ def test_copies_and_common_languages_leave_room(spark, documents):
     assert quality.quotas({"a": 5, None: 2, "c": 100}, 30) == {None: 2, "a": 5, "c": 23} and quality.quotas({"a": 9, "b": 9}, 1) == {"a": 1, "b": 1}
 
 
+def test_all_trusted_text_is_counted(spark, documents):
+    """More runs than a bounded sample would hold: no word of the fitted half is unknown, and none of the other half is known."""
+    df = documents(*((k, f"word{k} is here") for k in range(9000)))
+    labels = df.selectExpr("doc_id", "1 AS quality")
+    model = quality.train(df, labels)
+    half = {r.doc_id: r.half for r in quality.trusted(labels).collect()}
+    known = model.first(tokens_of(pa.array([" ".join(f"word{k}" for k in range(9000))])).hash) > model.first.missing
+    assert known.tolist() == [half[k] == 0 for k in range(9000)]
+
+
+def test_held_and_joined_ngrams_score_alike(spark, documents, monkeypatch):
+    texts = corpus(120) + [f"the cat sits {k} of and {k % 7} dogs" for k in range(200)]
+    odd = [(1000, "zq xv"), (1001, None), (1002, ""), (7, texts[7]), (7, texts[7]), (1003, "the"), (1004, "the cat " * 3000)]
+    df = documents(*enumerate(texts), *odd)
+    labels = spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id bigint, quality int")
+    order = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    held = order(quality.score(df, quality.train(df, labels)).select("doc_id", "n_tokens", "perplexity").collect())
+    for most in (60, 0):
+        monkeypatch.setattr(quality, "HELD", most)
+        model = quality.train(df, labels)
+        assert model.table is not None and len(model.first.keys) <= most
+        got = order(quality.score(df, model).select("doc_id", "n_tokens", "perplexity").collect())
+        assert [r[:2] for r in got] == [r[:2] for r in held]
+        assert all((x[2] is None) == (y[2] is None) and (x[2] is None or math.isclose(x[2], y[2], rel_tol=1e-9)) for x, y in zip(got, held))
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t.split() for t in corpus(50)])
     words = {w for t in corpus(50) for w in t.split()}
