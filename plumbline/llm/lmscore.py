@@ -7,10 +7,10 @@ hash. The output layer is a softmax over classes of ids, then over the ids of th
 a bucket also takes its share of the bucket's tokens, from the counts of all words of the corpus.
 One count a bucket is left for words the corpus does not hold.
 
-The network is trained in numpy: in each of ``ROUNDS`` rounds every task starts from the common
-parameters, takes gradient steps on one in ``ONE_IN`` of its tokens (chosen by position and hash, from
-all documents; most tokens are scored but never trained on), and the parameters of all tasks are averaged, weighted by tokens, in a tree of
-Spark aggregations. So what is gathered grows with the corpus, and no task or driver holds more
+The network is trained in numpy on every token of all documents: each text belongs to one of
+``ROUNDS`` rounds, by its hash. In a round every task starts from the common parameters, takes gradient
+steps on all tokens of its texts of the round, in an order drawn by hash within some 2 MB of text, and
+the parameters of all tasks are averaged, weighted by tokens, in a tree of Spark aggregations. So what is gathered grows with the corpus, and no task or driver holds more
 than a few parameter sets. Defined results: null and wordless texts have 0 tokens, score 0 and no
 mean (null); repeated rows score alike; extra columns are ignored; an empty table gives an empty table.
 """
@@ -35,8 +35,8 @@ IDS = FREQUENT + BUCKETS
 CLASSES = IDS // CLASS
 #: Tokens seen on either side, and sizes of an embedding and of the hidden layer.
 SIDE, EMBEDDING, HIDDEN = 3, 16, 32
-#: Rounds of averaging, share of the tokens trained on in each (one in so many), tokens of a gradient step, and its size.
-ROUNDS, ONE_IN, STEP, RATE = 2, 16, 512, 0.05
+#: Rounds of averaging, tokens of a task's first gradient steps and of its last ones, and the size of a step.
+ROUNDS, STEP, LONGEST, RATE = 2, 512, 4096, 0.05
 #: Words whose counts every task holds; the counts of all others are joined.
 COMMON = 131_072
 #: Tokens scored at once, and parameter sets added up by one task.
@@ -101,11 +101,6 @@ def windows(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
 def log_probabilities(net: Network, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each id, given the ids around it."""
     x = net.embedding[around].reshape(len(ids), -1)
@@ -126,31 +121,41 @@ def _log_softmax(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
     return z[picked, np.arange(z.shape[1])] - np.log(np.exp(z).sum(axis=0))
 
 
+def _errors(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """One for the picked entry of each column, less the column's softmax; in place."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z /= -z.sum(axis=0)
+    z[picked, np.arange(z.shape[1])] += 1
+    return z
+
+
 def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) -> None:
     """One gradient step (Adagrad) on the mean log-probability, in place."""
     n = len(ids)
-    x = net.embedding[around].reshape(n, -1)
-    h = np.tanh(x @ net.hidden + net.hidden_bias)
+    order = np.argsort((ids // CLASS).astype(np.int16), kind="stable")  # tokens of a class side by side
+    around, ids = around[order], ids[order]
     kind, inside = ids // CLASS, ids % CLASS
-    dz = -_softmax(h @ net.to_class + net.class_bias)
-    dz[np.arange(n), kind] += 1
-    dh = dz @ net.to_class.T
+    cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    x = np.take(net.embedding, around.ravel(), axis=0).reshape(n, -1)
+    h = np.tanh(net.hidden.T @ x.T + net.hidden_bias[:, None])
+    dz = _errors(net.to_class.T @ h + net.class_bias[:, None], kind)
+    dh = net.to_class @ dz
     to_id, id_bias = np.zeros_like(net.to_id), np.zeros_like(net.id_bias)
-    for c in np.unique(kind).tolist():
-        rows = np.flatnonzero(kind == c)
-        d = -_softmax(h[rows] @ net.to_id[c] + net.id_bias[c])
-        d[np.arange(len(rows)), inside[rows]] += 1
-        dh[rows] += d @ net.to_id[c].T
-        to_id[c], id_bias[c] = h[rows].T @ d, d.sum(axis=0)
+    for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            d = _errors(net.to_id[c].T @ h[:, a:b] + net.id_bias[c][:, None], inside[a:b])
+            dh[:, a:b] += net.to_id[c] @ d
+            to_id[c], id_bias[c] = h[:, a:b] @ d.T, d.sum(axis=1)
     da = dh * (1 - h * h)
-    dx = (da @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
-    flat = around.ravel()
+    dx = (da.T @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
+    flat = around.ravel().astype(np.int16)
     order = np.argsort(flat, kind="stable")
     used, begin = np.unique(flat[order], return_index=True)
-    embedding = np.add.reduceat(dx[order], begin, axis=0)
+    embedding = np.add.reduceat(np.take(dx, order, axis=0), begin, axis=0)
     for whole, total, part, where in (
-        (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, x.T @ da, ...), (net.hidden_bias, grown.hidden_bias, da.sum(axis=0), ...),
-        (net.to_class, grown.to_class, h.T @ dz, ...), (net.class_bias, grown.class_bias, dz.sum(axis=0), ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
+        (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, (da @ x).T, ...), (net.hidden_bias, grown.hidden_bias, da.sum(axis=1), ...),
+        (net.to_class, grown.to_class, h @ dz.T, ...), (net.class_bias, grown.class_bias, dz.sum(axis=1), ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
     ):
         part = part / n
         total[where] += part * part
@@ -202,7 +207,7 @@ def vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     return Vocabulary(ids, common, np.log(out[FREQUENT:] + 1), table), out
 
 
-def _train(shared, turn: int):
+def _train(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = shared.value
         net = unpacked(flat)
@@ -212,14 +217,12 @@ def _train(shared, turn: int):
             for a, b in pieces(batch.column(0)):
                 w = words_of(batch.column(0).slice(a, b - a))
                 ids = words(w.hash)
-                at = np.arange(len(ids))
-                draw = _mixed(w.hash + (at + turn).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                chosen = at[draw % np.uint64(ONE_IN) == 0]
-                chosen = chosen[np.argsort(draw[chosen], kind="stable")]
-                for k in range(0, len(chosen), STEP):
-                    part = chosen[k : k + STEP]
+                order = np.argsort(_mixed(w.hash + np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")
+                while len(order):
+                    # steps are short at first, and grow with what the task has seen
+                    part, order = np.split(order, [min(max(seen // 16, STEP), LONGEST)])
                     learn(net, windows(ids, w.first, part), ids[part], grown)
-                seen += len(chosen)
+                    seen += len(part)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(net.packed() * np.float32(seen)).tobytes()], pa.binary())], names=["n", "sums"])
 
@@ -251,7 +254,8 @@ def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS) -> tu
     flat = untrained(counts).packed()
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((words, flat))
-        found = averaged(texts.mapInArrow(_train(shared, turn), "n bigint, sums binary"))
+        share = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn)
+        found = averaged(share.mapInArrow(_train(shared), "n bigint, sums binary"))
         flat = flat if found is None else found
     return words, flat
 

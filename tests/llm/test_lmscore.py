@@ -63,6 +63,22 @@ def test_training_learns_what_follows(spark, documents):
     assert np.isclose(lm.token_scores(w, words, lm.unpacked(flat)).sum(), got[5].score)
 
 
+def test_every_token_is_trained_on_once(spark, documents, monkeypatch):
+    """The rounds' weights are the tokens they trained on: together all of the corpus, repeated rows included."""
+    rng = random.Random(3)
+    docs = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 60)))) for k in range(400)]
+    weights, average = [], lm.averaged
+
+    def counted(parts):
+        parts = parts.cache()
+        weights.append(sum(r.n for r in parts.select("n").collect()))
+        return average(parts)
+
+    monkeypatch.setattr(lm, "averaged", counted)
+    lm.train(spark, documents(*docs, docs[5], (900, None), (901, "")))
+    assert sum(weights) == sum(len(t.split()) for _, t in [*docs, docs[5]]) and all(weights) and len(weights) == lm.ROUNDS
+
+
 def test_rare_words_take_their_share_of_the_bucket(spark, documents, monkeypatch):
     """The probabilities of all words, and of one unseen word a bucket, sum to one; held or joined, the counts are the same."""
     often = [f"r{k}" for k in range(3000) for _ in range(1 + k % 3)]
