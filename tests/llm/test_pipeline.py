@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -36,6 +37,28 @@ def pairs(rows):
     return sorted(((r.doc_id, r.text) for r in rows), key=str)
 
 
+@pytest.mark.parametrize("chosen", [None, str(9 << 20)])
+def test_rows_go_to_python_in_small_batches(stages, spark, chosen):
+    """Whatever the texts' length, a task holds a batch of bounded bytes; a size that the session sets stays."""
+    folder, _ = stages
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long = spark.range(48, numPartitions=1).selectExpr("repeat('a word ', 100000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    try:
+        spark.conf.unset(key)
+        if chosen:
+            spark.conf.set(key, chosen)
+        corpus_pipeline.identify_language(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        most = max(r.n for r in long.mapInArrow(sizes, "n bigint").collect())
+        assert spark.conf.get(key) == (chosen or str(corpus_pipeline.BATCH)) and most <= int(spark.conf.get(key)) + 800_000
+    finally:
+        spark.conf.unset(key)
+
+
 def test_stages_keep_the_columns(stages, spark):
     _, rows = stages
     assert all(r[0].asDict().keys() == rows[0][0].asDict().keys() for r in rows[1:-1])
