@@ -18,8 +18,8 @@ from plumbline.llm import decontaminate, jaccard, langid, toxicity
 from plumbline.llm.queries import encoded_digests, language_model, table, toxicity_model
 from plumbline.llm.store import written
 
-#: Bytes of a batch of rows on its way to Python, where texts are treated 2 MB at a time; both sides hold whole batches.
-BATCH = 4 << 20
+#: Bytes of a batch of rows on its way to Python, where texts are treated 2 MB at a time at most; both sides hold whole batches.
+BATCH = 1 << 20
 
 
 def in_batches(stage):

@@ -40,6 +40,8 @@ from plumbline.llm.words import LONG, _long_hash, _mixed, _powers, pieces
 LEXICON_WORDS, LEXICON_BYTES = 131_072, 64
 #: Words a worker remembers before it starts afresh, and characters or ids that are worked on at a time.
 REMEMBERED, BLOCK = 200_000, 1 << 18
+#: Bytes of texts that are encoded or counted at a time; working arrays take some 50 times as much.
+SLICE = 1 << 19
 #: The one pattern of words that is supported: contractions, runs of letters, single numerals, runs of the rest.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE, LETTER, NUMERAL, REST, SPECIAL = range(5)
@@ -224,6 +226,12 @@ class Tokenizer:
         return self._spaced
 
 
+@functools.lru_cache(maxsize=1)
+def tokenizer_of(file: str) -> Tokenizer:
+    """One for all tasks of a worker, and for both directions."""
+    return Tokenizer(file)
+
+
 # ------------------------------------------------------------------ the transducer
 
 
@@ -336,14 +344,14 @@ class Transducer:
 
 def _counts(file):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, seen = Tokenizer(file.value), Counter()
+        tokenizer, seen = tokenizer_of(file.value), Counter()
 
         def flushed() -> pa.RecordBatch:
             short = {w: n for w, n in seen.items() if len(w.encode()) <= LEXICON_BYTES}
             return pa.RecordBatch.from_arrays([pa.array(short.keys(), pa.string()), pa.array(short.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for a, b in pieces(batch.column(0)):
+            for a, b in pieces(batch.column(0), SLICE):
                 words, _, n = tokenizer.split(batch.column(0).slice(a, b - a).to_pylist()).distinct()
                 seen.update(dict(zip(words, n.tolist())))
                 if len(seen) > REMEMBERED:
@@ -385,7 +393,7 @@ def _mapped(block: bytes) -> Transducer:
 
 def _encoder(file, block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, transducer = Tokenizer(file.value), _mapped(block.value)
+        tokenizer, transducer = tokenizer_of(file.value), _mapped(block.value)
         known: dict[str, bytes] = {t: np.int32(i).tobytes() for t, i in tokenizer.special.items()}
         specials = dict(known)
 
@@ -395,7 +403,7 @@ def _encoder(file, block):
 
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
-            for a, b in pieces(texts):
+            for a, b in pieces(texts, SLICE):
                 split = tokenizer.split(texts.slice(a, b - a).to_pylist())
                 words, which, _ = split.distinct()
                 if len(known) > REMEMBERED:
@@ -433,7 +441,7 @@ def encode(spark: SparkSession, documents: DataFrame, path: str, size: int = LEX
 
 def _decoder(file):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(file.value)
+        tokenizer = tokenizer_of(file.value)
         for batch in batches:
             lists = batch.column("ids")
             values, first = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
