@@ -41,6 +41,12 @@ ROUNDS, STEP, LONGEST, RATE = 2, 512, 4096, 0.05
 COMMON = 131_072
 #: Tokens scored at once, and parameter sets added up by one task.
 CHUNK, FAN = 1 << 15, 16
+#: Counts that a task holds before it gives them on.
+HELD = 1 << 19
+#: Tokens whose arrays stay in a core's own cache.
+NEAR = 2048
+#: Exponents up to which sums of exponentials stay well inside single precision.
+SAFE = 60
 _OFFSETS = [k for k in range(-SIDE, SIDE + 1) if k]
 
 
@@ -89,44 +95,74 @@ class Vocabulary(NamedTuple):
         return np.where(found >= 0, found, FREQUENT + (hashes >> np.uint64(20)).astype(np.int64) % BUCKETS)
 
 
+class Surroundings(NamedTuple):
+    """Ids of consecutive texts with SIDE pads before, between and after them, and where each token is in that."""
+
+    ids: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray, first: np.ndarray) -> Surroundings:
+        place = np.arange(len(ids)) + np.repeat(SIDE * np.arange(1, len(first)), np.diff(first))
+        padded = np.full(len(ids) + SIDE * len(first), IDS, np.int64)
+        padded[place] = ids
+        return cls(padded, place)
+
+    def windows(self, at: np.ndarray | slice) -> np.ndarray:
+        return self.ids[self.place[at][:, None] + np.array(_OFFSETS)]
+
+
 def windows(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Ids around the positions ``at``, the pad beyond the ends of a text."""
-    owner = np.searchsorted(first, at, side="right") - 1
-    low, high = first[owner], first[owner + 1]
-    out = np.empty((len(at), len(_OFFSETS)), np.int64)
-    for k, offset in enumerate(_OFFSETS):
-        there = at + offset
-        inside = (there >= low) & (there < high)
-        out[:, k] = np.where(inside, ids[np.where(inside, there, 0)], IDS)
-    return out
+    return Surroundings.of(ids, first).windows(at)
 
 
 def log_probabilities(net: Network, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each id, given the ids around it."""
-    x = net.embedding[around].reshape(len(ids), -1)
-    h = np.tanh(x @ net.hidden + net.hidden_bias)
-    kind = ids // CLASS
-    out = _log_softmax(net.to_class.T @ h.T + net.class_bias[:, None], kind)
+    kind = (ids // CLASS).astype(np.int16)
     order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(cuts)).tolist():
-        rows = order[cuts[c] : cuts[c + 1]]
-        out[rows] += _log_softmax(net.to_id[c].T @ h[rows].T + net.id_bias[c][:, None], ids[rows] % CLASS)
+    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
+    h = np.empty((len(ids), HIDDEN), net.hidden.dtype)  # tokens of a class side by side
+    around, kind, inside = around[order], kind[order], ids[order] % CLASS
+    found, out = np.empty(len(ids)), np.empty(len(ids))
+    for k in range(0, len(ids), NEAR):
+        rows = slice(k, k + NEAR)
+        x = np.take(net.embedding, around[rows], axis=0).reshape(-1, 2 * SIDE * EMBEDDING)
+        part = np.tanh(x @ net.hidden + net.hidden_bias, out=h[rows])
+        found[rows] = _log_softmax(part @ net.to_class + net.class_bias, kind[rows])
+    for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        for k in range(a, b, NEAR):
+            rows = slice(k, min(k + NEAR, b))
+            found[rows] += _log_softmax(h[rows] @ net.to_id[c] + net.id_bias[c], inside[rows])
+    out[order] = found
     return out
 
 
+def _exponentials(z: np.ndarray) -> np.ndarray:
+    """The exponentials of each row, up to a factor, in place, and their sums; products with ones are the fastest sums."""
+    np.exp(z, out=z)
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _bounded(z: np.ndarray) -> np.ndarray:
+    """Rows less their maxima, if exponentials could leave the range of numbers."""
+    if not (z.max() < SAFE and z.min() > -SAFE):
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
 def _log_softmax(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Of each column, the picked entry; sums down long columns are what numpy does fast."""
-    z -= z.max(axis=0)
-    return z[picked, np.arange(z.shape[1])] - np.log(np.exp(z).sum(axis=0))
+    """Of each row, the log of the picked entry's share."""
+    z = _bounded(z)
+    chosen = z[np.arange(len(z)), picked]
+    return chosen - np.log(_exponentials(z))
 
 
 def _errors(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """One for the picked entry of each column, less the column's softmax; in place."""
-    z -= z.max(axis=0)
-    np.exp(z, out=z)
-    z /= -z.sum(axis=0)
-    z[picked, np.arange(z.shape[1])] += 1
+    """One for the picked entry of each row, less the row's softmax; in place."""
+    z = _bounded(z)
+    z *= (-1 / _exponentials(z))[:, None]
+    z[np.arange(len(z)), picked] += 1
     return z
 
 
@@ -137,39 +173,68 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
     around, ids = around[order], ids[order]
     kind, inside = ids // CLASS, ids % CLASS
     cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    some = [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
     x = np.take(net.embedding, around.ravel(), axis=0).reshape(n, -1)
-    h = np.tanh(net.hidden.T @ x.T + net.hidden_bias[:, None])
-    dz = _errors(net.to_class.T @ h + net.class_bias[:, None], kind)
-    dh = net.to_class @ dz
+    h = x @ net.hidden + net.hidden_bias
+    np.tanh(h, out=h)
+    one = np.ones(n, h.dtype)
+    dz = _errors(h @ net.to_class + net.class_bias, kind)
+    dh = dz @ net.to_class.T
     to_id, id_bias = np.zeros_like(net.to_id), np.zeros_like(net.id_bias)
-    for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        if a < b:
-            d = _errors(net.to_id[c].T @ h[:, a:b] + net.id_bias[c][:, None], inside[a:b])
-            dh[:, a:b] += net.to_id[c] @ d
-            to_id[c], id_bias[c] = h[:, a:b] @ d.T, d.sum(axis=1)
+    d = np.empty((n, CLASS), h.dtype)
+    for c, a, b in some:
+        np.matmul(h[a:b], net.to_id[c], out=d[a:b])
+        d[a:b] += net.id_bias[c]
+    _errors(d, inside)  # of all classes at once
+    for c, a, b in some:
+        dh[a:b] += d[a:b] @ net.to_id[c].T
+        np.matmul(h[a:b].T, d[a:b], out=to_id[c])
+        id_bias[c] = one[a:b] @ d[a:b]
     da = dh * (1 - h * h)
-    dx = (da.T @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
+    dx = (da @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
     flat = around.ravel().astype(np.int16)
     order = np.argsort(flat, kind="stable")
-    used, begin = np.unique(flat[order], return_index=True)
-    embedding = np.add.reduceat(np.take(dx, order, axis=0), begin, axis=0)
+    flat = flat[order]
+    begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    used = flat[begin]
+    pairs = np.take(dx, order, axis=0).view(np.result_type(dx, np.complex64))  # two entries are added at a time
+    embedding = np.add.reduceat(pairs, begin, axis=0).view(dx.dtype)
     for whole, total, part, where in (
-        (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, (da @ x).T, ...), (net.hidden_bias, grown.hidden_bias, da.sum(axis=1), ...),
-        (net.to_class, grown.to_class, h @ dz.T, ...), (net.class_bias, grown.class_bias, dz.sum(axis=1), ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
+        (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, (da.T @ x).T, ...), (net.hidden_bias, grown.hidden_bias, one @ da, ...),
+        (net.to_class, grown.to_class, h.T @ dz, ...), (net.class_bias, grown.class_bias, one @ dz, ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
     ):
         part = part / n
-        total[where] += part * part
-        whole[where] += RATE * part / np.sqrt(total[where])
+        total[where] = so_far = total[where] + part * part
+        part /= np.sqrt(so_far)
+        part *= RATE
+        whole[where] += part
 
 
 # ------------------------------------------------------------------ on Spark
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words, added up over as many slices as have HELD words together."""
+    held, size = [], 0
+
+    def added() -> pa.RecordBatch:
+        words, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(words, kind="stable")
+        words = words[order]
+        begin = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        return pa.RecordBatch.from_arrays([pa.array(words[begin].view(np.int64)), pa.array(np.add.reduceat(n[order], begin))], names=["word", "n"])
+
     for batch in batches:
         for a, b in pieces(batch.column(0)):
             words, n = np.unique(words_of(batch.column(0).slice(a, b - a)).hash, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+            if len(words):
+                held.append((words, n.astype(np.int64)))
+                size += len(words)
+            if size > HELD:
+                yield added()
+                held, size = [], 0
+    if held:
+        yield added()
 
 
 def least_common(counts: DataFrame, most: int) -> int:
@@ -217,11 +282,12 @@ def _train(shared):
             for a, b in pieces(batch.column(0)):
                 w = words_of(batch.column(0).slice(a, b - a))
                 ids = words(w.hash)
+                near = Surroundings.of(ids, w.first)
                 order = np.argsort(_mixed(w.hash + np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")
                 while len(order):
                     # steps are short at first, and grow with what the task has seen
                     part, order = np.split(order, [min(max(seen // 16, STEP), LONGEST)])
-                    learn(net, windows(ids, w.first, part), ids[part], grown)
+                    learn(net, near.windows(part), ids[part], grown)
                     seen += len(part)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(net.packed() * np.float32(seen)).tobytes()], pa.binary())], names=["n", "sums"])
@@ -260,20 +326,22 @@ def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS) -> tu
     return words, flat
 
 
-def token_scores(w: Words, words: Vocabulary, net: Network) -> np.ndarray:
-    ids = words(w.hash)
+def token_scores(w: Words, words: Vocabulary, net: Network, ids: np.ndarray | None = None) -> np.ndarray:
+    ids = words(w.hash) if ids is None else ids
     out = np.zeros(len(ids))
+    near = Surroundings.of(ids, w.first)
     for k in range(0, len(ids), CHUNK):
-        at = np.arange(k, min(k + CHUNK, len(ids)))
-        out[at] = log_probabilities(net, windows(ids, w.first, at), ids[at])
+        at = slice(k, k + CHUNK)
+        out[at] = log_probabilities(net, near.windows(at), ids[at])
     shared = np.flatnonzero(ids >= FREQUENT)
     out[shared] += words.common(w.hash[shared]) - words.totals[ids[shared] - FREQUENT]
     return out
 
 
-def rare_words(w: Words, words: Vocabulary) -> pa.ListArray:
+def rare_words(w: Words, words: Vocabulary, ids: np.ndarray) -> pa.ListArray:
     """The words of each text whose counts only the table may have."""
-    rare = np.flatnonzero((words(w.hash) >= FREQUENT) & (words.common(w.hash) == 0))
+    rare = np.flatnonzero(ids >= FREQUENT)
+    rare = rare[words.common(w.hash[rare]) == 0]
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, w.first), pa.int32()), pa.array(w.hash[rare].view(np.int64)))
 
 
@@ -285,9 +353,10 @@ def _score(shared):
         for batch in batches:
             for a, b in pieces(batch.column("text")):
                 w = words_of(batch.column("text").slice(a, b - a))
-                sums = np.concatenate([[0.0], np.cumsum(token_scores(w, words, net))])
+                ids = words(w.hash)
+                sums = np.concatenate([[0.0], np.cumsum(token_scores(w, words, net, ids))])
                 total = sums[w.first[1:]] - sums[w.first[:-1]]
-                rare = rare_words(w, words) if words.table else pa.nulls(b - a, pa.list_(pa.int64()))
+                rare = rare_words(w, words, ids) if words.table else pa.nulls(b - a, pa.list_(pa.int64()))
                 arrays = [pa.array(np.arange(row, row + b - a)), batch.column("doc_id").slice(a, b - a), pa.array(np.diff(w.first)), pa.array(total), rare]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "score", "rare"])
                 row += b - a

@@ -140,3 +140,44 @@ def test_scores_of_the_corpus_beat_word_frequencies(rows, duck):
     assert tokens == counts.sum()
     shares = float((counts * np.log(counts / tokens)).sum() / tokens)
     assert sum(r.score for r in got) / tokens > shares + 0.2
+
+
+def test_a_task_gives_each_word_on_once(monkeypatch):
+    """Slices are added up before Spark gets them, where each slice gave its words on before; a full task goes on with new ones."""
+    text = "alpha beta alpha gamma " * 60_000  # 1.4 MB, so each text is a slice
+    batch = pa.RecordBatch.from_arrays([pa.array([text, None, text, "", text + "delta"])], names=["text"])
+    want = {int(h): n for h, n in zip(words_of(pa.array(["alpha beta gamma delta"])).hash.view(np.int64), (360_000, 180_000, 180_000, 1))}
+    for held, most in ((lm.HELD, 4), (3, 8)):
+        monkeypatch.setattr(lm, "HELD", held)
+        got, rows = {}, 0
+        for part in lm._count(iter([batch])):
+            for word, n in zip(*(c.to_pylist() for c in part.columns)):
+                got[word], rows = got.get(word, 0) + n, rows + 1
+        assert got == want and rows <= most
+    assert list(lm._count(iter([batch.slice(1, 1), batch.slice(3, 1)]))) == []
+
+
+def test_windows_stay_within_their_texts():
+    rng = np.random.default_rng(4)
+    size = np.array([0, 1, 0, 5, 2, 9, 0, 3, 0])
+    first = np.concatenate([[0], np.cumsum(size)])
+    ids = rng.integers(0, lm.IDS, first[-1])
+    texts = [ids[a:b].tolist() for a, b in zip(first, first[1:])]
+    want = [[t[i + k] if 0 <= i + k < len(t) else lm.IDS for k in lm._OFFSETS] for t in texts for i in range(len(t))]
+    assert lm.windows(ids, first, np.arange(len(ids))).tolist() == want
+    some = rng.permutation(len(ids))[:7]
+    assert lm.windows(ids, first, some).tolist() == [want[i] for i in some]
+    assert lm.Surroundings.of(ids, first).windows(slice(2, 6)).tolist() == want[2:6]
+
+
+def test_large_exponents_do_not_overflow():
+    net = small(5)
+    net.class_bias[:4] = [500, -500, 90, 0]
+    net.id_bias[:, :3] = [300, -300, 70]
+    wide = lm.Network(*(x.astype(np.float64) for x in net))
+    rng = np.random.default_rng(6)
+    around, ids = rng.integers(0, lm.IDS + 1, (500, 2 * lm.SIDE)), rng.integers(0, lm.IDS, 500)
+    got, want = (lm.log_probabilities(n, around, ids) for n in (net, wide))
+    assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-4, atol=1e-3)
+    lm.learn(net, around, ids, lm.Network(*(np.full_like(x, 1e-7) for x in net)))
+    assert all(np.isfinite(x).all() for x in net)
