@@ -94,6 +94,12 @@ class Vocabulary(NamedTuple):
         found = self.ids(hashes)
         return np.where(found >= 0, found, FREQUENT + (hashes >> np.uint64(20)).astype(np.int64) % BUCKETS)
 
+    def looked_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id of each word, which words are in buckets, and the log of their counts as far as they are held."""
+        ids = self(hashes)
+        shared = np.flatnonzero(ids >= FREQUENT)
+        return ids, shared, self.common(hashes[shared])
+
 
 class Surroundings(NamedTuple):
     """Ids of consecutive texts with SIDE pads before, between and after them, and where each token is in that."""
@@ -104,7 +110,7 @@ class Surroundings(NamedTuple):
     @classmethod
     def of(cls, ids: np.ndarray, first: np.ndarray) -> Surroundings:
         place = np.arange(len(ids)) + np.repeat(SIDE * np.arange(1, len(first)), np.diff(first))
-        padded = np.full(len(ids) + SIDE * len(first), IDS, np.int64)
+        padded = np.full(len(ids) + SIDE * len(first), IDS, np.int16)
         padded[place] = ids
         return cls(padded, place)
 
@@ -128,16 +134,21 @@ def log_probabilities(net: Network, around: np.ndarray, ids: np.ndarray) -> np.n
     for k in range(0, len(ids), NEAR):
         rows = slice(k, k + NEAR)
         x = np.take(net.embedding, around[rows], axis=0).reshape(-1, 2 * SIDE * EMBEDDING)
-        part = np.tanh(x @ net.hidden + net.hidden_bias, out=h[rows])
-        found[rows] = _log_softmax(part @ net.to_class + net.class_bias, kind[rows])
+        part = np.tanh(_plus(x @ net.hidden, net.hidden_bias), out=h[rows])
+        found[rows] = _log_softmax(_plus(part @ net.to_class, net.class_bias), kind[rows])
     for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
         for k in range(a, b, NEAR):
             rows = slice(k, min(k + NEAR, b))
-            found[rows] += _log_softmax(h[rows] @ net.to_id[c] + net.id_bias[c], inside[rows])
+            found[rows] += _log_softmax(_plus(h[rows] @ net.to_id[c], net.id_bias[c]), inside[rows])
     out[order] = found
     return out
 
 
+def _plus(z: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    z += bias
+    return z
+
+
 def _exponentials(z: np.ndarray) -> np.ndarray:
     """The exponentials of each row, up to a factor, in place, and their sums; products with ones are the fastest sums."""
     np.exp(z, out=z)
@@ -159,10 +170,10 @@ def _log_softmax(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
 
 
 def _errors(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """One for the picked entry of each row, less the row's softmax; in place."""
+    """One for the picked entry of each row, less the row's softmax, over the number of rows; in place."""
     z = _bounded(z)
-    z *= (-1 / _exponentials(z))[:, None]
-    z[np.arange(len(z)), picked] += 1
+    z *= (-1 / (len(z) * _exponentials(z)))[:, None]
+    z[np.arange(len(z)), picked] += 1 / len(z)
     return z
 
 
@@ -175,10 +186,10 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
     cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
     some = [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
     x = np.take(net.embedding, around.ravel(), axis=0).reshape(n, -1)
-    h = x @ net.hidden + net.hidden_bias
+    h = _plus(x @ net.hidden, net.hidden_bias)
     np.tanh(h, out=h)
     one = np.ones(n, h.dtype)
-    dz = _errors(h @ net.to_class + net.class_bias, kind)
+    dz = _errors(_plus(h @ net.to_class, net.class_bias), kind)
     dh = dz @ net.to_class.T
     to_id, id_bias = np.zeros_like(net.to_id), np.zeros_like(net.id_bias)
     d = np.empty((n, CLASS), h.dtype)
@@ -192,7 +203,7 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
         id_bias[c] = one[a:b] @ d[a:b]
     da = dh * (1 - h * h)
     dx = (da @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
-    flat = around.ravel().astype(np.int16)
+    flat = around.ravel().astype(np.int16, copy=False)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
@@ -203,7 +214,6 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
         (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, (da.T @ x).T, ...), (net.hidden_bias, grown.hidden_bias, one @ da, ...),
         (net.to_class, grown.to_class, h.T @ dz, ...), (net.class_bias, grown.class_bias, one @ dz, ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
     ):
-        part = part / n
         total[where] = so_far = total[where] + part * part
         part /= np.sqrt(so_far)
         part *= RATE
@@ -272,6 +282,12 @@ def vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     return Vocabulary(ids, common, np.log(out[FREQUENT:] + 1), table), out
 
 
+def drawn(hashes: np.ndarray) -> np.ndarray:
+    """An order of all tokens, by 16 bits of a hash of each and its place, which sort in linear time."""
+    mixed = _mixed(hashes + np.arange(len(hashes), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.argsort((mixed >> np.uint64(48)).astype(np.uint16), kind="stable")
+
+
 def _train(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = shared.value
@@ -283,7 +299,7 @@ def _train(shared):
                 w = words_of(batch.column(0).slice(a, b - a))
                 ids = words(w.hash)
                 near = Surroundings.of(ids, w.first)
-                order = np.argsort(_mixed(w.hash + np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")
+                order = drawn(w.hash)
                 while len(order):
                     # steps are short at first, and grow with what the task has seen
                     part, order = np.split(order, [min(max(seen // 16, STEP), LONGEST)])
@@ -326,22 +342,21 @@ def train(spark: SparkSession, documents: DataFrame, rounds: int = ROUNDS) -> tu
     return words, flat
 
 
-def token_scores(w: Words, words: Vocabulary, net: Network, ids: np.ndarray | None = None) -> np.ndarray:
-    ids = words(w.hash) if ids is None else ids
+def token_scores(w: Words, words: Vocabulary, net: Network, known: tuple | None = None) -> np.ndarray:
+    ids, shared, common = known or words.looked_up(w.hash)
     out = np.zeros(len(ids))
     near = Surroundings.of(ids, w.first)
     for k in range(0, len(ids), CHUNK):
         at = slice(k, k + CHUNK)
         out[at] = log_probabilities(net, near.windows(at), ids[at])
-    shared = np.flatnonzero(ids >= FREQUENT)
-    out[shared] += words.common(w.hash[shared]) - words.totals[ids[shared] - FREQUENT]
+    out[shared] += common - words.totals[ids[shared] - FREQUENT]
     return out
 
 
-def rare_words(w: Words, words: Vocabulary, ids: np.ndarray) -> pa.ListArray:
+def rare_words(w: Words, known: tuple) -> pa.ListArray:
     """The words of each text whose counts only the table may have."""
-    rare = np.flatnonzero(ids >= FREQUENT)
-    rare = rare[words.common(w.hash[rare]) == 0]
+    _, shared, common = known
+    rare = shared[common == 0]
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, w.first), pa.int32()), pa.array(w.hash[rare].view(np.int64)))
 
 
@@ -353,10 +368,10 @@ def _score(shared):
         for batch in batches:
             for a, b in pieces(batch.column("text")):
                 w = words_of(batch.column("text").slice(a, b - a))
-                ids = words(w.hash)
-                sums = np.concatenate([[0.0], np.cumsum(token_scores(w, words, net, ids))])
+                known = words.looked_up(w.hash)
+                sums = np.concatenate([[0.0], np.cumsum(token_scores(w, words, net, known))])
                 total = sums[w.first[1:]] - sums[w.first[:-1]]
-                rare = rare_words(w, words, ids) if words.table else pa.nulls(b - a, pa.list_(pa.int64()))
+                rare = rare_words(w, known) if words.table else pa.nulls(b - a, pa.list_(pa.int64()))
                 arrays = [pa.array(np.arange(row, row + b - a)), batch.column("doc_id").slice(a, b - a), pa.array(np.diff(w.first)), pa.array(total), rare]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "score", "rare"])
                 row += b - a

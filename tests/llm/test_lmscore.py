@@ -181,3 +181,10 @@ def test_large_exponents_do_not_overflow():
     assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-4, atol=1e-3)
     lm.learn(net, around, ids, lm.Network(*(np.full_like(x, 1e-7) for x in net)))
     assert all(np.isfinite(x).all() for x in net)
+
+
+def test_tokens_are_drawn_in_an_order_of_all():
+    hashes = np.tile(np.arange(50, dtype=np.uint64), 400)
+    order = lm.drawn(hashes)
+    assert sorted(order.tolist()) == list(range(20_000)) and lm.drawn(hashes).tolist() == order.tolist()
+    assert abs(np.corrcoef(order, np.arange(20_000))[0, 1]) < 0.05
