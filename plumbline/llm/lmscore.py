@@ -115,7 +115,7 @@ class Surroundings(NamedTuple):
         return cls(padded, place)
 
     def windows(self, at: np.ndarray | slice) -> np.ndarray:
-        return self.ids[self.place[at][:, None] + np.array(_OFFSETS)]
+        return np.ascontiguousarray(np.take(self.ids, self.place[at] + np.array(_OFFSETS)[:, None]).T)
 
 
 def windows(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -129,11 +129,11 @@ def log_probabilities(net: Network, around: np.ndarray, ids: np.ndarray) -> np.n
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
     h = np.empty((len(ids), HIDDEN), net.hidden.dtype)  # tokens of a class side by side
-    around, kind, inside = around[order], kind[order], ids[order] % CLASS
+    around, kind, inside = np.take(around, order, axis=0), np.take(kind, order), np.take(ids, order) % CLASS
     found, out = np.empty(len(ids)), np.empty(len(ids))
     for k in range(0, len(ids), NEAR):
         rows = slice(k, k + NEAR)
-        x = np.take(net.embedding, around[rows], axis=0).reshape(-1, 2 * SIDE * EMBEDDING)
+        x = np.take(net.embedding, around[rows], axis=0, mode="clip").reshape(-1, 2 * SIDE * EMBEDDING)
         part = np.tanh(_plus(x @ net.hidden, net.hidden_bias), out=h[rows])
         found[rows] = _log_softmax(_plus(part @ net.to_class, net.class_bias), kind[rows])
     for c, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -144,6 +144,14 @@ def log_probabilities(net: Network, around: np.ndarray, ids: np.ndarray) -> np.n
     return out
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product, NEAR rows at a time: products of more rows than that can take thrice as long."""
+    out = np.empty((len(a), b.shape[1]), np.result_type(a, b))
+    for k in range(0, len(a), NEAR):
+        np.matmul(a[k : k + NEAR], b, out=out[k : k + NEAR])
+    return out
+
+
 def _plus(z: np.ndarray, bias: np.ndarray) -> np.ndarray:
     z += bias
     return z
@@ -162,10 +170,15 @@ def _bounded(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _flat(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Where the picked entry of each row is in the rows laid end to end."""
+    return np.arange(0, z.size, z.shape[1]) + picked
+
+
 def _log_softmax(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
     """Of each row, the log of the picked entry's share."""
     z = _bounded(z)
-    chosen = z[np.arange(len(z)), picked]
+    chosen = np.take(z, _flat(z, picked))
     return chosen - np.log(_exponentials(z))
 
 
@@ -173,7 +186,7 @@ def _errors(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
     """One for the picked entry of each row, less the row's softmax, over the number of rows; in place."""
     z = _bounded(z)
     z *= (-1 / (len(z) * _exponentials(z)))[:, None]
-    z[np.arange(len(z)), picked] += 1 / len(z)
+    z.reshape(-1)[_flat(z, picked)] += 1 / len(z)
     return z
 
 
@@ -181,12 +194,12 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
     """One gradient step (Adagrad) on the mean log-probability, in place."""
     n = len(ids)
     order = np.argsort((ids // CLASS).astype(np.int16), kind="stable")  # tokens of a class side by side
-    around, ids = around[order], ids[order]
+    around, ids = np.take(around, order, axis=0), np.take(ids, order)
     kind, inside = ids // CLASS, ids % CLASS
     cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
     some = [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-    x = np.take(net.embedding, around.ravel(), axis=0).reshape(n, -1)
-    h = _plus(x @ net.hidden, net.hidden_bias)
+    x = np.take(net.embedding, around.ravel(), axis=0, mode="clip").reshape(n, -1)
+    h = _plus(_times(x, net.hidden), net.hidden_bias)
     np.tanh(h, out=h)
     one = np.ones(n, h.dtype)
     dz = _errors(_plus(h @ net.to_class, net.class_bias), kind)
@@ -195,29 +208,28 @@ def learn(net: Network, around: np.ndarray, ids: np.ndarray, grown: Network) ->
     d = np.empty((n, CLASS), h.dtype)
     for c, a, b in some:
         np.matmul(h[a:b], net.to_id[c], out=d[a:b])
-        d[a:b] += net.id_bias[c]
-    _errors(d, inside)  # of all classes at once
+    _errors(_plus(d, np.repeat(net.id_bias, np.diff(cuts), axis=0)), inside)  # of all classes at once
     for c, a, b in some:
         dh[a:b] += d[a:b] @ net.to_id[c].T
         np.matmul(h[a:b].T, d[a:b], out=to_id[c])
         id_bias[c] = one[a:b] @ d[a:b]
     da = dh * (1 - h * h)
-    dx = (da @ net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
+    dx = _times(da, net.hidden.T).reshape(n * len(_OFFSETS), EMBEDDING)
     flat = around.ravel().astype(np.int16, copy=False)
     order = np.argsort(flat, kind="stable")
-    flat = flat[order]
+    flat = np.take(flat, order)
     begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-    used = flat[begin]
     pairs = np.take(dx, order, axis=0).view(np.result_type(dx, np.complex64))  # two entries are added at a time
-    embedding = np.add.reduceat(pairs, begin, axis=0).view(dx.dtype)
-    for whole, total, part, where in (
-        (net.embedding, grown.embedding, embedding, used), (net.hidden, grown.hidden, (da.T @ x).T, ...), (net.hidden_bias, grown.hidden_bias, one @ da, ...),
-        (net.to_class, grown.to_class, h.T @ dz, ...), (net.class_bias, grown.class_bias, one @ dz, ...), (net.to_id, grown.to_id, to_id, ...), (net.id_bias, grown.id_bias, id_bias, ...),
+    embedding = np.zeros_like(net.embedding)
+    embedding[flat[begin]] = np.add.reduceat(pairs, begin, axis=0).view(dx.dtype)
+    for whole, total, part in (
+        (net.embedding, grown.embedding, embedding), (net.hidden, grown.hidden, (da.T @ x).T), (net.hidden_bias, grown.hidden_bias, one @ da),
+        (net.to_class, grown.to_class, h.T @ dz), (net.class_bias, grown.class_bias, one @ dz), (net.to_id, grown.to_id, to_id), (net.id_bias, grown.id_bias, id_bias),
     ):
-        total[where] = so_far = total[where] + part * part
-        part /= np.sqrt(so_far)
+        total += part * part
+        part /= np.sqrt(total)
         part *= RATE
-        whole[where] += part
+        whole += part
 
 
 # ------------------------------------------------------------------ on Spark

@@ -87,6 +87,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = IN_WOR
     starts, ends, hashes = [], [], []
     at, total = 0, len(data)
     edge = np.zeros(0, np.int64)
+    values = _VALUE[fold]  # of bytes as given
     while at < total:
         stop = min(at + BLOCK, total)
         if stop < total:  # never cut a word in two: go on to the next byte outside a word, or the next text
@@ -100,7 +101,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = IN_WOR
             after = offsets[np.searchsorted(offsets, stop)]
             stop = int(min(tail, after, total))
         part = data[at:stop]
-        kind = kinds[part]
+        kind = np.take(kinds, part)
         inside = kind > 0
         edge = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop)] - at
         new = inside.copy()
@@ -111,8 +112,10 @@ def find_words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = IN_WOR
         s, e = np.flatnonzero(new), np.flatnonzero(last) + 1
         up, down = _powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_VALUE[fold[part]] * up[: len(part)], out=sums[1:])
-        found = _mixed((sums[e] - sums[s]) * down[s])
+        powers = np.take(values, part)
+        powers *= up[: len(part)]
+        np.cumsum(powers, out=sums[1:])
+        found = _mixed((np.take(sums, e) - np.take(sums, s)) * np.take(down, s))
         for k in np.flatnonzero(e - s > LONG).tolist():
             found[k] = _long_hash(fold[part[s[k] : e[k]]])
         hashes.append(found)
@@ -163,17 +166,18 @@ class Lookup:
     def _find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the asked keys there are, and where."""
         bucket = (asked >> self.shift).astype(np.int64)
-        at, end = self.first[bucket], self.first[bucket + 1]
+        at, end = np.take(self.first, bucket), np.take(self.first[1:], bucket)
         open_ = np.flatnonzero(at < end)
-        at, end = at[open_], end[open_]
+        at, end, asked = np.take(at, open_), np.take(end, open_), np.take(asked, open_)
         known, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         while len(open_):
-            found = self.keys[at] == asked[open_]
-            known.append(open_[found])
-            places.append(at[found])
+            found = np.take(self.keys, at) == asked
+            hit = np.flatnonzero(found)
+            known.append(np.take(open_, hit))
+            places.append(np.take(at, hit))
             at += 1
-            more = ~found & (at < end)
-            open_, at, end = open_[more], at[more], end[more]
+            more = np.flatnonzero(~found & (at < end))
+            open_, at, end, asked = np.take(open_, more), np.take(at, more), np.take(end, more), np.take(asked, more)
         return np.concatenate(known), np.concatenate(places)
 
 

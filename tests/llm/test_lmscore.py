@@ -188,3 +188,17 @@ def test_tokens_are_drawn_in_an_order_of_all():
     order = lm.drawn(hashes)
     assert sorted(order.tolist()) == list(range(20_000)) and lm.drawn(hashes).tolist() == order.tolist()
     assert abs(np.corrcoef(order, np.arange(20_000))[0, 1]) < 0.05
+
+
+def test_long_products_go_in_blocks(monkeypatch):
+    """A step's products with the hidden layer take NEAR rows at a time; of more rows they took thrice as long."""
+    rng = np.random.default_rng(7)
+    around, ids = rng.integers(0, lm.IDS + 1, (lm.LONGEST, 2 * lm.SIDE)).astype(np.int16), rng.integers(0, lm.IDS, lm.LONGEST)
+    rows, product = [], np.matmul
+    monkeypatch.setattr(np, "matmul", lambda a, b, out: rows.append(len(a)) or product(a, b, out=out))
+    whole, cut, grown = small(), small(), [lm.Network(*(np.full_like(x, 1e-7) for x in small())) for _ in range(2)]
+    lm.learn(cut, around, ids, grown[0])
+    assert rows.count(lm.NEAR) == 2 * lm.LONGEST // lm.NEAR and max(rows) == lm.NEAR
+    monkeypatch.setattr(lm, "NEAR", lm.LONGEST)
+    lm.learn(whole, around, ids, grown[1])
+    assert all(np.allclose(x, y, rtol=1e-4, atol=1e-5) for x, y in zip(cut, whole))
