@@ -84,9 +84,9 @@ def bit_map(windows: DataFrame) -> np.ndarray:
     return map_of(windows.select("mark").distinct())
 
 
-def map_of(marks: DataFrame) -> np.ndarray:
+def map_of(marks: DataFrame, sparse: int = SPARSE) -> np.ndarray:
     """The bit map of different fingerprints."""
-    bits = min(MOST, max(LEAST, 1 << (SPARSE * marks.count()).bit_length()))
+    bits = min(MOST, max(LEAST, 1 << (sparse * marks.count()).bit_length()))
     at = F.shiftright(F.pmod("mark", F.lit(bits)), 6).alias("at")
     table = marks.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) AS int))")).alias("bits")).toArrow()
     out = np.zeros(bits // 64, "<i8")

@@ -2,13 +2,15 @@
 
 Words and runs of punctuation, case told apart, are the tokens of a trigram model. It is fitted on
 all trusted documents of one half, by runs of RUN tokens, each distinct run once. Counts, counts
-of contexts, continuation counts and discounts are Spark aggregations and joins, sharded by the
-hash of the n-gram or its context.
+of contexts and continuation counts are made where all trigrams with the same last two words meet.
 
 A token's log-probability is a sum: the floor of unknown words, what each known n-gram that ends
 in it gains over the shorter one, and the weights of its known contexts. So a document's is a sum
-over its n-grams: the HELD most frequent ones are looked up where it is read, all others that a
-bit map lets pass are joined with the model's table.
+over its n-grams, in any order. A model of up to HELD n-grams is held by every task. A larger one
+is never there as a whole: all that a token needs of a trigram's middle word is one slice of the
+model, so slices are made, looked up and joined one after the other, and each adds its part to the
+sums of all documents. Of a slice the HELD most frequent n-grams are looked up where documents are
+read, all others that a bit map lets pass are joined; then its tables are removed.
 
 A document is kept if its perplexity is at most the ``level`` quantile of the trusted documents of
 its language that the model was not fitted on; a language without such documents takes the
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -33,27 +36,42 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.decontaminate import in_map, map_of
 from plumbline.llm.lmscore import least_common
-from plumbline.llm.store import written
+from plumbline.llm.store import passing, tidy, written
 from plumbline.llm.words import Lookup, Words, _mixed, pieces, tokens_of
 
 #: Tokens of a run, and runs that a task takes up at a time.
 RUN, TAKEN = 256, 1024
-#: N-grams whose values every task holds; those of all others are joined.
+#: N-grams (of a slice) whose values every task holds; those of all others are joined.
 HELD = 1 << 20
+#: Slices of a model of more n-grams, and those in which they are counted first.
+SLICES, COUNTED = 8, 2
+#: Bits of a slice's map for each n-gram that is joined.
+SPARSE = 8
 #: The quantile of trusted perplexities up to which documents are kept.
 LEVEL = 0.995
 #: Stands before the first token of a text.
 START = np.uint64(0x5354415254)
+#: Tells an n-gram as a context from the same one as an end.
+CONTEXT = 0x434F4E54455854
+
+
+class Counts(NamedTuple):
+    """What slices of the model are made from."""
+
+    fitted: DataFrame  # (run): the text
+    words: DataFrame  # (w, c, p, gain): words with their probabilities
+    two: list[float]  # discounts of bigrams
+    three: list[float]  # and of trigrams
+    slices: int
 
 
 class Model(NamedTuple):
-    """What the held n-grams add to log-probabilities; the bit map and the table are of all others, if there are any."""
+    """What the held n-grams add to log-probabilities; if not all are held, none is, and the table tells what they are made from."""
 
     first: Lookup  # gain of a word or a longer n-gram over the shorter one without its first token
     rest: Lookup  # log of the mass that an n-gram leaves to shorter contexts where it is the context
     floor: float  # log-probability of an unknown word
-    bits: np.ndarray | None = None
-    table: DataFrame | None = None
+    table: Counts | None = None
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -79,23 +97,18 @@ def log_probabilities(hashes: np.ndarray, first: np.ndarray, m: Model) -> np.nda
     return m.floor + m.first(uvw) + m.rest(uv) + m.first(vw) + m.rest(v) + m.first(w)
 
 
-def others(w: Words, m: Model) -> tuple[pa.ListArray, pa.ListArray]:
-    """Per text: its n-grams that only the table may have, and those of them that are no context, as they end it."""
-    uvw, uv, vw, v, w1 = contexts(w.hash, w.first)
-    begin, end = w.first[:-1][np.diff(w.first) > 0], w.first[1:][np.diff(w.first) > 0] - 1
-    last = np.zeros(len(w1), bool)
-    last[end] = True
-    # the context of a token is the n-gram that ends before it, but for the first of a text
-    keys = np.concatenate([uvw, vw, w1, uv[begin], v[begin]])
-    at = np.concatenate([np.arange(len(w1))] * 3 + [begin] * 2)
-    ends = np.concatenate([np.zeros(len(w1), bool), last, last, np.zeros(2 * len(begin), bool)])
-    rare = np.flatnonzero(in_map(m.bits, keys))
-    rare = rare[~m.first.has(keys[rare])]
-    out = []
-    for kind in (rare[~ends[rare]], rare[ends[rare]]):
-        kind = kind[np.argsort(at[kind], kind="stable")]
-        out.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(at[kind], w.first), pa.int32()), pa.array(keys[kind].view(np.int64))))
-    return out[0], out[1]
+def slice_of(words: np.ndarray, slices: int) -> np.ndarray:
+    return (words >> np.uint64(40)) % np.uint64(slices)
+
+
+def asked(w: Words, at: int, slices: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all that tokens need of a slice, and the text of each."""
+    uvw, uv, vw, v, last = contexts(w.hash, w.first)
+    here, there = (np.flatnonzero(slice_of(x, slices) == at) for x in (v, last))
+    context = np.uint64(CONTEXT)
+    whose = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    keys = np.concatenate([uvw[here], vw[here], last[there], uv[here] ^ context, v[here] ^ context])
+    return keys, np.concatenate([whose[x] for x in (here, here, there, here, here)])
 
 
 def runs_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,49 +163,102 @@ def quotas(sizes: dict, total: int) -> dict:
     return out
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], key: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of some runs at a time, with what belongs to them and their counts."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, TAKEN):
-            w = tokens_of(batch.column("run").slice(k, TAKEN))
-            found = contexts(w.hash, w.first)
-            _, at, n = np.unique(found[key], return_index=True, return_counts=True)
-            columns = dict(zip(("uvw", "uv", "vw", "v", "w"), found))
-            arrays = [pa.array(columns[x][at].view(np.int64)) for x in names]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n.astype(np.int64))], names=[*names, "n"])
+def _trigrams(at: int, slices: int):
+    """Distinct trigrams of a slice of some runs at a time, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, TAKEN):
+                words = tokens_of(batch.column("run").slice(k, TAKEN))
+                uvw, uv, _, v, w = contexts(words.hash, words.first)
+                here = np.flatnonzero(slice_of(v, slices) == at)
+                _, first, n = np.unique(uvw[here], return_index=True, return_counts=True)
+                arrays = [pa.array(x[here[first]].view(np.int64)) for x in (uv, v, w)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(n.astype(np.int32))], names=["uv", "v", "w", "n"])
+
+    return run
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray] | None:
+    """Trigrams of a partition with their counts ``c``, those with the same last two words side by side; ``lead`` is the first of ``size`` such."""
+    batches = [x for x in batches if x.num_rows]
+    if not batches:
+        return None
+    rows = pa.Table.from_batches(batches)
+    uv, v, w = (rows.column(x).to_numpy().view(np.uint64) for x in ("uv", "v", "w"))
+    uvw, vw = pair(uv, w), pair(v, w)
+    order = np.lexsort((uvw, vw))
+    sorted_ = uvw[order]
+    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    out = {"c": np.add.reduceat(rows.column("n").to_numpy().astype(np.int64)[order], first)}
+    take = order[first]
+    out |= {"uvw": uvw[take], "uv": uv[take], "vw": vw[take], "v": v[take], "w": w[take]}
+    out["lead"] = np.append(True, out["vw"][1:] != out["vw"][:-1])
+    out["size"] = np.diff(np.append(np.flatnonzero(out["lead"]), len(take)))
+    return out
 
 
-def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _contexts(batches, 0, ["uvw", "uv", "vw"])
+def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (order, key, n): how many trigrams and bigrams have the counts 1 to 4, or any (0), and how many bigrams end in each word."""
+    m = _merged(batches)
+    if m is None:
+        return
+    words, n = np.unique(m["w"][m["lead"]], return_counts=True)
+    few = [(3, 0, len(m["c"])), (2, 0, len(m["size"]))] + [(order, k, int((x == k).sum())) for order, x in ((3, m["c"]), (2, m["size"])) for k in (1, 2, 3, 4)]
+    order, key, count = zip(*few)
+    arrays = [np.append(np.array(order), np.ones(len(words), np.int64)), np.append(np.array(key), words.view(np.int64)), np.append(np.array(count), n)]
+    yield pa.RecordBatch.from_arrays([pa.array(arrays[0], pa.int32()), pa.array(arrays[1]), pa.array(arrays[2])], names=["order", "key", "n"])
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _contexts(batches, 2, ["vw", "v", "w"])
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (uvw, uv, vw, c) of trigrams; the first of each bigram vw has its words and count too."""
+    m = _merged(batches)
+    if m is None:
+        return
+    size = np.zeros(len(m["lead"]), np.int64)
+    size[m["lead"]] = m["size"]
+    arrays = [pa.array(m[x].view(np.int64)) for x in ("uvw", "uv", "vw", "c")]
+    more = [pa.array(x.view(np.int64), mask=~m["lead"]) for x in (m["v"], m["w"], size)]
+    yield pa.RecordBatch.from_arrays([*arrays, *more], names=["uvw", "uv", "vw", "c", "v", "w", "size"])
 
 
-def discounts(counts: DataFrame) -> list[float]:
+def trigrams(fitted: DataFrame, at: int, slices: int) -> DataFrame:
+    """Rows (uv, v, w, n) of a slice, those of a bigram vw in one partition."""
+    return fitted.mapInArrow(_trigrams(at, slices), "uv bigint, v bigint, w bigint, n int").repartition("v", "w")
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """The three discounts of modified Kneser-Ney, from how many n-grams have the counts 1 to 4."""
-    n1, n2, n3, n4 = counts.agg(*(F.count(F.when(F.col("c") == k, 1)) for k in (1, 2, 3, 4))).first()
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     found = [k - (k + 1) * y * b / a if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1)]
 
 
-def shares(counts: DataFrame, context: str) -> tuple[DataFrame, DataFrame]:
+def discounted(by: list[float]):
+    return F.when(F.col("c") == 1, by[0]).when(F.col("c") == 2, by[1]).otherwise(by[2])
+
+
+def shares(counts: DataFrame, context: str, by: list[float]) -> tuple[DataFrame, DataFrame]:
     """The counts with ``share``, discounted within the context, and (context, total, rest), the mass that the discounts leave."""
-    d1, d2, d3 = discounts(counts)
-    taken = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-    totals = counts.groupBy(context).agg(F.sum("c").alias("total"), F.sum(taken).alias("taken"))
+    totals = counts.groupBy(context).agg(F.sum("c").alias("total"), F.sum(discounted(by)).alias("taken"))
     totals = totals.select(context, "total", (F.col("taken") / F.col("total")).alias("rest"))
-    return counts.join(totals, context).withColumn("share", (F.col("c") - taken) / F.col("total")).drop("total"), totals
+    return counts.join(totals, context).withColumn("share", (F.col("c") - discounted(by)) / F.col("total")).drop("total"), totals
 
 
-def entries(ngrams: DataFrame, key: str, contexts: DataFrame, context: str) -> DataFrame:
-    """Rows (key, c, gain, rest) of n-grams of one order, each also a context of longer ones or only that."""
-    left = ngrams.select(F.col(key).alias("key"), "c", "gain")
-    right = contexts.select(F.col(context).alias("key"), "total", F.log("rest").alias("rest"))
-    both = left.join(right, "key", "full")
-    return both.select("key", F.coalesce("c", "total").alias("c"), F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("rest", F.lit(0.0)).alias("rest"))
+def entries(counts: Counts, at: int, slices: int, put) -> DataFrame:
+    """Rows (key, context, c, gain) of a slice: what n-grams gain, and the log of what contexts leave; ``put`` writes tables."""
+    rows = put(trigrams(counts.fitted, at, slices).mapInArrow(_counted, "uvw bigint, uv bigint, vw bigint, c bigint, v bigint, w bigint, size bigint"), "trigrams")
+    second, after_word = shares(rows.filter("size IS NOT NULL").select("vw", "v", "w", F.col("size").alias("c")), "v", counts.two)
+    second = second.join(counts.words.select("w", F.col("p").alias("shorter")), "w")
+    second = second.withColumn("p", F.col("share") + F.col("rest") * F.col("shorter")).withColumn("gain", F.log("p") - F.log("rest") - F.log("shorter"))
+    second = put(second.select("vw", "c", "p", "gain"), "bigrams")
+    third, after_pair = shares(rows.select("uvw", "uv", "vw", "c"), "uv", counts.three)
+    third = third.join(second.select("vw", F.col("p").alias("shorter")), "vw")
+    third = third.withColumn("gain", F.log(F.col("share") + F.col("rest") * F.col("shorter")) - F.log("rest") - F.log("shorter"))
+    first = counts.words.filter(F.pmod(F.shiftrightunsigned("w", 40), F.lit(slices)) == at)
+    ends = [x.select(F.col(key).alias("key"), F.lit(False).alias("context"), "c", "gain") for x, key in ((third, "uvw"), (second, "vw"), (first, "w"))]
+    left = [x.select(F.col(key).bitwiseXOR(F.lit(CONTEXT)).alias("key"), F.lit(True).alias("context"), F.col("total").alias("c"), F.log("rest").alias("gain")) for x, key in ((after_pair, "uv"), (after_word, "v"))]
+    return put(reduce(DataFrame.union, ends + left), "model")
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -226,77 +292,113 @@ def runs_to_fit(documents: DataFrame, labels: DataFrame, runs: int | None = None
 
 def train(documents: DataFrame, labels: DataFrame, runs: int | None = None) -> Model | None:
     """The model of all trusted text to fit on; of about ``runs`` of its runs, if that is given."""
+    spark = documents.sparkSession
     fitted = written(runs_to_fit(documents, labels, runs).select("run"), "fitted")
-    three = fitted.mapInArrow(_trigrams, "uvw bigint, uv bigint, vw bigint, n bigint").groupBy("uvw")
-    three = written(three.agg(F.sum("n").alias("c"), F.min("uv").alias("uv"), F.min("vw").alias("vw")), "trigrams")
-    # lower orders count in how many contexts an n-gram appears
-    parts = fitted.mapInArrow(_bigrams, "vw bigint, v bigint, w bigint, n bigint").groupBy("vw").agg(F.min("v").alias("v"), F.min("w").alias("w"))
-    two = written(three.groupBy("vw").agg(F.count(F.lit(1)).alias("c")).join(parts, "vw"), "bigrams")
-    one = written(two.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words").withColumn("all", F.lit(0))
+    with passing(spark) as put:
+        tallies = [put(trigrams(fitted, k, COUNTED).mapInArrow(_tallies, "order int, key bigint, n bigint"), "tallies") for k in range(COUNTED)]
+        tally = written(reduce(DataFrame.union, tallies).groupBy("order", "key").agg(F.sum("n").alias("n")), "tally")
+    some = {(r.order, r.key): r.n for r in tally.filter("order > 1").collect()}  # ten rows
+    one = tally.filter("order = 1").select(F.col("key").alias("w"), F.col("n").alias("c"))
     words = one.count()
     if not words:
         return None
-    first, left = shares(one, "all")
-    unknown = left.first()["rest"] / (words + 1)  # shared evenly by all known words and one for the unknown
-    first = first.withColumn("p", F.col("share") + unknown).withColumn("gain", F.log("p") - math.log(unknown))
-    second, after_word = shares(two, "v")
-    second = second.join(first.select("w", F.col("p").alias("shorter")), "w")
-    second = second.withColumn("p", F.col("share") + F.col("rest") * F.col("shorter")).withColumn("gain", F.log("p") - F.log("rest") - F.log("shorter"))
-    second = written(second.select("vw", "c", "p", "gain"), "bigram-gains")
-    third, after_pair = shares(three, "uv")
-    third = third.join(second.select("vw", F.col("p").alias("shorter")), "vw")
-    third = third.withColumn("gain", F.log(F.col("share") + F.col("rest") * F.col("shorter")) - F.log("rest") - F.log("shorter"))
-    longest = third.select(F.col("uvw").alias("key"), "c", "gain", F.lit(0.0).alias("rest"))
-    table = written(longest.union(entries(second, "vw", after_pair, "uv")).union(entries(first, "w", after_word, "v")), "model")
-    least = 1 if table.count() <= HELD else least_common(table.withColumnRenamed("c", "n"), HELD)
-    held = table.filter(F.col("c") >= least).toArrow()  # HELD rows at most
-    keys = held.column("key").to_numpy().view(np.uint64)
-    gains, rests = (Lookup(keys, held.column(x).to_numpy(), 0.0) for x in ("gain", "rest"))
-    if least == 1:
-        return Model(gains, rests, math.log(unknown))
-    rare = table.filter(F.col("c") < least)
-    return Model(gains, rests, math.log(unknown), map_of(rare.select(F.col("key").alias("mark"))), rare)
+    by = discounts(*one.agg(*(F.count(F.when(F.col("c") == k, 1)) for k in (1, 2, 3, 4))).first())
+    total, taken = one.agg(F.sum("c"), F.sum(discounted(by))).first()
+    unknown = taken / total / (words + 1)  # shared evenly by all known words and one for the unknown
+    one = one.withColumn("p", (F.col("c") - discounted(by)) / F.lit(total) + F.lit(unknown)).withColumn("gain", F.log("p") - math.log(unknown))
+    two, three = (discounts(*(some[order, k] for k in (1, 2, 3, 4))) for order in (2, 3))
+    there = some[3, 0] + some[2, 0] + words
+    counts = Counts(fitted, one, two, three, min(SLICES, -(-there // max(HELD, 1))))
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    if there > HELD:
+        return Model(Lookup(*none, 0.0), Lookup(*none, 0.0), math.log(unknown), counts)
+    with passing(spark) as put:
+        table = entries(counts, 0, 1, put).toArrow()  # HELD n-grams at most
+    keys, gains, context = table.column("key").to_numpy().view(np.uint64), table.column("gain").to_numpy(), table.column("context").to_numpy()
+    return Model(Lookup(keys[~context], gains[~context], 0.0), Lookup(keys[context] ^ np.uint64(CONTEXT), gains[context], 0.0), math.log(unknown))
 
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = model.value
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
             for a, b in pieces(texts):
                 w = tokens_of(texts.slice(a, b - a))
                 n = np.diff(w.first)
                 logs = np.zeros(len(w.hash)) if m is None else log_probabilities(w.hash, w.first, m)
-                sums = np.concatenate([[0.0], np.cumsum(logs)])
-                total = pa.array(sums[w.first[1:]] - sums[w.first[:-1]], mask=(n == 0) | (m is None))
-                none = pa.nulls(b - a, pa.list_(pa.int64()))
-                rare, ends = (none, none) if m is None or m.bits is None else others(w, m)
-                arrays = [pa.array(np.arange(row, row + b - a)), batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), pa.array(n), total, rare, ends]
-                yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "lang", "n_tokens", "total", "rare", "ends"])
-                row += b - a
+                total = np.bincount(np.repeat(np.arange(b - a), n), logs, b - a)
+                arrays = [batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), pa.array(n), pa.array(total, mask=(n == 0) | (m is None))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang", "n_tokens", "total"])
 
     return run
 
 
+def _parts(model, floor: float, at: int, slices: int):
+    """Per text: what a slice adds to its log-probability, and the keys that only the table may have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bits = model.value
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in pieces(texts):
+                w = tokens_of(texts.slice(a, b - a))
+                n = np.diff(w.first)
+                keys, whose = asked(w, at, slices)
+                gains = held(keys)
+                open_ = np.isnan(gains)
+                total = np.bincount(whose[~open_], gains[~open_], b - a) + (floor * n if at == 0 else 0.0)
+                keys, whose = keys[open_], whose[open_]
+                rare = np.flatnonzero(in_map(bits, keys)) if bits is not None else np.zeros(0, np.int64)
+                rare = rare[np.argsort(whose[rare], kind="stable")]
+                ends = pa.array(np.searchsorted(whose[rare], np.arange(b - a + 1)), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(keys[rare].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), pa.array(n), pa.array(total), lists], names=["row", "n", "total", "rare"])
+
+    return run
+
+
+def part(rows: DataFrame, model: Model, at: int) -> DataFrame:
+    """Rows (row, n, total), written: tokens of each text and what a slice of the model adds to its log-probability."""
+    spark, counts = rows.sparkSession, model.table
+    with passing(spark) as put:
+        table = entries(counts, at, counts.slices, put)
+        least = 1 if table.count() <= HELD else least_common(table.withColumnRenamed("c", "n"), HELD)
+        held = table.filter(F.col("c") >= least).select("key", "gain").toArrow()  # HELD rows at most
+        held = Lookup(held.column("key").to_numpy().view(np.uint64), held.column("gain").to_numpy(), math.nan)
+        rare = table.filter(F.col("c") < least).select("key", "gain")
+        shared = spark.sparkContext.broadcast((held, map_of(rare.select(F.col("key").alias("mark")), SPARSE) if least > 1 else None))
+        scored = rows.mapInArrow(_parts(shared, model.floor, at, counts.slices), "row bigint, n bigint, total double, rare array<bigint>")
+        if least > 1:
+            scored = put(scored, "scores")
+        sums = scored.select("row", "n", "total")
+        if least > 1:
+            joined = scored.select("row", F.explode("rare").alias("key")).join(rare, "key")
+            sums = sums.union(joined.select("row", F.lit(None).cast("bigint"), "gain"))
+        # repeated rows are one, each of which has asked
+        out = written(sums.groupBy("row").agg(F.max("n").alias("n"), (F.sum("total") / F.count("n")).alias("total")), "part")
+        shared.destroy()
+    return out
+
+
 def score(documents: DataFrame, model: Model | None) -> DataFrame:
     """Rows (doc_id, lang, n_tokens, perplexity), one per document row."""
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    shared = documents.sparkSession.sparkContext.broadcast(model and model._replace(table=None))
-    columns = "row bigint, doc_id bigint, lang string, n_tokens bigint, total double, rare array<bigint>, ends array<bigint>"
-    scored = rows.mapInArrow(_score(shared), columns)
-    if model and model.table is not None:
-        scored = written(scored, "scores")  # rows keep their numbers
-        contexts = scored.select("row", F.explode("rare").alias("key"), F.lit(1.0).alias("weight"))
-        asked = contexts.union(scored.select("row", F.explode("ends").alias("key"), F.lit(0.0).alias("weight")))
-        more = asked.join(model.table, "key").groupBy("row").agg(F.sum(F.col("gain") + F.col("weight") * F.col("rest")).alias("more"))
-        scored = scored.drop("rare", "ends").join(more, "row", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    if model is None or model.table is None:
+        shared = documents.sparkSession.sparkContext.broadcast(model)
+        scored = rows.mapInArrow(_score(shared), "doc_id bigint, lang string, n_tokens bigint, total double")
+    else:
+        rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+        parts = reduce(DataFrame.union, [part(rows.select("row", "text"), model, k) for k in range(model.table.slices)])
+        sums = parts.groupBy("row").agg(F.max("n").alias("n_tokens"), F.sum("total").alias("total"))
+        scored = rows.select("row", "doc_id", "lang").join(sums, "row", "left")
     return scored.select("doc_id", "lang", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-F.col("total") / F.col("n_tokens"))).alias("perplexity"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, level: float = LEVEL) -> DataFrame:
     """Rows (doc_id, lang, n_tokens, perplexity, threshold, keep), one per document row."""
-    scored = written(score(documents, train(documents, labels)), "perplexities")
+    with tidy(documents.sparkSession):
+        scored = written(score(documents, train(documents, labels)), "perplexities")
     known = scored.join(trusted(labels).filter("half = 1").select("doc_id"), "doc_id", "left_semi").filter("perplexity IS NOT NULL")
     quantile = F.percentile_approx("perplexity", level, 10_000)
     by_lang = known.groupBy("lang").agg(quantile.alias("own")).withColumnRenamed("lang", "of")  # a row per language

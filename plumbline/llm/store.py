@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.sources.tables import shared_folder
+from plumbline.sources.tables import remove_staged, shared_folder
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -34,6 +36,35 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like ``written`` whose tables are removed at the end of the ``with`` block."""
+    paths = []
+
+    def put(df: DataFrame, label: str) -> DataFrame:
+        paths.append(new_path(spark, label))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield put
+    finally:
+        for path in paths:
+            remove_staged(spark, path)
+
+
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Within the block, the files of a query's shuffles go when it has ended, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_digest(column: str = "text"):
     """128 bits that stand for a text; null for null."""
     return F.unhex(F.md5(F.encode(F.col(column).cast("string"), "UTF-8")))

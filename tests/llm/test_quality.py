@@ -107,6 +107,34 @@ def test_held_and_joined_ngrams_score_alike(spark, documents, monkeypatch):
         assert all((x[2] is None) == (y[2] is None) and (x[2] is None or math.isclose(x[2], y[2], rel_tol=1e-9)) for x, y in zip(got, held))
 
 
+def test_a_large_model_is_there_in_slices_only(spark, documents, monkeypatch):
+    """Slices are the whole model together; the tables of one are gone before the next is made, and none of n-grams is left."""
+    import os
+
+    from plumbline.llm.store import passing
+    from plumbline.sources.tables import shared_folder
+
+    texts = corpus(120)
+    df = documents(*enumerate(texts))
+    labels = df.selectExpr("doc_id", "1 AS quality")
+    monkeypatch.setattr(quality, "HELD", 20)
+    monkeypatch.setattr(quality, "SLICES", 3)
+    model = quality.train(df, labels)
+    with passing(spark) as put:
+        rows = lambda at, slices: [(r.key, r.context, r.c, round(r.gain, 9)) for r in quality.entries(model.table, at, slices, put).collect()]
+        whole, sliced = rows(0, 1), [rows(k, 3) for k in range(3)]
+    assert all(sliced) and sorted(whole) == sorted(x for part in sliced for x in part) and len({x[0] for x in whole}) == len(whole)
+    folder = shared_folder(spark).removeprefix("file:")
+    kinds = lambda: {x.rsplit("-", 5)[0].split("-")[0] for x in set(os.listdir(folder)) - before}
+    before, seen, part = set(os.listdir(folder)), [], quality.part
+    monkeypatch.setattr(quality, "part", lambda *x: (seen.append(kinds()), part(*x))[1])
+    flag = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(flag, "false")
+    assert len(quality.classify(df, labels).collect()) == len(texts)
+    assert len(seen) == quality.SLICES and spark.conf.get(flag) == was
+    assert all(x <= {"runs", "fitted", "tally", "part"} for x in seen) and kinds() == {"runs", "fitted", "tally", "part", "perplexities"}
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t.split() for t in corpus(50)])
     words = {w for t in corpus(50) for w in t.split()}
