@@ -34,8 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.decontaminate import in_map, map_of
-from plumbline.llm.lmscore import least_common
+from plumbline.llm.decontaminate import LEAST, MOST, in_map, map_of
 from plumbline.llm.store import passing, tidy, written
 from plumbline.llm.words import Lookup, Words, _mixed, pieces, tokens_of
 
@@ -45,6 +44,8 @@ RUN, TAKEN = 256, 1024
 HELD = 1 << 20
 #: Slices of a model of more n-grams, and those in which they are counted first.
 SLICES, COUNTED = 8, 2
+#: Buckets that a slice's entries and what is asked of them meet in, at least; more if one would have over a million entries.
+BUCKETS = 256
 #: Bits of a slice's map for each n-gram that is joined.
 SPARSE = 8
 #: The quantile of trusted perplexities up to which documents are kept.
@@ -63,6 +64,7 @@ class Counts(NamedTuple):
     two: list[float]  # discounts of bigrams
     three: list[float]  # and of trigrams
     slices: int
+    size: int  # how many n-grams there are
 
 
 class Model(NamedTuple):
@@ -246,7 +248,7 @@ def shares(counts: DataFrame, context: str, by: list[float]) -> tuple[DataFrame,
 
 
 def entries(counts: Counts, at: int, slices: int, put) -> DataFrame:
-    """Rows (key, context, c, gain) of a slice: what n-grams gain, and the log of what contexts leave; ``put`` writes tables."""
+    """Rows (key, context, c, gain) of a slice: what n-grams gain, and the log of what contexts leave; ``put`` writes what they are made from."""
     rows = put(trigrams(counts.fitted, at, slices).mapInArrow(_counted, "uvw bigint, uv bigint, vw bigint, c bigint, v bigint, w bigint, size bigint"), "trigrams")
     second, after_word = shares(rows.filter("size IS NOT NULL").select("vw", "v", "w", F.col("size").alias("c")), "v", counts.two)
     second = second.join(counts.words.select("w", F.col("p").alias("shorter")), "w")
@@ -258,7 +260,114 @@ def entries(counts: Counts, at: int, slices: int, put) -> DataFrame:
     first = counts.words.filter(F.pmod(F.shiftrightunsigned("w", 40), F.lit(slices)) == at)
     ends = [x.select(F.col(key).alias("key"), F.lit(False).alias("context"), "c", "gain") for x, key in ((third, "uvw"), (second, "vw"), (first, "w"))]
     left = [x.select(F.col(key).bitwiseXOR(F.lit(CONTEXT)).alias("key"), F.lit(True).alias("context"), F.col("total").alias("c"), F.log("rest").alias("gain")) for x, key in ((after_pair, "uv"), (after_word, "v"))]
-    return put(reduce(DataFrame.union, ends + left), "model")
+    return reduce(DataFrame.union, ends + left)
+
+
+def _packed(buckets: int):
+    """Entries as a row for each bucket and batch: arrays of keys, counts and gains."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            order, ends = dealt(keys, buckets)
+            columns = [x[order] for x in (keys, batch.column("c").to_numpy(), batch.column("gain").to_numpy())]
+            yield cut(ends, *columns, names=["keys", "counts", "gains"])
+
+    return run
+
+
+def dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by the bucket, the leading bits of a key, and where each bucket ends."""
+    bucket = keys >> np.uint64(65 - buckets.bit_length())
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets, dtype=np.uint64), side="right")
+
+
+def cut(ends: np.ndarray, *columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """A row for each bucket that has any."""
+    there = np.flatnonzero(np.diff(ends, prepend=0))
+    first = np.append(0, ends)[there].tolist()
+    parts = [pa.array([x[a:b].tobytes() for a, b in zip(first, ends[there].tolist())], pa.binary()) for x in columns]
+    return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), *parts], names=["bucket", *names])
+
+
+def _of(batch: pa.RecordBatch, name: str, kind) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in batch.column(name).to_pylist() if x]
+
+
+
+def _how_often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (n, words): how many entries have a count, per batch."""
+    for batch in batches:
+        c, n = np.unique(np.concatenate([np.zeros(0, np.int64), *_of(batch, "counts", np.int64)]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["n", "words"])
+
+
+def least_held(often: DataFrame, most: int) -> int:
+    """The lowest count, 2 or more, down to which there are at most ``most`` entries."""
+    # each of the highest counts has an entry at least, so no more than ``most`` of them matter
+    rows = often.filter("n > 1").orderBy(F.desc("n")).limit(most + 1).toArrow()
+    n, fits = rows.column("n").to_numpy(), np.cumsum(rows.column("words").to_numpy()) <= most
+    if fits.all():
+        return 2
+    return int(n[fits][-1]) if fits.any() else int(n[0]) + 1
+
+
+def _frequent(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            none = np.zeros(0, np.int64)
+            c, keys, gains = (np.concatenate([none.view(kind), *_of(batch, x, kind)]) for x, kind in (("counts", np.int64), ("keys", np.int64), ("gains", np.float64)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[c >= least]), pa.array(gains[c >= least])], names=["key", "gain"])
+
+    return run
+
+
+def _bits(least: int, buckets: int, bits: int):
+    """The map's bytes of each bucket of a partition, for entries that are joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, maps = bits // buckets, {}
+        for batch in batches:
+            for bucket, keys, c in zip(batch.column("bucket").to_pylist(), _of(batch, "keys", np.uint64), _of(batch, "counts", np.int64)):
+                there = maps.setdefault(bucket, np.zeros(size, bool))
+                there[((keys[c < least] >> np.uint64(65 - bits.bit_length())) & np.uint64(size - 1)).astype(np.int64)] = True
+        for bucket, there in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(there, bitorder="little").tobytes()], pa.binary())], names=["bucket", "bits"])
+
+    return run
+
+
+def _answers(least: int):
+    """Rows (row, n, total): sums of what the entries of a partition's buckets answer, and sums that are there already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, asks = {}, {}
+        for batch in batches:
+            columns = [batch.column(x).to_pylist() for x in ("bucket", "keys", "counts", "gains", "rows")]
+            for bucket, keys, c, gains, rows in zip(*columns):
+                if bucket < 0:
+                    arrays = [np.frombuffer(rows, np.int64), np.frombuffer(c, np.int64), np.frombuffer(gains)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["row", "n", "total"])
+                elif rows is None:
+                    rare = np.frombuffer(c, np.int64) < least
+                    tables.setdefault(bucket, []).append((np.frombuffer(keys, np.uint64)[rare], np.frombuffer(gains)[rare]))
+                else:
+                    asks.setdefault(bucket, []).append((np.frombuffer(rows, np.int64), np.frombuffer(keys, np.uint64)))
+        whose, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for bucket, asked in asks.items():
+            if bucket in tables:
+                keys, gains = (np.concatenate(x) for x in zip(*tables.pop(bucket)))
+                rows, wanted = (np.concatenate(x) for x in zip(*asked))
+                found = Lookup(keys, gains, math.nan)(wanted)
+                known = ~np.isnan(found)
+                whose.append(rows[known])
+                sums.append(found[known])
+        rows, at = np.unique(np.concatenate(whose), return_inverse=True)
+        total = np.bincount(at, np.concatenate(sums), len(rows)).astype(np.float64)  # of nothing it counts in integers
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.nulls(len(rows), pa.int64()), pa.array(total)], names=["row", "n", "total"])
+
+    return run
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -308,12 +417,12 @@ def train(documents: DataFrame, labels: DataFrame, runs: int | None = None) -> M
     one = one.withColumn("p", (F.col("c") - discounted(by)) / F.lit(total) + F.lit(unknown)).withColumn("gain", F.log("p") - math.log(unknown))
     two, three = (discounts(*(some[order, k] for k in (1, 2, 3, 4))) for order in (2, 3))
     there = some[3, 0] + some[2, 0] + words
-    counts = Counts(fitted, one, two, three, min(SLICES, -(-there // max(HELD, 1))))
+    counts = Counts(fitted, one, two, three, min(SLICES, -(-there // max(HELD, 1))), there)
     none = np.zeros(0, np.uint64), np.zeros(0)
     if there > HELD:
         return Model(Lookup(*none, 0.0), Lookup(*none, 0.0), math.log(unknown), counts)
     with passing(spark) as put:
-        table = entries(counts, 0, 1, put).toArrow()  # HELD n-grams at most
+        table = entries(counts, 0, 1, put).toArrow()  # of HELD n-grams at most
     keys, gains, context = table.column("key").to_numpy().view(np.uint64), table.column("gain").to_numpy(), table.column("context").to_numpy()
     return Model(Lookup(keys[~context], gains[~context], 0.0), Lookup(keys[context] ^ np.uint64(CONTEXT), gains[context], 0.0), math.log(unknown))
 
@@ -327,20 +436,20 @@ def _score(model):
                 w = tokens_of(texts.slice(a, b - a))
                 n = np.diff(w.first)
                 logs = np.zeros(len(w.hash)) if m is None else log_probabilities(w.hash, w.first, m)
-                total = np.bincount(np.repeat(np.arange(b - a), n), logs, b - a)
+                total = np.bincount(np.repeat(np.arange(b - a), n), logs, b - a).astype(np.float64)
                 arrays = [batch.column("doc_id").slice(a, b - a), batch.column("lang").slice(a, b - a), pa.array(n), pa.array(total, mask=(n == 0) | (m is None))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang", "n_tokens", "total"])
 
     return run
 
 
-def _parts(model, floor: float, at: int, slices: int):
-    """Per text: what a slice adds to its log-probability, and the keys that only the table may have."""
+def _parts(model, floor: float, at: int, slices: int, buckets: int):
+    """Sums of what a slice's held entries add to texts (bucket -1), and for each bucket the keys that only its table may have, and who asks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bits = model.value
         for batch in batches:
-            texts = batch.column("text")
+            texts, names = batch.column("text"), batch.column("row").to_numpy()
             for a, b in pieces(texts):
                 w = tokens_of(texts.slice(a, b - a))
                 n = np.diff(w.first)
@@ -348,12 +457,17 @@ def _parts(model, floor: float, at: int, slices: int):
                 gains = held(keys)
                 open_ = np.isnan(gains)
                 total = np.bincount(whose[~open_], gains[~open_], b - a) + (floor * n if at == 0 else 0.0)
+                columns = [pa.array([x.tobytes()], pa.binary()) for x in (n.astype(np.int64), total, names[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.nulls(1, pa.binary()), *columns], names=["bucket", "keys", "counts", "gains", "rows"])
+                if bits is None:
+                    continue
                 keys, whose = keys[open_], whose[open_]
-                rare = np.flatnonzero(in_map(bits, keys)) if bits is not None else np.zeros(0, np.int64)
-                rare = rare[np.argsort(whose[rare], kind="stable")]
-                ends = pa.array(np.searchsorted(whose[rare], np.arange(b - a + 1)), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(keys[rare].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), pa.array(n), pa.array(total), lists], names=["row", "n", "total", "rare"])
+                rare = np.flatnonzero(in_map(bits, keys >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)))
+                keys, whose = keys[rare], whose[rare]
+                order, ends = dealt(keys, buckets)
+                found = cut(ends, keys[order], names[a:b][whose[order]], names=["keys", "rows"])
+                none = pa.nulls(found.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays([found.column(0), found.column(1), none, none, found.column(2)], names=["bucket", "keys", "counts", "gains", "rows"])
 
     return run
 
@@ -361,20 +475,31 @@ def _parts(model, floor: float, at: int, slices: int):
 def part(rows: DataFrame, model: Model, at: int) -> DataFrame:
     """Rows (row, n, total), written: tokens of each text and what a slice of the model adds to its log-probability."""
     spark, counts = rows.sparkSession, model.table
+    buckets = max(BUCKETS, 1 << (counts.size // counts.slices >> 20).bit_length())
     with passing(spark) as put:
-        table = entries(counts, at, counts.slices, put)
-        least = 1 if table.count() <= HELD else least_common(table.withColumnRenamed("c", "n"), HELD)
-        held = table.filter(F.col("c") >= least).select("key", "gain").toArrow()  # HELD rows at most
+        with passing(spark) as first:
+            made = entries(counts, at, counts.slices, first).select("key", "c", "gain")
+            table = put(made.mapInArrow(_packed(buckets), "bucket int, keys binary, counts binary, gains binary"), "model")
+        often = table.select("counts").mapInArrow(_how_often, "n bigint, words bigint").groupBy("n").agg(F.sum("words").alias("words"))
+        there = often.agg(F.sum("words")).first()[0] or 0
+        least = 1 if there <= HELD else least_held(often, HELD)
+        held = table.select("keys", "counts", "gains").mapInArrow(_frequent(least), "key bigint, gain double").toArrow()  # HELD rows at most
         held = Lookup(held.column("key").to_numpy().view(np.uint64), held.column("gain").to_numpy(), math.nan)
-        rare = table.filter(F.col("c") < least).select("key", "gain")
-        shared = spark.sparkContext.broadcast((held, map_of(rare.select(F.col("key").alias("mark")), SPARSE) if least > 1 else None))
-        scored = rows.mapInArrow(_parts(shared, model.floor, at, counts.slices), "row bigint, n bigint, total double, rare array<bigint>")
-        if least > 1:
-            scored = put(scored, "scores")
-        sums = scored.select("row", "n", "total")
-        if least > 1:
-            joined = scored.select("row", F.explode("rare").alias("key")).join(rare, "key")
-            sums = sums.union(joined.select("row", F.lit(None).cast("bigint"), "gain"))
+        there, bits = there - len(held.keys), None
+        if there:
+            size = min(MOST, max(LEAST, 8 * buckets, 1 << (SPARSE * there).bit_length()))
+            bits = np.zeros((buckets, size // buckets // 8), np.uint8)
+            maps = table.select("bucket", "keys", "counts").repartition("bucket").mapInArrow(_bits(least, buckets, size), "bucket int, bits binary")
+            for r in maps.collect():  # the size of the map
+                bits[r.bucket] = np.frombuffer(r.bits, np.uint8)
+            bits = bits.ravel()
+        shared = spark.sparkContext.broadcast((held, bits))
+        columns = "bucket int, keys binary, counts binary, gains binary, rows binary"
+        asks = rows.mapInArrow(_parts(shared, model.floor, at, counts.slices, buckets), columns)
+        # what is summed already is dealt evenly
+        spread = F.when(F.col("bucket") < 0, F.xxhash64("rows")).otherwise(F.col("bucket"))
+        both = asks.union(table.withColumn("rows", F.lit(None).cast("binary"))).repartition(spread)
+        sums = both.mapInArrow(_answers(least), "row bigint, n bigint, total double")
         # repeated rows are one, each of which has asked
         out = written(sums.groupBy("row").agg(F.max("n").alias("n"), (F.sum("total") / F.count("n")).alias("total")), "part")
         shared.destroy()

@@ -135,6 +135,14 @@ def test_a_large_model_is_there_in_slices_only(spark, documents, monkeypatch):
     assert all(x <= {"runs", "fitted", "tally", "part"} for x in seen) and kinds() == {"runs", "fitted", "tally", "part", "perplexities"}
 
 
+def test_parts_without_tokens_or_asks_keep_their_types():
+    none = quality.Lookup(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+    shared = type("Shared", (), {"value": quality.Model(none, none, -1.0)})
+    empty = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["", None]), pa.array(["en", None])], names=["doc_id", "text", "lang"])
+    assert [x.column("total").type for x in quality._score(shared)(iter([empty]))] == [pa.float64()]
+    assert [x.column("total").type for x in quality._answers(2)(iter([]))] == [pa.float64()]
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t.split() for t in corpus(50)])
     words = {w for t in corpus(50) for w in t.split()}
